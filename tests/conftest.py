@@ -1,0 +1,64 @@
+import os
+import sys
+import tempfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="daybook-test-"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
+
+
+class Drop:
+    """A folder with the three dataset folders, filled file by file."""
+
+    def __init__(self, base):
+        self.base = str(base)
+
+    def put(self, key: str, text: str) -> None:
+        path = os.path.join(self.base, key)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as out:
+            out.write(text)
+
+    def good(self) -> "Drop":
+        """Two orders over two days, three items, two products."""
+        self.put(
+            "orders/o.csv",
+            "order_id,user_id,created_at,status\n1,10,2025-01-01,done\n2,11,2025-01-02,done\n",
+        )
+        self.put(
+            "order_items/i.csv",
+            "id,order_id,product_id,sale_price,status\n"
+            "1,1,100,10.50,done\n2,1,101,4.25,returned\n3,2,100,20.00,done\n",
+        )
+        self.put(
+            "products/p.csv",
+            "id,sku,cost,category,retail_price\n100,A,1.0,Toys,2.0\n101,B,1.0,Books,2.0\n",
+        )
+        return self
+
+
+@pytest.fixture
+def drop(tmp_path):
+    return Drop(tmp_path / "in")
