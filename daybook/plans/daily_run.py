@@ -160,7 +160,7 @@ def quarantine(spark: SparkSession, checked: DataFrame, target: str) -> bool:
     The lines are kept as text, as the columns of such a file are in doubt. Gives whether the
     copy succeeded; the files themselves stay where they are.
     """
-    bad = [r.path for r in checked.where(~F.col("is_valid")).select("path").toLocalIterator()]
+    bad = [r.path for r in checked.where(~F.col("is_valid")).select("path").collect()]
     if not bad:
         return True
     source = arrived.plain_path(F.col("_metadata.file_path"))

@@ -28,7 +28,7 @@ def read_by_name(spark: SparkSession, files: DataFrame, dataset: str) -> DataFra
         F.array(*[F.array_position("headers_found", F.lit(c)) for c in columns]).alias("places"),
     )
     groups: dict[tuple[int, ...], list[str]] = {}
-    for row in placed.toLocalIterator():
+    for row in placed.collect():
         groups.setdefault(tuple(row.places), []).append(row.path)
     if not groups:
         return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items()))

@@ -111,7 +111,7 @@ def headers(spark: SparkSession, files: DataFrame, ranged: bool = True) -> DataF
     """
     if ranged:
         return files.mapInPandas(_first_lines, FILE_SCHEMA + ", header_line string")
-    paths = [r.path for r in files.select("path").toLocalIterator()]
+    paths = [r.path for r in files.select("path").collect()]
     if not paths:
         return files.withColumn("header_line", F.lit(None).cast("string"))
     lines = (

@@ -18,7 +18,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """Items, with further lineitem columns where asked for."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_linenumber").alias("id"),
         F.col("l_orderkey").alias("order_id"),
@@ -28,6 +29,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "completed")
         .otherwise("shipped")
         .alias("status"),
+        *also,
     )
 
 
