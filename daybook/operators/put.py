@@ -11,39 +11,22 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.functions import columns as C
 
 
-class Throttled(Exception):
-    """Raised by a put function when the store asks to slow down."""
-
-
-def put_batch(
-    put: Callable[[list[dict]], None], batch: list[dict], retries: int, pause: Callable[[float], None]
-) -> bool:
-    """One batch; throttling is retried after 1, 2, 4 ... seconds, anything else fails it."""
-    for attempt in range(retries + 1):
-        try:
-            put(batch)
-            return True
-        except Throttled:
-            if attempt < retries:
-                pause(2**attempt)
-        except Exception:
-            return False
-    return False
-
-
 def put_rows(
     rows: DataFrame,
     put: Callable[[list[dict]], None],
     writers: int = 1,
     batch_size: int = 25,
     retries: int = 3,
+    is_throttled: Callable[[Exception], bool] = lambda error: False,
     pause: Callable[[float], None] = time.sleep,
 ) -> DataFrame:
     """Hands `rows` to `put` in batches, `writers` tasks at a time; gives (successful, failed).
 
-    `put(records)` runs in the tasks. A task that is run again puts its rows again, which a
-    store that replaces by key does not notice. Pass rows that are stored already, so that a
-    retry does not compute them anew. The puts happen when the result is read.
+    `put(records)` runs in the tasks. A batch refused with an error that `is_throttled` is tried
+    again after 1, 2, 4 ... seconds, `retries` times; any other error fails the batch. A task
+    that is run again puts its rows again, which a store that replaces by key does not notice.
+    Pass rows that are stored already, so that a retry does not compute them anew. The puts
+    happen when the result is read.
     """
 
     def put_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,10 +35,16 @@ def put_rows(
 
         def flush(batch: list[dict]) -> None:
             nonlocal successful, failed
-            if put_batch(put, batch, retries, pause):
-                successful += len(batch)
-            else:
-                failed += len(batch)
+            for attempt in range(retries + 1):
+                try:
+                    put(batch)
+                    successful += len(batch)
+                    return
+                except Exception as error:
+                    if attempt == retries or not is_throttled(error):
+                        break
+                    pause(2**attempt)
+            failed += len(batch)
 
         for frame in frames:
             waiting += frame.to_dict("records")

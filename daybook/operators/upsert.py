@@ -33,11 +33,6 @@ def write_outcome(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def write_by_month(rows: DataFrame, path: str) -> None:
-    """Overwrites `path`; rebalancing keeps a small month in one file and splits a big one."""
-    rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
-
-
 def upsert(
     new: DataFrame, table: str, keys: list[str], work: str, scope: list[str] | None = None
 ) -> dict[str, int]:
@@ -53,26 +48,24 @@ def upsert(
     moved in loses nothing.
     """
     spark = new.sparkSession
-    fresh = f"{work}/new"
-    if not storage.has_data(spark, fresh):
-        write_by_month(new.withColumn(MONTH, C.order_month(F.col("order_date"))), fresh)
     schema = storage.with_partitions(new.schema, **{MONTH: T.StringType()})
-    staged = spark.read.schema(schema).parquet(fresh)
-    outcome = write_outcome(staged, keys).first().asDict()
 
-    valid = staged.where(C.has_keys(*keys))
-    merged = valid
+    def staged(rows: DataFrame, path: str) -> DataFrame:
+        if not storage.has_data(spark, path):
+            rows.write.mode("overwrite").parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    fresh = staged(new.withColumn(MONTH, C.order_month(F.col("order_date"))), f"{work}/new")
+    outcome = write_outcome(fresh, keys).first().asDict()
+    rows = fresh.where(C.has_keys(*keys))
     if storage.exists(spark, table):
-        # One value per month, read from the folder names.
-        months = [r[MONTH] for r in valid.select(MONTH).distinct().collect()]
+        # One short text per month.
+        months = [r[MONTH] for r in rows.select(MONTH).distinct().collect()]
         old = spark.read.schema(schema).parquet(table).where(F.col(MONTH).isin(months))
-        merged = merge_rows(old, valid, scope or keys)
-    done = f"{work}/merged"
-    if not storage.has_data(spark, done):
-        write_by_month(merged, done)
+        rows = staged(merge_rows(old, rows, scope or keys), f"{work}/merged")
+    # Rebalancing keeps a small month in one file and splits a big one.
     (
-        spark.read.schema(schema)
-        .parquet(done)
+        rows.hint("rebalance", MONTH)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -70,37 +70,41 @@ def inventory(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _open(path: str):
-    """An input stream for a Hadoop-style path, from inside a task."""
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
-    if scheme == "s3a":
-        path = "s3:" + rest
-    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
-    return system.open_input_stream(inner)
-
-
-def _first_line(path: str) -> str | None:
-    """Bytes up to the first line break, as text; None where there is no readable line."""
-    try:
-        with _open(path) as stream:
-            head = b""
-            while b"\n" not in head:
-                block = stream.read(4096)
-                if not block:
-                    break
-                head += block
-        return head.split(b"\n", 1)[0].decode("utf-8").strip() or None
-    except (OSError, UnicodeDecodeError):
-        return None
+def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The task side of the ranged read; built inside one function, so that Spark ships it whole
+    and workers need not have this package."""
+    from urllib.parse import quote
 
+    from pyarrow import fs
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(header_line=batch["path"].map(_first_line))
+    def open_stream(path: str):
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+        if scheme == "s3a":
+            path = "s3:" + rest
+        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
+        return system.open_input_stream(inner)
+
+    def first_line(path: str) -> str | None:
+        """Text up to the first line break; None where there is no readable line."""
+        try:
+            with open_stream(path) as stream:
+                head = b""
+                while b"\n" not in head:
+                    block = stream.read(4096)
+                    if not block:
+                        break
+                    head += block
+            return head.split(b"\n", 1)[0].decode("utf-8").strip() or None
+        except (OSError, UnicodeDecodeError):
+            return None
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(header_line=batch["path"].map(first_line))
+
+    return read
 
 
 def headers(spark: SparkSession, files: DataFrame, ranged: bool = True) -> DataFrame:
@@ -110,7 +114,7 @@ def headers(spark: SparkSession, files: DataFrame, ranged: bool = True) -> DataF
     no Spark source can leave a file early. Otherwise Spark's text source reads the files whole.
     """
     if ranged:
-        return files.mapInPandas(_first_lines, FILE_SCHEMA + ", header_line string")
+        return files.mapInPandas(_header_reader(), FILE_SCHEMA + ", header_line string")
     paths = [r.path for r in files.select("path").collect()]
     if not paths:
         return files.withColumn("header_line", F.lit(None).cast("string"))

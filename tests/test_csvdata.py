@@ -1,0 +1,56 @@
+import pytest
+
+from daybook.operators import counts, validation
+from daybook.sources import csvdata, files
+
+
+def read(spark, drop, dataset):
+    checked = validation.check_headers(files.headers(spark, files.inventory(spark, drop.base)))
+    return csvdata.read_by_name(spark, checked.where(f"is_valid and dataset = '{dataset}'"), dataset)
+
+
+def test_columns_bind_by_name(spark, drop):
+    drop.put("orders/a.csv", "order_id,user_id,created_at,status\n1,10,2025-01-01,x\n")
+    drop.put("orders/b.csv", "user_id,order_id,status,created_at\n11,2,x,2025-01-02\n")
+    drop.put("orders/c [c].csv", "note,order_id,user_id,created_at,status\nn,3,12,2025-01-03,x\n")
+    drop.put("orders/d.csv", '"order_id", user_id ,created_at,status\n"4","13","2025-01-04","x"\n')
+    drop.put("orders/e.csv", "order_id,user_id,created_at,status,late,extra\n5,14,2025-01-05,x,1,2\n")
+    drop.put("orders/bad.csv", "order_id,user_id\n9,9\n")
+    got = sorted(tuple(r) for r in read(spark, drop, "orders").collect())
+    assert got == [(i, i + 9, f"2025-01-0{i}") for i in range(1, 6)]
+
+
+def test_same_place_is_one_scan(spark, drop):
+    drop.put("orders/a.csv", "order_id,user_id,created_at,status\n1,10,2025-01-01,x\n")
+    drop.put("orders/e.csv", "order_id,user_id,created_at,status,late\n5,14,2025-01-05,x,1\n")
+    plan = read(spark, drop, "orders")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+
+
+def test_bad_values_become_null(spark, drop):
+    drop.put("order_items/a.csv", "id,order_id,product_id,sale_price,status\nx,1,y,abc,\n,2,3\n")
+    got = sorted((tuple(r) for r in read(spark, drop, "order_items").collect()), key=lambda r: r[1])
+    assert got == [(None, 1, None, "abc", None), (None, 2, 3, None, None)]
+
+
+def test_items_without_status_are_named(spark, drop):
+    drop.put("order_items/a.csv", "id,order_id,product_id,sale_price\n1,1,1,1\n")
+    with pytest.raises(csvdata.MissingColumns, match="order_items: 1 file.*a.csv lack status"):
+        read(spark, drop, "order_items")
+
+
+def test_items_with_names_of_other_datasets(spark, drop):
+    drop.put(
+        "order_items/a.csv",
+        "id,order_id,product_id,sale_price,status,order_date,category\n1,1,1,1,done,2020-01-01,Toys\n",
+    )
+    assert read(spark, drop, "order_items").columns == ["id", "order_id", "product_id", "sale_price", "status"]
+
+
+def test_counts_and_guard(spark):
+    full, empty = spark.range(3), spark.range(0)
+    rows = {r.dataset: r.source_rows for r in counts.source_counts({"orders": full, "products": empty}).collect()}
+    assert rows == {"orders": 3, "products": 0}
+    assert counts.require_rows(counts.source_counts({"orders": full})).first().has_rows
+    with pytest.raises(Exception, match="One or more datasets are empty: products"):
+        counts.require_rows(counts.source_counts({"products": empty})).collect()
