@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook import storage
+from daybook import settings as session, storage
 from daybook.datasets import CATEGORY_TABLE, DATASETS, ORDER_TABLE, TABLE_KEYS
 from daybook.operators import counts, gate, kpis, report, sales, upsert, validation
 from daybook.plans import history
@@ -123,6 +123,7 @@ def _finish(
     settings: Settings,
     stamp: datetime,
 ) -> DataFrame:
+    session.skew_safe(spark)
     checked = spark.read.parquet(tables.path("checked", seq))
     set_aside = quarantine(spark, checked, tables.path("quarantine", seq))
     verdicts = validation.file_verdicts(checked, F.lit(set_aside))

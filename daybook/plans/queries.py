@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook import storage
+from daybook import settings, storage
 from daybook.datasets import CATEGORY_TABLE, ORDER_TABLE, TABLE_KEYS
 from daybook.functions import columns as C
 from daybook.operators import counts, gate, kpis, put, report, sales, upsert, validation
@@ -27,6 +27,7 @@ def query(function: Query) -> Query:
 
 
 def _prepared(spark, sf_dir, money="float32"):
+    settings.skew_safe(spark)
     data = testdata.datasets(spark, sf_dir)
     return (
         sales.prepare_items(data["order_items"], money),
@@ -364,11 +365,11 @@ def kpi_upsert_recompute(spark, sf_dir):
     root = storage.scratch(spark, "kpi_upsert_recompute")
     base = drops.write_plain_drop(spark, sf_dir, f"{root}/in", "orders", "products")
     items = testdata.order_items(spark, sf_dir, "l_linestatus")
-    settings = daily_run.Settings(mode="recompute", require_all=False)
+    late = daily_run.Settings(mode="recompute", require_all=False)
     for state in ("F", "O"):
         part = items.where(F.col("l_linestatus") == state).drop("l_linestatus")
         csvdata.write_drop(part, f"{base}/order_items/{state}")
-        daily_run.run(spark, base, f"{root}/out", f"run-{state}", settings)
+        daily_run.run(spark, base, f"{root}/out", f"run-{state}", late)
     return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
@@ -444,8 +445,8 @@ def daily_run_category(spark, sf_dir):
     return spark.read.parquet(f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
 
 
-def _drain(spark, root, settings, files_per_batch):
-    writer = arrivals.run_on_arrival(spark, f"{root}/in", f"{root}/out", settings, files_per_batch)
+def _drain(spark, root, run_settings, files_per_batch):
+    writer = arrivals.run_on_arrival(spark, f"{root}/in", f"{root}/out", run_settings, files_per_batch)
     stream = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     stream.awaitTermination()
 
@@ -455,11 +456,11 @@ def stream_order_daily_kpis(spark, sf_dir):
     """Files worked in as they come, some per micro-batch; drained, then asked again."""
     root = storage.scratch(spark, "stream_order_daily_kpis")
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "order_items", "orders")
-    settings = daily_run.Settings(mode="recompute", require_all=False)
-    _drain(spark, root, settings, 2)
+    late = daily_run.Settings(mode="recompute", require_all=False)
+    _drain(spark, root, late, 2)
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
-    _drain(spark, root, settings, 1000)
-    _drain(spark, root, settings, 1000)
+    _drain(spark, root, late, 1000)
+    _drain(spark, root, late, 1000)
     return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
@@ -468,10 +469,10 @@ def stream_gate(spark, sf_dir):
     """Items and orders wait in the stream until the products come."""
     root = storage.scratch(spark, "stream_gate")
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "order_items", "orders")
-    settings = daily_run.Settings(mode="recompute")
-    _drain(spark, root, settings, 1_000_000)
+    gated = daily_run.Settings(mode="recompute")
+    _drain(spark, root, gated, 1_000_000)
     if storage.exists(spark, f"{root}/out/{CATEGORY_TABLE}"):
         raise AssertionError("a run started before all datasets were there")
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
-    _drain(spark, root, settings, 1_000_000)
+    _drain(spark, root, gated, 1_000_000)
     return spark.read.parquet(f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
