@@ -1,4 +1,4 @@
-"""What a run did: the file manifest, the report row and its one-line text.
+"""What a run did: the file manifest, and the report row with its one-line text.
 
 Counts come as (name, value) rows, so that one aggregate gathers them.
 """
@@ -81,24 +81,6 @@ def _fact(*names: str) -> Column:
     return F.coalesce(F.sum(F.when(F.col("name").isin(*names), F.col("value"))), F.lit(0))
 
 
-def run_report(facts: DataFrame, run_id: str) -> DataFrame:
-    """The report row; recordsProcessed counts result rows written, not source rows."""
-    return facts.agg(
-        F.lit("success").alias("status"),
-        _fact("categoryMetrics", "orderMetrics").alias("recordsProcessed"),
-        _fact("categoryMetrics").alias("categoryMetrics"),
-        _fact("orderMetrics").alias("orderMetrics"),
-        _fact("rejected").alias("failedRecords"),
-        F.when(_fact("unmoved") == 0, "success").otherwise("partial_failure").alias("archiveStatus"),
-        F.lit(run_id).alias("executionId"),
-        F.struct(
-            _fact("orders").alias("orders"),
-            _fact("order_items").alias("orderItems"),
-            _fact("products").alias("products"),
-        ).alias("processedFiles"),
-    )
-
-
 # The wording of the two report lines.
 SUCCESS_LINE = (
     "SUCCESS: Execution %s - Folder %s processed successfully. Validation Results: Total files: %d, "
@@ -108,19 +90,29 @@ SUCCESS_LINE = (
 FAILURE_LINE = "FAILURE: Execution %s - Folder %s failed processing. Error Details: %s"
 
 
-def run_report_text(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
-    """The report as one line of text."""
+def run_report(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
+    """The report row; recordsProcessed counts result rows written, not source rows."""
     archive = F.when(_fact("unmoved") == 0, "success").otherwise("partial_failure")
+    written = {
+        "recordsProcessed": _fact("categoryMetrics", "orderMetrics"),
+        "categoryMetrics": _fact("categoryMetrics"),
+        "orderMetrics": _fact("orderMetrics"),
+        "failedRecords": _fact("rejected"),
+    }
+    checked = [_fact(n) for n in ("total_files", "passed", "failed", "quarantined")]
     return facts.agg(
+        F.lit("success").alias("status"),
+        *[value.alias(name) for name, value in written.items()],
+        archive.alias("archiveStatus"),
+        F.lit(run_id).alias("executionId"),
+        F.struct(
+            _fact("orders").alias("orders"),
+            _fact("order_items").alias("orderItems"),
+            _fact("products").alias("products"),
+        ).alias("processedFiles"),
         F.format_string(
-            SUCCESS_LINE,
-            F.lit(run_id),
-            F.lit(folder),
-            *[_fact(n) for n in ("total_files", "passed", "failed", "quarantined")],
-            _fact("categoryMetrics", "orderMetrics"),
-            *[_fact(n) for n in ("categoryMetrics", "orderMetrics", "rejected")],
-            archive,
-        ).alias("message")
+            SUCCESS_LINE, F.lit(run_id), F.lit(folder), *checked, *written.values(), archive
+        ).alias("message"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from daybook import storage
 from daybook.functions import columns as C
@@ -25,11 +25,12 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
-def write_outcome(rows: DataFrame, keys: list[str]) -> DataFrame:
+def write_outcome(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """One row: rows with a full key, which a keyed table takes, and rows without."""
     return rows.agg(
         F.count_if(C.has_keys(*keys)).alias("written"),
         F.count_if(~C.has_keys(*keys)).alias("rejected"),
+        *more,
     )
 
 
@@ -56,11 +57,11 @@ def upsert(
         return spark.read.schema(schema).parquet(path)
 
     fresh = staged(new.withColumn(MONTH, C.order_month(F.col("order_date"))), f"{work}/new")
-    outcome = write_outcome(fresh, keys).first().asDict()
+    # One short text per month comes with the counts.
+    outcome = write_outcome(fresh, keys, F.collect_set(MONTH).alias("months")).first().asDict()
+    months = outcome.pop("months")
     rows = fresh.where(C.has_keys(*keys))
     if storage.exists(spark, table):
-        # One short text per month.
-        months = [r[MONTH] for r in rows.select(MONTH).distinct().collect()]
         old = spark.read.schema(schema).parquet(table).where(F.col(MONTH).isin(months))
         rows = staged(merge_rows(old, rows, scope or keys), f"{work}/merged")
     # Rebalancing keeps a small month in one file and splits a big one.

@@ -109,7 +109,8 @@ def run_files(
     if not (present.triggered if settings.require_all else any(present[f"has_{d}"] for d in DATASETS)):
         return None
     ranged = storage.scheme(spark, base) in arrived.RANGED_SCHEMES
-    checked = validation.check_headers(arrived.headers(spark, files, ranged))
+    number = sum(present[f"{d}_files"] for d in DATASETS)
+    checked = validation.check_headers(arrived.headers(spark, files, ranged, number))
     checked.write.mode("overwrite").parquet(tables.path("checked", seq))
     return _finish(spark, base, tables, seq, run_id, settings, stamp or datetime.now(timezone.utc))
 
@@ -140,10 +141,7 @@ def _finish(
         raise RunFailed(line) from error
 
     facts = report.file_facts(verdicts).unionByName(report.write_facts(outcomes))
-    text = report.run_report_text(facts, run_id, base)
-    row = report.run_report(facts, run_id)
-    row = row.withColumn("message", F.lit(text.first().message))
-    row.write.mode("overwrite").parquet(tables.path("run_report", seq))
+    report.run_report(facts, run_id, base).write.mode("overwrite").parquet(tables.path("run_report", seq))
     _write_manifest(verdicts, tables, seq, run_id, stamp, F.col("status") != "failed")
     storage.delete(spark, tables.path("work", seq))
     return spark.read.parquet(tables.path("run_report", seq))
@@ -219,10 +217,9 @@ def _figures(
 
 
 def _require_usable(verdicts: DataFrame, settings: Settings) -> None:
-    rollup = validation.validation_rollup(verdicts)
-    status = validation.validation_status(rollup).first()
     if not settings.require_all:
         return
+    status = validation.validation_status(validation.validation_rollup(verdicts)).first()
     if status.status == "failure":
         raise RunFailed(status.message)
     if status.usable_per_dataset == 0:

@@ -420,17 +420,17 @@ def _facts(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    row = report.run_report(_facts(spark, sf_dir), RUN_ID)
+    row = report.run_report(_facts(spark, sf_dir), RUN_ID, "drop")
     fields = ["orders", "orderItems", "products"]
     return row.select(
-        *[c for c in row.columns if c != "processedFiles"],
+        *[c for c in row.columns if c not in ("processedFiles", "message")],
         *[F.col(f"processedFiles.{f}").alias(f"processed_{f}") for f in fields],
     )
 
 
 @query
 def run_report_text(spark, sf_dir):
-    return report.run_report_text(_facts(spark, sf_dir), RUN_ID, "drop")
+    return report.run_report(_facts(spark, sf_dir), RUN_ID, "drop").select("message")
 
 
 # --- whole runs and streams ------------------------------------------------------------------

@@ -108,17 +108,21 @@ def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
 
 
 def headers(
-    spark: SparkSession, files: DataFrame, ranged: bool = True, files_per_task: int = 200
+    spark: SparkSession,
+    files: DataFrame,
+    ranged: bool = True,
+    number: int | None = None,
+    files_per_task: int = 200,
 ) -> DataFrame:
     """`files` with the first line of each.
 
     `ranged` opens each file in a task and stops at the first line break, a few KB per file:
-    no Spark source can leave a file early. The number of tasks follows the number of files, as
-    the names alone are too small for Spark to spread them. Otherwise Spark's text source reads
-    the files whole.
+    no Spark source can leave a file early. The number of tasks follows the `number` of files
+    (counted if not given), as the names alone are too small for Spark to spread them. Otherwise
+    Spark's text source reads the files whole.
     """
     if ranged:
-        tasks = -(-files.count() // files_per_task)
+        tasks = -(-(files.count() if number is None else number) // files_per_task)
         return files.repartition(max(1, tasks)).mapInPandas(
             _header_reader(), FILE_SCHEMA + ", header_line string"
         )

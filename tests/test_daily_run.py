@@ -46,3 +46,123 @@ def test_late_file(spark, drop, tmp_path, mode, revenue):
     days = by_day(spark, out)
     assert days[DAY1].total_revenue == revenue
     assert days[DAY2].total_revenue == 20.0
+
+
+ORDER_HEAD = "order_id,user_id,created_at,status\n"
+ITEM_HEAD = "id,order_id,product_id,sale_price,status\n"
+PRODUCT_HEAD = "id,sku,cost,category,retail_price\n"
+RECOMPUTE = Settings(mode="recompute", require_all=False)
+
+
+def test_waits_for_all_datasets(spark, drop, tmp_path):
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    drop.put("products/p.txt", PRODUCT_HEAD)
+    assert daily_run.run(spark, drop.base, str(tmp_path / "out"), "r") is None
+    assert not (tmp_path / "out").exists()
+
+
+def test_bad_files_and_null_keys(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    drop.good()
+    drop.put("orders/bad.csv", "order_id,user_id,created_at\n7,70,2025-01-01\n1,10,2025-01-01\n")
+    drop.put("orders/sub/empty.csv", "")
+    drop.put("orders/day.csv", ORDER_HEAD + "3,12,no day,x\n")
+    drop.put("order_items/more.csv", ITEM_HEAD + "8,3,100,1.00,x\n9,1,102,2.00,x\n")
+    drop.put("products/gap.csv", PRODUCT_HEAD + "102,C,1,,1\n")
+    row = daily_run.run(spark, drop.base, out, "r").first()
+    # No category on day 1 and Toys without a day; and the day table's row without a day.
+    assert (row.categoryMetrics, row.orderMetrics, row.failedRecords) == (3, 2, 3)
+    assert row.recordsProcessed == 5
+    assert row.processedFiles.asDict() == {"orders": 2, "orderItems": 2, "products": 2}
+    assert "Total files: 8, Passed: 6, Failed: 2, Quarantined: 2" in row.message
+    aside = spark.read.parquet(f"{out}/quarantine/seq=0")
+    assert sorted(r.line for r in aside.collect()) == ["1,10,2025-01-01", "7,70,2025-01-01", "order_id,user_id,created_at"]
+    assert {r.dataset for r in aside.collect()} == {"orders"}
+    # The bad file still lies there and holds order 1 once more, but is not read.
+    days = by_day(spark, out)
+    assert (days[DAY1].total_orders, days[DAY1].total_revenue) == (1, 16.75)
+    manifest = {r.key: (r.status, r.moved, r.target_path) for r in spark.read.parquet(f"{out}/manifest").collect()}
+    assert manifest["orders/bad.csv"] == ("quarantined", True, "quarantine/orders/bad.csv")
+    assert manifest["orders/o.csv"][2].startswith("processed/r/")
+    assert manifest["orders/o.csv"][2].endswith("/orders/o.csv")
+    assert daily_run.run(spark, drop.base, out, "r2") is None
+
+
+@pytest.mark.parametrize(
+    "key,text,reason",
+    [
+        ("products/p.csv", "id,sku\n1,2\n", "No usable files"),
+        ("products/p.csv", PRODUCT_HEAD, "One or more datasets are empty: products"),
+        ("order_items/i.csv", "id,order_id,product_id,sale_price\n1,1,100,1.0\n", "lack status"),
+    ],
+)
+def test_failed_run_leaves_good_files(spark, drop, tmp_path, key, text, reason):
+    out = str(tmp_path / "out")
+    drop.good().put(key, text)
+    with pytest.raises(RunFailed, match=reason):
+        daily_run.run(spark, drop.base, out, "r1")
+    failure = spark.read.parquet(f"{out}/run_report/seq=0").first()
+    assert failure.status == "failure" and failure.message.startswith("FAILURE: Execution r1")
+    assert not (tmp_path / "out" / "order_metrics_table").exists()
+    # With a good file in place of the bad one everything is there.
+    drop.good()
+    row = daily_run.run(spark, drop.base, out, "r2").first()
+    assert (row.status, row.categoryMetrics, row.orderMetrics) == ("success", 3, 2)
+
+
+def test_recompute_over_runs(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    # An item before its order and product.
+    drop.put("order_items/early.csv", ITEM_HEAD + "1,1,100,10.00,x\n5,,100,1.00,x\n")
+    row = daily_run.run(spark, drop.base, out, "r0", RECOMPUTE).first()
+    assert (row.categoryMetrics, row.orderMetrics) == (0, 0)
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    daily_run.run(spark, drop.base, out, "r1", RECOMPUTE)
+    assert by_day(spark, out)[DAY1].total_revenue == 10.0
+    assert not list((tmp_path / "out" / "category_metrics_table").glob("*/*.parquet"))
+    # Its product comes last, then the order again with one more item, then a new category.
+    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r2", RECOMPUTE)
+    assert table(spark, out, "category_metrics_table") == [(10.0, 0.0, "Toys", 10.0, DAY1)]
+    drop.put("orders/again.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    drop.put("order_items/more.csv", ITEM_HEAD + "2,1,100,5.00,returned\n")
+    daily_run.run(spark, drop.base, out, "r3", RECOMPUTE)
+    days = by_day(spark, out)
+    assert (days[DAY1].total_orders, days[DAY1].total_revenue, days[DAY1].total_items_sold) == (1, 15.0, 2)
+    drop.put("products/new.csv", PRODUCT_HEAD + "100,A,1,Games,1\n")
+    daily_run.run(spark, drop.base, out, "r4", RECOMPUTE)
+    assert table(spark, out, "category_metrics_table") == [(15.0, 1.0, "Games", 15.0, DAY1)]
+
+
+def test_broken_run_is_finished_first(spark, drop, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    whole = daily_run.upsert.upsert
+
+    def break_at_orders(new, target, *rest):
+        if "order_metrics" in target:
+            raise OSError("lost")
+        return whole(new, target, *rest)
+
+    monkeypatch.setattr(daily_run.upsert, "upsert", break_at_orders)
+    with pytest.raises(OSError):
+        daily_run.run(spark, drop.good().base, out, "r1", Settings(mode="recompute"))
+    monkeypatch.setattr(daily_run.upsert, "upsert", whole)
+    # Meanwhile more files came; they make a run of their own.
+    drop.put("orders/late.csv", ORDER_HEAD + "9,19,2025-01-02,x\n")
+    drop.put("order_items/late.csv", ITEM_HEAD + "4,1,101,1.00,x\n9,9,100,3.00,x\n")
+    drop.put("products/late.csv", PRODUCT_HEAD + "103,D,1,Books,1\n")
+    daily_run.run(spark, drop.base, out, "r2", Settings(mode="recompute"))
+    assert sorted(r.seq for r in spark.read.parquet(f"{out}/manifest").select("seq").distinct().collect()) == [0, 1]
+    days = by_day(spark, out)
+    assert (days[DAY1].total_revenue, days[DAY2].total_revenue, days[DAY2].total_orders) == (15.75, 23.0, 2)
+
+
+def test_file_written_anew_is_a_new_file(spark, drop, tmp_path):
+    import os
+
+    out = str(tmp_path / "out")
+    daily_run.run(spark, drop.good().base, out, "r1")
+    drop.good()
+    for name in ("orders/o.csv", "order_items/i.csv", "products/p.csv"):
+        os.utime(f"{drop.base}/{name}", (2_000_000_000, 2_000_000_000))
+    assert daily_run.run(spark, drop.base, out, "r2").first().recordsProcessed == 5

@@ -1,0 +1,57 @@
+from pyspark.sql import functions as F
+
+from daybook.operators import report
+
+FILE = "dataset string, key string, path string, modification_time timestamp, status string"
+
+
+def verdicts(spark, statuses):
+    rows = [("orders", f"orders/{i}.csv", f"/in/orders/{i}.csv", None, s) for i, s in enumerate(statuses)]
+    return spark.createDataFrame(rows, FILE)
+
+
+def facts(spark, statuses):
+    outcome = "written bigint, rejected bigint"
+    return report.file_facts(verdicts(spark, statuses)).unionByName(
+        report.write_facts(
+            {
+                "categoryMetrics": spark.createDataFrame([(2, 1)], outcome),
+                "orderMetrics": spark.createDataFrame([(1, 3)], outcome),
+            }
+        )
+    )
+
+
+def test_report_counts_result_rows(spark):
+    row = report.run_report(facts(spark, ["passed", "quarantined"]), "e1", "in/").first()
+    assert (row.recordsProcessed, row.categoryMetrics, row.orderMetrics, row.failedRecords) == (3, 2, 1, 4)
+    assert (row.status, row.archiveStatus, row.executionId) == ("success", "success", "e1")
+    assert row.processedFiles.asDict() == {"orders": 1, "orderItems": 0, "products": 0}
+    assert report.run_report(facts(spark, ["passed", "failed"]), "e1", "in/").first().archiveStatus == "partial_failure"
+
+
+def test_lines(spark):
+    line = report.run_report(facts(spark, ["passed", "failed", "quarantined"]), "e1", "in/").first().message
+    assert line == (
+        "SUCCESS: Execution e1 - Folder in/ processed successfully. Validation Results: Total files: 3, Passed: 1, "
+        "Failed: 2, Quarantined: 1. Transformation Results: Records processed: 3, Category metrics: 2, "
+        "Order metrics: 1, Failed records: 4, Archive status: partial_failure"
+    )
+    assert report.failure_text("e1", "in/", "no file") == (
+        "FAILURE: Execution e1 - Folder in/ failed processing. Error Details: no file"
+    )
+
+
+def test_manifest_and_unconsumed(spark):
+    stamp = F.lit("2025-06-07 08:09:10").cast("timestamp_ntz")
+    manifest = report.archive_manifest(verdicts(spark, ["passed", "quarantined", "failed"]), F.lit("e1"), stamp)
+    got = {r.key: (r.target_path, r.moved) for r in manifest.collect()}
+    assert got == {
+        "orders/0.csv": ("processed/e1/20250607_080910/orders/0.csv", True),
+        "orders/1.csv": ("quarantine/orders/1.csv", True),
+        "orders/2.csv": ("quarantine/orders/2.csv", False),
+    }
+    status = report.archive_status(manifest).first()
+    assert (status.moved_files, status.failed_files, status.archive_status) == (2, 1, "partial_failure")
+    left = report.unconsumed(verdicts(spark, ["x"] * 4), manifest)
+    assert sorted(r.key for r in left.collect()) == ["orders/2.csv", "orders/3.csv"]
