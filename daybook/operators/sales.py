@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from daybook.functions import columns as C
 
 
 def prepare_orders(orders: DataFrame) -> DataFrame:
-    """Order key, buyer and day."""
-    return orders.select("order_id", "user_id", C.order_date(F.col("created_at")).alias("order_date"))
+    """Order key, buyer and day; only text needs the careful reading of dates."""
+    created_at = F.col("created_at")
+    text = isinstance(orders.schema["created_at"].dataType, T.StringType)
+    day = C.order_date(created_at) if text else created_at.cast("date")
+    return orders.select("order_id", "user_id", day.alias("order_date"))
 
 
 def prepare_items(items: DataFrame, money: str = "float32") -> DataFrame:

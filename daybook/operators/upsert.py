@@ -8,6 +8,7 @@ from daybook import storage
 from daybook.functions import columns as C
 
 MONTH = "order_month"
+ROWS_PER_TASK = 2_000_000
 
 
 def last_by_key(rows: DataFrame, keys: list[str], order_by: str) -> DataFrame:
@@ -34,6 +35,15 @@ def write_outcome(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     )
 
 
+def _by_month(rows: DataFrame, months: int) -> DataFrame:
+    """One task per month while any month fits a task; beyond that Spark's rebalancing, which
+    splits big months and joins small ones. The rows are stored, so counting them reads file
+    footers only."""
+    if rows.count() <= ROWS_PER_TASK:
+        return rows.repartition(max(1, months), MONTH)
+    return rows.hint("rebalance", MONTH)
+
+
 def upsert(
     new: DataFrame, table: str, keys: list[str], work: str, scope: list[str] | None = None
 ) -> dict[str, int]:
@@ -64,9 +74,8 @@ def upsert(
     if storage.exists(spark, table):
         old = spark.read.schema(schema).parquet(table).where(F.col(MONTH).isin(months))
         rows = staged(merge_rows(old, rows, scope or keys), f"{work}/merged")
-    # Rebalancing keeps a small month in one file and splits a big one.
     (
-        rows.hint("rebalance", MONTH)
+        _by_month(rows, len(months))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)

@@ -5,7 +5,7 @@ All take and give DataFrames; a file is one row (dataset, path, header_line).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.datasets import DATASETS, REQUIRED
 
@@ -83,40 +83,32 @@ def file_verdicts(checked: DataFrame, set_aside: Column) -> DataFrame:
     )
 
 
-def dataset_names(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.posexplode(F.array(*[F.lit(d) for d in DATASETS])).alias("place", "dataset")
-    )
-
-
 def validation_rollup(verdicts: DataFrame) -> DataFrame:
     """File counts per dataset and for `all`; `failed` includes quarantined files.
 
-    A dataset without files has a row too, with status `no_files`.
+    A dataset without files has a row too, with status `no_files`. One global aggregate counts
+    everything, so each task sends one row.
     """
-    counts = verdicts.groupBy("dataset").agg(
-        F.count("*").alias("total_files"),
-        F.count_if(F.col("status") == "passed").alias("passed"),
-        F.count_if(F.col("status") != "passed").alias("failed"),
-        F.count_if(F.col("status") == "quarantined").alias("quarantined"),
-    )
-    names = ["total_files", "passed", "failed", "quarantined"]
-    return (
-        dataset_names(verdicts.sparkSession)
-        .join(counts, "dataset", "left")
-        .fillna(0, names)
-        .rollup("dataset")
-        .agg(F.min("place").alias("place"), *[F.sum(n).alias(n) for n in names], F.grouping("dataset").alias("overall"))
-        .select(
-            F.when(F.col("overall") == 1, "all").otherwise(F.col("dataset")).alias("dataset"),
-            F.when(F.col("overall") == 1, len(DATASETS)).otherwise(F.col("place")).alias("place"),
-            *names,
-            F.when(F.col("overall") == 1, None)
-            .when(F.col("total_files") == 0, "no_files")
+
+    def counts(name: str, place: int, of: Column) -> Column:
+        passed = of & (F.col("status") == "passed")
+        total = F.count_if(of)
+        return F.struct(
+            F.lit(name).alias("dataset"),
+            F.lit(place).alias("place"),
+            total.alias("total_files"),
+            F.count_if(passed).alias("passed"),
+            F.count_if(of & (F.col("status") != "passed")).alias("failed"),
+            F.count_if(of & (F.col("status") == "quarantined")).alias("quarantined"),
+            F.when(F.lit(name == "all"), None)
+            .when(total == 0, "no_files")
             .otherwise("processed")
             .alias("status"),
         )
-    )
+
+    each = [counts(d, i, F.col("dataset") == d) for i, d in enumerate(DATASETS)]
+    whole = counts("all", len(DATASETS), F.col("dataset").isin(*DATASETS))
+    return verdicts.agg(F.array(*each, whole).alias("rows")).select(F.inline("rows"))
 
 
 def validation_status(rollup: DataFrame) -> DataFrame:

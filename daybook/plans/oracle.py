@@ -251,7 +251,8 @@ keys as (
     "validation_rollup": _files(
         """select *, case when total_files = 0 then 'no_files' else 'processed' end as status from per_dataset
 union all
-select 'all', sum(total_files), sum(passed), sum(failed), sum(quarantined), null from per_dataset""",
+select 'all', cast(sum(total_files) as bigint), cast(sum(passed) as bigint), cast(sum(failed) as bigint),
+       cast(sum(quarantined) as bigint), null from per_dataset""",
         VERDICTS,
         ROLLUP,
     ),

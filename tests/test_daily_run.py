@@ -18,8 +18,8 @@ def by_day(spark, root):
 DAY1, DAY2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
 
 
-@pytest.mark.parametrize("mode", ["replace", "recompute"])
-def test_whole_run(spark, drop, tmp_path, mode):
+@pytest.mark.parametrize("mode,late_revenue", [("replace", 1.0), ("recompute", 15.75)])
+def test_whole_run_then_late_file(spark, drop, tmp_path, mode, late_revenue):
     out = str(tmp_path / "out")
     row = daily_run.run(spark, drop.good().base, out, "run-1", Settings(mode=mode)).first()
     # Two days, three (category, day) pairs.
@@ -33,18 +33,13 @@ def test_whole_run(spark, drop, tmp_path, mode):
     # Nothing new: nothing happens.
     assert daily_run.run(spark, drop.base, out, "run-2", Settings(mode=mode)) is None
 
-
-@pytest.mark.parametrize("mode,revenue", [("replace", 1.0), ("recompute", 15.75)])
-def test_late_file(spark, drop, tmp_path, mode, revenue):
-    out = str(tmp_path / "out")
-    daily_run.run(spark, drop.good().base, out, "run-1", Settings(mode=mode))
     # In replace mode the late part needs its order and product again; the other mode knows them.
     drop.put("orders/late.csv", "order_id,user_id,created_at,status\n1,10,2025-01-01,done\n")
     drop.put("order_items/late.csv", "id,order_id,product_id,sale_price,status\n4,1,101,1.00,done\n")
     drop.put("products/late.csv", "id,sku,cost,category,retail_price\n101,B,1.0,Books,2.0\n")
-    daily_run.run(spark, drop.base, out, "run-2", Settings(mode=mode))
+    daily_run.run(spark, drop.base, out, "run-3", Settings(mode=mode))
     days = by_day(spark, out)
-    assert days[DAY1].total_revenue == revenue
+    assert days[DAY1].total_revenue == late_revenue
     assert days[DAY2].total_revenue == 20.0
 
 

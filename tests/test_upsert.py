@@ -62,3 +62,12 @@ def test_scratch_uses_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = storage.scratch(spark, "x"), storage.scratch(spark, "x")
     assert a.startswith(shared + "/x-") and a != b
+
+
+def test_many_rows_are_rebalanced(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(U, "ROWS_PER_TASK", 1)
+    root = str(tmp_path)
+    rows = [("A", d(1), 1.0), ("B", d(2, 3), 2.0), ("C", d(2), 3.0)]
+    put(spark, rows, root, 0)
+    put(spark, [("A", d(1), 4.0)], root, 1)
+    assert content(spark, root) == [("A", d(1), 4.0), ("B", d(2, 3), 2.0), ("C", d(2), 3.0)]
