@@ -64,6 +64,11 @@ def file_facts(verdicts: DataFrame) -> DataFrame:
     return verdicts.agg(*[c.alias(n) for n, c in counts.items()]).unpivot([], list(counts), "name", "value")
 
 
+def source_facts(counts: DataFrame) -> DataFrame:
+    """Rows read by dataset (dataset, source_rows), as (name, value)."""
+    return counts.select(F.concat(F.lit("source_"), F.col("dataset")).alias("name"), F.col("source_rows").alias("value"))
+
+
 def write_facts(outcomes: dict[str, DataFrame]) -> DataFrame:
     """Write outcomes (written, rejected) by report name, as (name, value)."""
     return reduce(
@@ -91,7 +96,12 @@ FAILURE_LINE = "FAILURE: Execution %s - Folder %s failed processing. Error Detai
 
 
 def run_report(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
-    """The report row; recordsProcessed counts result rows written, not source rows."""
+    """The report row; recordsProcessed counts result rows written, sourceRows those read."""
+
+    def by_dataset(prefix: str) -> Column:
+        names = {"orders": "orders", "order_items": "orderItems", "products": "products"}
+        return F.struct(*[_fact(prefix + d).alias(names[d]) for d in DATASETS])
+
     archive = F.when(_fact("unmoved") == 0, "success").otherwise("partial_failure")
     written = {
         "recordsProcessed": _fact("categoryMetrics", "orderMetrics"),
@@ -105,11 +115,8 @@ def run_report(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
         *[value.alias(name) for name, value in written.items()],
         archive.alias("archiveStatus"),
         F.lit(run_id).alias("executionId"),
-        F.struct(
-            _fact("orders").alias("orders"),
-            _fact("order_items").alias("orderItems"),
-            _fact("products").alias("products"),
-        ).alias("processedFiles"),
+        by_dataset("").alias("processedFiles"),
+        by_dataset("source_").alias("sourceRows"),
         F.format_string(
             SUCCESS_LINE, F.lit(run_id), F.lit(folder), *checked, *written.values(), archive
         ).alias("message"),
@@ -118,3 +125,14 @@ def run_report(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
 
 def failure_text(run_id: str, folder: str, error: str) -> str:
     return FAILURE_LINE % (run_id, folder, error)
+
+
+def failure_report(facts: DataFrame, run_id: str, folder: str, line: str) -> DataFrame:
+    """The report row of a run that wrote nothing: all counts 0, and the line that tells why."""
+    return run_report(facts.where(F.lit(False)), run_id, folder).withColumns(
+        {
+            "status": F.lit("failure"),
+            "archiveStatus": F.lit(None).cast("string"),
+            "message": F.lit(line),
+        }
+    )

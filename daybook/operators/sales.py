@@ -30,6 +30,13 @@ def prepare_products(products: DataFrame) -> DataFrame:
     return products.select(F.col("id").alias("product_id"), "category")
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key, the greatest by its other columns, so that every attempt keeps the same."""
+    others = [c for c in rows.columns if c != key]
+    kept = rows.groupBy(key).agg(F.max(F.struct(*others)).alias("_kept"))
+    return kept.select(*[c if c == key else F.col(f"_kept.{c}").alias(c) for c in rows.columns])
+
+
 def sales_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Inner join of prepared items and orders; a repeated order row repeats its lines."""
     return items.join(orders, "order_id")

@@ -31,13 +31,18 @@ class Settings:
 
     mode: `replace` puts the figures of this run's files over the old rows of the same keys;
     `recompute` works out the affected days anew from everything delivered so far.
+    key_type: `string` where order, item, product or user ids are not whole numbers.
+    unique_orders: states that no order key repeats, for a cheaper plan.
+    drop_repeats: keeps one row per order and per product of a run; else each copy counts.
     require_all: every dataset must have usable files and rows. Without it (recompute only) a
     run may bring, say, only late items.
     """
 
     mode: str = "replace"
     money: str = "float32"
+    key_type: str = "bigint"
     unique_orders: bool = False
+    drop_repeats: bool = False
     require_all: bool = True
 
 
@@ -136,21 +141,18 @@ def _finish(
     set_aside = quarantine(spark, checked, tables.path("quarantine", seq))
     verdicts = validation.file_verdicts(checked, F.lit(set_aside))
     try:
-        outcomes = _figures(spark, verdicts, tables, seq, settings)
+        facts = _figures(spark, verdicts, tables, seq, settings)
     except (RunFailed, counts.EmptyDataset, csvdata.MissingColumns) as error:
         history.drop(spark, tables.path("history"), seq)
         line = report.failure_text(run_id, base, str(error))
-        spark.createDataFrame(
-            [("failure", run_id, line)], "status string, executionId string, message string"
-        ).write.mode("overwrite").parquet(tables.path("run_report", seq))
+        failure = report.failure_report(report.file_facts(verdicts), run_id, base, line)
+        failure.write.mode("overwrite").parquet(tables.path("run_report", seq))
         # Bad files are set aside for good; the others stay for the next run.
         _write_manifest(verdicts, tables, seq, run_id, stamp, F.col("status") == "quarantined")
         raise RunFailed(line) from error
 
-    written = [(name, o["written"]) for name, o in outcomes.items()]
-    written.append(("rejected", sum(o["rejected"] for o in outcomes.values())))
     facts = report.file_facts(verdicts).unionByName(
-        spark.createDataFrame(written, "name string, value bigint").coalesce(1)
+        spark.createDataFrame(list(facts.items()), "name string, value bigint").coalesce(1)
     )
     report.run_report(facts, run_id, base).write.mode("overwrite").parquet(tables.path("run_report", seq))
     _write_manifest(verdicts, tables, seq, run_id, stamp, F.col("status") != "failed")
@@ -195,14 +197,16 @@ def together(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
 
 def _figures(
     spark: SparkSession, verdicts: DataFrame, tables: Tables, seq: int, settings: Settings
-) -> dict[str, dict[str, int]]:
+) -> dict[str, int]:
     """Lands the good files, computes both tables and writes them; gives the counts of rows."""
     _require_usable(verdicts, settings)
     root = tables.path("history")
     good = verdicts.where("status = 'passed'")
 
     def load(dataset: str) -> DataFrame:
-        return csvdata.read_by_name(spark, good.where(F.col("dataset") == dataset), dataset)
+        rows = csvdata.read_by_name(spark, good.where(F.col("dataset") == dataset), dataset, settings.key_type)
+        key = {"orders": "order_id", "products": "id"}.get(dataset) if settings.drop_repeats else None
+        return sales.one_per_key(rows, key) if key else rows
 
     typed = {
         "orders": sales.prepare_orders(load("orders")),
@@ -212,8 +216,11 @@ def _figures(
     landed = together(
         {name: lambda n=name, rows=rows: history.land(rows, root, n, seq) for name, rows in typed.items()}
     )
-    if settings.require_all:
-        _require_rows(landed)
+    # Counted from the footers of the landed files.
+    source = {r.dataset: r.source_rows for r in counts.source_counts(landed).collect()}
+    empty = sorted(name for name, rows in source.items() if rows == 0)
+    if empty and settings.require_all:
+        raise counts.EmptyDataset(f"One or more datasets are empty: {', '.join(empty)}")
 
     if settings.mode == "replace":
         figures = _replace(landed, settings)
@@ -224,7 +231,7 @@ def _figures(
 
     names = {CATEGORY_TABLE: "categoryMetrics", ORDER_TABLE: "orderMetrics"}
     scope = ["order_date"] if settings.mode == "recompute" else None
-    return together(
+    done = together(
         {
             names[table]: lambda t=table, rows=rows: upsert.upsert(
                 rows, tables.path(t), TABLE_KEYS[t], f"{tables.path('work', seq)}/{t}", scope
@@ -232,6 +239,11 @@ def _figures(
             for table, rows in figures.items()
         }
     )
+    return {
+        **{name: outcome["written"] for name, outcome in done.items()},
+        "rejected": sum(outcome["rejected"] for outcome in done.values()),
+        **{f"source_{name}": rows for name, rows in source.items()},
+    }
 
 
 def _require_usable(verdicts: DataFrame, settings: Settings) -> None:
@@ -244,18 +256,11 @@ def _require_usable(verdicts: DataFrame, settings: Settings) -> None:
         raise RunFailed(f"No usable files for a dataset ({status.message})")
 
 
-def _require_rows(landed: dict[str, DataFrame]) -> None:
-    """Counts come from the footers of the landed files."""
-    empty = [r.dataset for r in counts.source_counts(landed).where("source_rows = 0").collect()]
-    if empty:
-        raise counts.EmptyDataset(f"One or more datasets are empty: {', '.join(sorted(empty))}")
-
-
 def _replace(landed: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
     orders, items, products = landed["orders"], landed["order_items"], landed["products"]
     return {
         CATEGORY_TABLE: kpis.category_daily_kpis(items, orders, products),
-        ORDER_TABLE: kpis.order_daily_kpis(items, orders, settings.unique_orders),
+        ORDER_TABLE: kpis.order_daily_kpis(items, orders, settings.unique_orders or settings.drop_repeats),
     }
 
 

@@ -403,7 +403,8 @@ from verdicts""",
        category_rows as "categoryMetrics", order_rows as "orderMetrics", rejected as "failedRecords",
        case when unmoved = 0 then 'success' else 'partial_failure' end as "archiveStatus",
        'run-1' as "executionId", n_orders as "processed_orders", n_items as "processed_orderItems",
-       n_products as "processed_products"
+       n_products as "processed_products", (select count(*) from orders) as "source_orders",
+       (select count(*) from lineitem) as "source_orderItems", (select count(*) from part) as "source_products"
 from facts""",
     ),
     "run_report_text": _with(

@@ -415,7 +415,11 @@ def _facts(spark, sf_dir):
         "categoryMetrics": write_outcome(spark, sf_dir),
         "orderMetrics": upsert.write_outcome(order_daily_kpis(spark, sf_dir), TABLE_KEYS[ORDER_TABLE]),
     }
-    return report.file_facts(_verdicts(spark, sf_dir)).unionByName(report.write_facts(outcomes))
+    return (
+        report.file_facts(_verdicts(spark, sf_dir))
+        .unionByName(report.write_facts(outcomes))
+        .unionByName(report.source_facts(source_counts(spark, sf_dir)))
+    )
 
 
 @query
@@ -423,8 +427,9 @@ def run_report(spark, sf_dir):
     row = report.run_report(_facts(spark, sf_dir), RUN_ID, "drop")
     fields = ["orders", "orderItems", "products"]
     return row.select(
-        *[c for c in row.columns if c not in ("processedFiles", "message")],
+        *[c for c in row.columns if c not in ("processedFiles", "sourceRows", "message")],
         *[F.col(f"processedFiles.{f}").alias(f"processed_{f}") for f in fields],
+        *[F.col(f"sourceRows.{f}").alias(f"source_{f}") for f in fields],
     )
 
 

@@ -14,15 +14,18 @@ class MissingColumns(ValueError):
     """Files passed the header check but lack a column the daily figures need."""
 
 
-def read_by_name(spark: SparkSession, files: DataFrame, dataset: str) -> DataFrame:
+def read_by_name(
+    spark: SparkSession, files: DataFrame, dataset: str, key_type: str = "bigint"
+) -> DataFrame:
     """Rows of all `files` (path, headers_found) with the used columns, whatever their order.
+    Ids become `key_type`.
 
     One scan reads several CSV files under one positional schema, so the files are grouped by
     where the used columns stand, and each group is a scan of its own. Files that differ only
     in further columns fall into one group. The list of paths passes through the driver, which
     holds the same list for any file scan.
     """
-    columns = USED[dataset]
+    columns = {c: key_type if t == "bigint" else t for c, t in USED[dataset].items()}
     placed = files.select(
         "path",
         F.array(*[F.array_position("headers_found", F.lit(c)) for c in columns]).alias("places"),

@@ -26,6 +26,7 @@ def test_whole_run_then_late_file(spark, drop, tmp_path, mode, late_revenue):
     assert (row.status, row.recordsProcessed, row.categoryMetrics, row.orderMetrics) == ("success", 5, 3, 2)
     assert (row.failedRecords, row.archiveStatus, row.executionId) == (0, "success", "run-1")
     assert row.processedFiles.asDict() == {"orders": 1, "orderItems": 1, "products": 1}
+    assert row.sourceRows.asDict() == {"orders": 2, "orderItems": 3, "products": 2}
     assert row.message.startswith("SUCCESS: Execution run-1")
     days = by_day(spark, out)
     assert (days[DAY1].total_orders, days[DAY1].total_revenue, days[DAY1].total_items_sold) == (1, 14.75, 2)
@@ -97,7 +98,8 @@ def test_failed_run_leaves_good_files(spark, drop, tmp_path, key, text, reason):
     with pytest.raises(RunFailed, match=reason):
         daily_run.run(spark, drop.base, out, "r1")
     failure = spark.read.parquet(f"{out}/run_report/seq=0").first()
-    assert failure.status == "failure" and failure.message.startswith("FAILURE: Execution r1")
+    assert (failure.status, failure.recordsProcessed, failure.executionId) == ("failure", 0, "r1")
+    assert failure.message.startswith("FAILURE: Execution r1")
     assert not (tmp_path / "out" / "order_metrics_table").exists()
     # With a good file in place of the bad one everything is there.
     drop.good()
@@ -161,3 +163,14 @@ def test_file_written_anew_is_a_new_file(spark, drop, tmp_path):
     for name in ("orders/o.csv", "order_items/i.csv", "products/p.csv"):
         os.utime(f"{drop.base}/{name}", (2_000_000_000, 2_000_000_000))
     assert daily_run.run(spark, drop.base, out, "r2").first().recordsProcessed == 5
+
+
+def test_repeats_dropped_and_text_ids(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    drop.put("orders/o.csv", ORDER_HEAD + "A1,u,2025-01-01,x\nA1,u,2025-01-01,x\n")
+    drop.put("order_items/i.csv", ITEM_HEAD + "i1,A1,p,1.50,x\ni2,A1,p,1.50,x\n")
+    drop.put("products/p.csv", PRODUCT_HEAD + "p,A,1,Toys,1\np,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r", Settings(key_type="string", drop_repeats=True))
+    assert table(spark, out, "category_metrics_table") == [(3.0, 0.0, "Toys", 3.0, DAY1)]
+    day = by_day(spark, out)[DAY1]
+    assert (day.total_orders, day.total_revenue, day.total_items_sold, day.unique_customers) == (1, 3.0, 2, 1)

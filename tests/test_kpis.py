@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import configured
 from daybook.operators import kpis, sales
 
 ORDERS = "order_id bigint, user_id bigint, created_at string, status string"
@@ -200,11 +201,8 @@ def test_plans(spark, sf_dir):
 def test_hot_order_is_summed_before_the_join(spark, sf_dir):
     from daybook.plans import queries
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
+    with configured(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(queries.QUERIES["order_daily_kpis"](spark, sf_dir))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     join = text.index("SortMergeJoin")
     assert text.index("HashAggregate(keys=[order_id", join) > join
     # Items and orders are shuffled once each for the join.
@@ -223,9 +221,7 @@ def test_hot_repeated_order_is_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
     }
-    for name, value in confs.items():
-        spark.conf.set(name, value)
-    try:
+    with configured(spark, confs):
         rows = spark.range(0, 30000, 1, 8)
         hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
         day = F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(F.xxhash64("id"), F.lit(3000)).cast("int"))
@@ -242,6 +238,3 @@ def test_hot_repeated_order_is_split(spark):
         # 10,000 copies of order 0 and 20,000 further orders, one item each.
         assert sum(r.daily_revenue for r in df.collect()) == 30000.0
         assert "skew=true" in plan(df)
-    finally:
-        for name in confs:
-            spark.conf.unset(name)
