@@ -36,11 +36,12 @@ def write_outcome(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
 
 
 def _by_month(rows: DataFrame, months: int) -> DataFrame:
-    """One task per month while any month fits a task; beyond that Spark's rebalancing, which
-    splits big months and joins small ones. The rows are stored, so counting them reads file
-    footers only."""
+    """Whole months to as many tasks as run at once, while all rows would fit one task; beyond
+    that Spark's rebalancing, which splits big months and joins small ones. The rows are stored,
+    so counting them reads file footers only."""
     if rows.count() <= ROWS_PER_TASK:
-        return rows.repartition(max(1, months), MONTH)
+        at_once = rows.sparkSession.sparkContext.defaultParallelism
+        return rows.repartition(max(1, min(months, at_once)), MONTH)
     return rows.hint("rebalance", MONTH)
 
 
