@@ -73,3 +73,22 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
   sha256(coalesce(l.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id
 """
+
+ORACLE["op1_maxscore_search"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM vectors
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.d = c.d AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+  GROUP BY q.vec_id, c.vec_id
+), ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.llm import decontamination, mixing, sharding, warc
-from daybook.llm.frames import table
+from daybook import storage
+from daybook.llm import decontamination, mixing, near_duplicates, sharding, token_files, vector_search, warc
+from daybook.llm.frames import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +59,24 @@ def op9_benchmark_passages(spark, sf_dir):
         F.sha2(listed, 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op10_token_ids(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = storage.scratch(spark, "token_ids")
+    token_files.write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.token_index(spark, path)
+
+
+@query
+def op3_simhash_groups(spark, sf_dir):
+    found = near_duplicates.groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+@query
+def op1_maxscore_search(spark, sf_dir):
+    vectors = vector_search.integers(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    vectors = stored(vectors, "vectors")
+    return vector_search.top(vectors, vectors.where("vec_id % 20 = 0"))
