@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook import storage
-from daybook.llm import decontamination, mixing, near_duplicates, sharding, token_files, vector_search, warc
+from daybook.llm import (
+    decontamination,
+    mixing,
+    near_duplicates,
+    repeated_bytes,
+    sharding,
+    substring_dedup,
+    token_files,
+    vector_search,
+    warc,
+)
 from daybook.llm.frames import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +90,15 @@ def op1_maxscore_search(spark, sf_dir):
     vectors = vector_search.integers(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     vectors = stored(vectors, "vectors")
     return vector_search.top(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op2_repeated_passages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op8_repeated_bytes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeated_bytes.deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
