@@ -8,7 +8,6 @@ its own; more than `BLOCKS` of them are worked off in rounds, so what a task hol
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -162,5 +161,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int
     return rest.withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def items_digest(items) -> str:
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `docs` without any window of the benchmark, with the columns they came with."""
+    others = [c for c in docs.columns if c != "text"]
+    found = find(docs.select("text", F.struct(*others).alias("own")), benchmark)
+    return found.where(~F.col("contaminated")).select("text", "own.*").select(*docs.columns)

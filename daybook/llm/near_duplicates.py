@@ -177,7 +177,10 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id names their group; of repeated rows all stay."""
-    chosen = groups(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = chosen.withColumnRenamed("doc_id", "__kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each group: that of the doc_id which names it.
+
+    Rows that repeat a doc_id are one document. Rows without doc_id stay.
+    """
+    chosen = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    one = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)

@@ -12,6 +12,7 @@ from daybook.llm import (
     decontamination,
     mixing,
     near_duplicates,
+    quality,
     repeated_bytes,
     sharding,
     substring_dedup,
@@ -102,3 +103,9 @@ def op2_repeated_passages(spark, sf_dir):
 def op8_repeated_bytes(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_bytes.deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op4_quality_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.scores(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
