@@ -8,6 +8,7 @@ what it writes.
 
 from __future__ import annotations
 
+import array
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -21,17 +22,92 @@ from daybook.llm.frames import pieces, running, tasks
 
 END = 2  # appended to each document
 PIECE = 4 << 20  # bytes of text encoded at once
-KNOWN = 1_000_000  # words whose ids a task remembers
-MARK = "\x01"  # stands between words that are encoded in one go
-TOGETHER = 2000  # words encoded in one go
-
-
-class Words:
-    """Ids of single words, encoded once each.
-
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of
-    its words one after the other. Many words are encoded as one text with a mark between them.
+KNOWN = 1_000_000  # units whose ids a worker remembers
+TOGETHER = 1000  # units encoded as one text
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_TWICE = 0xC3  # begins U+00C0 to U+00FF, letters but for two signs
+_SIGNS = (0x97, 0xB7)
+
+
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends) of the units of a text: encoding them one by one gives the ids of
+    the whole.
+
+    The tokenizer joins nothing across white space. A word of ASCII and of Latin letters of two
+    bytes it also parts between letters and other signs, and lower-cases; such words are cut
+    there and lower-cased here, so that fewer units differ. Words with an apostrophe, which
+    begins endings such as 's, with a <, which begins special tokens, and with any other
+    character stay as they are.
     """
+    space = _SPACE[data]
+    before = np.concatenate([[True], space[:-1]])
+    word = np.cumsum(before & ~space)  # from 1; the number of the word a byte is in
+    odd = (data == 39) | (data == 60) | ((data >= 192) & (data != _TWICE))
+    sign = np.zeros(len(data), bool)
+    sign[1:] = (data[:-1] == _TWICE) & ((data[1:] == _SIGNS[0]) | (data[1:] == _SIGNS[1]))
+    whole = np.zeros(int(word[-1]) + 1 if len(word) else 1, bool)
+    whole[word[(odd | sign) & ~space]] = True
+    whole = whole[word]
+    letter = _LETTER[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (letter[1:] != letter[:-1]) & ~whole[1:]
+    starts = np.flatnonzero(~space & (before | cut))
+    ends = np.flatnonzero(~space & np.concatenate([space[1:] | cut[1:], [True]])) + 1
+    return np.where(whole, data, _LOWER[data]), starts, ends
+
+
+class Powers:
+    """Powers of an odd number modulo 2**64, and of its inverse."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def grow(self, size: int) -> None:
+        if len(self.up) < size:
+            one, back = np.uint64(self.BASE), np.uint64(pow(self.BASE, -1, 1 << 64))
+            self.up = np.multiply.accumulate(np.full(size, one, np.uint64))
+            self.down = np.multiply.accumulate(np.full(size, back, np.uint64))
+
+
+def _firsts(codes: np.ndarray) -> np.ndarray:
+    firsts = np.empty(codes.max(initial=-1) + 1, np.int64)
+    firsts[codes[::-1]] = np.arange(len(codes))[::-1]
+    return firsts
+
+
+def numbered(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers
+) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each unit, place of the first unit of each number); equal units, equal numbers."""
+    powers.grow(len(data))
+    total = np.empty(len(data) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum((data + np.uint64(1)) * powers.up[: len(data)], out=total[1:])
+    codes, _ = pd.factorize((total[ends] - total[starts]) * powers.down[starts])
+    firsts = _firsts(codes)
+    # Hashes may agree by chance: lengths and the outer eight bytes must too.
+    padded = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    length = ends - starts
+    spare = np.uint64(64) - np.minimum(length, 8).astype(np.uint64) * np.uint64(8)
+    outer = (eights[starts + 8] << spare) + (eights[ends] >> spare) * np.uint64(3) + length.astype(np.uint64)
+    if (outer != outer[firsts[codes]]).any():
+        held = data.tobytes()
+        codes, _ = pd.factorize(np.array([held[a:b] for a, b in zip(starts, ends)], object))
+        firsts = _firsts(codes)
+    return codes, firsts
+
+
+class Encoder:
+    """Ids of texts by way of their units, each of which is encoded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,62 +115,73 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        mark = self.encode(MARK)
-        self.mark = int(mark[0]) if len(mark) == 1 else None
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        plain = [w for w in words if MARK.encode() not in w and len(w) < 1000 and self.mark is not None]
+        self.powers = Powers()
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.frombuffer(array.array("i", e.ids), np.int32) for e in made]
+
+    def learn(self, some: list[bytes]) -> None:
+        """Encodes units: those of ASCII letters are one piece each, whose last id closes a word,
+        so many go as one text."""
+        plain = [u for u in some if u.isalpha()]
         for at in range(0, len(plain), TOGETHER):
-            some = plain[at : at + TOGETHER]
-            ids = self.encode(f" {MARK} ".join(w.decode() for w in some))
-            parts = np.split(ids, np.flatnonzero(ids == self.mark))
-            if len(parts) == len(some):
-                self.known[some[0]] = parts[0].tobytes()
-                self.known.update((w, p[1:].tobytes()) for w, p in zip(some[1:], parts[1:]))
-        for word in words:
-            if word not in self.known:
-                self.known[word] = self.encode(word.decode()).tobytes()
+            part = plain[at : at + TOGETHER]
+            (ids,) = self.ids([b" ".join(part).decode()])
+            closed = (np.flatnonzero(self.closing[ids]) + 1) * 4
+            if len(closed) == len(part):
+                raw, bounds = ids.tobytes(), [0, *closed.tolist()]
+                self.known.update((u, raw[a:b]) for u, a, b in zip(part, bounds, bounds[1:]))
+        rest = [u for u in some if u not in self.known]
+        self.known.update((u, ids.tobytes()) for u, ids in zip(rest, self.ids([u.decode() for u in rest])))
 
     def __call__(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; where each text begins, and the total)."""
-        split = [(t or "").encode().split() for t in texts]
-        counts = np.array([len(w) for w in split], np.int64)
-        flat = np.empty(counts.sum(), object)
-        flat[:] = [w for words in split for w in words]
-        codes, distinct = pd.factorize(flat)
-        missing = [w for w in distinct if w not in self.known]
-        if len(missing) < len(distinct) and len(self.known) + len(missing) > KNOWN:
+        raw = [(t or "").encode() for t in texts]
+        bytes_before = np.cumsum([len(r) + 1 for r in raw])
+        data, starts, ends = units(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8))
+        codes, firsts = numbered(data, starts, ends, self.powers)
+        held = data.tobytes()
+        distinct = [held[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist())]
+        if len(self.known) > KNOWN:
             self.known.clear()
-            missing = list(distinct)
-        self.learn(missing)
-        held = [self.known[w] for w in distinct]
-        lengths = np.array([len(h) // 4 for h in held], np.int64)
-        begins = np.cumsum(lengths) - lengths
-        store = np.frombuffer(b"".join(held), np.int32)
+        self.learn([u for u in distinct if u not in self.known])
+        ids_of = [self.known[u] for u in distinct]
+        lengths = np.array([len(i) // 4 for i in ids_of], np.int32)
+        begins = np.cumsum(lengths, dtype=np.int32) - lengths
+        store = np.frombuffer(b"".join(ids_of), np.int32)
 
         taken = lengths[codes]
-        after = np.cumsum(taken)
-        ids = store[np.repeat(begins[codes] - (after - taken), taken) + np.arange(taken.sum())]
-        ends = np.concatenate([[0], after])[np.cumsum(counts)]  # in ids, of each text
-        bounds = np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])
+        after = np.cumsum(taken, dtype=np.int32)
+        bounds = np.concatenate([[0], np.concatenate([[0], after])[np.searchsorted(starts, bytes_before)]])
+        bounds[1:] += np.arange(1, len(texts) + 1)  # the end ids
+        place = np.repeat(begins[codes] - (after - taken), taken)
+        place += np.arange(len(place), dtype=np.int32)
         out = np.full(bounds[-1], end, np.int32)
         inside = np.ones(len(out), bool)
         inside[bounds[1:] - 1] = False
-        out[inside] = ids
+        out[inside] = store[place]
         return out, bounds
 
 
+def kept_encoder(path: str) -> Encoder:
+    """One encoder per Python worker: it stays for the worker's next tasks, with what it knows."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_encoders", {})
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def _encoder(path: str, end: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = None
+        encoder = kept_encoder(path)
         for piece in pieces(batches, "text", PIECE):
-            words = words or Words(path)
-            ids, bounds = words(piece.column("text").to_pylist(), end)
+            ids, bounds = encoder(piece.column("text").to_pylist(), end)
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))],
                 names=["doc_id", "ids"],
