@@ -41,6 +41,9 @@ def _wishes(rows: DataFrame) -> DataFrame:
     held = rows.groupBy("__link", "shard").agg(F.count("*").alias("__held"))
     most = F.max_by("shard", F.struct("__held", -F.col("shard"))).alias("wish")
     aims = held.groupBy("__link").agg(most, F.sum("__held").alias("__all")).where("__all > 1").drop("__all")
+    # Stored, so that nothing but the join rests on the shuffle of the rows, and Spark may split
+    # the part of a hot link.
+    aims = stored(aims, "aims")
     return rows.join(aims, "__link").select("__row", "shard", "wish", "__link")
 
 
