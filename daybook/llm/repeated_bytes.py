@@ -3,8 +3,8 @@
 Documents are cut into super-k-mers of bytes, so that strings that can be equal meet in one
 bucket and only those travel on whose minimiser occurs again. In a bucket the texts of the
 pieces form shards. Each shard's suffixes are sorted and give its Burrows-Wheeler transform; the
-transforms are merged by refining how the shards interleave, two symbols a round: putting the
-rows in order of the symbols before them sorts them by a prefix two symbols longer (Holt and
+transforms are merged by refining how the shards interleave, eight symbols a round: putting the
+rows in order of the symbols before them sorts them by a prefix as much longer (Holt and
 McMillan, 2014). The round in which two neighbours part is their common prefix; rows never
 parted within 100 bytes are a repeated interval. No suffix is compared or sorted again.
 """
@@ -24,65 +24,96 @@ WINDOW = 100  # bytes
 GRAM = 16  # bytes
 PIECE = 2 << 20  # bytes of text a task works on at once
 SHARD = 1 << 20  # bytes sorted at once
-MERGE = 4 << 20  # bytes of shards merged at once, or one minimiser's
+MERGE = 2 << 20  # bytes of shards merged at once, or one minimiser's
 STOP = 255  # ends a text in a shard; no byte of UTF-8
-STEP = 2  # symbols a round
+STEP = 8  # symbols a round
 
 
-def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
-    """Places of `data`, read as a circle, in the order of `depth` or more bytes from there."""
-    n = len(data)
-    rank = np.zeros(n, np.uint64)
-    for i in range(7):
-        rank = (rank << np.uint64(8)) | np.roll(data, -i)
-    have = 7
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of `data`, read as a circle, as numbers in their order."""
+    made = np.zeros(len(data), np.uint64)
+    for i in range(8):
+        made = (made << np.uint64(8)) | np.roll(data, -i)
+    return made
+
+
+def levels(values: np.ndarray) -> np.ndarray:
+    """Values replaced by their place among the different ones."""
+    order = np.argsort(values)
+    ranked = values[order]
+    made = np.empty(len(values), np.uint64)
+    made[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]]))
+    return made
+
+
+def suffix_order(level: np.ndarray, depth: int) -> np.ndarray:
+    """Places in the order of `depth` or more bytes from there, of a circle that `levels` of
+    eight bytes stand for."""
+    n, have = len(level), STEP
+    most = np.uint64(int(level.max()) + 1)
     while True:
-        order = np.argsort(rank)
-        ranked = rank[order]
-        level = np.empty(n, np.uint64)
-        level[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if have >= depth or int(level[order[-1]]) == n - 1:
-            return order
-        rank = level * np.uint64(n) + np.roll(level, -have)
+        rank = level * most + np.roll(level, -have)
         have *= 2
+        if have >= depth:
+            return np.argsort(rank)
+        level, most = levels(rank), np.uint64(n)
 
 
 def merge(shards: list[np.ndarray], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(places, parted): the places of all shards, one after the other, in the order of `window`
     bytes, and for each the length by which it is told from the one before (0: not within
-    `window`; else a multiple of `STEP`, the common prefix being up to `STEP` shorter)."""
-    orders = [suffix_order(s, window) for s in shards]
-    before = [(s[o - 2].astype(np.uint16) << 8) | s[o - 1] for s, o in zip(shards, orders)]
-    which = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s) for s in shards])
-    parted = np.zeros(len(which), np.uint16)
-    block = np.zeros(len(which), np.int32)
-    symbols = np.empty(len(which), np.uint16)
-    for depth in range(STEP, window + STEP, STEP):
-        for s, transform in enumerate(before):
+    `window`; the common prefix is up to `STEP` shorter)."""
+    raw = [eights(s) for s in shards]
+    bounds = np.cumsum([0, *map(len, raw)])
+    level = levels(np.concatenate(raw))
+    parts = [level[a:b] for a, b in zip(bounds, bounds[1:])]
+    orders = [suffix_order(part, window) for part in parts]
+    # The transforms, of some symbols at once: those before each suffix, in the suffixes' order.
+    short = window % STEP
+    few = [r[o - short] >> np.uint64(64 - 8 * short) for r, o in zip(raw, orders)] if short else []
+    full = [part[o - STEP] for part, o in zip(parts, orders)]
+    total = int(bounds[-1])
+    which = np.repeat(np.arange(len(shards), dtype=np.uint8), np.diff(bounds))
+    parted = np.zeros(total, np.uint16)
+    block = np.zeros(total, np.int32)
+    symbols = np.empty(total, np.uint64)
+    row = np.arange(total, dtype=np.uint64)
+    depth = 0
+    for transforms in [few] * bool(short) + [full] * (window // STEP):
+        depth += short if transforms is few else STEP
+        for s, transform in enumerate(transforms):
             symbols[which == s] = transform
-        turn = np.argsort(symbols, kind="stable")
-        which, sorted_symbols, came = which[turn], symbols[turn], block[turn]
-        fresh = (sorted_symbols[1:] != sorted_symbols[:-1]) | (came[1:] != came[:-1])
+        # Rows by their symbols, equal ones as they were.
+        symbols <<= np.uint64(32)
+        symbols |= row
+        symbols.sort()
+        turn = (symbols & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        symbols >>= np.uint64(32)
+        which, came = which[turn], block[turn]
+        fresh = (symbols[1:] != symbols[:-1]) | (came[1:] != came[:-1])
         fresh &= parted[1:] == 0
         parted[1:][fresh] = depth
         np.cumsum(parted > 0, out=block)
-    places = np.empty(len(which), np.int64)
-    begin = 0
+    places = np.empty(total, np.int64)
     for s, order in enumerate(orders):
-        places[which == s] = begin + order
-        begin += len(order)
+        places[which == s] = bounds[s] + order
     return places, parted
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Hashes of the `GRAM` bytes from each place on."""
+    if len(data) < GRAM:
+        return np.zeros(0, np.uint64)
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    return S.mixed(words[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ S.mixed(words[8:]))
+
+
 def _cut(texts: list[bytes]) -> tuple[S.Runs, int]:
     held = b"".join(texts)
     data = np.frombuffer(held, np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     group = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    grams = np.zeros(0, np.uint64)
-    if len(data) >= GRAM:
-        eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-        grams = S.mixed(eights[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ S.mixed(eights[8:]))
+    grams = _grams(data)
     firsts, n, least = S.runs_of(grams, group, WINDOW, GRAM)
     cut = [held[a:b] for a, b in zip(firsts.tolist(), (firsts + n + WINDOW - 1).tolist())]
     doc = group[firsts]
@@ -141,24 +172,64 @@ def _merge_groups(wheres: list[Where], spans: S.Spans) -> None:
         begin += len(text) + 1
 
 
+def _first_gone(spans: S.Spans, text: bytes, stands: list[tuple[int, int]]) -> None:
+    """A string that shares no window with another: all its windows came first where it did."""
+    if len(stands) > 1:
+        first = min(stands)
+        for doc, at in stands:
+            if (doc, at) != first:
+                spans.add(doc, at, at + len(text))
+
+
+def _minimisers(texts: list[bytes], grams: list[int]) -> list[int]:
+    """The place of the minimiser in each text, the first gram with the hash."""
+    data = np.frombuffer(b"".join(texts) + bytes(GRAM), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    found = (_grams(data)[: sizes.sum()] >> np.uint64(32)).astype(np.uint32) == np.repeat(
+        np.array(grams, np.uint32), sizes
+    )
+    begins = np.cumsum(sizes) - sizes
+    hits = np.flatnonzero(found)
+    return (hits[np.searchsorted(hits, begins)] - begins).tolist()
+
+
+def _may_share(where: Where, places: list[int]) -> set[bytes]:
+    """Strings of a minimiser that may share a window with another one: they agree with it on
+    half of what a window has beside the minimiser, on the left or on the right."""
+    half = (WINDOW - GRAM) // 2
+    sides: dict[tuple[str, bytes], list[bytes]] = {}
+    for text, p in zip(where, places):
+        if p >= half:
+            sides.setdefault(("left", text[p - half : p]), []).append(text)
+        if len(text) - p - GRAM >= half:
+            sides.setdefault(("right", text[p + GRAM : p + GRAM + half]), []).append(text)
+    return {text for texts in sides.values() if len(texts) > 1 for text in texts}
+
+
 def _meet(packets, source, place, groups, spans: S.Spans) -> None:
-    held: list[Where] = []
-    size = 0
+    several: list[tuple[int, Where]] = []
     for group in groups:
         where: Where = {}
         for i in group:
             packet, p = packets[source[i]], place[i]
             where.setdefault(packet.text(p), []).append((int(packet.doc[p]), int(packet.at[p])))
         if len(where) == 1:
-            # One string: all its windows came first where it did.
             ((text, stands),) = where.items()
-            first = min(stands)
-            for doc, at in stands:
-                if (doc, at) != first:
-                    spans.add(doc, at, at + len(text))
-            continue
-        held.append(where)
-        size += sum(map(len, where))
+            _first_gone(spans, text, stands)
+        else:
+            several.append((int(packet.gram[p]), where))
+    texts = [text for _, where in several for text in where]
+    places = iter(_minimisers(texts, [gram for gram, where in several for _ in where]) if texts else [])
+    held: list[Where] = []
+    size = 0
+    for _, where in several:
+        able = _may_share(where, [next(places) for _ in where])
+        for text, stands in where.items():
+            if text not in able:
+                _first_gone(spans, text, stands)
+        if able:
+            held.append({text: stands for text, stands in where.items() if text in able})
+            size += sum(map(len, able))
         if size >= MERGE:
             _merge_groups(held, spans)
             held, size = [], 0

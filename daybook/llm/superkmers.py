@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from daybook.llm.frames import pieces, tasks
 
-BUCKETS = 2  # per task
+BUCKETS = 1  # per task
 SPANS = "doc_id bigint, begins array<bigint>, ends array<bigint>"
 PACKETS = "bucket int, payload binary, " + SPANS
 
