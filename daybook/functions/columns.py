@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 RETURNED = "returned"
-CENTS = "decimal(18,2)"
+EXACT = "decimal(28,10)"  # 18 whole digits and 10 more; sums have 10 whole digits in reserve
 
 
 def order_date(created_at: Column) -> Column:
@@ -19,8 +19,8 @@ def order_date(created_at: Column) -> Column:
 
 
 def price(sale_price: Column, money: str = "float32") -> Column:
-    """Sale price as 32-bit float (`float32`) or exact cents (`decimal`); bad text gives NULL."""
-    types = {"float32": "float", "decimal": CENTS}
+    """Sale price as 32-bit float (`float32`) or exact number (`decimal`); bad text gives NULL."""
+    types = {"float32": "float", "decimal": EXACT}
     if money not in types:
         raise ValueError(f"money must be one of {sorted(types)}, not {money!r}")
     return sale_price.try_cast(types[money])
@@ -68,12 +68,16 @@ def order_month(day: Column) -> Column:
 
 
 def writer_count(rows: Column) -> Column:
-    """Writers for a keyed store: one per 1,000 rows, at least 1, at most 10."""
+    """Writers that a small keyed store bears: one per 1,000 rows, at least 1, at most 10."""
     return F.greatest(F.lit(1), F.least(F.lit(10), F.floor(rows / 1000))).cast("int")
 
 
 def store_record(rows: DataFrame) -> DataFrame:
-    """Rows as a keyed store takes them: numbers as decimals, dates and times as ISO text."""
+    """Rows as a keyed store takes them: numbers as decimals, dates and times as ISO text.
+
+    No digit is cut: decimals stay as they are, and floating numbers keep the digits they are
+    written with (18 after the point, 20 before it; a greater number is NULL).
+    """
 
     def convert(field: T.StructField) -> Column:
         c = F.col(field.name)
@@ -81,12 +85,13 @@ def store_record(rows: DataFrame) -> DataFrame:
             return c
         if isinstance(field.dataType, T.IntegralType):
             return c.cast("decimal(28,0)").alias(field.name)
-        if isinstance(field.dataType, T.NumericType):
-            return c.cast("decimal(28,4)").alias(field.name)
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            return c.cast("string").try_cast("decimal(38,18)").alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.date_format(c, "yyyy-MM-dd").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(field.name)
+            seconds, fraction = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(c, ".SSSSSS")
+            return F.when(fraction == ".000000", seconds).otherwise(F.concat(seconds, fraction)).alias(field.name)
         return c
 
     return rows.select(*[convert(f) for f in rows.schema.fields])

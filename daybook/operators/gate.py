@@ -22,6 +22,7 @@ def completeness_gate(files: DataFrame, *by: str) -> DataFrame:
     counted = files.groupBy(*by).agg(
         *[F.count_if(F.col("dataset") == d).alias(f"{d}_files") for d in DATASETS]
     )
+    # Fixed values below: the names of the result's fields and the two messages.
     triggered = reduce(Column.__and__, [present(d) for d in DATASETS])
     return counted.select(
         *by,

@@ -1,8 +1,10 @@
 """The two daily tables.
 
-Both sum items before the order join: sums pass through the join unchanged (a repeated order
-row repeats the sums just as it would repeat the items), distinct orders do too, and a hot
-order reaches the shuffle as one row per map task instead of one row per item.
+Items are shuffled by order once. The day table sums them per order before the join: sums pass
+through it unchanged (a repeated order row repeats the sums just as it would repeat the items),
+and a hot order reaches the shuffle as one row per map task. The category table joins first and
+then sums per order where the rows already lie, so that nothing as long as the items is shuffled
+again; Spark splits the part of a hot order.
 """
 
 from __future__ import annotations
@@ -23,12 +25,16 @@ def _share(part: Column, whole: Column) -> Column:
     return F.round(part / whole, 4)
 
 
-def category_figures(sums: DataFrame) -> DataFrame:
+def category_figures(lines: DataFrame) -> DataFrame:
     """Category and day from rows of (category, order_date, order_id, sale_price, is_returned)."""
-    return sums.groupBy("category", "order_date").agg(
+    per_order = lines.groupBy("order_id", "order_date", "category").agg(
+        F.sum("sale_price").alias("sale_price"), F.sum("is_returned").alias("is_returned")
+    )
+    # A row per order, so rows count distinct orders.
+    return per_order.groupBy("category", "order_date").agg(
         _cents(F.sum("sale_price")).alias("daily_revenue"),
-        _cents(F.sum("sale_price") / _orders()).alias("avg_order_value"),
-        _share(F.sum("is_returned"), _orders()).alias("avg_return_rate"),
+        _cents(F.sum("sale_price") / F.count("*")).alias("avg_order_value"),
+        _share(F.sum("is_returned"), F.count("*")).alias("avg_return_rate"),
     )
 
 
@@ -54,15 +60,10 @@ def _sum_items(items: DataFrame, *by: str) -> DataFrame:
 def category_daily_kpis(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, average order value and returned items per order, by category and order day.
 
-    Takes prepared frames. Items meet products first, so what is shuffled to the orders is one
-    row per order and category.
+    Takes prepared frames. Products come first, as they are usually few and then need no shuffle.
     """
-    per_order = (
-        items.join(products, "product_id")
-        .groupBy("order_id", "category")
-        .agg(F.sum("sale_price").alias("sale_price"), F.sum("is_returned").alias("is_returned"))
-    )
-    return category_figures(per_order.join(orders.select("order_id", "order_date"), "order_id"))
+    lines = items.select("order_id", "product_id", "sale_price", "is_returned").join(products, "product_id")
+    return category_figures(lines.join(orders.select("order_id", "order_date"), "order_id"))
 
 
 def order_daily_kpis(items: DataFrame, orders: DataFrame, unique_orders: bool = False) -> DataFrame:
@@ -73,8 +74,11 @@ def order_daily_kpis(items: DataFrame, orders: DataFrame, unique_orders: bool =
     that two distinct counts need.
     """
     per_order = _sum_items(items, "order_id").join(orders, "order_id")
-    if not unique_orders:
-        return order_figures(per_order)
+    return figures_of_single_orders(per_order) if unique_orders else order_figures(per_order)
+
+
+def figures_of_single_orders(per_order: DataFrame) -> DataFrame:
+    """The day table from one row per order."""
     per_buyer = per_order.groupBy("order_date", "user_id").agg(
         F.count("*").alias("orders"),
         F.sum("sale_price").alias("sale_price"),
@@ -92,14 +96,10 @@ def order_daily_kpis(items: DataFrame, orders: DataFrame, unique_orders: bool =
 
 def category_kpis_of_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     """The category table from stored sales lines, which already carry their order's day."""
-    per_order = (
-        lines.join(products, "product_id")
-        .groupBy("category", "order_date", "order_id")
-        .agg(F.sum("sale_price").alias("sale_price"), F.sum("is_returned").alias("is_returned"))
-    )
-    return category_figures(per_order)
+    return category_figures(lines.join(products, "product_id"))
 
 
-def order_kpis_of_lines(lines: DataFrame) -> DataFrame:
-    """The day table from stored sales lines."""
-    return order_figures(_sum_items(lines, "order_date", "order_id", "user_id"))
+def order_kpis_of_lines(lines: DataFrame, unique_orders: bool = False) -> DataFrame:
+    """The day table from stored sales lines; see `order_daily_kpis` for `unique_orders`."""
+    per_order = _sum_items(lines, "order_date", "order_id", "user_id")
+    return figures_of_single_orders(per_order) if unique_orders else order_figures(per_order)

@@ -2,62 +2,64 @@
 
 from __future__ import annotations
 
+import sys
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from daybook.functions import columns as C
 
+# What runs in tasks is shipped whole, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+OUTCOME = {"successful": pa.int64(), "failed": pa.int64(), "skipped": pa.int64()}
+
+
+def taken(deliver: Callable[[list[dict]], bool], records: list[dict], pauses: Sequence[float]) -> bool:
+    """Whether the store took the records, at once or after one of the pauses. An error is a no."""
+    try:
+        return deliver(records) or any(time.sleep(pause) or deliver(records) for pause in pauses)
+    except Exception:
+        return False
+
 
 def put_rows(
     rows: DataFrame,
-    put: Callable[[list[dict]], None],
-    writers: int = 1,
+    deliver: Callable[[list[dict]], bool],
+    keys: Sequence[str],
+    writers: int | None = None,
     batch_size: int = 25,
-    retries: int = 3,
-    is_throttled: Callable[[Exception], bool] = lambda error: False,
-    pause: Callable[[float], None] = time.sleep,
+    pauses: Sequence[float] = (1, 2, 4),
 ) -> DataFrame:
-    """Hands `rows` to `put` in batches, `writers` tasks at a time; gives (successful, failed).
+    """Hands `rows` to `deliver` in batches; gives one row (successful, failed, skipped).
 
-    `put(records)` runs in the tasks. A batch refused with an error that `is_throttled` is tried
-    again after 1, 2, 4 ... seconds, `retries` times; any other error fails the batch. A task
-    that is run again puts its rows again, which a store that replaces by key does not notice.
-    Pass rows that are stored already, so that a retry does not compute them anew. The puts
-    happen when the result is read.
-    """
+    `deliver(records)` runs in the tasks and says whether the store took the records; False means
+    it was too busy, and the batch is offered again after each of the `pauses`. An error fails
+    the batch. Rows without a full key are skipped and counted. Of rows with one key in a batch
+    the last is delivered, and all of them count as successful.
 
-    def put_partition(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        successful = failed = 0
-        waiting: list[dict] = []
-
-        def flush(batch: list[dict]) -> None:
-            nonlocal successful, failed
-            for attempt in range(retries + 1):
-                try:
-                    put(batch)
-                    successful += len(batch)
-                    return
-                except Exception as error:
-                    if attempt == retries or not is_throttled(error):
-                        break
-                    pause(2**attempt)
-            failed += len(batch)
+    As many tasks write as hold the rows, or `writers`, for a store that bears no more. A task
+    that is run again delivers its rows again, which a store that replaces by key does not
+    notice. Pass rows that are stored already, so that a retry does not compute them anew. The
+    puts happen when the result is read.
+    """
 
+    def put_partition(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            waiting += frame.to_dict("records")
-            while len(waiting) >= batch_size:
-                flush(waiting[:batch_size])
-                waiting = waiting[batch_size:]
-        if waiting:
-            flush(waiting)
-        yield pd.DataFrame({"successful": [successful], "failed": [failed]})
-
-    return (
-        C.store_record(rows)
-        .repartition(writers)
-        .mapInPandas(put_partition, "successful bigint, failed bigint")
-        .agg(F.sum("successful").alias("successful"), F.sum("failed").alias("failed"))
+            count = dict.fromkeys(OUTCOME, 0)
+            keyed = [r for r in frame.to_pylist() if all(r[k] is not None for k in keys)]
+            count["skipped"] = frame.num_rows - len(keyed)
+            for batch in (keyed[at : at + batch_size] for at in range(0, len(keyed), batch_size)):
+                latest = {tuple(r[k] for k in keys): r for r in batch}
+                count["successful" if taken(deliver, list(latest.values()), pauses) else "failed"] += len(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in count.values()], names=list(count))
+
+    records = C.store_record(rows)
+    if writers is not None:
+        records = records.repartition(writers)
+    return records.mapInArrow(put_partition, ", ".join(f"{n} bigint" for n in OUTCOME)).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in OUTCOME]
     )

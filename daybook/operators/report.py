@@ -16,8 +16,8 @@ from daybook.functions import columns as C
 def archive_manifest(verdicts: DataFrame, run_id: Column, stamp: Column) -> DataFrame:
     """One row per file: where it belongs after the run, and whether it got there.
 
-    Passed files go to the run's archive folder, bad ones to quarantine. A listed file counts as
-    consumed; `unconsumed` leaves it out of the next run.
+    Passed files belong to the run's archive folder, bad ones, with their issues, to quarantine.
+    A file marked `moved` counts as consumed; `unconsumed` leaves it out of the next run.
     """
     passed = F.col("status") == "passed"
     return verdicts.select(
@@ -29,6 +29,7 @@ def archive_manifest(verdicts: DataFrame, run_id: Column, stamp: Column) -> Data
         .otherwise(C.quarantine_path(F.col("dataset"), F.col("key")))
         .alias("target_path"),
         "status",
+        "issues",
         (F.col("status") != "failed").alias("moved"),
     )
 
@@ -74,9 +75,8 @@ def write_facts(outcomes: dict[str, DataFrame]) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
         [
-            outcome.select(F.lit(name).alias("name"), F.col("written").alias("value")).unionByName(
-                outcome.select(F.lit("rejected").alias("name"), F.col("rejected").alias("value"))
-            )
+            # One plan per outcome: both counts come from the same row.
+            outcome.select(F.col("written").alias(name), "rejected").unpivot([], [name, "rejected"], "name", "value")
             for name, outcome in outcomes.items()
         ],
     )
@@ -102,6 +102,7 @@ def run_report(facts: DataFrame, run_id: str, folder: str) -> DataFrame:
         names = {"orders": "orders", "order_items": "orderItems", "products": "products"}
         return F.struct(*[_fact(prefix + d).alias(names[d]) for d in DATASETS])
 
+    # The names of the report's fields.
     archive = F.when(_fact("unmoved") == 0, "success").otherwise("partial_failure")
     written = {
         "recordsProcessed": _fact("categoryMetrics", "orderMetrics"),

@@ -15,17 +15,26 @@ def prepare_orders(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", "user_id", day.alias("order_date"))
 
 
-def prepare_items(items: DataFrame, money: str = "float32") -> DataFrame:
-    """Item columns under unambiguous names, with a typed price and the return flag."""
+def name_items(items: DataFrame) -> DataFrame:
+    """Item columns under unambiguous names, with the return flag and the price as it came."""
     return items.select(
         "order_id",
         F.col("id").alias("item_id"),
         "product_id",
-        C.price(F.col("sale_price"), money).alias("sale_price"),
+        "sale_price",
         C.is_returned(F.col("status")).alias("is_returned"),
     )
 
 
+def priced(items: DataFrame, money: str = "float32") -> DataFrame:
+    """The rows with a typed price."""
+    return items.withColumn("sale_price", C.price(F.col("sale_price"), money))
+
+
+def prepare_items(items: DataFrame, money: str = "float32") -> DataFrame:
+    return priced(name_items(items), money)
+
+
 def prepare_products(products: DataFrame) -> DataFrame:
     return products.select(F.col("id").alias("product_id"), "category")
 

@@ -8,7 +8,6 @@ from daybook import storage
 from daybook.functions import columns as C
 
 MONTH = "order_month"
-ROWS_PER_TASK = 2_000_000
 
 
 def last_by_key(rows: DataFrame, keys: list[str], order_by: str) -> DataFrame:
@@ -35,24 +34,14 @@ def write_outcome(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     )
 
 
-def _by_month(rows: DataFrame, months: int) -> DataFrame:
-    """Whole months to as many tasks as run at once, while all rows would fit one task; beyond
-    that Spark's rebalancing, which splits big months and joins small ones. The rows are stored,
-    so counting them reads file footers only."""
-    if rows.count() <= ROWS_PER_TASK:
-        at_once = rows.sparkSession.sparkContext.defaultParallelism
-        return rows.repartition(max(1, min(months, at_once)), MONTH)
-    return rows.hint("rebalance", MONTH)
-
-
 def upsert(
-    new: DataFrame, table: str, keys: list[str], work: str, scope: list[str] | None = None
+    new: DataFrame, table: str, keys: list[str], work: str, days: DataFrame | None = None
 ) -> dict[str, int]:
     """Puts `new` into the table at `table`: a row replaces the row of its key.
 
-    With `scope` (a subset of the keys) all old rows sharing a new row's scope give way, so that
-    figures computed anew for a day leave no row of that day behind. Rows with a NULL key are
-    counted and left out.
+    With `days` (order_date) all old rows of these days give way, so that figures computed anew
+    leave no row of such a day behind, also where the day has no figures left. Rows with a NULL
+    key are counted and left out.
 
     `new` is computed once, into `work`, a folder of this one write. Only the months it touches
     are read and written. The merged months are finished in `work` before the table is touched,
@@ -72,14 +61,28 @@ def upsert(
     outcome = write_outcome(fresh, keys, F.collect_set(MONTH).alias("months")).first().asDict()
     months = outcome.pop("months")
     rows = fresh.where(C.has_keys(*keys))
+    if days is not None:
+        days = days.where("order_date is not null").select("order_date").distinct()
+        touched = days.agg(F.collect_set(C.order_month(F.col("order_date")))).first()[0]
+        months = sorted({*months, *touched})
+    if not months and not storage.exists(spark, table):
+        # A table without rows still has its columns.
+        fresh.limit(0).drop(MONTH).write.parquet(f"{table}/{MONTH}=__HIVE_DEFAULT_PARTITION__")
+        return outcome
     if storage.exists(spark, table):
         old = spark.read.schema(schema).parquet(table).where(F.col(MONTH).isin(months))
-        rows = staged(merge_rows(old, rows, scope or keys), f"{work}/merged")
+        if days is not None:
+            old = old.join(days, "order_date", "left_anti").select(*rows.columns)
+        rows = staged(merge_rows(old, rows, keys), f"{work}/merged")
     (
-        _by_month(rows, len(months))
+        rows.hint("rebalance", MONTH)  # splits large months and joins small ones
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(table)
     )
+    if days is not None:
+        left = rows.agg(F.collect_set(MONTH)).first()[0]
+        for month in set(months) - set(left):
+            storage.delete(spark, f"{table}/{MONTH}={month}")
     return outcome

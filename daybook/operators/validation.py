@@ -56,6 +56,7 @@ def check_headers(files: DataFrame) -> DataFrame:
             ),
         }
     )
+    # The wording of the issues.
     unreadable = F.when(found.isNull(), F.lit("Could not read file headers"))
     lacking = F.when(F.size(missing) > 0, F.concat(F.lit("Missing mandatory fields: "), _listed(missing)))
     further = F.when(F.size(extra) > 0, F.concat(F.lit("Additional fields found: "), _listed(extra)))
@@ -128,6 +129,7 @@ def validation_status(rollup: DataFrame) -> DataFrame:
         F.min(F.when(single, F.col("passed"))).alias("usable_per_dataset"),
     )
     absent = F.size("missing_datasets") > 0
+    # The statuses and the wording of the messages.
     return whole.select(
         F.when(absent, "failure")
         .when(F.col("failed") > 0, "partial_success")

@@ -133,19 +133,19 @@ def _files(select: str, *more: str) -> str:
 
 MIXED_FOLDERS = """
 folders as (
-  select distinct 'orders' as dataset,
+  select 'orders' as dataset,
     case o_orderpriority when '1-URGENT' then 'urgent' when '2-HIGH' then 'high' when '3-MEDIUM' then 'medium'
       when '4-NOT SPECIFIED' then 'unspecified' else 'low' end as folder,
     case o_orderpriority when '1-URGENT' then 'order_id,user_id,created_at,status'
       when '2-HIGH' then 'user_id,order_id,created_at,status'
       when '3-MEDIUM' then 'note,status,created_at,user_id,order_id'
       when '4-NOT SPECIFIED' then 'order_id,user_id,created_at'
-      else '"order_id","user_id","created_at","status"' end as header_line
-  from orders
+      else '"order_id","user_id","created_at","status"' end as header_line, count(*) as rows
+  from orders group by all
   union all
-  select distinct 'order_items', 'all', 'id,order_id,product_id,sale_price,status' from lineitem
+  select 'order_items', 'all', 'id,order_id,product_id,sale_price,status', count(*) from lineitem group by all
   union all
-  select distinct 'products', 'all', 'id,sku,cost,category,retail_price' from part)"""
+  select 'products', 'all', 'id,sku,cost,category,retail_price', count(*) from part group by all)"""
 
 ARRIVALS = """
 arrivals as (
@@ -226,7 +226,7 @@ ORACLE: dict[str, str] = {
     "csv_union_by_name": """select o_orderkey as order_id, o_custkey as user_id,
         cast(o_orderdate as date) as order_date from orders where o_orderpriority <> '4-NOT SPECIFIED'""",
     "file_inventory": _with(
-        MIXED_FOLDERS, select="select dataset, folder, true as has_files, true as has_bytes from folders"
+        MIXED_FOLDERS, select="select dataset, folder, true as has_files, true as has_bytes, rows from folders"
     ),
     "base_prefix": _with(
         CATALOGUE,
@@ -301,15 +301,15 @@ from per_day""",
     "sink_key_filter": _category("select * from category_days where category is not null", GAPS),
     "sink_rows": _category(
         """select category, strftime(order_date, '%Y-%m-%d') as order_date,
-        cast(daily_revenue as decimal(28,4)) as daily_revenue,
-        cast(avg_order_value as decimal(28,4)) as avg_order_value,
-        cast(avg_return_rate as decimal(28,4)) as avg_return_rate from category_days"""
+        cast(cast(daily_revenue as varchar) as decimal(38,18)) as daily_revenue,
+        cast(cast(avg_order_value as varchar) as decimal(38,18)) as avg_order_value,
+        cast(cast(avg_return_rate as varchar) as decimal(38,18)) as avg_return_rate from category_days"""
     ),
     "sink_rows_orders": _days(
         """select strftime(order_date, '%Y-%m-%d') as order_date,
-        cast(total_orders as decimal(28,0)) as total_orders, cast(total_revenue as decimal(28,4)) as total_revenue,
+        cast(total_orders as decimal(28,0)) as total_orders, cast(cast(total_revenue as varchar) as decimal(38,18)) as total_revenue,
         cast(total_items_sold as decimal(28,0)) as total_items_sold,
-        cast(return_rate as decimal(28,4)) as return_rate,
+        cast(cast(return_rate as varchar) as decimal(38,18)) as return_rate,
         cast(unique_customers as decimal(28,0)) as unique_customers from days"""
     ),
     "archive_paths": """select o_orderkey as order_id, 'processed/run-1/' || strftime(o_orderdate, '%Y%m%d_%H%M%S')
@@ -381,12 +381,18 @@ where place = 1""",
         cast(greatest(1, least(10, source_rows // 1000)) as integer) as writers from counts""",
     ),
     "write_outcome": _category(OUTCOME, GAPS),
-    "keyed_put": _category("select count(*) as successful, cast(0 as bigint) as failed from category_days"),
+    "keyed_put": _category(
+        """select category, strftime(order_date, '%Y-%m-%d') as order_date,
+        cast(cast(daily_revenue as varchar) as decimal(38,18)) as daily_revenue,
+        cast(cast(avg_order_value as varchar) as decimal(38,18)) as avg_order_value,
+        cast(cast(avg_return_rate as varchar) as decimal(38,18)) as avg_return_rate,
+        count(*) over () as successful, cast(0 as bigint) as failed from category_days"""
+    ),
     "archive_manifest": _files(
         """select dataset, key,
        case when status = 'passed' then 'processed/run-1/20260102_030405/' || key
             else 'quarantine/' || dataset || '/' || regexp_extract(key, '[^/]*$') end as target_path,
-       status, status <> 'failed' as moved
+       status, issues, status <> 'failed' as moved
 from verdicts""",
         VERDICTS,
     ),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook import settings, storage
+from daybook import storage
 from daybook.datasets import CATEGORY_TABLE, ORDER_TABLE, TABLE_KEYS
 from daybook.functions import columns as C
 from daybook.operators import counts, gate, kpis, put, report, sales, upsert, validation
@@ -27,7 +27,6 @@ def query(function: Query) -> Query:
 
 
 def _prepared(spark, sf_dir, money="float32"):
-    settings.skew_safe(spark)
     data = testdata.datasets(spark, sf_dir)
     return (
         sales.prepare_items(data["order_items"], money),
@@ -68,13 +67,20 @@ def csv_union_by_name(spark, sf_dir):
     return sales.prepare_orders(csvdata.read_by_name(spark, checked, "orders"))
 
 
+def _rows_per_file(spark, inventory):
+    """The files of an inventory with the data rows each holds, so that a missed file shows."""
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    folders = [files.literal_path(r[0]) for r in inventory.select(folder).distinct().collect()]
+    lines = spark.read.text(folders).groupBy(files.plain_path(F.col("_metadata.file_path")).alias("path"))
+    return inventory.join(lines.agg((F.count("*") - 1).alias("rows")), "path")
+
+
 @query
 def file_inventory(spark, sf_dir):
     return (
-        _mixed(spark, sf_dir, "file_inventory")
-        .where(C.is_csv(F.col("key")))
+        _rows_per_file(spark, _mixed(spark, sf_dir, "file_inventory").where(C.is_csv(F.col("key"))))
         .groupBy("dataset", _folder(F.col("key")).alias("folder"))
-        .agg((F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"))
+        .agg((F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"), F.sum("rows").alias("rows"))
     )
 
 
@@ -102,16 +108,20 @@ def non_empty_guard(spark, sf_dir):
 # --- validation ------------------------------------------------------------------------------
 
 
+def _heads(spark, sf_dir, name, ranged):
+    """Header lines, each with the rows of all files that have it."""
+    heads = _rows_per_file(spark, files.headers(spark, _mixed(spark, sf_dir, name), ranged))
+    return heads.groupBy("dataset", _folder(F.col("key")).alias("folder"), "header_line").agg(F.sum("rows").alias("rows"))
+
+
 @query
 def file_headers(spark, sf_dir):
-    heads = files.headers(spark, _mixed(spark, sf_dir, "file_headers"))
-    return heads.select("dataset", _folder(F.col("key")).alias("folder"), "header_line").distinct()
+    return _heads(spark, sf_dir, "file_headers", True)
 
 
 @query
 def file_headers_scanned(spark, sf_dir):
-    heads = files.headers(spark, _mixed(spark, sf_dir, "file_headers_scanned"), ranged=False)
-    return heads.select("dataset", _folder(F.col("key")).alias("folder"), "header_line").distinct()
+    return _heads(spark, sf_dir, "file_headers_scanned", False)
 
 
 def _checked(spark, sf_dir):
@@ -163,7 +173,7 @@ def quarantine_split(spark, sf_dir):
     target = storage.scratch(spark, "quarantine")
     inventory = _mixed(spark, sf_dir, "quarantine_split")
     checked = validation.check_headers(files.headers(spark, inventory))
-    daily_run.quarantine(spark, checked, target)
+    daily_run.quarantined(spark, checked.withColumn("gone", F.lit(False)), target)
     good = csvdata.read_by_name(spark, checked.where("is_valid and dataset = 'orders'"), "orders")
     bad = spark.read.parquet(target).where(F.col("dataset") == "orders")
     aside = bad.select(F.split("line", ",")[0].try_cast("bigint").alias("order_id")).where("order_id is not null")
@@ -391,7 +401,21 @@ def write_outcome(spark, sf_dir):
 
 @query
 def keyed_put(spark, sf_dir):
-    return put.put_rows(category_daily_kpis(spark, sf_dir), lambda records: None, writers=4)
+    """The category table put into a store that keeps a file per batch, and read back from it."""
+    root = storage.scratch(spark, "keyed_put")
+    category_daily_kpis(spark, sf_dir).write.parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
+    keys = TABLE_KEYS[CATEGORY_TABLE]
+    writers = rows.agg(C.writer_count(F.count("*"))).first()[0]
+    outcome = put.put_rows(rows, drops.file_store(spark, f"{root}/store"), keys, writers).first()
+    stored = C.store_record(rows).schema
+    text = ", ".join(f"`{c}` string" for c in stored.names)
+    back = spark.read.schema(text).json(f"{root}/store")
+    return back.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields],
+        F.lit(outcome.successful).cast("bigint").alias("successful"),
+        F.lit(outcome.failed).cast("bigint").alias("failed"),
+    )
 
 
 # --- archive and report ----------------------------------------------------------------------
@@ -401,7 +425,9 @@ def keyed_put(spark, sf_dir):
 def archive_manifest(spark, sf_dir):
     stamp = F.lit(STAMP).cast("timestamp_ntz")
     manifest = report.archive_manifest(_verdicts(spark, sf_dir), F.lit(RUN_ID), stamp)
-    return manifest.select("dataset", "key", "target_path", "status", "moved")
+    return manifest.select(
+        "dataset", "key", "target_path", "status", F.array_join("issues", "; ").alias("issues"), "moved"
+    )
 
 
 @query

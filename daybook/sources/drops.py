@@ -6,13 +6,22 @@ files with every row of the tables.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import sys
+from collections.abc import Callable
 from functools import reduce
 
+from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from daybook import storage
 from daybook.sources import testdata
 from daybook.sources.csvdata import write_drop
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Header lines by the attribute that tells the files of a dataset apart.
 ORDER_HEADERS = {
     "1-URGENT": "order_id,user_id,created_at,status",
@@ -157,3 +166,19 @@ def write_plain_drop(spark: SparkSession, sf_dir: str, base: str, *datasets: str
         if not datasets or name in datasets:
             write_drop(frame, f"{base}/{name}/all")
     return base
+
+
+def file_store(spark: SparkSession, folder: str) -> Callable[[list[dict]], bool]:
+    """A keyed store for `put_rows`: a file of JSON lines per batch, named by what it holds, so
+    that a batch put again replaces itself."""
+    root = storage.qualified(spark, folder)
+
+    def deliver(records: list[dict]) -> bool:
+        lines = "".join(json.dumps(r, default=str, sort_keys=True) + "\n" for r in records).encode()
+        system, path = fs.FileSystem.from_uri(root)
+        system.create_dir(path)
+        with system.open_output_stream(f"{path}/{hashlib.sha1(lines).hexdigest()}.json") as out:
+            out.write(lines)
+        return True
+
+    return deliver

@@ -14,10 +14,6 @@ from daybook.datasets import DATASETS
 CSV_GLOB = "*.[cC][sS][vV]"
 FILE_SCHEMA = "dataset string, key string, path string, length bigint, modification_time timestamp"
 
-# Schemes the ranged header read can open from a task; other stores are read with Spark's own
-# text scan.
-RANGED_SCHEMES = ("file", "s3", "s3a", "gs")
-
 
 def one_slash(path: Column) -> Column:
     """file:///a and file:/a are the same file; keep the short form."""
@@ -31,7 +27,7 @@ def plain_path(uri: Column) -> Column:
 
 def key_of(path: Column, base: str) -> Column:
     """The path below the base; its first folder names the dataset."""
-    return F.substring(path, len(base) + 2, 1 << 30)
+    return F.replace(path, F.lit(base + "/"), F.lit(""))
 
 
 def inventory(spark: SparkSession, base: str) -> DataFrame:
@@ -73,7 +69,7 @@ def inventory(spark: SparkSession, base: str) -> DataFrame:
 def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The task side of the ranged read; built inside one function, so that Spark ships it whole
     and workers need not have this package."""
-    from urllib.parse import quote
+    from urllib.parse import quote, unquote
 
     from pyarrow import fs
 
@@ -81,23 +77,24 @@ def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
         scheme, _, rest = path.partition(":")
         if scheme == "file":
             return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
-        if scheme == "s3a":
-            path = "s3:" + rest
-        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
-        return system.open_input_stream(inner)
+        path = {"s3a": "s3", "abfss": "abfs"}.get(scheme, scheme) + ":" + rest
+        # Buckets, containers and hosts are taken as they are; the key is quoted.
+        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+        return system.open_input_stream(unquote(inner) if "%" in inner else inner)
 
     def first_line(path: str) -> str | None:
-        """Text up to the first line break; None where there is no readable line."""
+        """Text up to the first line feed; None where there is none that reads as UTF-8. A file
+        that has gone has no header either; other errors of the store fail the task."""
+        blocks = []
         try:
             with open_stream(path) as stream:
-                head = b""
-                while b"\n" not in head:
-                    block = stream.read(4096)
-                    if not block:
+                while block := stream.read(4096):
+                    line, feed, _ = block.partition(b"\n")
+                    blocks.append(line)
+                    if feed:
                         break
-                    head += block
-            return head.split(b"\n", 1)[0].decode("utf-8").strip() or None
-        except (OSError, UnicodeDecodeError):
+            return b"".join(blocks).decode("utf-8").strip() or None
+        except (FileNotFoundError, UnicodeDecodeError):
             return None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,10 +113,11 @@ def headers(
 ) -> DataFrame:
     """`files` with the first line of each.
 
-    `ranged` opens each file in a task and stops at the first line break, a few KB per file:
-    no Spark source can leave a file early. The number of tasks follows the `number` of files
-    (counted if not given), as the names alone are too small for Spark to spread them. Otherwise
-    Spark's text source reads the files whole.
+    `ranged` opens each file in a task and stops at the first line feed, a few KB per file: no
+    Spark source can leave a file early. It goes through `pyarrow` (local, S3, GCS, HDFS and
+    Azure paths). The number of tasks follows the `number` of files (counted if not given), as
+    the names alone are too small for Spark to spread them. For a store that only Spark reads,
+    ask for `ranged=False`: its text source gives the same lines, but reads the files whole.
     """
     if ranged:
         tasks = -(-(files.count() if number is None else number) // files_per_task)
@@ -130,7 +128,8 @@ def headers(
     if not paths:
         return files.withColumn("header_line", F.lit(None).cast("string"))
     lines = (
-        spark.read.text([literal_path(p) for p in paths])
+        spark.read.option("lineSep", "\n")
+        .text([literal_path(p) for p in paths])
         .select(
             plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -139,8 +138,10 @@ def headers(
         )
         .where("block = 0")
         .groupBy("path")
-        .agg(F.nullif(F.trim(F.min_by("value", "position")), F.lit("")).alias("header_line"))
+        .agg(F.min_by("value", "position").alias("value"))
     )
+    trimmed = F.regexp_replace("value", r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    lines = lines.select("path", F.when(F.is_valid_utf8("value"), F.nullif(trimmed, F.lit(""))).alias("header_line"))
     return files.join(lines, "path", "left").select(*files.columns, "header_line")
 
 

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from daybook.operators import gate
 from daybook.sources import files
 
@@ -51,6 +53,9 @@ def test_headers_both_ways(spark, drop):
     drop.put("orders/blank.csv", "\n\na,b\n")
     drop.put("orders/spaces.csv", "   \na,b\n")
     drop.put("orders/empty.csv", "")
+    drop.put("orders/cr.csv", "a,b\r1,2\r")
+    with open(f"{drop.base}/orders/bad.csv", "wb") as out:
+        out.write(b"a,\xff\xfe\n1\n")
     drop.put("orders/long.csv", ",".join(f"column_{i}" for i in range(2000)) + "\n1\n")
     inventory = files.inventory(spark, drop.base)
     want = {
@@ -60,6 +65,8 @@ def test_headers_both_ways(spark, drop):
         "orders/blank.csv": None,
         "orders/spaces.csv": None,
         "orders/empty.csv": None,
+        "orders/cr.csv": "a,b\r1,2",
+        "orders/bad.csv": None,
         "orders/long.csv": ",".join(f"column_{i}" for i in range(2000)),
     }
     for ranged in (True, False):
@@ -73,3 +80,25 @@ def test_unreadable_text_has_no_header(spark, drop, tmp_path):
         out.write(b"order_id,\xff\xfe\n1\n")
     got = {r.key: r.header_line for r in files.headers(spark, files.inventory(spark, drop.base)).collect()}
     assert got == {"orders/x.csv": "a", "orders/bad.csv": None}
+
+
+def test_long_first_lines_are_read_in_linear_time(spark, drop):
+    import time
+
+    drop.put("orders/one.csv", "x" * 16_000_000)
+    inventory = files.inventory(spark, drop.base)
+    began = time.time()
+    assert files.headers(spark, inventory).selectExpr("length(header_line) as n").first().n == 16_000_000
+    assert time.time() - began < 10
+
+
+def test_errors_of_the_store_are_no_verdict(spark, drop):
+    import pytest
+
+    drop.put("orders/x.csv", "a\n")
+    inventory = files.inventory(spark, drop.base)
+    folder = inventory.withColumn("path", F.regexp_replace("path", "/[^/]*$", ""))
+    with pytest.raises(Exception, match="directory"):
+        files.headers(spark, folder).collect()
+    gone = inventory.withColumn("path", F.concat("path", F.lit(".gone")))
+    assert files.headers(spark, gone).first().header_line is None

@@ -209,6 +209,20 @@ def test_hot_order_is_summed_before_the_join(spark, sf_dir):
     assert text.count("Exchange hashpartitioning(order_id") == 2
 
 
+def test_category_table_shuffles_items_by_order_once(spark, sf_dir):
+    from daybook.plans import queries
+
+    text = plan(queries.QUERIES["category_daily_kpis"](spark, sf_dir))
+    assert "BroadcastHashJoin" in text  # products
+    assert text.count("Exchange hashpartitioning(order_id") <= 2  # items and orders
+    with configured(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(queries.QUERIES["category_daily_kpis"](spark, sf_dir))
+    assert text.count("Exchange hashpartitioning(order_id") == 2
+    # Products, then orders, then one row per order and category at most for the table.
+    assert text.count("Exchange hashpartitioning(product_id") == 2
+    assert text.count("Exchange hashpartitioning(category") == 1
+
+
 def test_hot_repeated_order_is_split(spark):
     """A third of the order rows are one order; its shuffle partition is read by several tasks."""
     from daybook import settings

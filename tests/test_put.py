@@ -5,89 +5,96 @@ from decimal import Decimal
 
 import pytest
 
+from daybook.functions import columns as C
 from daybook.operators import put
 
 
 @pytest.fixture
 def rows(spark):
-    return spark.range(60).selectExpr("id", "cast(id as double) / 4 as v", "date'2025-01-02' as order_date")
+    return spark.range(0, 60, 1, 1).selectExpr("id", "cast(id as double) / 4 as v", "date'2025-01-02' as order_date")
 
 
-def recorder(folder, fail=None):
-    """Puts that leave a file per batch, and fail where told."""
+def recorder(folder, busy=0, broken=None):
+    """A store that leaves a file per offer and per batch; too busy for the first `busy` offers."""
     folder = str(folder)
 
-    def write(records):
-        attempts = os.path.join(folder, "attempt-" + uuid.uuid4().hex)
-        open(attempts, "w").close()
-        if fail:
-            fail(records, folder)
+    def deliver(records):
+        offers = len([f for f in os.listdir(folder) if f.startswith("offer-")])
+        open(os.path.join(folder, "offer-" + uuid.uuid4().hex), "w").close()
+        if broken is not None and any(r["id"] == broken for r in records):
+            raise RuntimeError("no")
+        if offers < busy:
+            return False
         with open(os.path.join(folder, "batch-" + uuid.uuid4().hex), "w") as out:
             out.write(repr(records))
+        return True
 
-    return write
+    return deliver
 
 
 def batches(folder):
-    return [
-        eval(open(os.path.join(folder, f)).read(), {"Decimal": Decimal})
-        for f in os.listdir(folder)
-        if f.startswith("batch-")
-    ]
+    read = lambda f: open(os.path.join(folder, f)).read()
+    return [eval(read(f), {"Decimal": Decimal}) for f in os.listdir(folder) if f.startswith("batch-")]
 
 
-def attempts(folder):
-    return len([f for f in os.listdir(folder) if f.startswith("attempt-")])
+def offers(folder):
+    return len([f for f in os.listdir(folder) if f.startswith("offer-")])
 
 
 def test_batches_of_25(rows, tmp_path):
-    got = put.put_rows(rows, recorder(tmp_path), writers=1).first()
-    assert tuple(got) == (60, 0)
+    assert tuple(put.put_rows(rows, recorder(tmp_path), ["id"]).first()) == (60, 0, 0)
     written = batches(tmp_path)
     assert sorted(len(b) for b in written) == [10, 25, 25]
     records = sorted((r for b in written for r in b), key=lambda r: r["id"])
-    assert records[1] == {"id": Decimal(1), "v": Decimal("0.2500"), "order_date": "2025-01-02"}
+    assert records[1] == {"id": Decimal(1), "v": Decimal("0.25"), "order_date": "2025-01-02"}
 
 
 def test_several_writers(rows, tmp_path):
-    assert tuple(put.put_rows(rows, recorder(tmp_path), writers=3).first()) == (60, 0)
+    assert tuple(put.put_rows(rows, recorder(tmp_path), ["id"], writers=3).first()) == (60, 0, 0)
     assert sum(len(b) for b in batches(tmp_path)) == 60
 
 
-def test_throttled_batches_are_tried_again(rows, tmp_path):
-    def busy_twice(records, folder):
-        if len([f for f in os.listdir(folder) if f.startswith("attempt-")]) <= 2:
-            raise RuntimeError("slow down")
+def test_a_busy_store_is_asked_again(rows, tmp_path):
+    got = put.put_rows(rows, recorder(tmp_path, busy=2), ["id"], pauses=(0, 0, 0)).first()
+    assert tuple(got) == (60, 0, 0)
+    assert offers(tmp_path) == 3 + 2
 
-    pauses = str(tmp_path / "pauses")
 
-    def pause(seconds):
-        with open(pauses, "a") as out:
-            out.write(f"{seconds} ")
+def test_asking_ends_after_the_pauses(rows, tmp_path):
+    got = put.put_rows(rows, recorder(tmp_path, busy=10**6), ["id"], pauses=(0, 0, 0)).first()
+    assert tuple(got) == (0, 60, 0)
+    assert offers(tmp_path) == 3 * 4
 
-    got = put.put_rows(
-        rows, recorder(tmp_path, busy_twice), is_throttled=lambda e: "slow" in str(e), pause=pause
-    ).first()
-    assert tuple(got) == (60, 0)
-    assert open(pauses).read() == "1 2 "
 
+def test_errors_fail_their_batch(rows, tmp_path):
+    got = put.put_rows(rows, recorder(tmp_path, broken=0), ["id"], pauses=(0,)).first()
+    assert tuple(got) == (35, 25, 0)
+    assert offers(tmp_path) == 3
 
-def test_other_errors_fail_their_batch(rows, tmp_path):
-    def refuse_first(records, folder):
-        if any(r["id"] == 0 for r in records):
-            raise RuntimeError("no")
 
-    got = put.put_rows(rows, recorder(tmp_path, refuse_first), is_throttled=lambda e: False).first()
-    assert got.failed in (10, 25) and got.successful == 60 - got.failed
-    assert attempts(tmp_path) == 3
+def test_rows_without_key_and_repeated_keys(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (1, "c"), (2, None)], "id int, v string").coalesce(1)
+    assert tuple(put.put_rows(rows, recorder(tmp_path), ["id"]).first()) == (3, 0, 1)
+    (written,) = batches(tmp_path)
+    assert written == [{"id": Decimal(1), "v": "c"}, {"id": Decimal(2), "v": None}]
+
+
+def test_no_rows(rows, tmp_path):
+    assert tuple(put.put_rows(rows.limit(0), recorder(tmp_path), ["id"]).first()) == (0, 0, 0)
+
 
+def test_records_keep_every_digit(spark):
+    rows = spark.sql(
+        "select 0.123456D as a, cast(1.123456 as decimal(20,6)) as b, 5L as c, cast(0.1 as float) as d, "
+        "timestamp'2025-01-02 03:04:05.000007' as e, timestamp'2025-01-02 03:04:05' as f, date'2025-01-02' as g"
+    )
+    got = C.store_record(rows).first()
+    assert (got.a, got.b, got.c, got.d) == (Decimal("0.123456"), Decimal("1.123456"), Decimal(5), Decimal("0.1"))
+    assert (got.e, got.f, got.g) == ("2025-01-02T03:04:05.000007", "2025-01-02T03:04:05", "2025-01-02")
+    assert dt.datetime.fromisoformat(got.e).microsecond == 7
 
-def test_throttling_ends_after_the_retries(rows, tmp_path):
-    def busy(records, folder):
-        raise RuntimeError("slow down")
 
-    got = put.put_rows(
-        rows, recorder(tmp_path, busy), is_throttled=lambda e: True, pause=lambda s: None
-    ).first()
-    assert tuple(got) == (0, 60)
-    assert attempts(tmp_path) == 3 * 4
+def test_exact_prices(spark):
+    rows = spark.createDataFrame([("19.999",), ("123456789012345678.25",), ("x",)], "p string")
+    got = [r[0] for r in rows.select(C.price(rows.p, "decimal")).collect()]
+    assert got == [Decimal("19.999"), Decimal("123456789012345678.25"), None]

@@ -2,11 +2,11 @@ from pyspark.sql import functions as F
 
 from daybook.operators import report
 
-FILE = "dataset string, key string, path string, modification_time timestamp, status string"
+FILE = "dataset string, key string, path string, modification_time timestamp, status string, issues array<string>"
 
 
 def verdicts(spark, statuses):
-    rows = [("orders", f"orders/{i}.csv", f"/in/orders/{i}.csv", None, s) for i, s in enumerate(statuses)]
+    rows = [("orders", f"orders/{i}.csv", f"/in/orders/{i}.csv", None, s, []) for i, s in enumerate(statuses)]
     return spark.createDataFrame(rows, FILE)
 
 

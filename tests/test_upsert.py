@@ -37,8 +37,9 @@ def test_upsert(spark, tmp_path):
     assert content(spark, root) == want
 
     # By day: the day's other rows go.
-    put(spark, [("A", d(1), 7.0)], root, 3, scope=["order_date"])
-    assert content(spark, root) == [("A", d(1), 7.0), ("A", d(1, 2), 3.0), ("C", d(9), 6.0)]
+    days = spark.createDataFrame([(d(1),), (d(1, 2),)], "order_date date")
+    put(spark, [("A", d(1), 7.0)], root, 3, days=days)
+    assert content(spark, root) == [("A", d(1), 7.0), ("C", d(9), 6.0)]
 
 
 def test_broken_move_can_be_repeated(spark, tmp_path):
@@ -64,10 +65,26 @@ def test_scratch_uses_the_shared_folder(spark):
     assert a.startswith(shared + "/x-") and a != b
 
 
-def test_many_rows_are_rebalanced(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(U, "ROWS_PER_TASK", 1)
+def test_first_write_without_rows_keeps_the_columns(spark, tmp_path):
     root = str(tmp_path)
-    rows = [("A", d(1), 1.0), ("B", d(2, 3), 2.0), ("C", d(2), 3.0)]
-    put(spark, rows, root, 0)
+    assert put(spark, [], root, 0) == {"written": 0, "rejected": 0}
+    assert content(spark, root) == []
     put(spark, [("A", d(1), 4.0)], root, 1)
-    assert content(spark, root) == [("A", d(1), 4.0), ("B", d(2, 3), 2.0), ("C", d(2), 3.0)]
+    assert content(spark, root) == [("A", d(1), 4.0)]
+
+
+def test_scratch_asks_for_a_shared_folder(spark, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    import pytest
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.scratch(Session(), "x")
