@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook import settings as session, storage
@@ -25,17 +29,34 @@ class RunFailed(RuntimeError):
     """The run stopped for a reason that lies in the files; its report row says which."""
 
 
+class RunInProgress(RuntimeError):
+    """Another run has begun on the same tables at the same time."""
+
+
+class SettingsConflict(ValueError):
+    """The tables were begun with other types."""
+
+
+MODES = ("replace", "recompute")
+MONEY = ("float32", "decimal")
+
+
 @dataclass(frozen=True)
 class Settings:
     """How a run computes and writes.
 
     mode: `replace` puts the figures of this run's files over the old rows of the same keys;
-    `recompute` works out the affected days anew from everything delivered so far.
-    key_type: `string` where order, item, product or user ids are not whole numbers.
+    `recompute` works out the affected days anew from everything delivered so far, by runs of
+    either mode.
+    money and key_type: types of the tables; they stay what they were in the first run. key_type
+    is `string` where order, item, product or user ids are not whole numbers.
     unique_orders: states that no order key repeats, for a cheaper plan.
-    drop_repeats: keeps one row per order and per product of a run; else each copy counts.
+    drop_repeats: keeps one row per order and per product of a run; else each copy counts. A
+    recompute run always counts an order or a product once.
     require_all: every dataset must have usable files and rows. Without it (recompute only) a
     run may bring, say, only late items.
+    ranged: header lines are read by opening each file in a task; False where only Spark can
+    read the store.
     """
 
     mode: str = "replace"
@@ -44,6 +65,37 @@ class Settings:
     unique_orders: bool = False
     drop_repeats: bool = False
     require_all: bool = True
+    ranged: bool = True
+
+    def __post_init__(self):
+        if self.mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}, not {self.mode!r}")
+        if self.money not in MONEY:
+            raise ValueError(f"money must be one of {MONEY}, not {self.money!r}")
+        if self.mode == "replace" and not self.require_all:
+            raise ValueError("only recompute runs may go without a dataset")
+
+    def types(self) -> dict[str, str]:
+        return {"money": self.money, "key_type": self.key_type}
+
+
+@dataclass(frozen=True)
+class Claim:
+    """What a run was begun with; whoever finishes it goes by this."""
+
+    base: str
+    run_id: str
+    stamp: str
+    checked: str
+    settings: Settings
+
+    def text(self) -> str:
+        return json.dumps(asdict(self))
+
+    @classmethod
+    def of(cls, text: str) -> Claim:
+        held = json.loads(text)
+        return cls(**{**held, "settings": Settings(**held["settings"])})
 
 
 class Tables:
@@ -70,6 +122,22 @@ class Tables:
         manifest = self.read("manifest")
         return files if manifest is None else report.unconsumed(files, manifest)
 
+    def keep_types(self, settings: Settings) -> None:
+        """Records the types at the first run, and holds later ones to them."""
+        path, wanted = f"{self.root}/types.json", settings.types()
+        if storage.create_new(self.spark, path, json.dumps(wanted)):
+            return
+        held = json.loads(storage.read_text(self.spark, path))
+        if held != wanted:
+            raise SettingsConflict(f"the tables below {self.root} have {held}, the run asks for {wanted}")
+
+    def claim_path(self, seq: int) -> str:
+        return f"{self.root}/runs/{seq}.json"
+
+    def open_claim(self, seq: int) -> Claim | None:
+        path = self.claim_path(seq)
+        return Claim.of(storage.read_text(self.spark, path)) if storage.exists(self.spark, path) else None
+
 
 def run(
     spark: SparkSession,
@@ -82,28 +150,26 @@ def run(
     """Runs over the files below `base` that no earlier run consumed; gives the report row.
 
     Gives None, and changes nothing, while a dataset has no new file (with `require_all`) or
-    none has.
+    none has. A run that broke off is finished first.
     """
     tables = Tables(spark, tables_root)
-    finished = finish_open_run(spark, base, tables, run_id, settings, stamp)
+    finished = finish_open_run(spark, tables)
     files = tables.unconsumed(arrived.inventory(spark, base))
     row = run_files(spark, base, files, tables, run_id, settings, stamp)
     return finished if row is None else row
 
 
-def finish_open_run(
-    spark: SparkSession,
-    base: str,
-    tables: Tables,
-    run_id: str,
-    settings: Settings = Settings(),
-    stamp: datetime | None = None,
-) -> DataFrame | None:
-    """Completes a run that stopped half way, with the files it had, before newer ones count."""
+def finish_open_run(spark: SparkSession, tables: Tables) -> DataFrame | None:
+    """Completes a run that stopped half way, with the files, the settings and the id it had,
+    before newer files count. If it cannot be completed it is closed with a failure report."""
     seq = tables.next_seq()
-    if not storage.has_data(spark, tables.path("checked", seq)):
+    claim = tables.open_claim(seq)
+    if claim is None:
         return None
-    return _finish(spark, base, tables, seq, run_id, settings, stamp or datetime.now(timezone.utc))
+    try:
+        return _finish(spark, tables, seq, claim, arrived.inventory(spark, claim.base))
+    except RunFailed:
+        return spark.read.parquet(tables.path("run_report", seq))
 
 
 def run_files(
@@ -120,71 +186,119 @@ def run_files(
     present = gate.completeness_gate(files).first()
     if not (present.triggered if settings.require_all else any(present[f"has_{d}"] for d in DATASETS)):
         return None
-    ranged = storage.scheme(spark, base) in arrived.RANGED_SCHEMES
+    tables.keep_types(settings)
     number = sum(present[f"{d}_files"] for d in DATASETS)
-    checked = validation.check_headers(arrived.headers(spark, files, ranged, number))
-    checked.write.mode("overwrite").parquet(tables.path("checked", seq))
-    return _finish(spark, base, tables, seq, run_id, settings, stamp or datetime.now(timezone.utc))
+    checked = validation.check_headers(arrived.headers(spark, files, settings.ranged, number))
+    path = tables.path("checked") + f"/{uuid.uuid4().hex}"
+    checked.write.parquet(path)
+    when = (stamp or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
+    claim = Claim(base, run_id, when, path, settings)
+    if not storage.create_new(spark, tables.claim_path(seq), claim.text()):
+        storage.delete(spark, path)
+        raise RunInProgress(f"run {seq} below {tables.root} was begun by another call")
+    return _finish(spark, tables, seq, claim)
 
 
 def _finish(
-    spark: SparkSession,
-    base: str,
-    tables: Tables,
-    seq: int,
-    run_id: str,
-    settings: Settings,
-    stamp: datetime,
+    spark: SparkSession, tables: Tables, seq: int, claim: Claim, still_there: DataFrame | None = None
+) -> DataFrame:
+    """The run from its checked files on. `still_there`: the files of today, for a run begun
+    before; what has gone since fails."""
+    with session.during(spark, session.RUN):
+        return _finish_as_set(spark, tables, seq, claim, still_there)
+
+
+def _finish_as_set(
+    spark: SparkSession, tables: Tables, seq: int, claim: Claim, still_there: DataFrame | None
 ) -> DataFrame:
-    session.skew_safe(spark)
-    checked = spark.read.parquet(tables.path("checked", seq))
-    set_aside = quarantine(spark, checked, tables.path("quarantine", seq))
-    verdicts = validation.file_verdicts(checked, F.lit(set_aside))
+    run_id, settings = claim.run_id, claim.settings
+    checked = spark.read.parquet(claim.checked).withColumn("gone", F.lit(False))
+    if still_there is not None:
+        now = still_there.select("path", "modification_time", F.lit(False).alias("_gone"))
+        gone = F.coalesce("_gone", F.lit(True))
+        checked = checked.join(now, ["path", "modification_time"], "left").withColumn("gone", gone).drop("_gone")
+        checked = checked.withColumns(
+            {
+                "is_valid": F.col("is_valid") & ~F.col("gone"),
+                "issues": F.when(F.col("gone"), F.array(F.lit("The file has gone"))).otherwise(F.col("issues")),
+            }
+        )
+    verdicts = quarantined(spark, checked, tables.path("quarantine", seq))
     try:
         facts = _figures(spark, verdicts, tables, seq, settings)
     except (RunFailed, counts.EmptyDataset, csvdata.MissingColumns) as error:
         history.drop(spark, tables.path("history"), seq)
-        line = report.failure_text(run_id, base, str(error))
-        failure = report.failure_report(report.file_facts(verdicts), run_id, base, line)
+        line = report.failure_text(run_id, claim.base, str(error))
+        failure = report.failure_report(report.file_facts(verdicts), run_id, claim.base, line)
         failure.write.mode("overwrite").parquet(tables.path("run_report", seq))
         # Bad files are set aside for good; the others stay for the next run.
-        _write_manifest(verdicts, tables, seq, run_id, stamp, F.col("status") == "quarantined")
+        _write_manifest(verdicts, tables, seq, claim, F.col("status") == "quarantined")
         raise RunFailed(line) from error
 
     facts = report.file_facts(verdicts).unionByName(
         spark.createDataFrame(list(facts.items()), "name string, value bigint").coalesce(1)
     )
-    report.run_report(facts, run_id, base).write.mode("overwrite").parquet(tables.path("run_report", seq))
-    _write_manifest(verdicts, tables, seq, run_id, stamp, F.col("status") != "failed")
+    report.run_report(facts, run_id, claim.base).write.mode("overwrite").parquet(tables.path("run_report", seq))
+    _write_manifest(verdicts, tables, seq, claim, F.col("status") != "failed")
     storage.delete(spark, tables.path("work", seq))
     return spark.read.parquet(tables.path("run_report", seq))
 
 
-def _write_manifest(verdicts, tables: Tables, seq: int, run_id: str, stamp: datetime, moved) -> None:
-    when = F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    manifest = report.archive_manifest(verdicts, F.lit(run_id), when).withColumn("moved", moved)
+def _write_manifest(verdicts, tables: Tables, seq: int, claim: Claim, moved) -> None:
+    when = F.lit(claim.stamp).cast("timestamp_ntz")
+    manifest = report.archive_manifest(verdicts, F.lit(claim.run_id), when).withColumns(
+        {
+            "moved": moved,
+            # Where the lines of a bad file really are.
+            "target_path": F.when(
+                F.col("status") == "quarantined", F.concat(F.lit(f"quarantine/seq={seq}/dataset="), F.col("dataset"))
+            ).otherwise(F.col("target_path")),
+        }
+    )
     manifest.write.mode("overwrite").parquet(tables.path("manifest", seq))
 
 
-def quarantine(spark: SparkSession, checked: DataFrame, target: str) -> bool:
-    """Copies the lines of bad files to `target`, by dataset, with the file each came from.
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(arrived.literal_path(path)).write.format("noop").mode("overwrite").save()
+        return True
+    except (PySparkException, Py4JJavaError):
+        return False
+
 
-    The lines are kept as text, as the columns of such a file are in doubt. Gives whether the
-    copy succeeded; the files themselves stay where they are.
+def quarantined(spark: SparkSession, checked: DataFrame, target: str) -> DataFrame:
+    """Copies the lines of bad files to `target`, by dataset, and gives the verdict on each file.
+
+    The lines are kept as text with their file and place, as the columns of such a file are in
+    doubt. If not all files can be read, each is tried alone, so that one leaves the others as
+    they are: a file that was copied is `quarantined`, one that was not has `failed`. The files
+    themselves stay where they are.
     """
-    bad = [r.path for r in checked.where(~F.col("is_valid")).select("path").collect()]
-    if not bad:
-        return True
+    named = checked.where(~F.col("is_valid") & ~F.col("gone")).select("dataset", "path", "length")
+    bad = named.collect()
     source = arrived.plain_path(F.col("_metadata.file_path"))
-    lines = spark.read.text([arrived.literal_path(p) for p in bad]).select(
-        source.alias("path"), F.col("_metadata.file_block_start").alias("block_start"), F.col("value").alias("line")
-    )
-    named = checked.where(~F.col("is_valid")).select("dataset", "path")
+
+    def copy(paths: list[str]) -> None:
+        if paths:
+            lines = spark.read.text([arrived.literal_path(p) for p in paths]).select(
+                source.alias("path"),
+                F.col("_metadata.file_block_start").alias("block_start"),
+                F.monotonically_increasing_id().alias("position"),
+                F.col("value").alias("line"),
+            )
+            rows = lines.join(named.select("dataset", "path"), "path")
+            rows.write.mode("overwrite").partitionBy("dataset").parquet(target)
+
+    filled = [r.path for r in bad if r.length]
     try:
-        lines.join(named, "path").write.mode("overwrite").partitionBy("dataset").parquet(target)
-    except Exception:
-        return False
-    return True
+        copy(filled)
+    except (PySparkException, Py4JJavaError):
+        filled = [p for p in filled if _readable(spark, p)]
+        copy(filled)
+    aside = [(p,) for p in filled] + [(r.path,) for r in bad if not r.length]
+    done = spark.createDataFrame(aside, "path string").withColumn("_aside", F.lit(True))
+    outcome = F.coalesce("_aside", F.lit(False))
+    return validation.file_verdicts(checked.join(done, "path", "left"), outcome).drop("_aside")
 
 
 def together(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
@@ -210,7 +324,8 @@ def _figures(
 
     typed = {
         "orders": sales.prepare_orders(load("orders")),
-        "order_items": sales.prepare_items(load("order_items"), settings.money),
+        # The price stays as it came; it gets its type where it is added up.
+        "order_items": sales.name_items(load("order_items")),
         "products": sales.prepare_products(load("products")),
     }
     landed = together(
@@ -222,19 +337,17 @@ def _figures(
     if empty and settings.require_all:
         raise counts.EmptyDataset(f"One or more datasets are empty: {', '.join(empty)}")
 
+    days = None
     if settings.mode == "replace":
         figures = _replace(landed, settings)
-    elif settings.mode == "recompute":
-        figures = _recompute(landed, root, seq)
     else:
-        raise ValueError(f"mode must be replace or recompute, not {settings.mode!r}")
+        days, figures = _recompute(landed, root, seq, settings)
 
     names = {CATEGORY_TABLE: "categoryMetrics", ORDER_TABLE: "orderMetrics"}
-    scope = ["order_date"] if settings.mode == "recompute" else None
     done = together(
         {
             names[table]: lambda t=table, rows=rows: upsert.upsert(
-                rows, tables.path(t), TABLE_KEYS[t], f"{tables.path('work', seq)}/{t}", scope
+                rows, tables.path(t), TABLE_KEYS[t], f"{tables.path('work', seq)}/{t}", days
             )
             for table, rows in figures.items()
         }
@@ -257,27 +370,20 @@ def _require_usable(verdicts: DataFrame, settings: Settings) -> None:
 
 
 def _replace(landed: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
-    orders, items, products = landed["orders"], landed["order_items"], landed["products"]
+    orders, products = landed["orders"], landed["products"]
+    items = sales.priced(landed["order_items"], settings.money)
     return {
         CATEGORY_TABLE: kpis.category_daily_kpis(items, orders, products),
         ORDER_TABLE: kpis.order_daily_kpis(items, orders, settings.unique_orders or settings.drop_repeats),
     }
 
 
-def _recompute(landed: dict[str, DataFrame], root: str, seq: int) -> dict[str, DataFrame]:
-    items = landed["order_items"]
-    orders = history.orders_so_far(landed["orders"], root, seq)
-    products = history.products_so_far(landed["products"], root, seq)
-    changed = history.lines_of_changed_products(landed["products"], items, orders, root, seq)
-    new_lines = history.add_lines(items, orders, root, seq)
-    day_lines = history.lines_of_days(new_lines, items, orders, root, seq)
-    category_lines = day_lines
-    if changed is not None:
-        touched = new_lines.select("order_month", "order_date").unionByName(
-            changed.select("order_month", "order_date")
-        )
-        category_lines = history.lines_of_days(touched, items, orders, root, seq)
-    return {
-        CATEGORY_TABLE: kpis.category_kpis_of_lines(category_lines, products),
-        ORDER_TABLE: kpis.order_kpis_of_lines(day_lines),
+def _recompute(
+    landed: dict[str, DataFrame], root: str, seq: int, settings: Settings
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    days, lines, products = history.recomputed(landed, root, seq)
+    lines = sales.priced(lines, settings.money)
+    return days, {
+        CATEGORY_TABLE: kpis.category_kpis_of_lines(lines, products),
+        ORDER_TABLE: kpis.order_kpis_of_lines(lines, unique_orders=True),
     }

@@ -1,141 +1,237 @@
-"""Typed rows of all runs, kept so that late files can complete the days they belong to.
+"""What all runs delivered, kept so that late files can complete the days they belong to.
 
 Each run has a number, `seq`, and writes only folders of that number, so repeating a run
-overwrites what it wrote before. `lines` holds the items of each run joined with their order,
-by order month; items whose order has not come yet wait there and are taken up by later runs.
+overwrites what it wrote before. Every run lands its typed rows. A recompute run also works in
+its own rows, and those of runs that did not, into
+
+* `known_orders`: versions of orders, in buckets of their key,
+* `lines`: items joined with the version of their order, by order month; items whose order has
+  not come yet wait there in buckets of the order's key,
+* `superseded`: versions of orders that a later one replaced, by the month of their lines,
+* `snapshot`: each product as its latest delivery has it,
+* `product_months`: the months a product was sold in,
+* `touched`: the days whose figures may have changed, written last.
+
+A run reads the buckets of its own orders and the months of its own days, not all history.
+An order counts once, as the greatest row of its latest delivery.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daybook import storage
 from daybook.functions import columns as C
 from daybook.operators import sales
 
+BUCKETS = 64
+LANDED = ("orders", "order_items", "products")
+WORKED_IN = ("known_orders", "lines", "superseded", "snapshot", "product_months", "touched")
+
 
 def _part(root: str, name: str, seq: int) -> str:
     return f"{root}/{name}/seq={seq}"
 
 
-def land(rows: DataFrame, root: str, name: str, seq: int) -> DataFrame:
+def land(rows: DataFrame, root: str, name: str, seq: int, *by: str) -> DataFrame:
     """Writes a run's rows once as Parquet and gives them back from there."""
     path = _part(root, name, seq)
-    rows.write.mode("overwrite").parquet(path)
+    writer = rows.hint("rebalance", *by).write.partitionBy(*by) if by else rows.write
+    writer.mode("overwrite").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def earlier(like: DataFrame, root: str, name: str, seq: int) -> DataFrame | None:
-    """Rows of runs before `seq`, with their number; None where there are none."""
+def before(like: DataFrame, root: str, name: str, seq: int) -> DataFrame:
+    """Rows of runs before `seq` with their number; `like` has their columns."""
     spark = like.sparkSession
-    if not storage.exists(spark, f"{root}/{name}"):
-        return None
     schema = storage.with_partitions(like.schema, seq=T.IntegerType())
+    if not storage.exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/{name}").where(F.col("seq") < seq)
 
 
 def drop(spark: SparkSession, root: str, seq: int) -> None:
     """Forgets what a failed run landed."""
-    for name in ("orders", "known_orders", "order_items", "products", "lines"):
+    for name in (*LANDED, *WORKED_IN):
         storage.delete(spark, _part(root, name, seq))
 
 
-def orders_so_far(new: DataFrame, root: str, seq: int) -> DataFrame:
-    """All orders; one delivered again in a later run counts as delivered the first time."""
-    old = earlier(new, root, "known_orders", seq)
-    if old is None:
-        return land(new, root, "known_orders", seq)
-    old = old.drop("seq")
-    unseen = new.join(old.select("order_id").distinct(), "order_id", "left_anti").select(*new.columns)
-    return old.unionByName(land(unseen, root, "known_orders", seq))
+def _seqs(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Numbers of the runs that finished writing `name`, in order."""
+    found = [n.removeprefix("seq=") for n in storage.children(spark, f"{root}/{name}") if n.startswith("seq=")]
+    return sorted(int(n) for n in found if storage.has_data(spark, _part(root, name, int(n))))
 
 
-def _latest(products: DataFrame) -> DataFrame:
-    """Of each product the rows of its latest delivery, from rows that carry `seq`."""
-    last = products.groupBy("product_id").agg(F.max("seq").alias("seq"))
-    return products.join(last, ["product_id", "seq"]).select("product_id", "category")
+def not_worked_in(spark: SparkSession, root: str, seq: int) -> list[int]:
+    """Earlier runs whose rows landed and were not worked in."""
+    return [n for n in _seqs(spark, root, "products") if n < seq and n not in _seqs(spark, root, "touched")]
 
 
-def products_so_far(new: DataFrame, root: str, seq: int) -> DataFrame:
-    """Each product as its latest delivery has it."""
-    old = earlier(new, root, "products", seq)
-    return new if old is None else _latest(old.unionByName(new.withColumn("seq", F.lit(seq))))
+def landed(spark: SparkSession, root: str, seq: int) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(_part(root, name, seq)) for name in LANDED}
 
 
-def add_lines(items: DataFrame, orders: DataFrame, root: str, seq: int) -> DataFrame:
-    """Joins new and waiting items with all orders so far; gives the run's matched lines.
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
-    One left join splits both: matched items land by order month, the rest under
-    `matched=false`, which the next run picks up.
-    """
-    spark = items.sparkSession
-    waiting = _lines(spark, root, items, orders)
-    items = items.where(F.col("order_id").isNotNull())
-    if waiting is not None:
-        last = waiting.where(F.col("seq") < seq).agg(F.max("seq")).first()[0]
-        if last is not None:
-            items = items.unionByName(
-                waiting.where((F.col("seq") == last) & ~F.col("matched")).select(*items.columns)
-            )
-    joined = items.join(orders.withColumn("matched", F.lit(True)), "order_id", "left").withColumns(
-        {
-            "matched": F.coalesce("matched", F.lit(False)),
-            "order_month": C.order_month(F.col("order_date")),
-        }
+
+def _values(rows: DataFrame, column: str | Column) -> list:
+    """Different values of a column with few: buckets or months."""
+    return [r[0] for r in rows.select(column).distinct().collect()]
+
+
+def _in_months(months: list[str | None]) -> Column:
+    known = F.col("order_month").isin([m for m in months if m is not None])
+    return known | F.col("order_month").isNull() if None in months else known
+
+
+def work_in(rows: dict[str, DataFrame], root: str, seq: int) -> DataFrame:
+    """Works in what a run landed; see the module's text. Gives the run's lines."""
+    changes, current = _orders(rows["orders"], rows["order_items"], root, seq)
+    lines = _lines(rows["order_items"], changes, current, root, seq)
+    matched = lines.where("matched")
+    land(matched.select("product_id", "order_month").distinct(), root, "product_months", seq)
+    days = matched.select("order_date").unionByName(
+        changes.where("not first").select(F.col("was_date").alias("order_date"))
+    )
+    resold = _days_of_changed_products(rows["products"], lines, root, seq)
+    if resold is not None:
+        days = days.unionByName(resold)
+    land(days.distinct().coalesce(1), root, "touched", seq)
+    return lines
+
+
+def _orders(orders: DataFrame, items: DataFrame, root: str, seq: int) -> tuple[DataFrame, DataFrame]:
+    """(new versions of orders, current versions of those the run's items may belong to)."""
+    orders = sales.one_per_key(orders.where("order_id is not null"), "order_id").withColumn("bucket", _bucket("order_id"))
+    like = orders.withColumns({"first": F.lit(True), "was_date": F.lit(None).cast("date"), "was_version": F.lit(0)})
+    keyed = items.where("order_id is not null")
+    met = orders.select("bucket").unionByName(keyed.select(_bucket("order_id").alias("bucket")))
+    known = (
+        before(like, root, "known_orders", seq)
+        .where(F.col("bucket").isin(_values(met, "bucket")))
+        .groupBy("order_id")
+        .agg(F.max_by(F.struct("user_id", "order_date", "bucket", F.col("seq").alias("version")), "seq").alias("is"))
     )
-    path = _part(root, "lines", seq)
-    joined.hint("rebalance", "matched", "order_month").write.mode("overwrite").partitionBy(
-        "matched", "order_month"
-    ).parquet(path)
-    return _lines(spark, root, items, orders).where((F.col("seq") == seq) & F.col("matched"))
+    joined = orders.join(known, "order_id", "left")
+    same = F.col("user_id").eqNullSafe(F.col("is.user_id")) & F.col("order_date").eqNullSafe(F.col("is.order_date"))
+    changed = joined.where(F.col("is").isNull() | ~same).select(
+        *orders.columns,
+        F.col("is").isNull().alias("first"),
+        F.col("is.order_date").alias("was_date"),
+        F.coalesce("is.version", F.lit(-1)).alias("was_version"),
+    )
+    changes = land(changed, root, "known_orders", seq, "bucket")
+    kept = known.join(changes.select("order_id"), "order_id", "left_anti").select(
+        "order_id", "is.user_id", "is.order_date", "is.version"
+    )
+    return changes, kept.unionByName(changes.select("order_id", "user_id", "order_date", F.lit(seq).alias("version")))
 
 
-def _lines(spark: SparkSession, root: str, items: DataFrame, orders: DataFrame) -> DataFrame | None:
-    if not storage.exists(spark, f"{root}/lines"):
-        return None
-    schema = storage.with_partitions(
-        sales.sales_lines(items, orders).schema,
-        seq=T.IntegerType(),
-        matched=T.BooleanType(),
-        order_month=T.StringType(),
+def _like_lines(items: DataFrame, current: DataFrame) -> DataFrame:
+    return items.join(current, "order_id").withColumns(
+        {"matched": F.lit(True), "order_month": F.lit(""), "bucket": F.lit(0)}
     )
-    return spark.read.schema(schema).parquet(f"{root}/lines")
 
 
-def lines_of_days(new_lines: DataFrame, items: DataFrame, orders: DataFrame, root: str, seq: int) -> DataFrame:
-    """All lines, of this run and before, on the days the given lines fall on.
+def _lines(items: DataFrame, changes: DataFrame, current: DataFrame, root: str, seq: int) -> DataFrame:
+    """Lands the run's lines: new items, items that waited for an order that came, and the lines
+    of orders that changed."""
+    items = items.where("order_id is not null")
+    like = _like_lines(items, current)
+    old = before(like, root, "lines", seq)
+    version = changes.select("order_id", "user_id", "order_date", F.lit(seq).alias("version"))
 
-    The months (folder names) prune the read; the days then narrow it.
-    """
-    spark = new_lines.sparkSession
-    months = [r[0] for r in new_lines.select("order_month").distinct().collect()]
-    known = [m for m in months if m is not None]
-    in_month = F.col("order_month").isin(known)
-    if None in months:
-        in_month = in_month | F.col("order_month").isNull()
-    days = new_lines.select(F.col("order_date").alias("_day")).distinct()
-    return (
-        _lines(spark, root, items, orders)
-        .where((F.col("seq") <= seq) & F.col("matched") & in_month)
-        .join(days, F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
+    came = changes.where("first").select("order_id", "bucket")
+    waiting = (
+        old.where(~F.col("matched") & F.col("bucket").isin(_values(came, "bucket")))
+        .join(came.select("order_id"), "order_id", "left_semi")
+        .select(*items.columns)
+    )
+    corrected = changes.where("not first").select(
+        "order_id", F.col("was_version").alias("version"), C.order_month(F.col("was_date")).alias("order_month")
     )
+    moved = (
+        old.where(F.col("matched") & _in_months(_values(corrected, "order_month")))
+        .join(corrected.select("order_id", "version"), ["order_id", "version"], "left_semi")
+        .select(*items.columns)
+    )
+    land(corrected, root, "superseded", seq, "order_month")
+    again = waiting.unionByName(moved).join(version, "order_id").select(*items.columns, *version.columns[1:])
+    new = items.join(current, "order_id", "left").select(*items.columns, *version.columns[1:])
+    matched = F.col("version").isNotNull()
+    lines = new.unionByName(again).withColumns(
+        {
+            "matched": matched,
+            "order_month": C.order_month(F.col("order_date")),
+            "bucket": F.when(~matched, _bucket("order_id")),
+        }
+    )
+    return land(lines.select(*like.columns), root, "lines", seq, "matched", "order_month", "bucket")
+
 
+def snapshot(spark: SparkSession, root: str, seq: int) -> DataFrame | None:
+    """Products as the runs before `seq` left them."""
+    done = [n for n in _seqs(spark, root, "snapshot") if n < seq]
+    return spark.read.parquet(_part(root, "snapshot", done[-1])) if done else None
 
-def lines_of_changed_products(
-    products: DataFrame, items: DataFrame, orders: DataFrame, root: str, seq: int
-) -> DataFrame | None:
-    """Earlier lines of products whose category this run adds or changes; None if nothing did."""
-    lines = _lines(products.sparkSession, root, items, orders)
-    if lines is None:
+
+def _days_of_changed_products(products: DataFrame, lines: DataFrame, root: str, seq: int) -> DataFrame | None:
+    """Days of earlier lines of products whose category the run adds or changes; lands the new
+    snapshot. None where no product came."""
+    spark = products.sparkSession
+    new = sales.one_per_key(products.where("product_id is not null"), "product_id")
+    if new.isEmpty():
         return None
-    old = earlier(products, root, "products", seq)
-    changed = products
+    old = snapshot(spark, root, seq)
+    changed = new
     if old is not None:
-        known = _latest(old).distinct().toDF("_id", "_category")
+        known = old.select(F.col("product_id").alias("_id"), F.col("category").alias("_category"))
         same = (F.col("product_id") == F.col("_id")) & F.col("category").eqNullSafe(F.col("_category"))
-        changed = products.join(known, same, "left_anti")
-    if changed.isEmpty():
-        return None
-    return lines.where((F.col("seq") < seq) & F.col("matched")).join(
-        changed.select("product_id").distinct(), "product_id", "left_semi"
+        changed = new.join(known, same, "left_anti")
+        new = old.join(new.select("product_id"), "product_id", "left_anti").unionByName(new)
+    land(new, root, "snapshot", seq)
+    # Older ones than the one before are needed no more.
+    for done in [n for n in _seqs(spark, root, "snapshot") if n < seq][:-1]:
+        storage.delete(spark, _part(root, "snapshot", done))
+    changed = changed.select("product_id")
+    sold = lines.select("product_id", "order_month")
+    months = before(sold, root, "product_months", seq).join(changed, "product_id", "left_semi")
+    return (
+        before(lines, root, "lines", seq)
+        .where(F.col("matched") & _in_months(_values(months, "order_month")))
+        .join(changed, "product_id", "left_semi")
+        .select("order_date")
+    )
+
+
+def lines_of_days(days: DataFrame, like: DataFrame, root: str, seq: int) -> DataFrame:
+    """All lines of the given days (order_date) that count after run `seq`; `like` has their columns.
+
+    The months (folder names) prune the read; the days then narrow it.
+    """
+    months = _values(days, C.order_month(F.col("order_date")))
+    replaced = like.select("order_id", "version", "order_month")
+    gone = before(replaced, root, "superseded", seq + 1).where(_in_months(months)).select("order_id", "version")
+    kept = (
+        before(like, root, "lines", seq + 1)
+        .where(F.col("matched") & _in_months(months))
+        .join(gone.distinct(), ["order_id", "version"], "left_anti")
     )
+    wanted = days.select(F.col("order_date").alias("_day")).distinct()
+    return kept.join(wanted, F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
+
+
+def recomputed(rows: dict[str, DataFrame], root: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(days that run `seq`, or runs that were not worked in yet, may have changed; all lines of
+    these days; products as they are now)."""
+    spark = rows["orders"].sparkSession
+    behind = not_worked_in(spark, root, seq)
+    for earlier in behind:
+        work_in(landed(spark, root, earlier), root, earlier)
+    like = work_in(rows, root, seq)
+    days = spark.read.parquet(*[_part(root, "touched", n) for n in (*behind, seq)])
+    products = snapshot(spark, root, seq + 1)
+    if products is None:
+        products = rows["products"].limit(0)
+    return days, lines_of_days(days, like, root, seq), products

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Hot keys: Spark splits a shuffle partition that is far larger than the others. The last
@@ -13,7 +16,18 @@ SKEW_SAFE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# A time with a zone offset falls on its day in UTC, whatever the session's zone.
+RUN = {**SKEW_SAFE, "spark.sql.session.timeZone": "UTC"}
+
 
-def skew_safe(spark: SparkSession) -> None:
-    for name, value in SKEW_SAFE.items():
-        spark.conf.set(name, value)
+@contextmanager
+def during(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The settings for a while; what they were before comes back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

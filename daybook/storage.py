@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession, types as T
 
+_MADE: list[str] = []
+
 
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -29,6 +33,32 @@ def scheme(spark: SparkSession, path: str) -> str:
     return qualified(spark, path).partition(":")[0]
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where there is no folder."""
+    if not exists(spark, path):
+        return []
+    return [s.getPath().getName() for s in _filesystem(spark, path).listStatus(_path(spark, path))]
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless it is there already; says whether it did."""
+    if exists(spark, path):
+        return False
+    try:
+        out = _filesystem(spark, path).create(_path(spark, path), False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _filesystem(spark, path).delete(_path(spark, path), True)
 
@@ -41,13 +71,25 @@ def has_data(spark: SparkSession, path: str) -> bool:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's `spark.checkpoint.dir`.
 
-    Only where that setting is missing, as in local tests, a temporary folder stands in.
+    Only where that setting is missing in a local session, as in tests, a temporary folder
+    stands in; on a cluster executors would not see it. The session's scratch folders are
+    deleted by `clean`.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="daybook-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes the scratch folders this process has asked for; frames read from them are lost."""
+    while _MADE:
+        delete(spark, _MADE.pop())
 
 
 def with_partitions(schema: T.StructType, **columns: T.DataType) -> T.StructType:

@@ -43,6 +43,10 @@ def file_stream(spark: SparkSession, base: str, files_per_batch: int = 1000) ->
     )
 
 
+def _noted(tables: daily_run.Tables, batch_id: int) -> str:
+    return tables.path("arrivals") + f"/batch_id={batch_id}"
+
+
 def run_on_arrival(
     spark: SparkSession,
     base: str,
@@ -52,21 +56,25 @@ def run_on_arrival(
 ) -> DataStreamWriter:
     """A stream writer that runs whenever files arrive; add a checkpoint, a trigger, and start.
 
-    Arrivals are noted first. A run takes all noted files that no run consumed. With
-    `require_all` that is the completeness gate: files wait until every dataset has some.
-    Without it, whatever came is worked in at once. A micro-batch played again notes the same
-    files, finds them consumed, and does nothing.
+    Each micro-batch notes the files that wait: what came, and what no run has consumed of those
+    noted by the batch before. The run takes these. With `require_all` that is the completeness
+    gate: files wait until every dataset has some. Without it, whatever came is worked in at once.
+    A micro-batch played again notes the same files, finds them consumed, and does nothing.
     """
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
         tables = daily_run.Tables(session, tables_root)
-        files.write.mode("overwrite").parquet(tables.path("arrivals") + f"/batch_id={batch_id}")
-        run_id = f"batch-{batch_id}"
+        daily_run.finish_open_run(session, tables)
+        # What still waited after the batch before, and what came.
+        last = [int(n.partition("=")[2]) for n in storage.children(session, tables.path("arrivals")) if "=" in n]
+        before = [n for n in last if n < batch_id and storage.has_data(session, _noted(tables, n))]
+        if before:
+            files = files.unionByName(session.read.parquet(_noted(tables, max(before)))).distinct()
+        tables.unconsumed(files).write.mode("overwrite").parquet(_noted(tables, batch_id))
+        waiting = session.read.parquet(_noted(tables, batch_id))
         try:
-            daily_run.finish_open_run(session, base, tables, run_id, settings)
-            waiting = tables.unconsumed(tables.read("arrivals").drop("batch_id").distinct())
-            daily_run.run_files(session, base, waiting, tables, run_id, settings)
+            daily_run.run_files(session, base, waiting, tables, f"batch-{batch_id}", settings)
         except daily_run.RunFailed:
             # The report row tells why; good files wait for the next arrivals.
             pass

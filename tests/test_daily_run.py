@@ -78,7 +78,9 @@ def test_bad_files_and_null_keys(spark, drop, tmp_path):
     days = by_day(spark, out)
     assert (days[DAY1].total_orders, days[DAY1].total_revenue) == (1, 16.75)
     manifest = {r.key: (r.status, r.moved, r.target_path) for r in spark.read.parquet(f"{out}/manifest").collect()}
-    assert manifest["orders/bad.csv"] == ("quarantined", True, "quarantine/orders/bad.csv")
+    assert manifest["orders/bad.csv"] == ("quarantined", True, "quarantine/seq=0/dataset=orders")
+    issues = {r.key: r.issues for r in spark.read.parquet(f"{out}/manifest").collect()}
+    assert issues["orders/bad.csv"] == ["Missing mandatory fields: ['status']"]
     assert manifest["orders/o.csv"][2].startswith("processed/r/")
     assert manifest["orders/o.csv"][2].endswith("/orders/o.csv")
     assert daily_run.run(spark, drop.base, out, "r2") is None
@@ -116,7 +118,7 @@ def test_recompute_over_runs(spark, drop, tmp_path):
     drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
     daily_run.run(spark, drop.base, out, "r1", RECOMPUTE)
     assert by_day(spark, out)[DAY1].total_revenue == 10.0
-    assert not list((tmp_path / "out" / "category_metrics_table").glob("*/*.parquet"))
+    assert table(spark, out, "category_metrics_table") == []
     # Its product comes last, then the order again with one more item, then a new category.
     drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
     daily_run.run(spark, drop.base, out, "r2", RECOMPUTE)
@@ -174,3 +176,181 @@ def test_repeats_dropped_and_text_ids(spark, drop, tmp_path):
     assert table(spark, out, "category_metrics_table") == [(3.0, 0.0, "Toys", 3.0, DAY1)]
     day = by_day(spark, out)[DAY1]
     assert (day.total_orders, day.total_revenue, day.total_items_sold, day.unique_customers) == (1, 3.0, 2, 1)
+
+
+def test_recompute_after_replace_counts_everything(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n2,11,2025-01-01,x\n")
+    drop.put("order_items/i.csv", ITEM_HEAD + "1,1,100,10.00,x\n2,2,100,20.00,x\n")
+    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r0")
+    assert by_day(spark, out)[DAY1].total_revenue == 30.0
+    # One more late item by a replace run, which shows that part alone; then one by recompute.
+    drop.put("orders/again.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    drop.put("order_items/late.csv", ITEM_HEAD + "3,1,100,0.50,x\n")
+    drop.put("products/again.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r1")
+    assert by_day(spark, out)[DAY1].total_revenue == 0.5
+    drop.put("order_items/later.csv", ITEM_HEAD + "4,2,100,0.50,x\n")
+    daily_run.run(spark, drop.base, out, "r2", RECOMPUTE)
+    day = by_day(spark, out)[DAY1]
+    assert (day.total_revenue, day.total_orders, day.total_items_sold) == (31.0, 2, 4)
+    assert table(spark, out, "category_metrics_table")[0][2] == "Toys"
+
+
+def test_a_corrected_order_moves_to_its_day(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,no day,x\n2,10,2025-01-01,x\n")
+    drop.put("order_items/i.csv", ITEM_HEAD + "1,1,100,10.00,x\n2,2,100,5.00,x\n")
+    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r0", RECOMPUTE)
+    assert {day: r.total_revenue for day, r in by_day(spark, out).items()} == {DAY1: 5.0}
+    drop.put("orders/better.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    daily_run.run(spark, drop.base, out, "r1", RECOMPUTE)
+    assert by_day(spark, out)[DAY1].total_revenue == 15.0
+    drop.put("orders/moved.csv", ORDER_HEAD + "1,10,2025-01-02,x\n2,12,2025-01-01,x\n")
+    daily_run.run(spark, drop.base, out, "r2", RECOMPUTE)
+    days = by_day(spark, out)
+    assert (days[DAY1].total_revenue, days[DAY1].total_orders) == (5.0, 1)
+    assert (days[DAY2].total_revenue, days[DAY2].total_orders) == (10.0, 1)
+    # An item that comes after the move joins the order as it is now.
+    drop.put("order_items/late.csv", ITEM_HEAD + "3,1,100,1.00,x\n")
+    daily_run.run(spark, drop.base, out, "r3", RECOMPUTE)
+    assert {day: r.total_revenue for day, r in by_day(spark, out).items()} == {DAY1: 5.0, DAY2: 11.0}
+
+
+def test_an_order_whose_last_line_moves_away(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n")
+    drop.put("order_items/i.csv", ITEM_HEAD + "1,1,100,10.00,x\n")
+    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r0", RECOMPUTE)
+    drop.put("orders/moved.csv", ORDER_HEAD + "1,10,2025-02-03,x\n")
+    daily_run.run(spark, drop.base, out, "r1", RECOMPUTE)
+    days = {day: r.total_revenue for day, r in by_day(spark, out).items()}
+    assert days == {dt.date(2025, 2, 3): 10.0}
+    assert [r[4] for r in table(spark, out, "category_metrics_table")] == [dt.date(2025, 2, 3)]
+
+
+def test_types_of_the_tables_stay(spark, drop, tmp_path):
+    out = str(tmp_path / "out")
+    daily_run.run(spark, drop.good().base, out, "r0", Settings(money="decimal"))
+    drop.put("order_items/late.csv", ITEM_HEAD + "4,1,101,19.999,x\n")
+    late = Settings(mode="recompute", require_all=False)
+    with pytest.raises(daily_run.SettingsConflict, match="float32"):
+        daily_run.run(spark, drop.base, out, "r1", late)
+    daily_run.run(spark, drop.base, out, "r1", Settings(mode="recompute", require_all=False, money="decimal"))
+    assert str(by_day(spark, out)[DAY1].total_revenue) == "34.75"
+
+
+def test_settings_that_make_no_sense():
+    for wrong in ({"mode": "other"}, {"money": "cents"}, {"mode": "replace", "require_all": False}):
+        with pytest.raises(ValueError):
+            Settings(**wrong)
+
+
+def break_in(monkeypatch, where):
+    """The run breaks before it writes the given table."""
+    whole = daily_run.upsert.upsert
+
+    def broken(new, target, *rest):
+        if where in target:
+            raise OSError("lost")
+        return whole(new, target, *rest)
+
+    monkeypatch.setattr(daily_run.upsert, "upsert", broken)
+    return lambda: monkeypatch.setattr(daily_run.upsert, "upsert", whole)
+
+
+def test_an_open_run_keeps_its_settings(spark, drop, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    mend = break_in(monkeypatch, "metrics")
+    with pytest.raises(OSError):
+        daily_run.run(spark, drop.good().base, out, "first", Settings(money="decimal"))
+    mend()
+    row = daily_run.run(spark, drop.base, out, "second", RECOMPUTE).first()
+    assert (row.executionId, row.status) == ("first", "success")
+    assert "decimal" in dict(spark.read.parquet(f"{out}/order_metrics_table").dtypes)["total_revenue"]
+
+
+def test_an_open_run_outlives_a_file_that_has_gone(spark, drop, tmp_path, monkeypatch):
+    import os
+
+    out = str(tmp_path / "out")
+    mend = break_in(monkeypatch, "metrics")
+    drop.good().put("orders/more.csv", ORDER_HEAD + "3,12,2025-01-02,x\n")
+    with pytest.raises(OSError):
+        daily_run.run(spark, drop.base, out, "r1")
+    mend()
+    os.remove(f"{drop.base}/orders/more.csv")
+    row = daily_run.run(spark, drop.base, out, "r2").first()
+    assert (row.status, row.archiveStatus, row.processedFiles.orders) == ("success", "partial_failure", 1)
+    gone = {r.key: (r.status, r.issues) for r in spark.read.parquet(f"{out}/manifest").collect()}["orders/more.csv"]
+    assert gone == ("failed", ["The file has gone"])
+
+
+def test_an_open_run_that_cannot_be_finished_is_closed(spark, drop, tmp_path, monkeypatch):
+    import os
+
+    out = str(tmp_path / "out")
+    mend = break_in(monkeypatch, "metrics")
+    with pytest.raises(OSError):
+        daily_run.run(spark, drop.good().base, out, "r1")
+    mend()
+    os.remove(f"{drop.base}/orders/o.csv")
+    assert daily_run.run(spark, drop.base, out, "r2").first().status == "failure"
+    # With orders again, the files that stayed are worked in by a new run.
+    drop.put("orders/new.csv", ORDER_HEAD + "1,10,2025-01-01,x\n2,11,2025-01-02,x\n")
+    assert daily_run.run(spark, drop.base, out, "r3").first().recordsProcessed == 5
+
+
+def test_one_unreadable_bad_file_leaves_the_others_set_aside(spark, drop, tmp_path, monkeypatch):
+    import os
+
+    out = str(tmp_path / "out")
+    drop.good().put("orders/bad.csv", "order_id\n7\n")
+    drop.put("orders/worse.csv", "order_id\n8\n")
+    headers = daily_run.arrived.headers
+
+    def then_one_goes(*args, **more):
+        headers(*args, **more).write.parquet(str(tmp_path / "headers"))
+        os.remove(f"{drop.base}/orders/worse.csv")
+        return spark.read.parquet(str(tmp_path / "headers"))
+
+    monkeypatch.setattr(daily_run.arrived, "headers", then_one_goes)
+    row = daily_run.run(spark, drop.base, out, "r1").first()
+    assert (row.status, row.archiveStatus) == ("success", "partial_failure")
+    status = {r.key: r.status for r in spark.read.parquet(f"{out}/manifest").collect()}
+    assert (status["orders/bad.csv"], status["orders/worse.csv"]) == ("quarantined", "failed")
+    assert [r.line for r in spark.read.parquet(f"{out}/quarantine/seq=0").orderBy("position").collect()] == ["order_id", "7"]
+
+
+def test_two_runs_at_once(spark, drop, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    number = daily_run.Tables.next_seq
+    daily_run.run(spark, drop.good().base, out, "r0")
+    monkeypatch.setattr(daily_run.Tables, "next_seq", lambda self: 0)  # as if both began before the first ended
+    monkeypatch.setattr(daily_run, "finish_open_run", lambda *rest: None)
+    drop.put("orders/late.csv", ORDER_HEAD + "9,19,2025-01-02,x\n")
+    with pytest.raises(daily_run.RunInProgress):
+        daily_run.run(spark, drop.base, out, "r1", RECOMPUTE)
+    monkeypatch.setattr(daily_run.Tables, "next_seq", number)
+
+
+def test_a_run_reads_its_own_months_alone(spark, drop, tmp_path):
+    from daybook.plans import history
+
+    out = str(tmp_path / "out")
+    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n2,11,2025-02-02,x\n")
+    drop.put("order_items/i.csv", ITEM_HEAD + "1,1,100,10.00,x\n2,2,100,5.00,x\n")
+    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
+    daily_run.run(spark, drop.base, out, "r0", RECOMPUTE)
+    root = f"{out}/history"
+    like = spark.read.parquet(f"{root}/lines/seq=0")
+    days = spark.createDataFrame([(dt.date(2025, 2, 2),)], "order_date date")
+    lines = history.lines_of_days(days, like, root, 0)
+    files = [f for f in lines.inputFiles() if "/lines/" in f]
+    assert [r.item_id for r in lines.collect()] == [2]
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "2025-02" in text
+    assert files and "order_month" in files[0]
