@@ -48,7 +48,8 @@ class Shard:
         quick = self.widest * int(abs(weights).max(initial=0)) < 1 << 53
         values = self.quick if quick else self.whole
         weights = weights.astype(values.dtype)
-        bounds = np.maximum(weights * self.most, weights * self.least)
+        # At most what a term can add; nothing, where a vector is not on its posting.
+        bounds = np.maximum(np.maximum(weights * self.most, weights * self.least), 0)
         terms = np.argsort(bounds, kind="stable")
         rising = np.cumsum(bounds[terms])
         ids, scores = np.zeros(0, np.int64), np.zeros(0, rising.dtype)
@@ -65,12 +66,13 @@ class Shard:
                 essential, rest = terms[idle:], terms[:idle][::-1]
                 if not len(essential):
                     break
-                touched = np.zeros(end - start, bool)
+                # Below zero even vectors on no posting compete.
+                touched = np.full(end - start, floor < 0)
                 for d in essential[::-1]:
                     posting = self.postings[d, 1 if weights[d] > 0 else -1]
                     a, b = np.searchsorted(posting, (start, end))
                     touched[posting[a:b] - start] = True
-                    if np.count_nonzero(touched) > MOSTLY * len(touched):
+                    if floor < 0 or np.count_nonzero(touched) > MOSTLY * len(touched):
                         touched[:] = True  # to score the few others costs less than to leave them out
                         break
                 counted = np.zeros_like(weights)
