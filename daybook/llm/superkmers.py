@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.llm.frames import pieces, tasks
 
 BUCKETS = 1  # per task
+LEVEL = 6  # of compression
 SPANS = "doc_id bigint, begins array<bigint>, ends array<bigint>"
 PACKETS = "bucket int, payload binary, " + SPANS
 
@@ -82,10 +83,11 @@ class Runs:
             np.diff(doc, prepend=np.int64(0)).astype("<i8").tobytes(),
             self.at[order].astype("<u4").tobytes(),
             self.windows[order].astype("<u2").tobytes(),
-            np.array([len(t) for t in texts], "<u4").tobytes(),
+            # Of bytes it is always the same, which packs to nothing.
+            (np.array([len(t) for t in texts], "<u4") - self.windows[order].astype("<u4")).tobytes(),
             *texts,
         ]
-        return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+        return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(parts))
 
 
 class Packet:
@@ -106,7 +108,7 @@ class Packet:
         self.doc = np.cumsum(take("<i8"))
         self.at = take("<u4").astype(np.int64)
         self.windows = take("<u2").astype(np.int64)
-        sizes = take("<u4").astype(np.int64)
+        sizes = take("<u4").astype(np.int64) + self.windows
         self.ends = at + np.cumsum(sizes)
         self.begins = self.ends - sizes
         self.raw = raw
