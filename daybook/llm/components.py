@@ -10,7 +10,8 @@ from daybook.llm.frames import stored
 def _large(edges: DataFrame) -> DataFrame:
     """Links each node's larger neighbours to the smallest node around it."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("__least"))
+    # Stored, so that the join rests on plain shuffles, of which Spark splits a hot node's part.
+    least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("__least")), "least")
     return both.join(least, "a").where("b > a and b <> __least").select(F.col("b").alias("a"), F.col("__least").alias("b"))
 
 
