@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -27,6 +28,17 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def identified(rows: DataFrame) -> DataFrame:
+    """The rows with `__file` and `__place`, which tell each row of a file apart and stay the
+    same however often it is read. Rows that are not as Parquet files have them are stored first."""
+    marks = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place")]
+    steps = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    plain = all(re.match(r"[\s:+-]*(Project|Filter|Relation) ", step) for step in steps)
+    if not (plain and steps[-1].endswith(" parquet")):
+        rows = stored(rows, "rows")
+    return rows.select("*", *marks)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

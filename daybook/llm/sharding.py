@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from daybook.llm.frames import running, stored, text_of
+from daybook.llm.frames import identified, running, stored, text_of
 
 SHARDS = 8
 ROUNDS = 3
@@ -18,16 +18,16 @@ ROUNDS = 3
 
 def _start(docs: DataFrame, shards: int) -> DataFrame:
     """Rows with a number of their own, dealt out in turn in an order without meaning."""
-    text = text_of()
+    text = text_of().cast("binary")
     rows = docs.select(
-        "doc_id",
-        "__own",
-        F.md5(text.cast("binary")).alias("__link"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
+        "__file",
+        "__place",
+        F.xxhash64("doc_id", "text").alias("__mix"),
+        F.md5(text).alias("__link"),
+        F.crc32(text).alias("text_crc32"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"),
     )
-    rows = rows.withColumn("__mix", F.xxhash64("doc_id", "__link"))
-    return running(rows, ["__mix", "doc_id", "__link"], name="__row").withColumn(
+    return running(rows, ["__mix", "__file", "__place"], name="__row").withColumn(
         "shard", (F.col("__row") % shards).cast("int")
     )
 
@@ -74,7 +74,8 @@ def _swaps(rows: DataFrame, shards: int) -> DataFrame:
         "to",
         F.least("__all", "__all_back", F.greatest("__movers", "__movers_back")).alias("__quota"),
     )
-    return ranked.join(quota, ["shard", "to"]).where("__rank < __quota").select("__row", "to")
+    # One row per pair of shards, however many documents there are.
+    return ranked.join(F.broadcast(quota), ["shard", "to"]).where("__rank < __quota").select("__row", "to")
 
 
 def assigned(
@@ -90,17 +91,18 @@ def assigned(
     """
     new = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    own = docs.select("doc_id", "text", F.struct(*kept).alias("__own"))
-    # The texts are not carried through the rounds.
-    rows = _start(own, shards)
-    placed = stored(rows.select("__row", "__link", "shard"), "shards")
+    # The texts stay where they are until each row's shard is known.
+    own = identified(docs.select("doc_id", "text", F.struct(*kept).alias("__own")))
+    rows = stored(_start(own, shards), "start")
+    placed = rows.select("__row", "__link", "shard")
     for _ in range(rounds if shards > 1 else 0):
         moved = placed.join(_swaps(placed, shards), "__row", "left")
         placed = stored(moved.select("__row", "__link", F.coalesce("to", "shard").alias("shard")), "shards")
     slots = running(placed.select("__row", "shard"), ["__row"], ["shard"], name="slot")
+    found = stored(rows.drop("shard", "__link", "__mix").join(slots, "__row").drop("__row"), "slots")
     return (
-        rows.drop("shard")
-        .join(slots, "__row")
+        own.select("__own", "__file", "__place")
+        .join(found, ["__file", "__place"])
         .select(
             "__own.*",
             "size",
