@@ -1,0 +1,91 @@
+"""Repeated passages of words (op2) and bytes (op8) against plain versions."""
+
+import random
+
+import numpy as np
+import pytest
+
+import brute
+from daybook.llm import repeated_bytes, substring_dedup
+from daybook.llm.queries import QUERIES
+
+
+def by_id(df, *columns):
+    return {r[0]: tuple(r[1:]) for r in df.select("doc_id", *columns).collect()}
+
+
+WORDS = ("n_words", "n_removed", "kept_sha256")
+BYTES = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def test_whole_table(spark, sf_dir, table_docs):
+    assert by_id(QUERIES["op2_repeated_passages"](spark, sf_dir), *WORDS) == brute.passages(table_docs)
+    assert by_id(QUERIES["op8_repeated_bytes"](spark, sf_dir), *BYTES) == brute.repeated_bytes(table_docs)
+
+
+def made_documents(seed):
+    """Copies, near copies, shared passages in other surroundings, periods, odd white space."""
+    rng = random.Random(seed)
+    vocabulary = ["le", "é", "the", "漢字", "a", "of", "on", "thing", "x" * 30] + [f"w{i}" for i in range(40)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    base, passage = text(160), text(70)
+    docs = {5: base, 3: base, 9: base, 1: None, 2: "", 4: "  \n\t ", 6: "short text"}
+    for k in range(20, 40):
+        words = base.split()
+        words[rng.randrange(len(words))] = "changed"
+        docs[k] = " ".join(words)
+    for k in range(40, 60):
+        docs[k] = text(rng.randrange(30)) + rng.choice(["\n", "  ", " \t"]) + passage + "\n" + text(rng.randrange(30))
+    docs[60] = "ha " * 300
+    docs[61] = "ha " * 120
+    docs[62] = "z" * 700
+    docs[63] = ("line of text again\n") * 40
+    docs[64] = text(1) + " " + "ab" * 200
+    docs[-7] = passage
+    return docs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_made_documents(docs_of, seed):
+    docs = made_documents(seed)
+    frame = docs_of(list(docs.items()))
+    assert by_id(substring_dedup.deduplicated(frame), *WORDS) == brute.passages(docs)
+    assert by_id(repeated_bytes.deduplicated(frame), *BYTES) == brute.repeated_bytes(docs)
+
+
+def test_small_pieces_meet_like_large_ones(docs_of, monkeypatch):
+    docs = made_documents(3)
+    frame = docs_of(list(docs.items()), parts=5)
+    monkeypatch.setattr(substring_dedup, "PIECE", 400)
+    monkeypatch.setattr(repeated_bytes, "PIECE", 400)
+    monkeypatch.setattr(repeated_bytes, "MERGE", 3000)
+    monkeypatch.setattr(repeated_bytes, "SHARD", 700)
+    assert by_id(substring_dedup.deduplicated(frame), *WORDS) == brute.passages(docs)
+    assert by_id(repeated_bytes.deduplicated(frame), *BYTES) == brute.repeated_bytes(docs)
+
+
+def test_empty_table_null_ids_and_repeated_rows(docs_of):
+    base = " ".join(f"w{i}" for i in range(60))
+    for operator in (substring_dedup, repeated_bytes):
+        assert operator.deduplicated(docs_of([])).count() == 0
+        got = operator.deduplicated(docs_of([(None, base), (None, base), (2, base), (1, base), (1, base)])).collect()
+        removed = sorted((r.doc_id is None, r.doc_id or 0, r.n_removed > 0) for r in got)
+        # Rows without id stay whole; the repeated first document loses nothing, the later one all.
+        assert removed == [(False, 1, False), (False, 1, False), (False, 2, True), (True, 0, False), (True, 0, False)]
+
+
+def test_merged_transforms_are_sorted_suffixes():
+    rng = np.random.default_rng(5)
+    shards = [np.append(rng.integers(97, 100, n), 255).astype(np.uint8) for n in (400, 37, 900)]
+    places, parted = repeated_bytes.merge(shards, 20)
+    begins = np.cumsum([0, *map(len, shards)])
+
+    def prefix(place):
+        s = int(np.searchsorted(begins, place, side="right")) - 1
+        return np.roll(shards[s], -(place - begins[s]))[:20].tobytes()
+
+    got = [prefix(p) for p in places]
+    assert sorted(places.tolist()) == list(range(begins[-1])) and got == sorted(got)
+    for i in range(1, len(got)):
+        common = next((n for n in range(20) if got[i][n] != got[i - 1][n]), 20)
+        assert parted[i] == 0 if common == 20 else 0 <= parted[i] - 1 - common < repeated_bytes.STEP
