@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from daybook import storage  # noqa: E402
 from daybook.plans.queries import QUERIES  # noqa: E402
 
 READING = [
@@ -31,7 +32,14 @@ READING = [
     "schema_verdict",
     "completeness_gate",
 ]
-WRITING = ["csv_union_by_name", "kpi_upsert_replace", "daily_run_category"]
+WRITING = [
+    "csv_union_by_name",
+    "kpi_upsert_replace",
+    "kpi_upsert_recompute",
+    "kpi_recompute_after_replace",
+    "stream_order_daily_kpis",
+    "daily_run_category",
+]
 
 
 def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:
@@ -74,6 +82,7 @@ def main() -> None:
             }
         )
     )
+    storage.clean(spark)
     spark.stop()
 
 

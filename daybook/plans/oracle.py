@@ -240,6 +240,11 @@ keys as (
     ),
     "source_counts": _with(COUNTS, select="select * from counts"),
     "non_empty_guard": _with(COUNTS, select="select dataset, source_rows, source_rows > 0 as has_rows from counts"),
+    "quarantine_verdicts": _with(
+        MIXED_FOLDERS,
+        select="""select dataset, folder, case folder when 'unspecified' then 'quarantined' else 'passed' end as status,
+       rows from folders""",
+    ),
     "file_headers": _with(MIXED_FOLDERS, select="select * from folders"),
     "file_headers_scanned": _with(MIXED_FOLDERS, select="select * from folders"),
     "header_columns": _files("select key, array_to_string(found, '|') as names from checked"),
@@ -305,6 +310,11 @@ from per_day""",
         cast(cast(avg_order_value as varchar) as decimal(38,18)) as avg_order_value,
         cast(cast(avg_return_rate as varchar) as decimal(38,18)) as avg_return_rate from category_days"""
     ),
+    "sink_rows_six_digits": """select cast(o_orderkey as decimal(28,0)) as o_orderkey,
+       cast(cast(o_totalprice as decimal(14,2)) * cast('0.000123' as decimal(7,6)) as decimal(24,8)) as share,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000007' as late,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as o_orderdate
+from orders""",
     "sink_rows_orders": _days(
         """select strftime(order_date, '%Y-%m-%d') as order_date,
         cast(total_orders as decimal(28,0)) as total_orders, cast(cast(total_revenue as varchar) as decimal(38,18)) as total_revenue,
@@ -371,6 +381,7 @@ from c_items i join d_orders o on i.order_id = o.order_id group by order_date"""
 union all select * from first_half where order_date not in (select order_date from second_half)""",
     ),
     "kpi_upsert_recompute": _days(),
+    "kpi_recompute_after_replace": _days(),
     "dedup_last_by_key": """select order_id, user_id, created_at, status from (
   select o_orderkey as order_id, o_custkey as user_id, o_orderdate as created_at, o_orderstatus as status,
          row_number() over (partition by o_custkey order by o_orderkey desc) as place from orders)

@@ -182,6 +182,20 @@ def quarantine_split(spark, sf_dir):
     )
 
 
+@query
+def quarantine_verdicts(spark, sf_dir):
+    """Verdicts from a real quarantine write, with the rows of the files they are on."""
+    inventory = _mixed(spark, sf_dir, "quarantine_verdicts")
+    checked = validation.check_headers(files.headers(spark, inventory)).withColumn("gone", F.lit(False))
+    verdicts = daily_run.quarantined(spark, checked, storage.scratch(spark, "quarantine"))
+    rows = _rows_per_file(spark, inventory).select("path", "rows")
+    return (
+        verdicts.join(rows, "path")
+        .groupBy("dataset", _folder(F.col("key")).alias("folder"), "status")
+        .agg(F.sum("rows").alias("rows"))
+    )
+
+
 @query
 def completeness_gate(spark, sf_dir):
     days = gate.completeness_gate(drops.daily_arrivals(spark, sf_dir), "day")
@@ -242,6 +256,15 @@ def sink_rows(spark, sf_dir):
     return C.store_record(category_daily_kpis(spark, sf_dir))
 
 
+@query
+def sink_rows_six_digits(spark, sf_dir):
+    """Numbers and times with more digits than money and seconds have."""
+    orders = testdata.table(spark, sf_dir, "orders")
+    share = (F.col("o_totalprice").cast("decimal(14,2)") * F.lit("0.000123").cast("decimal(7,6)")).cast("decimal(24,8)")
+    late = F.col("o_orderdate") + F.expr("interval 7 microseconds")
+    return C.store_record(orders.select("o_orderkey", share.alias("share"), late.alias("late"), "o_orderdate"))
+
+
 @query
 def sink_rows_orders(spark, sf_dir):
     return C.store_record(order_daily_kpis(spark, sf_dir))
@@ -369,20 +392,31 @@ def kpi_upsert_replace(spark, sf_dir):
     return spark.read.parquet(f"{root}/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
-@query
-def kpi_upsert_recompute(spark, sf_dir):
+LATE = daily_run.Settings(mode="recompute", require_all=False)
+
+
+def _two_runs(spark, sf_dir, name, first):
     """Finished lines with all orders and products in one run, the open lines in a later one."""
-    root = storage.scratch(spark, "kpi_upsert_recompute")
+    root = storage.scratch(spark, name)
     base = drops.write_plain_drop(spark, sf_dir, f"{root}/in", "orders", "products")
     items = testdata.order_items(spark, sf_dir, "l_linestatus")
-    late = daily_run.Settings(mode="recompute", require_all=False)
-    for state in ("F", "O"):
+    for state, run_settings in (("F", first), ("O", LATE)):
         part = items.where(F.col("l_linestatus") == state).drop("l_linestatus")
         csvdata.write_drop(part, f"{base}/order_items/{state}")
-        daily_run.run(spark, base, f"{root}/out", f"run-{state}", late)
+        daily_run.run(spark, base, f"{root}/out", f"run-{state}", run_settings)
     return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
+@query
+def kpi_upsert_recompute(spark, sf_dir):
+    return _two_runs(spark, sf_dir, "kpi_upsert_recompute", LATE)
+
+
+@query
+def kpi_recompute_after_replace(spark, sf_dir):
+    return _two_runs(spark, sf_dir, "kpi_recompute_after_replace", daily_run.Settings())
+
+
 @query
 def dedup_last_by_key(spark, sf_dir):
     return upsert.last_by_key(testdata.orders(spark, sf_dir), ["user_id"], "order_id")
@@ -487,11 +521,10 @@ def stream_order_daily_kpis(spark, sf_dir):
     """Files worked in as they come, some per micro-batch; drained, then asked again."""
     root = storage.scratch(spark, "stream_order_daily_kpis")
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "order_items", "orders")
-    late = daily_run.Settings(mode="recompute", require_all=False)
-    _drain(spark, root, late, 2)
+    _drain(spark, root, LATE, 2)
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
-    _drain(spark, root, late, 1000)
-    _drain(spark, root, late, 1000)
+    _drain(spark, root, LATE, 1000)
+    _drain(spark, root, LATE, 1000)
     return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 

@@ -14,7 +14,7 @@ from daybook.plans.oracle import ORACLE  # noqa: E402
 from daybook.plans.queries import QUERIES  # noqa: E402
 
 # These run whole runs or streams, which the other tests cover.
-LONG = {"kpi_upsert_replace", "kpi_upsert_recompute", "daily_run_category", "stream_order_daily_kpis", "stream_gate"}
+LONG = {"kpi_upsert_replace", "kpi_upsert_recompute", "kpi_recompute_after_replace", "daily_run_category", "stream_order_daily_kpis", "stream_gate"}
 
 
 @pytest.fixture(scope="module")
