@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ STATISTICS = [
     "distinct_lines",
     "log_line_length",
     "short_words",
+    "repeated_neighbours",
 ]
 
 
@@ -113,6 +115,7 @@ def statistics(texts: list[str | None]) -> np.ndarray:
             np.array([len(set(x)) for x in lines]) / np.maximum(n_lines, 1.0),
             np.log1p(some / np.maximum(n_lines, 1.0)),
             np.array([sum(map((4).__gt__, map(len, w))) for w in words]) / held,
+            np.sqrt(np.array([sum(map(eq, w, w[1:])) for w in words]) / held),
         ]
     )
 
