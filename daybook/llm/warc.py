@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook import storage
+from daybook.llm.frames import stored
 
 # The base-32 alphabet of RFC 4648, the profile of revisit records, line ends.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -76,7 +77,8 @@ def records(pages: DataFrame, date: str, least: int = 0) -> DataFrame:
         F.octet_length(html).cast("bigint").alias("payload_bytes"),
         payload_digest(html).alias("payload_digest"),
     )
-    found = originals(sized.select("page_id", "payload_bytes", "payload_digest"), least)
+    # Stored, so that the join rests on plain shuffles and Spark may split a hot payload's part.
+    found = stored(originals(sized.select("page_id", "payload_bytes", "payload_digest"), least), "originals")
     again = F.col("original") > F.col("page_id")
     resolved = sized.join(found, "payload_digest", "left").withColumn("again", F.coalesce(again, F.lit(False)))
 
