@@ -22,7 +22,7 @@ from daybook.llm.frames import pieces, running, tasks
 
 END = 2  # appended to each document
 PIECE = 4 << 20  # bytes of text encoded at once
-KNOWN = 1_000_000  # units whose ids a worker remembers
+KNOWN = 600_000  # units whose ids a worker remembers
 TOGETHER = 1000  # units encoded as one text
 
 _LETTER = np.zeros(256, bool)
