@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 WINDOW = 10  # words
 BLOCK = 4 << 20  # bytes of benchmark text per automaton
@@ -152,9 +152,9 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, size: int
     results. Columns of `docs` with the names of new ones give way.
     """
     rest = docs.select(*[c for c in docs.columns if c not in FOUND and c != "contaminated"])
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields]
-    kinds += [f"{n} {'bigint' if k == pa.int64() else 'array<bigint>'}" for n, k in FOUND.items()]
-    schema = ", ".join(kinds)
+    number, numbers = T.LongType(), T.ArrayType(T.LongType())
+    found = [T.StructField(n, number if k == pa.int64() else numbers) for n, k in FOUND.items()]
+    schema = T.StructType(rest.schema.fields + found)
     blocks = list(blocks_of(benchmark, size)) or [[]]
     for at in range(0, len(blocks), BLOCKS):
         rest = rest.mapInArrow(_scanner(blocks[at : at + BLOCKS], window), schema)

@@ -11,7 +11,7 @@ def docs_of(spark):
     def make(rows, parts=3):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
         frame = spark.createDataFrame(full, SCHEMA).repartition(parts)
-        return frame.selectExpr("*", "'x' as size", "1 as items", "2 as shard", "3 as copies", "4 as spans", "5 as score")
+        return frame.selectExpr("*", "'x' as size", "1 as items", "2 as shard", "3 as copies", "4 as spans", "5 as score", "6 as `odd name`")
 
     return make
 

@@ -23,7 +23,8 @@ def test_held_out_documents(spark, sf_dir):
 
 
 def test_edges(spark, docs_of):
-    docs = docs_of([(1, None), (2, ""), (3, "One line. Another."), (None, "x"), (4, "A!! B!!\n" * 20_000), (3, "One line. Another.")])
+    plain = "One line. Another."
+    docs = docs_of([(1, None), (2, ""), (3, plain), (None, "x"), (4, "A!! B!!\n" * 20_000), (3, plain)])
     labels = lambda rows: spark.createDataFrame(rows, "doc_id bigint, quality int")
     for rows in ([], [(3, 1)], [(3, None), (4, 7)], [(i, i % 2) for i in range(1, 5)] * 3):
         got = quality.scores(docs, labels(rows)).collect()
