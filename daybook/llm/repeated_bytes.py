@@ -23,8 +23,8 @@ from daybook.llm import superkmers as S
 WINDOW = 100  # bytes
 GRAM = 16  # bytes
 PIECE = 2 << 20  # bytes of text a task works on at once
-SHARD = 1 << 20  # bytes sorted at once
-MERGE = 2 << 20  # bytes of shards merged at once, or one minimiser's
+SHARD = 1 << 19  # bytes sorted at once
+MERGE = 1 << 20  # bytes of shards merged at once, or one minimiser's
 STOP = 255  # ends a text in a shard; no byte of UTF-8
 STEP = 8  # symbols a round
 
