@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.llm.frames import pieces, running, tasks
 
 END = 2  # appended to each document
-PIECE = 4 << 20  # bytes of text encoded at once
-KNOWN = 600_000  # units whose ids a worker remembers
+PIECE = 3 << 20  # bytes of text encoded at once
+KNOWN = 800_000  # units whose ids a worker remembers
 TOGETHER = 1000  # units encoded as one text
 
 _LETTER = np.zeros(256, bool)
