@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from daybook.llm import superkmers as S
+from daybook.llm.frames import pieces
 
 WINDOW = 100  # bytes
 GRAM = 16  # bytes
@@ -238,7 +239,7 @@ def _meet(packets, source, place, groups, spans: S.Spans) -> None:
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, "text", PIECE):
         rows = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             data = kept = (text or "").encode("utf-8", "replace")

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from daybook.llm import superkmers as S
+from daybook.llm.frames import pieces
 
 WINDOW = 50  # words
 GRAM = 5  # words
@@ -95,7 +96,7 @@ def _meeter(window: int):
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, "text", PIECE):
         rows = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             words = (text or "").encode("utf-8", "replace").split()
