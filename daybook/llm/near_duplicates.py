@@ -79,6 +79,9 @@ def _links(nodes: np.ndarray, half: int, bit: int) -> tuple[np.ndarray, np.ndarr
     n = len(nodes)
     wild = np.uint64(1 << (bit + HALF * half))
     first, second = [], []
+    # Rows come in the order of signed numbers; look-ups need that of unsigned ones.
+    order = np.argsort(nodes, kind="stable")
+    nodes = nodes[order]
     if n < ENUMERATED:
         for i in range(0, n, BLOCK):
             for j in range(i, n, BLOCK):
@@ -104,7 +107,7 @@ def _links(nodes: np.ndarray, half: int, bit: int) -> tuple[np.ndarray, np.ndarr
                         roots = forest(n, np.concatenate([np.arange(n), met]), np.concatenate([roots, at[met]]))
         first, second = [np.arange(n)], [roots]
     a, b = first[0], second[0]
-    return a[a != b], b[a != b]
+    return order[a[a != b]], order[b[a != b]]
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

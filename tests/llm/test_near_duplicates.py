@@ -69,6 +69,16 @@ def test_links_against_all_pairs(spark, monkeypatch):
     assert link_roots(spark, crowded) == want_groups(crowded)
 
 
+def test_looked_up_links_of_both_signs(spark, monkeypatch):
+    # Many fingerprints with the lower half in common, with and without the top bit.
+    rng = random.Random(12)
+    crowded = [(p & 0xFFFFFFFF) << 32 | 0xABCD1234 for p in close_prints(200, rng)]
+    crowded = list(dict.fromkeys([*crowded, *(p ^ (1 << 63) for p in crowded[:40])]))
+    assert len({p >> 63 for p in crowded}) == 2
+    monkeypatch.setattr(near_duplicates, "ENUMERATED", 20)
+    assert link_roots(spark, crowded) == want_groups(crowded)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 102), (102, 101), (7, 7), (101, 100)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
