@@ -46,6 +46,23 @@ def test_links_come_together(docs_of):
     assert set(docs_of(rows).columns) <= set(out.columns)
 
 
+@pytest.mark.parametrize("size", [2, 3])
+def test_all_rows_are_linked(docs_of, size):
+    # Nearly nothing can make room: other links must.
+    rows = [(i, f"group {i // size}") for i in range(1000 * size)]
+    out = sharding.assigned(docs_of(rows))
+    check_law(out.collect())
+    links = sharding.cut_links(out).first()
+    assert links.links == 1000 and links.cut <= 30
+
+
+def test_a_link_larger_than_a_shard(docs_of):
+    rows = [(i, "hot") for i in range(200)] + [(i, f"t{i}") for i in range(200, 600)]
+    got = sharding.assigned(docs_of(rows)).collect()
+    check_law(got)
+    assert sorted(c for s, c in Counter(r.shard for r in got if r.text == "hot").items()) == [50, 75, 75]
+
+
 def test_a_third_of_all_rows_is_one_text(docs_of):
     rows = [(i, "hot") for i in range(200)] + [(i, f"t{i}") for i in range(200, 600)]
     got = sharding.assigned(docs_of(rows)).collect()
