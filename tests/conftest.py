@@ -1,4 +1,3 @@
-import contextlib
 import os
 import sys
 import tempfile
@@ -31,19 +30,6 @@ def sf_dir():
     return "/root/testdata/sf0.001"
 
 
-@contextlib.contextmanager
-def configured(spark, confs):
-    """Settings for a while; what they were before comes back."""
-    before = {name: spark.conf.get(name, None) for name in confs}
-    try:
-        for name, value in confs.items():
-            spark.conf.set(name, value)
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 class Drop:
     """A folder with the three dataset folders, filled file by file."""
 

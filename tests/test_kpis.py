@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import configured
+from session_confs import configured
 from daybook.operators import kpis, sales
 
 ORDERS = "order_id bigint, user_id bigint, created_at string, status string"
