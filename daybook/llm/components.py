@@ -17,7 +17,7 @@ def _large(edges: DataFrame) -> DataFrame:
 
 def _small(edges: DataFrame) -> DataFrame:
     """Links each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("__least"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("__least")), "least")
     own = least.select("a", F.col("__least").alias("b"))
     others = edges.join(least, "a").where("b <> __least").select(F.col("b").alias("a"), F.col("__least").alias("b"))
     return own.unionByName(others)

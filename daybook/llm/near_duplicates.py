@@ -15,10 +15,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from daybook.llm.components import components
-from daybook.llm.frames import stored, tasks
+from daybook.llm.frames import identified, stored, tasks
 
 SHINGLE = 3  # words
 SEED = 42
@@ -48,13 +48,14 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made)], names=["doc_id", "fingerprint"])
+        yield batch.drop_columns(["text"]).append_column("fingerprint", pa.array(made))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint) of `docs` (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, fingerprint bigint")
+def fingerprints(docs: DataFrame, *marks: str) -> DataFrame:
+    """(doc_id, marks, fingerprint) of `docs` (doc_id, text, marks)."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *marks, "text")
+    made = T.StructType([f for f in rows.schema if f.name != "text"]).add("fingerprint", T.LongType())
+    return rows.mapInArrow(_fingerprints, made)
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -158,6 +159,18 @@ def signatures(nodes: DataFrame) -> DataFrame:
     return nodes.select("fingerprint", place).select(F.expr(key).alias("key"), "fingerprint")
 
 
+def _members(made: DataFrame) -> DataFrame:
+    """(fingerprint, root, least) of each different fingerprint of `made`: the fingerprint that
+    names its component, and the smallest doc_id that has it."""
+    nodes = stored(made.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
+    spark = made.sparkSession
+    keyed = signatures(nodes).repartition(tasks(spark), "key").sortWithinPartitions("key", "fingerprint")
+    links = keyed.mapInArrow(_verified, "a bigint, b bigint")
+    found = stored(components(links), "components")
+    root = F.coalesce("root", "fingerprint").alias("root")
+    return nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", root, "least")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) of `docs` (doc_id, text).
 
@@ -165,25 +178,22 @@ def groups(docs: DataFrame) -> DataFrame:
     reachable. Empty and NULL texts have fingerprint 0 and link like any other. A NULL doc_id
     takes part but names no component unless alone; repeated rows get equal results.
     """
-    spark = docs.sparkSession
     made = stored(fingerprints(docs), "fingerprints")
-    nodes = stored(made.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "nodes")
-    keyed = signatures(nodes).repartition(tasks(spark), "key").sortWithinPartitions("key", "fingerprint")
-    links = keyed.mapInArrow(_verified, "a bigint, b bigint")
-    found = stored(components(links), "components")
-    member = nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    member = _members(made)
     roots = member.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = member.join(roots, "root").select(F.col("fingerprint").alias("__node"), "component_id")
     return made.join(labels, F.col("fingerprint") == F.col("__node")).select("doc_id", "fingerprint", "component_id")
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """One row of each group: that of the doc_id which names it.
-
-    Rows that repeat a doc_id are one document. Rows without doc_id stay.
-    """
-    chosen = groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group of `groups`, with all columns: that of the smallest doc_id, the first
+    by its place in the files where rows share it. Rows without doc_id are taken last."""
+    own = identified(docs.select("doc_id", "text", F.struct(*docs.columns).alias("__own")))
+    marks = ["__file", "__place"]
+    made = stored(fingerprints(own, *marks), "fingerprints")
+    # One row per fingerprint first, so that many copies of a text meet as one row per task.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *marks)
+    first = made.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    root = _members(made).select(F.col("fingerprint").alias("__node"), "root")
+    kept = first.join(root, F.col("fingerprint") == F.col("__node")).groupBy("root").agg(F.min("first").alias("first"))
+    return own.join(kept.select("first.__file", "first.__place"), marks, "left_semi").select("__own.*")

@@ -79,3 +79,7 @@ def tokens(docs, tokenizer, end=2):
         out.append((k, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     return out
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(type(v)), v) for v in r))

@@ -19,7 +19,3 @@ def docs_of(spark):
 @pytest.fixture(scope="session")
 def table_docs(spark, sf_dir):
     return {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-
-
-def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(type(v)), v) for v in r))

@@ -20,13 +20,23 @@ def test_edges(docs_of):
     got = sorted(((r.doc_id, r.component_id) for r in near_duplicates.groups(docs_of(rows)).collect()), key=str)
     assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (6, 6), (None, 4)]
     assert near_duplicates.groups(docs_of([])).count() == 0
-    kept = near_duplicates.representatives(docs_of(rows))
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 4, 6, None]
-    assert kept.columns == docs_of(rows).columns
     long = " ".join(f"w{i}" for i in range(300_000))
     assert near_duplicates.fingerprint(long) == brute.fingerprint(long)
 
 
+def test_one_of_each(docs_of):
+    a, b, c = "One two three four", "Quite another text of words", "Third one here"
+    rows = [(None, a), (None, a), (2, b), (5, b.upper()), (None, b), (7, c), (7, a + " and much that is new here"), (7, c)]
+    docs = docs_of(rows)
+    kept = near_duplicates.one_of_each(docs)
+    # A row for each group, also where doc_ids are NULL or shared by different texts.
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(None, a), (2, b), (7, c), (7, a + " and much that is new here")], key=str
+    )
+    assert kept.columns == docs.columns
+    assert near_duplicates.one_of_each(docs_of([])).count() == 0
+
+
 def close_prints(n, rng):
     """Chains and clusters of fingerprints at distances around the limit."""
     out = [rng.getrandbits(64) for _ in range(n // 4)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import brute
-from conftest import rows_of
+from brute import rows_of
 from daybook.llm import token_files
 from daybook.llm.queries import QUERIES
 

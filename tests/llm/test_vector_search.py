@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from conftest import rows_of
+from brute import rows_of
 from daybook.llm import vector_search
 from daybook.llm.vector_search import integers, top
 

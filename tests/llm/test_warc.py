@@ -3,7 +3,7 @@ import gzip
 import hashlib
 import os
 
-from conftest import rows_of
+from brute import rows_of
 from daybook.llm import warc
 
 FIELDS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
