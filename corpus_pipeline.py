@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import decontamination, mixing, near_copies, quality, sharding
+from daybook.llm import decontamination, mixing, near_duplicates, quality, sharding
 from daybook.llm.frames import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,8 +23,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (shingles of five words, similarity of 0.8)."""
-    return near_copies.one_of_each(docs)
+    """One document of each SimHash group (shingles of three words, at most three bits apart)."""
+    return near_duplicates.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
