@@ -92,3 +92,71 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+# The parse row by row: the best way to each of the four stack tops, from the best ways before.
+ORACLE["op11_conversation_repair"] = r"""
+WITH RECURSIVE plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+), bits AS (
+  SELECT *, flatten(list_transform(string_split(key, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])) AS ops FROM plain
+), hashed AS (
+  SELECT *, xor(list_reduce(ops, lambda c, o: CASE WHEN o >= 0 THEN xor(c, o)
+    ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END, 4294967295::BIGINT), 4294967295) % 20 AS fault FROM bits
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 0 THEN 0 WHEN fault = 3 THEN 2 ELSE 1 END))
+  FROM hashed
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged
+), judged AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+  FROM numbered
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) AS n,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (i > 1 AND (before || initial) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM judged) GROUP BY conv_id
+), inserts(top, reached, k, audit, lines) AS (
+  VALUES ('', '', 0, '', ''), ('', 'u', 1, 'I', E'user:\n'), ('', 'a', 2, 'II', E'user:\nassistant:\n'),
+    ('s', 's', 0, '', ''), ('s', 'u', 1, 'I', E'user:\n'), ('s', 'a', 2, 'II', E'user:\nassistant:\n'),
+    ('u', 'u', 0, '', ''), ('u', 'a', 1, 'I', E'assistant:\n'), ('a', 'a', 0, '', ''), ('a', 'u', 1, 'I', E'user:\n')
+), edits(letter, price) AS (
+  VALUES ('D', 2), ('K', 0), ('R', 1)
+), parse(conv_id, i, top, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '', 0::BIGINT, '', '' FROM judged
+  UNION ALL
+  SELECT conv_id, i, top, cost, audit, lines FROM (
+    SELECT conv_id, i, top, cost, audit, lines, row_number() OVER (PARTITION BY conv_id, top ORDER BY cost, audit) AS place FROM (
+      SELECT p.conv_id, r.i,
+        CASE WHEN e.letter = 'D' THEN s.reached WHEN e.letter = 'K' THEN r.initial WHEN s.reached = 'u' THEN 'a' ELSE 'u' END AS top,
+        p.cost + 5 * s.k + e.price + CASE WHEN e.letter <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+        p.audit || s.audit || e.letter AS audit,
+        p.lines || s.lines || CASE WHEN e.letter = 'D' THEN '' ELSE
+          CASE WHEN e.letter = 'K' THEN r.role WHEN s.reached = 'u' THEN 'assistant' ELSE 'user' END || ':' || r.text || chr(10) END AS lines
+      FROM parse p JOIN judged r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1 JOIN inserts s ON s.top = p.top CROSS JOIN edits e
+      WHERE e.letter = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (e.letter = 'R'
+        OR (r.initial = 's' AND s.reached = '') OR r.initial = CASE WHEN s.reached = 'u' THEN 'a' ELSE 'u' END))
+    )
+  ) WHERE place = 1
+), ended AS (
+  SELECT p.conv_id, p.cost + 5 * s.k AS cost, p.audit || s.audit AS audit, p.lines || s.lines AS lines,
+    row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + 5 * s.k, p.audit || s.audit) AS place
+  FROM parse p JOIN counted c ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.n JOIN inserts s ON s.top = p.top
+  WHERE s.reached = 'a' OR s.reached = ''
+), best AS (
+  SELECT c.*, e.cost, e.audit, e.lines FROM counted c JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.place = 1
+)
+SELECT o.conv_id, coalesce(b.gaps, 0)::BIGINT AS gaps, coalesce(b.blank, 0)::BIGINT AS blank,
+  coalesce(b.duplicate, 0)::BIGINT AS duplicate, coalesce(b.truncated, 0)::BIGINT AS truncated,
+  coalesce(b.illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost, coalesce(b.audit, '') AS audit,
+  sha256(regexp_replace(coalesce(b.lines, ''), '\n$', '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+"""

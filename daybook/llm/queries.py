@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook import storage
 from daybook.llm import (
+    conversations,
     decontamination,
     mixing,
     near_duplicates,
@@ -109,3 +110,10 @@ def op8_repeated_bytes(spark, sf_dir):
 def op4_quality_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.scores(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.repaired(conversations.damaged(rows))
+    return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")

@@ -83,3 +83,92 @@ def tokens(docs, tokenizer, end=2):
 
 def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(type(v)), v) for v in r))
+
+
+def damaged_turns(rows):
+    """{conv_id: [(turn, role, text)]} of op11, in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        fault = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if fault == 4:
+            role = "user"
+        out.setdefault(conv, []).extend([(turn, role, text)] * {0: 0, 3: 2}.get(fault, 1))
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())
+    return {k: sorted(v, key=order) for k, v in out.items()}
+
+
+def turn_faults(rows):
+    """The first fault of each row: blank, duplicate, truncated or None."""
+    seen, out = set(), []
+    for _, role, text in rows:
+        end = text.rstrip(" \t\n\x0b\x0c\r")[-1:]
+        out.append("blank" if not end else "duplicate" if (role, text) in seen else None if end in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def _role_edits(state, role, fault):
+    """(letter, cost, state after, role or None) for a row; states: '', 's', 'u', 'a'."""
+    yield "D", 2, state, None
+    if fault in ("blank", "duplicate"):
+        return
+    more = 5 if fault else 0
+    want, name = ("a", "assistant") if state == "u" else ("u", "user")
+    if role[:1] == want or (role[:1] == "s" and not state):
+        yield "K", more, role[:1], role
+    yield "R", 1 + more, want, name
+
+
+def all_repairs(rows, most=4):
+    """(cost, audit, repaired) of every way to repair a few rows with up to `most` inserted turns."""
+    faults = turn_faults(rows)
+
+    def walk(i, state, left):
+        if i == len(rows) and state in ("", "a"):
+            yield 0, "", ()
+        if left:
+            own = ("a", "assistant") if state == "u" else ("u", "user")
+            for cost, audit, lines in walk(i, own[0], left - 1):
+                yield cost + 5, "I" + audit, (f"{own[1]}:", *lines)
+        if i < len(rows):
+            _, role, text = rows[i]
+            for letter, more, after, name in _role_edits(state, role, faults[i]):
+                for cost, audit, lines in walk(i + 1, after, left):
+                    yield cost + more, letter + audit, ((f"{name}:{text}",) if name is not None else ()) + lines
+
+    return walk(0, "", most)
+
+
+def repair(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, repaired) of one conversation."""
+    faults = turn_faults(rows)
+    best = {"": (0, "", ())}
+
+    def inserted():
+        for _ in range(2):
+            for state, (cost, audit, lines) in list(best.items()):
+                own = ("a", "assistant") if state == "u" else ("u", "user")
+                found = (cost + 5, audit + "I", (*lines, f"{own[1]}:"))
+                best[own[0]] = min(best.get(own[0], found), found)
+
+    for (_, role, text), fault in zip(rows, faults):
+        inserted()
+        new = {}
+        for state, (cost, audit, lines) in best.items():
+            for letter, more, after, name in _role_edits(state, role, fault):
+                found = (cost + more, audit + letter, (*lines, f"{name}:{text}") if name is not None else lines)
+                new[after] = min(new.get(after, found), found)
+        best = new
+    inserted()
+    cost, audit, lines = min(best[s] for s in ("", "a") if s in best)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    pairs = [a[1][:1] + b[1][:1] for a, b in zip(rows, rows[1:])]
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return gaps, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, "\n".join(lines)
