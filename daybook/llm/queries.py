@@ -13,6 +13,7 @@ from daybook.llm import (
     decontamination,
     mixing,
     near_duplicates,
+    projected_search,
     quality,
     repeated_bytes,
     sharding,
@@ -117,3 +118,9 @@ def op11_conversation_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     found = conversations.repaired(conversations.damaged(rows))
     return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
+@query
+def op12_projected_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return projected_search.search(vectors, "vec_id % 100 = 0")
