@@ -18,6 +18,7 @@ from daybook.llm import (
     repeated_bytes,
     sharding,
     substring_dedup,
+    token_alignment,
     token_files,
     vector_search,
     warc,
@@ -124,3 +125,10 @@ def op11_conversation_repair(spark, sf_dir):
 def op12_projected_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return projected_search.search(vectors, "vec_id % 100 = 0")
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.aligned(docs, a, b)[0]

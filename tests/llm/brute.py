@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -172,3 +173,51 @@ def repair(rows):
     pairs = [a[1][:1] + b[1][:1] for a, b in zip(rows, rows[1:])]
     counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
     return gaps, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, "\n".join(lines)
+
+
+def aligned(texts, a_of, b_of):
+    """[(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)] of op13, from functions
+    that give the (id, bytes) of a text's tokens."""
+    links, groups = [], []
+    for text in texts:
+        a, b = (a_of(text), b_of(text)) if text else ([], [])
+        whole = (" " + (text or "")).encode()
+        if b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            a = b = []
+
+        def ranges(tokens):
+            at, out = 0, []
+            for i, piece in tokens:
+                out.append((i, at, at + len(piece)))
+                at += len(piece)
+            return out
+
+        a, b = ranges(a), ranges(b)
+        own, first = [], 0
+        for i, begin, end in a:
+            while first < len(b) and b[first][2] <= begin:
+                first += 1
+            own += [(i, j) for j, x, y in b[first : first + end - begin + 1] if x < end and y > begin]
+        links.append(own)
+        both = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        parts = []
+        sides = [iter(a), iter(b)]
+        for cut in both:
+            ids = []
+            for side in sides:
+                held = []
+                for i, _, end in side:
+                    held.append(str(i))
+                    if end == cut:
+                        break
+                ids.append(",".join(held))
+            parts.append("|".join(ids))
+        groups.append((len(a), len(b), len(parts), sha(";".join(parts).encode()) if parts else ""))
+    counts = Counter(pair for own in links for pair in own)
+    most = {}
+    for (_, j), n in counts.items():
+        most[j] = max(most.get(j, 0), n)
+    return [
+        (na, nb, ng, len(own), sum(counts[p] == most[p[1]] for p in own), sum(counts[p] for p in own), digest)
+        for own, (na, nb, ng, digest) in zip(links, groups)
+    ]
