@@ -263,10 +263,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     before in the same document) are removed; `kept` (binary, as a cut may part a character) has
     the others. Strings are judged on the input and never cross documents. NULL is empty; rows
     without doc_id are left as they are and compared with none; rows that repeat a document get
-    equal results.
+    equal results. Different texts under one doc_id are documents of their own, in an order without
+    meaning.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = S.marked(docs)
     spans = S.repeated_spans(rows, _cut, _meet, PIECE, within=True)
-    return rows.join(spans, "doc_id", "left").mapInArrow(
+    return rows.join(spans, ["doc_id", "mark"], "left").mapInArrow(
         _keep, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )

@@ -87,7 +87,7 @@ def _meeter(window: int):
                 first[text][i] = smallest
             for text, stands in where.items():
                 for doc, at in stands:
-                    repeated = np.flatnonzero(first[text] < doc)
+                    repeated = np.flatnonzero(spans.docs.ids[first[text]] < spans.docs.ids[doc])
                     for run in np.split(repeated, np.flatnonzero(np.diff(repeated) > 1) + 1):
                         if len(run):
                             spans.add(doc, at + int(run[0]), at + int(run[-1]) + window)
@@ -120,10 +120,11 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     Words covered by a window that also starts in a document with a smaller doc_id are removed;
     `kept` has the others, one space apart. Windows are judged on the input. NULL has no words;
     texts shorter than a window lose none. Rows without doc_id are left as they are and compared
-    with none; rows that repeat a document get equal results.
+    with none; rows that repeat a document get equal results. Different texts under one doc_id are
+    compared with those of other doc_ids only.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = S.marked(docs)
     spans = S.repeated_spans(rows, _cutter(window, gram), _meeter(window), PIECE, within=False)
-    return rows.join(spans, "doc_id", "left").mapInArrow(
+    return rows.join(spans, ["doc_id", "mark"], "left").mapInArrow(
         _keep, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
     )

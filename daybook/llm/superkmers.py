@@ -21,11 +21,11 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.frames import pieces, tasks
+from daybook.llm.frames import pieces, stored, tasks, text_of
 
 BUCKETS = 1  # per task
 LEVEL = 6  # of compression
-SPANS = "doc_id bigint, begins array<bigint>, ends array<bigint>"
+SPANS = "doc_id bigint, mark bigint, begins array<bigint>, ends array<bigint>"
 PACKETS = "bucket int, payload binary, " + SPANS
 
 
@@ -64,9 +64,22 @@ def runs_of(grams: np.ndarray, group: np.ndarray, window: int, gram: int) -> tup
     return firsts, ends - firsts, (least[firsts] >> np.uint64(32)).astype(np.uint32)
 
 
+class Documents:
+    """The different documents of a piece or bucket in order of (doc_id, mark). The places of rows
+    in this order stand for their documents."""
+
+    def __init__(self, ids: np.ndarray, marks: np.ndarray):
+        order = np.lexsort((marks, ids))
+        first = np.ones(len(order), bool)
+        first[1:] = (np.diff(ids[order]) != 0) | (np.diff(marks[order]) != 0)
+        self.places = np.empty(len(order), np.int64)
+        self.places[order] = np.cumsum(first) - 1
+        self.ids, self.marks = ids[order[first]], marks[order[first]]
+
+
 @dataclass
 class Runs:
-    """Runs of one piece or bucket. `at` is the first window's place in its document."""
+    """Runs of one piece. `doc` is the document's place there, `at` that of the first window in it."""
 
     gram: np.ndarray
     doc: np.ndarray
@@ -74,13 +87,14 @@ class Runs:
     windows: np.ndarray
     texts: list[bytes]
 
-    def pack(self, order: np.ndarray) -> bytes:
+    def pack(self, order: np.ndarray, docs: Documents) -> bytes:
         texts = [self.texts[i] for i in order]
-        doc = self.doc[order]
+        doc = docs.ids[self.doc[order]]
         parts = [
             struct.pack("<I", len(order)),
             self.gram[order].astype("<u4").tobytes(),
             np.diff(doc, prepend=np.int64(0)).astype("<i8").tobytes(),
+            docs.marks[self.doc[order]].astype("<i8").tobytes(),
             self.at[order].astype("<u4").tobytes(),
             self.windows[order].astype("<u2").tobytes(),
             # Of bytes it is always the same, which packs to nothing.
@@ -91,7 +105,9 @@ class Runs:
 
 
 class Packet:
-    """A packed bucket of one piece; texts are cut out on demand."""
+    """A packed bucket of one piece; texts are cut out on demand. `doc` is given by `Documents`."""
+
+    doc: np.ndarray
 
     def __init__(self, payload: bytes):
         raw = zstandard.ZstdDecompressor().decompress(payload)
@@ -105,7 +121,8 @@ class Packet:
             return made
 
         self.gram = take("<u4")
-        self.doc = np.cumsum(take("<i8"))
+        self.id = np.cumsum(take("<i8"))
+        self.mark = take("<i8")
         self.at = take("<u4").astype(np.int64)
         self.windows = take("<u2").astype(np.int64)
         sizes = take("<u4").astype(np.int64) + self.windows
@@ -120,7 +137,8 @@ class Packet:
 class Spans:
     """Ranges by document, joined where they touch, as record batches."""
 
-    def __init__(self):
+    def __init__(self, docs: Documents):
+        self.docs = docs
         self.found: dict[int, list[tuple[int, int]]] = {}
 
     def add(self, doc: int, begin: int, end: int) -> None:
@@ -136,13 +154,14 @@ class Spans:
         longs = pa.list_(pa.int64())
         none = [None] * len(packets or ())
         columns = [
-            pa.array(docs + none, pa.int64()),
+            pa.array(self.docs.ids[docs].tolist() + none, pa.int64()),
+            pa.array(self.docs.marks[docs].tolist() + none, pa.int64()),
             pa.array([[a for a, _ in self.found[d]] for d in docs] + none, longs),
             pa.array([[b for _, b in self.found[d]] for d in docs] + none, longs),
         ]
-        names = ["doc_id", "begins", "ends"]
+        names = ["doc_id", "mark", "begins", "ends"]
         if packets is not None:
-            own = [hash(d) % (1 << 20) for d in docs]
+            own = [hash(d) % (1 << 20) for d in self.docs.ids[docs].tolist()]
             columns = [
                 pa.array(own + [b for b, _ in packets], pa.int32()),
                 pa.array([None] * len(docs) + [p for _, p in packets], pa.binary()),
@@ -159,13 +178,14 @@ Meet = Callable[[list[Packet], np.ndarray, np.ndarray, np.ndarray, Spans], None]
 def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", piece):
-            batch = batch.sort_by("doc_id")
-            docs = batch.column("doc_id").to_numpy()
+            batch = batch.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
+            docs = Documents(batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy())
+            ids = docs.ids.tolist()
             runs, window = cut([(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()])
-            runs.doc = docs[runs.doc]
+            runs.doc = docs.places[runs.doc]
             first: dict[bytes, int] = {}
             seen: set[tuple[int, int]] = set()
-            spans, kept = Spans(), []
+            spans, kept = Spans(docs), []
             for i, (text, doc, at, n) in enumerate(
                 zip(runs.texts, runs.doc.tolist(), runs.at.tolist(), runs.windows.tolist())
             ):
@@ -173,8 +193,9 @@ def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
                 if before == i:
                     kept.append(i)
                     continue
-                # Documents come in the order of their ids, so an equal run seen before is smaller.
-                own = int(runs.doc[before]) == doc
+                # Documents come in order, so an equal run seen before is smaller.
+                first_doc = int(runs.doc[before])
+                own = first_doc == doc if within else ids[first_doc] == ids[doc]
                 if not own or (within and int(runs.at[before]) != at):
                     spans.add(doc, at, at + n - 1 + window)
                 elif not within and (doc, at) not in seen:
@@ -185,7 +206,7 @@ def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
             order = np.argsort(bucket, kind="stable")
             bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
             packets = [
-                (int(bucket[order[a]]), runs.pack(chosen[order[a:b]])) for a, b in zip(bounds, bounds[1:])
+                (int(bucket[order[a]]), runs.pack(chosen[order[a:b]], docs)) for a, b in zip(bounds, bounds[1:])
             ]
             yield spans.batch(packets)
 
@@ -194,11 +215,14 @@ def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
 
 def _reducer(meet: Meet, within: bool) -> Callable:
     def work(packets: list[Packet]) -> pa.RecordBatch:
-        spans = Spans()
+        docs = Documents(*(np.concatenate([getattr(p, n) for p in packets]) for n in ("id", "mark")))
+        spans = Spans(docs)
+        for packet, doc in zip(packets, np.split(docs.places, np.cumsum([len(p.id) for p in packets])[:-1])):
+            packet.doc = doc
         gram = np.concatenate([p.gram for p in packets])
         source = np.repeat(np.arange(len(packets)), [len(p.gram) for p in packets])
         place = np.concatenate([np.arange(len(p.gram)) for p in packets])
-        doc = np.concatenate([p.doc for p in packets])
+        doc = docs.places
         order = np.lexsort((doc, gram))
         edges = np.flatnonzero(np.diff(gram[order])) + 1
         bounds = np.concatenate([[0], edges, [len(order)]])
@@ -214,7 +238,7 @@ def _reducer(meet: Meet, within: bool) -> Callable:
         now, held = None, []
         for batch in batches:
             known = batch.column("payload").is_null()
-            yield batch.filter(known).select(["doc_id", "begins", "ends"])
+            yield batch.filter(known).select(["doc_id", "mark", "begins", "ends"])
             rest = batch.filter(pc.invert(known))
             for bucket, payload in zip(rest.column("bucket").to_pylist(), rest.column("payload")):
                 if bucket != now and held:
@@ -228,17 +252,30 @@ def _reducer(meet: Meet, within: bool) -> Callable:
     return run
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, text) of `docs` (doc_id, text): documents that share a doc_id but differ in
+    their texts have different marks; where a doc_id has one text, the mark is 0."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    text = F.xxhash64(text_of())
+    shared = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    # None, in most tables: Spark then broadcasts it, and no text is shuffled.
+    several = stored(shared.where("low <> high").select("doc_id", F.lit(True).alias("__several")), "shared")
+    mark = F.when(F.col("__several"), text).otherwise(F.lit(0).cast("bigint")).alias("mark")
+    return rows.join(several, "doc_id", "left").select("doc_id", mark, "text")
+
+
 def repeated_spans(docs: DataFrame, cut: Cut, meet: Meet, piece: int, within: bool) -> DataFrame:
-    """(doc_id, spans): the ranges of repeated windows of `docs` (doc_id, text), by document.
+    """(doc_id, mark, spans): the ranges of repeated windows of `docs` (see `marked`), by document.
 
     `cut` makes the runs of a piece of text; `meet` works out which windows of a bucket repeat.
     With `within`, a window may repeat inside its own document.
     """
     n = tasks(docs.sparkSession)
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    rows = docs.where(F.col("doc_id").isNotNull())
     packets = rows.mapInArrow(_mapper(cut, piece, n * BUCKETS, within), PACKETS)
     met = packets.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_reducer(meet, within), SPANS)
-    return met.groupBy("doc_id").agg(F.flatten(F.collect_list(F.arrays_zip("begins", "ends"))).alias("spans"))
+    spans = F.flatten(F.collect_list(F.arrays_zip("begins", "ends"))).alias("spans")
+    return met.groupBy("doc_id", "mark").agg(spans)
 
 
 def merged(spans, size: int) -> np.ndarray:

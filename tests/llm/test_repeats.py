@@ -74,6 +74,31 @@ def test_empty_table_null_ids_and_repeated_rows(docs_of):
         assert removed == [(False, 1, False), (False, 1, False), (False, 2, True), (True, 0, False), (True, 0, False)]
 
 
+def test_texts_that_share_a_doc_id(docs_of, spark):
+    """Only what repeats goes, whatever another text of that doc_id repeats."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"unlike{i}" for i in range(80))
+    rows = [(1, passage), (5, passage + " and more"), (5, other), (5, other), (9, other)]
+    words, data = (
+        {(r.doc_id, r[total], r.n_removed) for r in operator.deduplicated(docs_of(rows)).collect()}
+        for operator, total in ((substring_dedup, "n_words"), (repeated_bytes, "n_bytes"))
+    )
+    assert words == {(1, 60, 0), (5, 62, 60), (5, 80, 0), (9, 80, 80)}
+    size = len(passage)
+    assert data == {(1, size, 0), (5, size + 9, size), (5, len(other), 0), (9, len(other), len(other))}
+    # With more such doc_ids than a broadcast takes.
+    many = [(k, f"{passage} {k}") for k in range(40)] + [(k, f"{other} {k}") for k in range(40)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = substring_dedup.deduplicated(docs_of(many)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == sorted(
+        (k, n + 1, n * (k > 0)) for k in range(40) for n in (60, 80)
+    )
+
+
 def test_merged_transforms_are_sorted_suffixes():
     rng = np.random.default_rng(5)
     shards = [np.append(rng.integers(97, 100, n), 255).astype(np.uint8) for n in (400, 37, 900)]
