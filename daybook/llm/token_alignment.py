@@ -52,6 +52,27 @@ class Tokenizers(NamedTuple):
     a_sizes: np.ndarray
     b_sizes: np.ndarray
 
+    def spells(self, ids: np.ndarray, whole: np.ndarray, first: bool) -> bool:
+        """Whether the bytes of A's (or B's) ids, one after the other, are those given."""
+        flat, begins = _flat(self, first)
+        sizes = (self.a_sizes if first else self.b_sizes)[ids]
+        if int(sizes.sum()) != len(whole):
+            return False
+        places = np.arange(len(whole)) + np.repeat(begins[ids] - (np.cumsum(sizes) - sizes), sizes)
+        return bool((flat[places] == whole).all())
+
+
+_FLAT: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _flat(both: Tokenizers, first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids in one array, and where each id's begin."""
+    key = id(both.a), first
+    if key not in _FLAT:
+        tokens, sizes = (both.a_bytes, both.a_sizes) if first else (both.b_bytes, both.b_sizes)
+        _FLAT[key] = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes
+    return _FLAT[key]
+
 
 @cache
 def tokenizers(a_path: str, b_path: str) -> Tokenizers:
@@ -83,11 +104,10 @@ def encoded(text: str | None, both: Tokenizers) -> tuple[np.ndarray, np.ndarray]
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not text:
         return none
-    a, b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text, num_threads=1)
-    whole = (" " + text).encode()
-    if b"".join([both.a_bytes[i] for i in a]) != whole or b"".join([both.b_bytes[i] for i in b]) != whole:
-        return none
-    return np.array(a, np.int64), np.array(b, np.int64)
+    a = np.array(both.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+    b = np.array(both.b.encode(text, num_threads=1), np.int64)
+    whole = np.frombuffer((" " + text).encode(), np.uint8)
+    return (a, b) if both.spells(a, whole, True) and both.spells(b, whole, False) else none
 
 
 def cuts(a_ends: np.ndarray, b_ends: np.ndarray, work: int = WORK) -> np.ndarray:
@@ -290,42 +310,46 @@ def pair_counts(pieces: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame,
 # ---- documents -----------------------------------------------------------------------------
 
 
+@cache
+def _names(size: int) -> list[str]:
+    """Decimal ids with what follows them: `,` or `|` after one of A, `,` or `;` after one of B."""
+    return [f"{i}{end}" for end in ",|;" for i in range(size)]
+
+
 class Stitcher:
     """Writes the groups of one text, piece by piece, as `a1,a2|b1;a3|b2,b3`."""
 
     def __init__(self):
-        self.a: list[str] = []
-        self.b: list[str] = []
-        self.groups = 0
+        self.a = self.b = np.zeros(0, np.int64)
+        self.held = ""
         self.digest = hashlib.sha256()
 
-    def add(self, a: list[str], b: list[str], a_cut: list[int], b_cut: list[int]) -> list[str]:
-        """Takes a piece's tokens; gives the groups that end in it."""
-        done, i, j = [], 0, 0
-        for k, m in zip(a_cut, b_cut):
-            if self.a or self.b:
-                done.append(",".join(self.a + a[i:k]) + "|" + ",".join(self.b + b[j:m]))
-                self.a, self.b = [], []
-            else:
-                done.append(",".join(a[i:k]) + "|" + ",".join(b[j:m]))
-            i, j = k, m
-        self.a += a[i:]
-        self.b += b[j:]
-        if done:
-            self.digest.update(((";" if self.groups else "") + ";".join(done)).encode())
-            self.groups += len(done)
-        return done
-
-
-@cache
-def _names(n: int) -> list[str]:
-    return [str(i) for i in range(n)]
-
-
-def _listed(piece: Piece, found: Overlaps) -> tuple[list[str], list[str], list[int], list[int]]:
-    names = _names(int(max(piece.a.max(initial=0), piece.b.max(initial=0))) // 50_000 * 50_000 + 50_000)
-    a, b = [names[i] for i in piece.a.tolist()], [names[i] for i in piece.b.tolist()]
-    return a, b, found.a_cut.tolist(), found.b_cut.tolist()
+    def add(self, piece: Piece, found: Overlaps) -> None:
+        """Takes a piece's tokens; those behind its last cut wait for the next piece."""
+        a, b = np.concatenate([self.a, piece.a]), np.concatenate([self.b, piece.b])
+        a_cut, b_cut = found.a_cut + len(self.a), found.b_cut + len(self.b)
+        if not len(a_cut):
+            self.a, self.b = a, b
+            return
+        n, m = int(a_cut[-1]), int(b_cut[-1])
+        self.a, self.b = a[n:], b[m:]
+        # A group's A tokens come behind the B tokens of the groups before, its B tokens behind its A tokens.
+        a_group = np.searchsorted(a_cut, np.arange(n), "right")
+        b_group = np.searchsorted(b_cut, np.arange(m), "right")
+        size = 1 << int(max(a[:n].max(), b[:m].max(), 1)).bit_length()
+        named = np.empty(n + m, np.int64)
+        a_place = np.arange(n) + np.concatenate([[0], b_cut])[a_group]
+        b_place = np.arange(m) + a_cut[b_group]
+        named[a_place], named[b_place] = a[:n], b[:m]
+        named[a_place[a_cut - 1]] += size
+        named[b_place[b_cut - 1]] += 2 * size
+        names = _names(size)
+        text = self.held + "".join([names[i] for i in named.tolist()])
+        self.digest.update(text[:-1].encode())
+        self.held = ";"
+
+    def hexdigest(self) -> str:
+        return self.digest.hexdigest()
 
 
 SCORED = (
@@ -354,8 +378,8 @@ def _scorer(a_path: str, b_path: str):
             sha, tokens = None, row["tokens"]
             if row["pieces"] == 1:
                 whole = Stitcher()
-                whole.add(*_listed(piece, found))
-                sha, tokens = whole.digest.hexdigest() if len(piece.a) else "", None
+                whole.add(piece, found)
+                sha, tokens = whole.hexdigest() if len(piece.a) else "", None
             rows.append(
                 (row["row"], row["doc_id"], row["piece"], row["pieces"], len(piece.a), len(piece.b),
                  len(found.a_cut), len(found.a), int(best[at].sum()) if len(at) else 0,
@@ -384,10 +408,10 @@ def _stitched(a_path: str, b_path: str):
                 if row["row"] != now:
                     now, sums, stitch = row["row"], dict.fromkeys(SUMS, 0), Stitcher()
                 piece = _unpacked(row)
-                stitch.add(*_listed(piece, overlaps(piece, both)))
+                stitch.add(piece, overlaps(piece, both))
                 sums = {n: sums[n] + row[n] for n in SUMS}
                 if row["piece"] + 1 == row["pieces"]:
-                    rows.append((now, row["doc_id"], *sums.values(), stitch.digest.hexdigest()))
+                    rows.append((now, row["doc_id"], *sums.values(), stitch.hexdigest()))
             yield _batch(rows, schema)
 
     return run
