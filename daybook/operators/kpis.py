@@ -9,6 +9,8 @@ again; Spark splits the part of a hot order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 def _orders() -> Column:
@@ -103,3 +105,39 @@ def order_kpis_of_lines(lines: DataFrame, unique_orders: bool = False) -> DataFr
     """The day table from stored sales lines; see `order_daily_kpis` for `unique_orders`."""
     per_order = _sum_items(lines, "order_date", "order_id", "user_id")
     return figures_of_single_orders(per_order) if unique_orders else order_figures(per_order)
+
+
+def category_totals(totals: DataFrame) -> DataFrame:
+    """The category table from totals (category, order_date, orders, revenue, returned)."""
+    return totals.select(
+        "category",
+        "order_date",
+        _cents(F.col("revenue")).alias("daily_revenue"),
+        _cents(F.col("revenue") / F.col("orders")).alias("avg_order_value"),
+        _share(F.col("returned"), F.col("orders")).alias("avg_return_rate"),
+    )
+
+
+def day_totals(totals: DataFrame) -> DataFrame:
+    """The day table from totals (order_date, orders, revenue, items, returned, buyers)."""
+    return totals.select(
+        "order_date",
+        F.col("orders").alias("total_orders"),
+        _cents(F.col("revenue")).alias("total_revenue"),
+        F.col("items").alias("total_items_sold"),
+        _share(F.col("returned"), F.col("orders")).alias("return_rate"),
+        F.col("buyers").alias("unique_customers"),
+    )
+
+
+def buyer_sketches(lines: DataFrame, rsd: float = 0.02) -> DataFrame:
+    """(order_date, buyers): a HyperLogLog sketch of each day's buyers, of a few KB whatever their
+    number, from sales lines. Stored, sketches of days give those of months or of any days together
+    without the lines; `rsd` is the standard deviation of the estimates, as a share."""
+    size = min(21, max(4, math.ceil(2 * math.log2(1.04 / rsd))))
+    return lines.groupBy("order_date").agg(F.hll_sketch_agg("user_id", F.lit(size)).alias("buyers"))
+
+
+def sketched_buyers(sketches: DataFrame, *by: Column) -> DataFrame:
+    """The estimated number of different buyers of each group of days."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("buyers")).alias("unique_customers"))

@@ -13,6 +13,9 @@ from daybook.datasets import DATASETS
 from daybook.functions import columns as C
 
 
+PATH_BUCKETS = 64  # folders of the index of consumed files
+
+
 def archive_manifest(verdicts: DataFrame, run_id: Column, stamp: Column) -> DataFrame:
     """One row per file: where it belongs after the run, and whether it got there.
 
@@ -51,6 +54,16 @@ def unconsumed(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(m, same, "left_anti")
 
 
+def consumed(manifest: DataFrame) -> DataFrame:
+    """(path, modification_time, bucket) of the moved files of a manifest, once each."""
+    rows = manifest.where("moved").select("path", "modification_time").distinct()
+    return rows.withColumn("bucket", path_bucket(F.col("path")))
+
+
+def path_bucket(path: Column) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(PATH_BUCKETS)).cast("int")
+
+
 def file_facts(verdicts: DataFrame) -> DataFrame:
     """Counts of files, by verdict and by dataset, as (name, value)."""
     failed = F.col("status") != "passed"

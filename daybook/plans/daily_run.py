@@ -37,6 +37,7 @@ class SettingsConflict(ValueError):
     """The tables were begun with other types."""
 
 
+FOLD = 32  # runs
 MODES = ("replace", "recompute")
 MONEY = ("float32", "decimal")
 
@@ -57,6 +58,8 @@ class Settings:
     run may bring, say, only late items.
     ranged: header lines are read by opening each file in a task; False where only Spark can
     read the store.
+    buckets: how many the sums of a recompute run lie in, by order; as the types, it stays what it
+    was in the first run. Some hundred MB each is a good size.
     """
 
     mode: str = "replace"
@@ -66,6 +69,7 @@ class Settings:
     drop_repeats: bool = False
     require_all: bool = True
     ranged: bool = True
+    buckets: int = history.BUCKETS
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -76,7 +80,7 @@ class Settings:
             raise ValueError("only recompute runs may go without a dataset")
 
     def types(self) -> dict[str, str]:
-        return {"money": self.money, "key_type": self.key_type}
+        return {"money": self.money, "key_type": self.key_type, "buckets": self.buckets}
 
 
 @dataclass(frozen=True)
@@ -107,20 +111,67 @@ class Tables:
     def path(self, name: str, seq: int | None = None) -> str:
         return f"{self.root}/{name}" + ("" if seq is None else f"/seq={seq}")
 
-    def read(self, name: str) -> DataFrame | None:
-        if not storage.exists(self.spark, self.path(name)):
-            return None
-        return self.spark.read.parquet(self.path(name))
+    def ledger(self) -> dict[str, int]:
+        """`next`: a run's number below which all have finished; `base`: the runs before it are in
+        the index of consumed files."""
+        path = f"{self.root}/ledger.json"
+        if not storage.exists(self.spark, path):
+            return {"next": 0, "base": 0}
+        return json.loads(storage.read_text(self.spark, path))
 
     def next_seq(self) -> int:
-        """One more than the last finished run; the manifest is what a run writes last."""
-        manifest = self.read("manifest")
-        last = manifest.agg(F.max("seq")).first()[0] if manifest is not None else None
-        return 0 if last is None else last + 1
+        """One more than the last finished run; the manifest is what a run writes last but for the ledger."""
+        seq = self.ledger()["next"]
+        while storage.has_data(self.spark, self.path("manifest", seq)):
+            seq += 1
+        return seq
+
+    def _index(self, base: int) -> str:
+        return f"{self.root}/consumed/upto={base}"
+
+    def _indexed(self, base: int) -> DataFrame:
+        schema = "path string, modification_time timestamp, bucket int"
+        if not base:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._index(base))
+
+    def _manifests(self, begin: int, end: int) -> DataFrame | None:
+        paths = [self.path("manifest", seq) for seq in range(begin, end)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def finished(self, seq: int) -> None:
+        """Notes that all runs up to `seq` have finished. Each `FOLD` runs their consumed files go
+        into the index: buckets of the path, sorted by it, with Parquet's Bloom filters."""
+        held = self.ledger()
+        base = held["base"]
+        if seq + 1 - base >= FOLD:
+            rows = report.consumed(self._manifests(base, seq + 1)).unionByName(self._indexed(base)).distinct()
+            (
+                rows.hint("rebalance", "bucket")
+                .sortWithinPartitions("bucket", "path")
+                .write.mode("overwrite")
+                .option("parquet.bloom.filter.enabled#path", "true")
+                .partitionBy("bucket")
+                .parquet(self._index(seq + 1))
+            )
+            base = seq + 1
+        storage.replace_text(self.spark, f"{self.root}/ledger.json", json.dumps({"next": seq + 1, "base": base}))
+        if base != held["base"] and held["base"]:
+            storage.delete(self.spark, self._index(held["base"]))
 
     def unconsumed(self, files: DataFrame) -> DataFrame:
-        manifest = self.read("manifest")
-        return files if manifest is None else report.unconsumed(files, manifest)
+        """Files that no run consumed: of the index only the buckets of these files are read, and
+        the manifests of the runs since."""
+        base = self.ledger()["base"]
+        recent = self._manifests(base, self.next_seq())
+        if recent is not None:
+            files = report.unconsumed(files, recent)
+        if base:
+            # At most `PATH_BUCKETS` numbers.
+            own = [r[0] for r in files.select(report.path_bucket(F.col("path"))).distinct().collect()]
+            index = self._indexed(base).where(F.col("bucket").isin(own))
+            files = report.unconsumed(files, index.withColumn("moved", F.lit(True)))
+        return files
 
     def keep_types(self, settings: Settings) -> None:
         """Records the types at the first run, and holds later ones to them."""
@@ -154,7 +205,7 @@ def run(
     """
     tables = Tables(spark, tables_root)
     finished = finish_open_run(spark, tables)
-    files = tables.unconsumed(arrived.inventory(spark, base))
+    files = tables.unconsumed(arrived.inventory(spark, base, settings.ranged))
     row = run_files(spark, base, files, tables, run_id, settings, stamp)
     return finished if row is None else row
 
@@ -167,7 +218,7 @@ def finish_open_run(spark: SparkSession, tables: Tables) -> DataFrame | None:
     if claim is None:
         return None
     try:
-        return _finish(spark, tables, seq, claim, arrived.inventory(spark, claim.base))
+        return _finish(spark, tables, seq, claim, arrived.inventory(spark, claim.base, claim.settings.ranged))
     except RunFailed:
         return spark.read.parquet(tables.path("run_report", seq))
 
@@ -256,6 +307,7 @@ def _write_manifest(verdicts, tables: Tables, seq: int, claim: Claim, moved) ->
         }
     )
     manifest.write.mode("overwrite").parquet(tables.path("manifest", seq))
+    tables.finished(seq)
 
 
 def _readable(spark: SparkSession, path: str) -> bool:
@@ -347,7 +399,7 @@ def _figures(
     done = together(
         {
             names[table]: lambda t=table, rows=rows: upsert.upsert(
-                rows, tables.path(t), TABLE_KEYS[t], f"{tables.path('work', seq)}/{t}", days
+                rows, tables.path(t), TABLE_KEYS[t], seq, f"{tables.path('work', seq)}/{t}", days
             )
             for table, rows in figures.items()
         }
@@ -381,9 +433,5 @@ def _replace(landed: dict[str, DataFrame], settings: Settings) -> dict[str, Data
 def _recompute(
     landed: dict[str, DataFrame], root: str, seq: int, settings: Settings
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    days, lines, products = history.recomputed(landed, root, seq)
-    lines = sales.priced(lines, settings.money)
-    return days, {
-        CATEGORY_TABLE: kpis.category_kpis_of_lines(lines, products),
-        ORDER_TABLE: kpis.order_kpis_of_lines(lines, unique_orders=True),
-    }
+    days, category, day = history.recomputed(landed, root, seq, settings.money, settings.buckets)
+    return days, {CATEGORY_TABLE: category, ORDER_TABLE: day}

@@ -1,237 +1,368 @@
-"""What all runs delivered, kept so that late files can complete the days they belong to.
-
-Each run has a number, `seq`, and writes only folders of that number, so repeating a run
-overwrites what it wrote before. Every run lands its typed rows. A recompute run also works in
-its own rows, and those of runs that did not, into
-
-* `known_orders`: versions of orders, in buckets of their key,
-* `lines`: items joined with the version of their order, by order month; items whose order has
-  not come yet wait there in buckets of the order's key,
-* `superseded`: versions of orders that a later one replaced, by the month of their lines,
-* `snapshot`: each product as its latest delivery has it,
-* `product_months`: the months a product was sold in,
-* `touched`: the days whose figures may have changed, written last.
-
-A run reads the buckets of its own orders and the months of its own days, not all history.
-An order counts once, as the greatest row of its latest delivery.
+"""What all runs delivered, kept as sums, so that late files move figures by what they change.
+
+Each run lands its typed rows in folders of its number, `seq`. A recompute run also works in its
+own rows, and those of runs that did not. It reads no old lines, but sums that earlier runs left:
+
+* `orders`: versions of orders,
+* `sums`: items added up by order and product, also of orders that have not come yet,
+* `products` and `sold`: versions of products, and the orders that a product is in,
+* `buyers`: orders by day and buyer,
+* `days` and `categories`: the totals behind the two tables.
+
+A run adds rows to these, signed where they count something: an order that got an item takes its
+old sums out of its day and puts the new ones in. The present state is the sum, or the latest
+version, of a key's rows. So a day's buyers, which are different ones counted, come from counts that
+reach or leave zero, and nothing of that day is read anew.
+
+`orders`, `sums` and `buyers` are bucketed and sorted by their key: joins and sums with them move
+the run's rows only. One small file says which runs' rows count; it is replaced last. Runs add up
+until `COMPACT` of them are put into one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daybook import storage
-from daybook.functions import columns as C
-from daybook.operators import sales
+from daybook.operators import kpis, sales
 
-BUCKETS = 64
+BUCKETS = 16
+COMPACT = 32  # runs
 LANDED = ("orders", "order_items", "products")
-WORKED_IN = ("known_orders", "lines", "superseded", "snapshot", "product_months", "touched")
+STATE = "state.json"
+
+# What is added up of items. Prices that are no numbers are counted apart, as they do not go away
+# by subtraction; `priced` counts those that are not NULL.
+MONEY = {"float32": "double", "decimal": "decimal(37,10)"}  # one digit less than a sum may have
+ADDED = ("price", "priced", "nan", "up", "down", "items", "returned")
+# The key of each state table, and whether it is in buckets of (the first of) it.
+KEYS = {
+    "orders": ["order_id"],
+    "sums": ["order_id", "product_id"],
+    "buyers": ["order_date", "user_id"],
+    "products": ["product_id"],
+    "sold": ["product_id", "order_id"],
+    "days": ["order_date"],
+    "categories": ["category", "order_date"],
+}
+BUCKETED = {"orders": ["order_id"], "sums": ["order_id"], "buyers": ["order_date", "user_id"]}
+VERSIONS = ("orders", "products")  # the latest counts; rows of the others are added up
 
 
 def _part(root: str, name: str, seq: int) -> str:
     return f"{root}/{name}/seq={seq}"
 
 
-def land(rows: DataFrame, root: str, name: str, seq: int, *by: str) -> DataFrame:
+def land(rows: DataFrame, root: str, name: str, seq: int) -> DataFrame:
     """Writes a run's rows once as Parquet and gives them back from there."""
     path = _part(root, name, seq)
-    writer = rows.hint("rebalance", *by).write.partitionBy(*by) if by else rows.write
-    writer.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def before(like: DataFrame, root: str, name: str, seq: int) -> DataFrame:
-    """Rows of runs before `seq` with their number; `like` has their columns."""
-    spark = like.sparkSession
-    schema = storage.with_partitions(like.schema, seq=T.IntegerType())
-    if not storage.exists(spark, f"{root}/{name}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{name}").where(F.col("seq") < seq)
-
-
 def drop(spark: SparkSession, root: str, seq: int) -> None:
     """Forgets what a failed run landed."""
-    for name in (*LANDED, *WORKED_IN):
+    for name in LANDED:
         storage.delete(spark, _part(root, name, seq))
 
 
-def _seqs(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Numbers of the runs that finished writing `name`, in order."""
-    found = [n.removeprefix("seq=") for n in storage.children(spark, f"{root}/{name}") if n.startswith("seq=")]
-    return sorted(int(n) for n in found if storage.has_data(spark, _part(root, name, int(n))))
-
-
-def not_worked_in(spark: SparkSession, root: str, seq: int) -> list[int]:
-    """Earlier runs whose rows landed and were not worked in."""
-    return [n for n in _seqs(spark, root, "products") if n < seq and n not in _seqs(spark, root, "touched")]
-
-
 def landed(spark: SparkSession, root: str, seq: int) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(_part(root, name, seq)) for name in LANDED}
 
 
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _values(rows: DataFrame, column: str | Column) -> list:
-    """Different values of a column with few: buckets or months."""
-    return [r[0] for r in rows.select(column).distinct().collect()]
-
-
-def _in_months(months: list[str | None]) -> Column:
-    known = F.col("order_month").isin([m for m in months if m is not None])
-    return known | F.col("order_month").isNull() if None in months else known
-
-
-def work_in(rows: dict[str, DataFrame], root: str, seq: int) -> DataFrame:
-    """Works in what a run landed; see the module's text. Gives the run's lines."""
-    changes, current = _orders(rows["orders"], rows["order_items"], root, seq)
-    lines = _lines(rows["order_items"], changes, current, root, seq)
-    matched = lines.where("matched")
-    land(matched.select("product_id", "order_month").distinct(), root, "product_months", seq)
-    days = matched.select("order_date").unionByName(
-        changes.where("not first").select(F.col("was_date").alias("order_date"))
-    )
-    resold = _days_of_changed_products(rows["products"], lines, root, seq)
-    if resold is not None:
-        days = days.unionByName(resold)
-    land(days.distinct().coalesce(1), root, "touched", seq)
-    return lines
-
-
-def _orders(orders: DataFrame, items: DataFrame, root: str, seq: int) -> tuple[DataFrame, DataFrame]:
-    """(new versions of orders, current versions of those the run's items may belong to)."""
-    orders = sales.one_per_key(orders.where("order_id is not null"), "order_id").withColumn("bucket", _bucket("order_id"))
-    like = orders.withColumns({"first": F.lit(True), "was_date": F.lit(None).cast("date"), "was_version": F.lit(0)})
-    keyed = items.where("order_id is not null")
-    met = orders.select("bucket").unionByName(keyed.select(_bucket("order_id").alias("bucket")))
-    known = (
-        before(like, root, "known_orders", seq)
-        .where(F.col("bucket").isin(_values(met, "bucket")))
-        .groupBy("order_id")
-        .agg(F.max_by(F.struct("user_id", "order_date", "bucket", F.col("seq").alias("version")), "seq").alias("is"))
-    )
-    joined = orders.join(known, "order_id", "left")
-    same = F.col("user_id").eqNullSafe(F.col("is.user_id")) & F.col("order_date").eqNullSafe(F.col("is.order_date"))
-    changed = joined.where(F.col("is").isNull() | ~same).select(
-        *orders.columns,
-        F.col("is").isNull().alias("first"),
-        F.col("is.order_date").alias("was_date"),
-        F.coalesce("is.version", F.lit(-1)).alias("was_version"),
-    )
-    changes = land(changed, root, "known_orders", seq, "bucket")
-    kept = known.join(changes.select("order_id"), "order_id", "left_anti").select(
-        "order_id", "is.user_id", "is.order_date", "is.version"
-    )
-    return changes, kept.unionByName(changes.select("order_id", "user_id", "order_date", F.lit(seq).alias("version")))
-
-
-def _like_lines(items: DataFrame, current: DataFrame) -> DataFrame:
-    return items.join(current, "order_id").withColumns(
-        {"matched": F.lit(True), "order_month": F.lit(""), "bucket": F.lit(0)}
-    )
-
-
-def _lines(items: DataFrame, changes: DataFrame, current: DataFrame, root: str, seq: int) -> DataFrame:
-    """Lands the run's lines: new items, items that waited for an order that came, and the lines
-    of orders that changed."""
-    items = items.where("order_id is not null")
-    like = _like_lines(items, current)
-    old = before(like, root, "lines", seq)
-    version = changes.select("order_id", "user_id", "order_date", F.lit(seq).alias("version"))
-
-    came = changes.where("first").select("order_id", "bucket")
-    waiting = (
-        old.where(~F.col("matched") & F.col("bucket").isin(_values(came, "bucket")))
-        .join(came.select("order_id"), "order_id", "left_semi")
-        .select(*items.columns)
-    )
-    corrected = changes.where("not first").select(
-        "order_id", F.col("was_version").alias("version"), C.order_month(F.col("was_date")).alias("order_month")
-    )
-    moved = (
-        old.where(F.col("matched") & _in_months(_values(corrected, "order_month")))
-        .join(corrected.select("order_id", "version"), ["order_id", "version"], "left_semi")
-        .select(*items.columns)
-    )
-    land(corrected, root, "superseded", seq, "order_month")
-    again = waiting.unionByName(moved).join(version, "order_id").select(*items.columns, *version.columns[1:])
-    new = items.join(current, "order_id", "left").select(*items.columns, *version.columns[1:])
-    matched = F.col("version").isNotNull()
-    lines = new.unionByName(again).withColumns(
-        {
-            "matched": matched,
-            "order_month": C.order_month(F.col("order_date")),
-            "bucket": F.when(~matched, _bucket("order_id")),
+def added(money: str) -> list[Column]:
+    """`ADDED` of items (sale_price, item_id, is_returned) with a price of the money type."""
+    price, odd = F.col("sale_price"), {"nan": F.lit(False), "up": F.lit(False), "down": F.lit(False)}
+    finite = price
+    if money == "float32":
+        price = price.cast("double")
+        odd = {"nan": F.isnan(price), "up": price == float("inf"), "down": price == float("-inf")}
+        finite = F.when(~(odd["nan"] | odd["up"] | odd["down"]), price)
+    return [
+        F.coalesce(F.sum(finite), F.lit(0)).alias("price"),
+        F.count(price).alias("priced"),
+        *[F.count_if(test).alias(name) for name, test in odd.items()],
+        F.count("item_id").alias("items"),
+        F.coalesce(F.sum("is_returned"), F.lit(0)).cast("bigint").alias("returned"),
+    ]
+
+
+def revenue(money: str) -> Column:
+    """The sum of prices that `ADDED` stands for: NULL of none, and as numbers that are none add up."""
+    plain = F.when(F.col("priced") > 0, F.col("price"))
+    if money != "float32":
+        return plain
+    up, down = F.col("up") > 0, F.col("down") > 0
+    odd = F.when((F.col("nan") > 0) | (up & down), float("nan")).when(up, float("inf")).when(down, float("-inf"))
+    return F.when(F.col("nan") + F.col("up") + F.col("down") > 0, odd).otherwise(plain)
+
+
+class State:
+    """The tables below `root`, as the runs left them whose rows count."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str, money: str, buckets: int):
+        self.spark, self.root, self.buckets = spark, storage.qualified(spark, root), buckets
+        sums = f"price {money}, " + ", ".join(f"{c} bigint" for c in ADDED[1:])
+        self.columns = {
+            "orders": f"order_id {key}, user_id {key}, order_date date",
+            "sums": f"order_id {key}, product_id {key}, {sums}, lines bigint",
+            "buyers": f"order_date date, user_id {key}, orders bigint",
+            "products": f"product_id {key}, category string",
+            "sold": f"product_id {key}, order_id {key}, pairs bigint",
+            "days": f"order_date date, orders bigint, {sums}, buyers bigint",
+            "categories": f"category string, order_date date, orders bigint, {sums}",
         }
+        held = f"{self.root}/{STATE}"
+        known = json.loads(storage.read_text(spark, held)) if storage.exists(spark, held) else {}
+        self.live: list[int] = known.get("live", [])
+        self.done: int = known.get("done", -1)
+        mark = hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        self.names = {name: f"daybook_{mark}_{name}" for name in self.columns}
+        for name in BUCKETED:
+            # Only the catalog knows of buckets; the table's files stay when its name is dropped.
+            spark.sql(f"DROP TABLE IF EXISTS {self.names[name]}")
+            by = ", ".join(BUCKETED[name])
+            spark.sql(
+                f"CREATE TABLE {self.names[name]} ({self.columns[name]}, seq int) USING parquet PARTITIONED BY (seq) "
+                f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.root}/{name}_state'"
+            )
+            if self.live:
+                parts = " ".join(f"PARTITION (seq={seq})" for seq in self.live)
+                spark.sql(f"ALTER TABLE {self.names[name]} ADD IF NOT EXISTS {parts}")
+
+    def schema(self, name: str) -> T.StructType:
+        return T.StructType.fromDDL(self.columns[name])
+
+    def rows(self, name: str) -> DataFrame:
+        """All rows that count, with their run."""
+        schema = storage.with_partitions(self.schema(name), seq=T.IntegerType())
+        if not self.live:
+            return self.spark.createDataFrame([], schema)
+        if name in BUCKETED:
+            return self.spark.table(self.names[name]).where(F.col("seq").isin(self.live))
+        paths = [_part(self.root, f"{name}_state", seq) for seq in self.live]
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}_state").parquet(*paths)
+
+    def now(self, name: str, among: DataFrame | None = None) -> DataFrame:
+        """One row per key; `among` (some of the key's columns) narrows the keys down."""
+        rows, keys = self.rows(name), KEYS[name]
+        if among is not None:
+            rows = rows.join(among, among.columns, "left_semi")
+        values = [c for c in rows.columns if c not in (*keys, "seq")]
+        if name in VERSIONS:
+            last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "seq").alias("_last"))
+            return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values])
+        return rows.groupBy(*keys).agg(*[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in values])
+
+    def write(self, name: str, rows: DataFrame, seq: int) -> None:
+        """Adds rows as those of run `seq`, in the place of any it wrote before."""
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema(name)]
+        rows = rows.select(*columns)
+        if name not in BUCKETED:
+            rows.write.mode("overwrite").parquet(_part(self.root, f"{name}_state", seq))
+            return
+        storage.delete(self.spark, _part(self.root, f"{name}_state", seq))
+        dealt = rows.withColumn("seq", F.lit(seq)).repartition(self.buckets, *BUCKETED[name])
+        dealt.write.mode("append").insertInto(self.names[name])
+
+    def commit(self, live: list[int], done: int) -> None:
+        storage.replace_text(self.spark, f"{self.root}/{STATE}", json.dumps({"live": live, "done": done}))
+        self.live, self.done = live, done
+
+    def compact(self) -> None:
+        """Puts the rows of all runs into one, of a number that comes before theirs."""
+        old, base = self.live, -2 - self.done
+        for name in self.columns:
+            self.write(name, self.now(name), base)
+        self.commit([base], self.done)
+        for seq in old:
+            for name in self.columns:
+                storage.delete(self.spark, _part(self.root, f"{name}_state", seq))
+
+
+def _new_versions(frames: list[tuple[int, DataFrame]], key: str) -> DataFrame:
+    """One row per key, the greatest of the latest run."""
+    rows = None
+    for seq, frame in frames:
+        some = frame.where(F.col(key).isNotNull()).select(key, F.lit(seq).alias("_seq"), *[c for c in frame.columns if c != key])
+        rows = some if rows is None else rows.unionByName(some)
+    return sales.one_per_key(rows, key).drop("_seq")
+
+
+def _changed(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money: str, seq: int) -> DataFrame:
+    """Every order and product whose figures the runs may change, with sums, order and category
+    as they were (`old_`) and as they are now (`new_`). Also adds what came to the state."""
+    spark = state.spark
+    items = None
+    for _, rows in runs:
+        own = sales.priced(rows["order_items"].where("order_id is not null"), money)
+        items = own if items is None else items.unionByName(own)
+    came = items.groupBy("order_id", "product_id").agg(*added(money), F.count("*").alias("lines"))
+    state.write("sums", came, seq)
+    came = _written(state, "sums", seq)
+    orders = _new_versions([(n, rows["orders"]) for n, rows in runs], "order_id")
+    state.write("orders", orders, seq)
+    orders = _written(state, "orders", seq)
+
+    new = _new_versions([(n, rows["products"]) for n, rows in runs], "product_id")
+    old_products = state.now("products", new.select("product_id")).withColumn("_known", F.lit(True))
+    was = old_products.withColumnRenamed("category", "_was")
+    joined = new.join(was, "product_id", "left")
+    state.write("products", joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was"))), seq)
+    products = _written(state, "products", seq)
+    resold = state.rows("sold").join(products.select("product_id"), "product_id", "left_semi")
+
+    touched = came.select("order_id").unionByName(orders.select("order_id")).unionByName(resold.select("order_id")).distinct()
+    before = state.now("sums", touched)
+    values = (*ADDED, "lines")
+    # Keys are renamed on one side, so that NULL products meet, too.
+    came = came.select(F.col("order_id").alias("_order"), F.col("product_id").alias("_product"), *[F.col(c).alias(f"_{c}") for c in values])
+    same = (F.col("order_id") == F.col("_order")) & F.col("product_id").eqNullSafe(F.col("_product"))
+    zero = {c: F.coalesce(c, F.lit(0).cast(before.schema[c].dataType)) for c in values}
+    more = {c: F.coalesce(f"_{c}", F.lit(0).cast(before.schema[c].dataType)) for c in values}
+    fresh = F.col("order_id").isNull()
+    sums = before.join(came, same, "full_outer").select(
+        F.coalesce("order_id", "_order").alias("order_id"),
+        F.when(fresh, F.col("_product")).otherwise(F.col("product_id")).alias("product_id"),
+        fresh.alias("first"),
+        *[zero[c].alias(f"old_{c}") for c in values],
+        *[(zero[c] + more[c]).alias(f"new_{c}") for c in values],
     )
-    return land(lines.select(*like.columns), root, "lines", seq, "matched", "order_month", "bucket")
-
-
-def snapshot(spark: SparkSession, root: str, seq: int) -> DataFrame | None:
-    """Products as the runs before `seq` left them."""
-    done = [n for n in _seqs(spark, root, "snapshot") if n < seq]
-    return spark.read.parquet(_part(root, "snapshot", done[-1])) if done else None
-
-
-def _days_of_changed_products(products: DataFrame, lines: DataFrame, root: str, seq: int) -> DataFrame | None:
-    """Days of earlier lines of products whose category the run adds or changes; lands the new
-    snapshot. None where no product came."""
-    spark = products.sparkSession
-    new = sales.one_per_key(products.where("product_id is not null"), "product_id")
-    if new.isEmpty():
-        return None
-    old = snapshot(spark, root, seq)
-    changed = new
-    if old is not None:
-        known = old.select(F.col("product_id").alias("_id"), F.col("category").alias("_category"))
-        same = (F.col("product_id") == F.col("_id")) & F.col("category").eqNullSafe(F.col("_category"))
-        changed = new.join(known, same, "left_anti")
-        new = old.join(new.select("product_id"), "product_id", "left_anti").unionByName(new)
-    land(new, root, "snapshot", seq)
-    # Older ones than the one before are needed no more.
-    for done in [n for n in _seqs(spark, root, "snapshot") if n < seq][:-1]:
-        storage.delete(spark, _part(root, "snapshot", done))
-    changed = changed.select("product_id")
-    sold = lines.select("product_id", "order_month")
-    months = before(sold, root, "product_months", seq).join(changed, "product_id", "left_semi")
-    return (
-        before(lines, root, "lines", seq)
-        .where(F.col("matched") & _in_months(_values(months, "order_month")))
-        .join(changed, "product_id", "left_semi")
-        .select("order_date")
-    )
-
 
-def lines_of_days(days: DataFrame, like: DataFrame, root: str, seq: int) -> DataFrame:
-    """All lines of the given days (order_date) that count after run `seq`; `like` has their columns.
-
-    The months (folder names) prune the read; the days then narrow it.
-    """
-    months = _values(days, C.order_month(F.col("order_date")))
-    replaced = like.select("order_id", "version", "order_month")
-    gone = before(replaced, root, "superseded", seq + 1).where(_in_months(months)).select("order_id", "version")
-    kept = (
-        before(like, root, "lines", seq + 1)
-        .where(F.col("matched") & _in_months(months))
-        .join(gone.distinct(), ["order_id", "version"], "left_anti")
+    def header(frame: DataFrame, side: str) -> DataFrame:
+        return frame.select(
+            "order_id", F.lit(True).alias(f"{side}_order"),
+            F.col("user_id").alias(f"{side}_user"), F.col("order_date").alias(f"{side}_date"),
+        )
+
+    known = sums.join(header(state.now("orders", touched), "old"), "order_id", "left")
+    known = known.join(header(orders, "_new"), "order_id", "left")
+    latest = F.col("_new_order").isNotNull()
+    known = known.withColumns(
+        {f"new_{c}": F.when(latest, F.col(f"_new_{c}")).otherwise(F.col(f"old_{c}")) for c in ("order", "user", "date")}
+    ).drop("_new_order", "_new_user", "_new_date")
+    here = known.select("product_id").distinct()
+
+    def category(frame: DataFrame, side: str) -> DataFrame:
+        return frame.select(
+            "product_id", F.lit(True).alias(f"{side}_product"), F.col("category").alias(f"{side}_category")
+        )
+
+    known = known.join(category(state.now("products", here), "old"), "product_id", "left")
+    known = known.join(category(products, "_new"), "product_id", "left")
+    latest = F.col("_new_product").isNotNull()
+    known = known.withColumns(
+        {f"new_{c}": F.when(latest, F.col(f"_new_{c}")).otherwise(F.col(f"old_{c}")) for c in ("product", "category")}
+    ).drop("_new_product", "_new_category")
+    return land(known, state.root, "changed", seq)
+
+
+def _written(state: State, name: str, seq: int) -> DataFrame:
+    """The rows that run `seq` has just added."""
+    if not storage.exists(state.spark, _part(state.root, f"{name}_state", seq)):
+        return state.spark.createDataFrame([], state.schema(name))
+    return state.spark.read.schema(state.schema(name)).parquet(_part(state.root, f"{name}_state", seq))
+
+
+def _sides(rows: DataFrame, columns: dict[str, str], counted: str) -> DataFrame:
+    """Rows of before, to take out, and of now, to put in: `columns` renamed, sums signed, and
+    `orders` -1 or 1. `counted`, with `{0}` for the side, says which rows of a side there are."""
+
+    def side(name: str, signed: Callable[[Column], Column]) -> DataFrame:
+        return rows.where(counted.format(name)).select(
+            *[F.col(c.format(name)).alias(new) for new, c in columns.items()],
+            *[signed(F.col(f"{name}_{c}")).alias(c) for c in ADDED],
+            signed(F.lit(1).cast("bigint")).alias("orders"),
+        )
+
+    return side("old", F.negative).unionByName(side("new", lambda c: c))
+
+
+def _sums(*names: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in names]
+
+
+def _moved(state: State, changed: DataFrame, seq: int) -> None:
+    """Adds to the counts by day, buyer and category what the changed orders move."""
+    sides = [f"{side}_{c}" for side in ("old", "new") for c in (*ADDED, "lines")]
+    heads = [f"{side}_{c}" for side in ("old", "new") for c in ("order", "user", "date")]
+
+    # Day and buyer: one row per order, where it is not as it was.
+    orders = changed.groupBy("order_id", *heads).agg(*_sums(*sides))
+    same = F.col("old_order").eqNullSafe(F.col("new_order"))
+    for c in ("user", "date", *ADDED, "lines"):
+        same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
+    head = {"order_id": "order_id", "order_date": "{}_date", "user_id": "{}_user"}
+    moved = land(_sides(orders.where(~same), head, "{0}_order and {0}_lines > 0"), state.root, "moved", seq)
+    buyers = (
+        moved.where("order_date is not null and user_id is not null")
+        .groupBy("order_date", "user_id").agg(F.sum("orders").alias("orders")).where("orders <> 0")
+    )
+    state.write("buyers", buyers, seq)
+    buyers = _written(state, "buyers", seq)
+    had = state.now("buyers", buyers.select("order_date", "user_id")).withColumnRenamed("orders", "_had")
+    had_any = F.coalesce("_had", F.lit(0))
+    turn = ((had_any + F.col("orders") > 0).cast("bigint") - (had_any > 0).cast("bigint")).alias("buyers")
+    turned = buyers.join(had, ["order_date", "user_id"], "left").select("order_date", turn)
+    none = [F.lit(0).cast(state.schema("days")[c].dataType).alias(c) for c in ("orders", *ADDED)]
+    days = moved.select("order_date", "orders", *ADDED, F.lit(0).cast("bigint").alias("buyers")).unionByName(
+        turned.select("order_date", *none, "buyers")
     )
-    wanted = days.select(F.col("order_date").alias("_day")).distinct()
-    return kept.join(wanted, F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
-
-
-def recomputed(rows: dict[str, DataFrame], root: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(days that run `seq`, or runs that were not worked in yet, may have changed; all lines of
-    these days; products as they are now)."""
+    state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
+
+    # Category and day: an order counts once in each category that it has lines of.
+    place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
+    lines = _sides(changed, place, "{0}_order and {0}_product and {0}_lines > 0")
+    held = lines.groupBy("order_id", "category", "order_date").agg(
+        *_sums(*ADDED),
+        (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
+    )
+    still = F.col("orders") == 0
+    for c in ADDED:
+        still = still & (F.col(c) == 0)
+    by_day = held.where(~still).groupBy("category", "order_date").agg(*_sums("orders", *ADDED))
+    state.write("categories", by_day, seq)
+    # Pairs of product and order that are new.
+    sold = changed.where("first and product_id is not null").select("product_id", "order_id", F.lit(1).alias("pairs"))
+    state.write("sold", sold, seq)
+
+
+def _figures(state: State, money: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(days that run `seq` touched, category figures and day figures of these days)."""
+    own = _written(state, "days", seq).select("order_date").unionByName(_written(state, "categories", seq).select("order_date"))
+    touched = land(own.distinct().coalesce(1), state.root, "touched", seq)
+
+    def totals(name: str) -> DataFrame:
+        rows = state.rows(name).join(
+            touched.select(F.col("order_date").alias("_day")), F.col("order_date").eqNullSafe(F.col("_day")), "left_semi"
+        )
+        values = [c for c in rows.columns if c not in (*KEYS[name], "seq")]
+        return rows.groupBy(*KEYS[name]).agg(*_sums(*values)).where("orders > 0").withColumn("revenue", revenue(money))
+
+    return touched, kpis.category_totals(totals("categories")), kpis.day_totals(totals("days"))
+
+
+def recomputed(
+    rows: dict[str, DataFrame], root: str, seq: int, money: str = "float32", buckets: int = BUCKETS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(days that run `seq`, or runs that were not worked in yet, may have changed; the category
+    figures and the day figures of these days)."""
     spark = rows["orders"].sparkSession
-    behind = not_worked_in(spark, root, seq)
-    for earlier in behind:
-        work_in(landed(spark, root, earlier), root, earlier)
-    like = work_in(rows, root, seq)
-    days = spark.read.parquet(*[_part(root, "touched", n) for n in (*behind, seq)])
-    products = snapshot(spark, root, seq + 1)
-    if products is None:
-        products = rows["products"].limit(0)
-    return days, lines_of_days(days, like, root, seq), products
+    key = rows["orders"].schema["order_id"].dataType.simpleString()
+    state = State(spark, root, key, MONEY[money], buckets)
+    if state.done < seq:
+        if len(state.live) >= COMPACT:
+            state.compact()
+        earlier = range(state.done + 1, seq)
+        behind = [n for n in earlier if storage.has_data(spark, _part(root, "products", n))]
+        runs = [*((n, landed(spark, root, n)) for n in behind), (seq, rows)]
+        changed = _changed(state, runs, money, seq)
+        _moved(state, changed, seq)
+        state.commit([*state.live, seq], seq)
+        for name, old in (("changed", seq), ("moved", seq), ("touched", earlier.start - 1)):
+            storage.delete(spark, _part(state.root, name, old))
+    return _figures(state, money, seq)

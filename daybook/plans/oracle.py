@@ -341,6 +341,10 @@ from d_items i join d_orders o on i.order_id = o.order_id join d_products p on i
     "revenue_by_day": _days("select order_date, total_revenue from days"),
     "distinct_orders_by_day": _days("select order_date, total_orders from days"),
     "distinct_customers_by_day": _days("select order_date, unique_customers from days"),
+    "sketched_customers_by_day": _days("select order_date, unique_customers, true as near from days"),
+    "sketched_customers_by_month": """select strftime(o_orderdate, '%Y-%m') as order_month,
+        count(distinct o_custkey) as unique_customers, true as near
+        from orders join lineitem on l_orderkey = o_orderkey group by 1""",
     "avg_order_value": _category("select category, order_date, avg_order_value from category_days"),
     "return_rate_by_day": _days("select order_date, return_rate from days"),
     "items_sold_by_day": _days("select order_date, total_items_sold from days"),

@@ -310,6 +310,40 @@ def distinct_customers_by_day(spark, sf_dir):
     return order_daily_kpis(spark, sf_dir).select("order_date", "unique_customers")
 
 
+RSD = 0.02  # of the sketched counts
+
+
+def _near_enough(exact, sketched, *by):
+    """Exact counts, and whether the sketched ones lie within five standard deviations."""
+    found = F.abs(F.col("sketched") - F.col("unique_customers"))
+    near = (found <= 1 + 5 * RSD * F.col("unique_customers")).alias("near")
+    return exact.join(sketched.withColumnRenamed("unique_customers", "sketched"), list(by)).select(
+        *by, "unique_customers", near
+    )
+
+
+def _stored_sketches(spark, sf_dir, name):
+    path = storage.scratch(spark, name)
+    kpis.buyer_sketches(_lines(spark, sf_dir), RSD).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def sketched_customers_by_day(spark, sf_dir):
+    sketches = _stored_sketches(spark, sf_dir, "day_sketches")
+    exact = distinct_customers_by_day(spark, sf_dir)
+    return _near_enough(exact, kpis.sketched_buyers(sketches, F.col("order_date")), "order_date")
+
+
+@query
+def sketched_customers_by_month(spark, sf_dir):
+    """Months from the days' stored sketches; exact counts need the lines once more."""
+    sketches = _stored_sketches(spark, sf_dir, "month_sketches")
+    month = C.order_month(F.col("order_date")).alias("order_month")
+    exact = _lines(spark, sf_dir).groupBy(month).agg(F.count_distinct("user_id").alias("unique_customers"))
+    return _near_enough(exact, kpis.sketched_buyers(sketches, month), "order_month")
+
+
 @query
 def avg_order_value(spark, sf_dir):
     return category_daily_kpis(spark, sf_dir).select("category", "order_date", "avg_order_value")
@@ -387,9 +421,9 @@ def kpi_upsert_replace(spark, sf_dir):
     root = storage.scratch(spark, "kpi_upsert_replace")
     for step, state in enumerate(["F", "O"]):
         upsert.upsert(
-            _half(spark, sf_dir, state), f"{root}/{ORDER_TABLE}", TABLE_KEYS[ORDER_TABLE], f"{root}/work/{step}"
+            _half(spark, sf_dir, state), f"{root}/{ORDER_TABLE}", TABLE_KEYS[ORDER_TABLE], step, f"{root}/work/{step}"
         )
-    return spark.read.parquet(f"{root}/{ORDER_TABLE}").drop(upsert.MONTH)
+    return upsert.read(spark, f"{root}/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
 LATE = daily_run.Settings(mode="recompute", require_all=False)
@@ -404,7 +438,7 @@ def _two_runs(spark, sf_dir, name, first):
         part = items.where(F.col("l_linestatus") == state).drop("l_linestatus")
         csvdata.write_drop(part, f"{base}/order_items/{state}")
         daily_run.run(spark, base, f"{root}/out", f"run-{state}", run_settings)
-    return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
+    return upsert.read(spark, f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
 @query
@@ -441,14 +475,15 @@ def keyed_put(spark, sf_dir):
     rows = spark.read.parquet(f"{root}/rows")
     keys = TABLE_KEYS[CATEGORY_TABLE]
     writers = rows.agg(C.writer_count(F.count("*"))).first()[0]
-    outcome = put.put_rows(rows, drops.file_store(spark, f"{root}/store"), keys, writers).first()
+    source = put.keyed_store(drops.file_store(spark, f"{root}/store"), keys)
+    outcome = put.put_through(rows, source, f"{root}/outcome.json", writers)
     stored = C.store_record(rows).schema
     text = ", ".join(f"`{c}` string" for c in stored.names)
     back = spark.read.schema(text).json(f"{root}/store")
     return back.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields],
-        F.lit(outcome.successful).cast("bigint").alias("successful"),
-        F.lit(outcome.failed).cast("bigint").alias("failed"),
+        F.lit(outcome["successful"]).cast("bigint").alias("successful"),
+        F.lit(outcome["failed"]).cast("bigint").alias("failed"),
     )
 
 
@@ -507,7 +542,7 @@ def daily_run_category(spark, sf_dir):
     root = storage.scratch(spark, "daily_run")
     base = drops.write_plain_drop(spark, sf_dir, f"{root}/in")
     daily_run.run(spark, base, f"{root}/out", RUN_ID)
-    return spark.read.parquet(f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
+    return upsert.read(spark, f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
 
 
 def _drain(spark, root, run_settings, files_per_batch):
@@ -525,7 +560,7 @@ def stream_order_daily_kpis(spark, sf_dir):
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
     _drain(spark, root, LATE, 1000)
     _drain(spark, root, LATE, 1000)
-    return spark.read.parquet(f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
+    return upsert.read(spark, f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)
 
 
 @query
@@ -539,4 +574,4 @@ def stream_gate(spark, sf_dir):
         raise AssertionError("a run started before all datasets were there")
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
     _drain(spark, root, gated, 1_000_000)
-    return spark.read.parquet(f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
+    return upsert.read(spark, f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)

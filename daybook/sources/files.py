@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
-from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook import storage
 from daybook.datasets import DATASETS
+from daybook.functions import columns as C
+
+# What runs in tasks is shipped whole, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CSV_GLOB = "*.[cC][sS][vV]"
 FILE_SCHEMA = "dataset string, key string, path string, length bigint, modification_time timestamp"
@@ -30,57 +36,95 @@ def key_of(path: Column, base: str) -> Column:
     return F.replace(path, F.lit(base + "/"), F.lit(""))
 
 
-def inventory(spark: SparkSession, base: str) -> DataFrame:
+def opener() -> Callable[[str], tuple]:
+    """The task side of reading a store: (file system, path in it) of a path in Spark's form. Built
+    inside one function, so that Spark ships it whole and workers need not have this package."""
+    from urllib.parse import quote, unquote
+
+    from pyarrow import fs
+
+    def opened(path: str) -> tuple:
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        path = {"s3a": "s3", "abfss": "abfs"}.get(scheme, scheme) + ":" + rest
+        # Buckets, containers and hosts are taken as they are; the key is quoted.
+        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+        return system, unquote(inner) if "%" in inner else inner
+
+    return opened
+
+
+FOUND = "path string, is_folder boolean, length bigint, modification_time timestamp"
+
+
+def _lister() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lists folders, one level deep, in a task. What begins with `_` or `.` is hidden."""
+    from pyarrow import fs
+
+    opened = opener()
+    kinds = [pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC")]
+    names = ["path", "is_folder", "length", "modification_time"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                system, inner = opened(folder)
+                held = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+                seen = [f for f in held if not f.base_name.startswith(("_", "."))]
+                rows = [
+                    [f"{folder}/{f.base_name}" for f in seen],
+                    [f.type == fs.FileType.Directory for f in seen],
+                    [f.size or 0 for f in seen],
+                    # Spark's file sources count in milliseconds.
+                    [f.mtime_ns and f.mtime_ns // 1_000_000 * 1_000 for f in seen],
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+
+    return run
+
+
+def inventory(spark: SparkSession, base: str, ranged: bool = True, folders_per_task: int = 16) -> DataFrame:
     """Every CSV file of the three datasets below `base`, at any depth, with size and time.
 
-    Spark's binary source skips empty files, so the names come from the file listing that Spark
-    keeps for a text scan; neither reads any content.
+    Folders are dealt to tasks, which list them through `pyarrow`, level by level; a task holds the
+    names of one folder. Names land as Parquet, only the number of folders reaches the driver. For
+    a store that only Spark reads, `ranged=False` has the driver list it through Hadoop instead.
     """
     root = storage.qualified(spark, base)
-    folders = [f"{root}/{d}" for d in DATASETS if storage.exists(spark, f"{root}/{d}")]
-    if not folders:
-        return spark.createDataFrame([], FILE_SCHEMA)
-
-    def reader(source: str):
-        return (
-            spark.read.format(source)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", CSV_GLOB)
-        )
-
-    listed = reader("text").load(folders).inputFiles()
-    names = spark.createDataFrame([(unquote(p),) for p in listed], "path string")
-    sized = reader("binaryFile").load(folders).select(
-        one_slash("path").alias("path"), "length", F.col("modificationTime").alias("modification_time")
-    )
-    return (
-        names.select(one_slash(F.col("path")).alias("path"))
-        .join(sized, "path", "left")
-        .select(
-            F.substring_index(key_of(F.col("path"), root), "/", 1).alias("dataset"),
-            key_of(F.col("path"), root).alias("key"),
-            "path",
-            F.coalesce("length", F.lit(0)).alias("length"),
-            "modification_time",
-        )
+    tops = [f"{root}/{d}" for d in DATASETS]
+    if not ranged:
+        found = spark.createDataFrame(storage.listed(spark, tops), FOUND)
+        return _as_inventory(found, root)
+    target, number, level = storage.scratch(spark, "inventory"), len(tops), 0
+    folders = spark.createDataFrame([(t,) for t in tops], "path string")
+    while number:
+        path = f"{target}/level={level}"
+        tasks = -(-number // folders_per_task)
+        folders.repartition(tasks).mapInArrow(_lister(), FOUND).write.parquet(path)
+        folders = spark.read.schema(FOUND).parquet(path).where("is_folder").select("path")
+        number, level = folders.count(), level + 1
+    return _as_inventory(spark.read.schema(FOUND).parquet(*[f"{target}/level={i}" for i in range(level)]), root)
+
+
+def _as_inventory(found: DataFrame, root: str) -> DataFrame:
+    path = one_slash(F.col("path"))
+    return found.where(~F.col("is_folder") & C.is_csv(F.col("path"))).select(
+        F.substring_index(key_of(path, root), "/", 1).alias("dataset"),
+        key_of(path, root).alias("key"),
+        path.alias("path"),
+        "length",
+        "modification_time",
     )
 
 
 def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The task side of the ranged read; built inside one function, so that Spark ships it whole
-    and workers need not have this package."""
-    from urllib.parse import quote, unquote
-
-    from pyarrow import fs
+    """The task side of the ranged read."""
+    opened = opener()
 
     def open_stream(path: str):
-        scheme, _, rest = path.partition(":")
-        if scheme == "file":
-            return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
-        path = {"s3a": "s3", "abfss": "abfs"}.get(scheme, scheme) + ":" + rest
-        # Buckets, containers and hosts are taken as they are; the key is quoted.
-        system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
-        return system.open_input_stream(unquote(inner) if "%" in inner else inner)
+        system, inner = opened(path)
+        return system.open_input_stream(inner)
 
     def first_line(path: str) -> str | None:
         """Text up to the first line feed; None where there is none that reads as UTF-8. A file

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession, types as T
@@ -40,6 +41,22 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in _filesystem(spark, path).listStatus(_path(spark, path))]
 
 
+def listed(spark: SparkSession, folders: list[str]) -> list[tuple[str, bool, int, datetime]]:
+    """(path, False, size, time) of all files below the folders; hidden names are left out."""
+    found = []
+    for folder in folders:
+        if not exists(spark, folder):
+            continue
+        files = _filesystem(spark, folder).listFiles(_path(spark, folder), True)
+        while files.hasNext():
+            status = files.next()
+            path = status.getPath().toString()
+            if not re.search(r"/[_.]", path[len(folder) :]):
+                time = datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
+                found.append((path, False, status.getLen(), time))
+    return found
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a small file unless it is there already; says whether it did."""
     if exists(spark, path):
@@ -56,7 +73,32 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.option("wholetext", True).text(path).first()[0]
+    """What a small file holds."""
+    stream = _filesystem(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+# Stores where a file shows up whole when its writer closes it, and where a rename copies.
+WHOLE_PUTS = ("s3a", "s3", "gs")
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small file in the place of an older one at once: a reader finds either, whole."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    whole = scheme(spark, path) in WHOLE_PUTS
+    folder, _, name = path.rpartition("/")
+    target = path if whole else f"{folder}/_{name}-{uuid.uuid4().hex[:12]}"
+    out = _filesystem(spark, target).create(_path(spark, target), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not whole:
+        context = hadoop.FileContext.getFileContext(_path(spark, qualified(spark, path)).toUri())
+        over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        over[0] = hadoop.Options.Rename.OVERWRITE
+        context.rename(_path(spark, qualified(spark, target)), _path(spark, qualified(spark, path)), over)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,18 +1,21 @@
 import datetime as dt
+import re
 
 import pytest
 
+from daybook.operators import upsert
 from daybook.plans import daily_run
 from daybook.plans.daily_run import RunFailed, Settings
+from session_confs import configured
 
 
 def table(spark, root, name):
-    df = spark.read.parquet(f"{root}/{name}").drop("order_month")
+    df = upsert.read(spark, f"{root}/{name}").drop("order_month")
     return sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
 
 
 def by_day(spark, root):
-    return {r.order_date: r for r in spark.read.parquet(f"{root}/order_metrics_table").collect()}
+    return {r.order_date: r for r in upsert.read(spark, f"{root}/order_metrics_table").collect()}
 
 
 DAY1, DAY2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
@@ -270,7 +273,7 @@ def test_an_open_run_keeps_its_settings(spark, drop, tmp_path, monkeypatch):
     mend()
     row = daily_run.run(spark, drop.base, out, "second", RECOMPUTE).first()
     assert (row.executionId, row.status) == ("first", "success")
-    assert "decimal" in dict(spark.read.parquet(f"{out}/order_metrics_table").dtypes)["total_revenue"]
+    assert "decimal" in dict(upsert.read(spark, f"{out}/order_metrics_table").dtypes)["total_revenue"]
 
 
 def test_an_open_run_outlives_a_file_that_has_gone(spark, drop, tmp_path, monkeypatch):
@@ -337,20 +340,30 @@ def test_two_runs_at_once(spark, drop, tmp_path, monkeypatch):
     monkeypatch.setattr(daily_run.Tables, "next_seq", number)
 
 
-def test_a_run_reads_its_own_months_alone(spark, drop, tmp_path):
-    from daybook.plans import history
-
+def test_consumed_files_are_looked_up_in_their_buckets(spark, drop, tmp_path, monkeypatch):
+    monkeypatch.setattr(daily_run, "FOLD", 2)
     out = str(tmp_path / "out")
-    drop.put("orders/o.csv", ORDER_HEAD + "1,10,2025-01-01,x\n2,11,2025-02-02,x\n")
-    drop.put("order_items/i.csv", ITEM_HEAD + "1,1,100,10.00,x\n2,2,100,5.00,x\n")
-    drop.put("products/p.csv", PRODUCT_HEAD + "100,A,1,Toys,1\n")
-    daily_run.run(spark, drop.base, out, "r0", RECOMPUTE)
-    root = f"{out}/history"
-    like = spark.read.parquet(f"{root}/lines/seq=0")
-    days = spark.createDataFrame([(dt.date(2025, 2, 2),)], "order_date date")
-    lines = history.lines_of_days(days, like, root, 0)
-    files = [f for f in lines.inputFiles() if "/lines/" in f]
-    assert [r.item_id for r in lines.collect()] == [2]
-    text = lines._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in text and "2025-02" in text
-    assert files and "order_month" in files[0]
+    daily_run.run(spark, drop.good().base, out, "r0")
+    tables = daily_run.Tables(spark, out)
+    for i in range(1, 4):
+        drop.put(f"orders/more{i}.csv", ORDER_HEAD + f"{50 + i},1,2025-01-01,x\n")
+        daily_run.run(spark, drop.base, out, f"r{i}", RECOMPUTE) if i == 3 else None
+    # Runs 0 and 1 are in the index; nothing of them is read again.
+    assert tables.ledger() == {"next": 2, "base": 2}
+    files = daily_run.arrived.inventory(spark, drop.base)
+    assert tables.unconsumed(files).count() == 0
+    drop.put("orders/new.csv", ORDER_HEAD + "99,1,2025-01-01,x\n")
+    new = daily_run.arrived.inventory(spark, drop.base).where("key = 'orders/new.csv'")
+    left = tables.unconsumed(new)
+    assert [r.key for r in left.collect()] == ["orders/new.csv"]
+    with configured(spark, {"spark.sql.maxMetadataStringLength": "2000"}):
+        text = tables.unconsumed(new)._jdf.queryExecution().executedPlan().toString()
+    # One file has one bucket; manifests of runs in the index are not read.
+    assert re.search(r"consumed/upto=2\].*PartitionFilters: \[[^]]*\(bucket#\d+ = \d+\)", text), text
+    assert "/manifest/" not in text
+    # A file written anew under its old name is a new file.
+    import os
+
+    os.utime(f"{drop.base}/orders/o.csv", (2_000_000_000, 2_000_000_000))
+    again = tables.unconsumed(daily_run.arrived.inventory(spark, drop.base))
+    assert {r.key for r in again.collect()} == {"orders/new.csv", "orders/o.csv"}

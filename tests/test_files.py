@@ -33,6 +33,26 @@ def test_inventory_finds_every_csv(spark, drop):
     assert all(r.length > 0 and r.modification_time for r in rows if r is not empty)
 
 
+def test_names_are_listed_in_tasks(spark, drop):
+    """Deep folders, hidden names; nothing but numbers of folders in the driver, and the same
+    files as Hadoop's own listing finds, with the same times."""
+    for i in range(40):
+        drop.put(f"orders/d{i % 7}/e{i % 3}/f{i}.csv", "a\n")
+    drop.put("orders/_temporary/h.csv", "a\n")
+    drop.put("orders/.hidden/h.csv", "a\n")
+    drop.put("orders/d1/_h.csv", "a\n")
+    drop.put("products/zero.csv", "")
+    found = files.inventory(spark, drop.base, folders_per_task=2)
+    told = files.inventory(spark, drop.base, ranged=False)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, told.collect()))
+    assert found.count() == 41
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{drop.base}/orders")
+    times = {r.path.replace("file:///", "file:/"): r.modificationTime for r in seen.select("path", "modificationTime").collect()}
+    assert all(times[r.path] == r.modification_time for r in found.where("length > 0").collect())
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in text and "ExistingRDD" not in text
+
+
 def test_no_folders(spark, tmp_path):
     inventory = files.inventory(spark, str(tmp_path))
     assert inventory.count() == 0

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from daybook.operators import upsert
 from daybook.plans.daily_run import Settings
 from daybook.streaming import arrivals
 
@@ -13,7 +14,7 @@ def drain(spark, drop, root, settings, files_per_batch=1000):
 
 
 def revenue(spark, root):
-    rows = spark.read.parquet(f"{root}/out/order_metrics_table").collect()
+    rows = upsert.read(spark, f"{root}/out/order_metrics_table").collect()
     return {r.order_date.day: (r.total_orders, r.total_revenue) for r in rows}
 
 
@@ -39,7 +40,7 @@ def test_gate_holds_files_back(spark, drop, tmp_path):
     drop.put("products/p.csv", "id,sku,cost,category,retail_price\n100,A,1,Toys,1\n")
     drain(spark, drop, tmp_path, Settings(mode="recompute"))
     assert revenue(spark, tmp_path) == {1: (1, 2.5)}
-    category = spark.read.parquet(f"{tmp_path}/out/category_metrics_table").first()
+    category = upsert.read(spark, f"{tmp_path}/out/category_metrics_table").first()
     assert (category.category, category.order_date) == ("Toys", dt.date(2025, 1, 1))
 
 
