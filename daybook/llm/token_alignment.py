@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -29,9 +30,9 @@ from daybook.llm.frames import stored, tasks
 
 WORK = 1 << 16  # steps of a piece
 CHUNK = 1 << 21  # tokens
-PAIRS = 1 << 16  # pairs of a chunk that are handed on at once
+PAIRS = 1 << 16  # of a chunk, handed on at once
 SPACE = "▁"  # fixed value: how B's pieces write a space
-LEVEL = 3  # of compression
+LEVEL = 6  # of compression
 
 
 def byte_letters() -> dict[str, int]:
@@ -42,6 +43,49 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
+# Fixed value: how public byte-level BPE parts a text before it merges.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Beyond these characters, libraries may differ in what is a letter, a number or a space.
+UNSURE = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f]")
+REMEMBERED = 1 << 18  # words
+LONG = 64  # characters of a word that is not remembered
+
+
+class Words:
+    """Ids of the words that a byte-level tokenizer parts a text into. It merges each alone, so
+    those met before need not be merged again."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
+        self.parts = regex.compile(PARTS).findall
+
+    @classmethod
+    def of(cls, tokenizer) -> Words | None:
+        """None unless the tokenizer's file says that it parts and merges like this."""
+        held = json.loads(tokenizer.to_str())
+        cut, model = held["pre_tokenizer"] or {}, held["model"]
+        plain = held["normalizer"] is None and held["post_processor"] is None and held["truncation"] is None
+        byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+        merged = model.get("type") == "BPE" and not any(
+            model.get(n) for n in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
+        )
+        special = all(t["special"] for t in held["added_tokens"])
+        return cls(tokenizer) if plain and byte_level and merged and special else None
+
+    def ids(self, text: str) -> list[int]:
+        known, found = self.known, []
+        for word in self.parts(text):
+            ids = known.get(word)
+            if ids is None:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                if len(word) <= LONG:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = ids
+            found += ids
+        return found
+
+
 class Tokenizers(NamedTuple):
     """Both tokenizers, the bytes of each id, and how many they are."""
 
@@ -51,6 +95,13 @@ class Tokenizers(NamedTuple):
     b_bytes: list[bytes]
     a_sizes: np.ndarray
     b_sizes: np.ndarray
+    words: Words | None
+
+    def a_ids(self, text: str) -> list[int]:
+        """A's ids of a text, word by word where that is known to give the same."""
+        if self.words is not None and not UNSURE.search(text):
+            return self.words.ids(text)
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def spells(self, ids: np.ndarray, whole: np.ndarray, first: bool) -> bool:
         """Whether the bytes of A's (or B's) ids, one after the other, are those given."""
@@ -96,7 +147,7 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
         for i, piece in ((i, b.id_to_piece(i)) for i in range(b.vocab_size()))
     ]
     a_sizes, b_sizes = (np.array([len(t) for t in tokens], np.int64) for tokens in (a_bytes, b_bytes))
-    return Tokenizers(a, b, a_bytes, b_bytes, a_sizes, b_sizes)
+    return Tokenizers(a, b, a_bytes, b_bytes, a_sizes, b_sizes, Words.of(a))
 
 
 def encoded(text: str | None, both: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +155,7 @@ def encoded(text: str | None, both: Tokenizers) -> tuple[np.ndarray, np.ndarray]
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not text:
         return none
-    a = np.array(both.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+    a = np.array(both.a_ids(" " + text), np.int64)
     b = np.array(both.b.encode(text, num_threads=1), np.int64)
     whole = np.frombuffer((" " + text).encode(), np.uint8)
     return (a, b) if both.spells(a, whole, True) and both.spells(b, whole, False) else none
@@ -192,22 +243,40 @@ def codes(found: Overlaps) -> np.ndarray:
 
 # ---- tokens as pieces ----------------------------------------------------------------------
 
+CHUNKS = "chunk bigint, payload binary"
 PIECES = (
-    "row bigint, doc_id bigint, piece int, pieces int, chunk bigint, n_a bigint, n_b bigint, "
+    "row bigint, doc_id bigint, piece int, pieces int, n_a bigint, n_b bigint, "
     "a_begin bigint, b_begin bigint, a_next int, b_next int, tokens binary"
 )
 
 
-def packed(piece: Piece) -> bytes:
-    return zstandard.ZstdCompressor(level=LEVEL).compress(
-        piece.a.astype("<u4").tobytes() + piece.b.astype("<u4").tobytes()
-    )
+def _kind(n: int) -> str:
+    """How ids below `n` are written."""
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
+def _tokens(piece: Piece, both: Tokenizers) -> bytes:
+    return piece.a.astype(_kind(len(both.a_bytes))).tobytes() + piece.b.astype(_kind(len(both.b_bytes))).tobytes()
 
 
-def _unpacked(row: dict) -> Piece:
-    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), "<u4").astype(np.int64)
-    n = row["n_a"]
-    return Piece(ids[:n], ids[n:], row["a_begin"], row["b_begin"], row["a_next"], row["b_next"])
+def _packed(rows: list[tuple], schema: pa.Schema) -> bytes:
+    """The pieces of a chunk as one compressed batch."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_batch(_batch(rows, schema))
+    return zstandard.ZstdCompressor(level=LEVEL).compress(sink.getvalue())
+
+
+def _unpacked(payload: bytes) -> list[dict]:
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    return pa.ipc.open_stream(raw).read_all().to_pylist()
+
+
+def _piece(row: dict, both: Tokenizers) -> Piece:
+    n, kinds = row["n_a"], (_kind(len(both.a_bytes)), _kind(len(both.b_bytes)))
+    a = np.frombuffer(row["tokens"], kinds[0], n).astype(np.int64)
+    b = np.frombuffer(row["tokens"], kinds[1], row["n_b"], a.size * int(kinds[0][-1])).astype(np.int64)
+    return Piece(a, b, row["a_begin"], row["b_begin"], row["a_next"], row["b_next"])
 
 
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
@@ -222,39 +291,36 @@ def _arrow(schema: str) -> pa.Schema:
 
 
 def _encoder(a_path: str, b_path: str, work: int, chunk: int):
-    schema = _arrow(PIECES)
+    schema, packets = _arrow(PIECES), _arrow(CHUNKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizers(a_path, b_path)
         number, held, rows = TaskContext.get().partitionId() << 32, 0, []
-        waiting = 0
         for batch in batches:
             for row, doc_id, text in zip(*[batch.column(n) for n in ("row", "doc_id", "text")]):
-                a, b = encoded(text.as_py(), both)
-                made = pieces_of(a, b, both, work)
+                made = pieces_of(*encoded(text.as_py(), both), both, work)
                 for at, p in enumerate(made):
                     rows.append(
-                        (row.as_py(), doc_id.as_py(), at, len(made), number, len(p.a), len(p.b),
-                         p.a_begin, p.b_begin, p.a_next, p.b_next, packed(p))
+                        (row.as_py(), doc_id.as_py(), at, len(made), len(p.a), len(p.b),
+                         p.a_begin, p.b_begin, p.a_next, p.b_next, _tokens(p, both))
                     )
-                    held += len(p.a) + len(p.b)
-                    waiting += len(p.a) + len(p.b)
+                    held += len(p.a) + len(p.b) + 8
                     if held >= chunk:
-                        number, held = number + 1, 0
-                    if waiting >= 1 << 18:
-                        yield _batch(rows, schema)
-                        rows, waiting = [], 0
-        yield _batch(rows, schema)
+                        yield _batch([(number, _packed(rows, schema))], packets)
+                        number, held, rows = number + 1, 0, []
+        if rows:
+            yield _batch([(number, _packed(rows, schema))], packets)
 
     return run
 
 
 def tokenized(docs: DataFrame, a_path: str, b_path: str, work: int = WORK, chunk: int = CHUNK) -> DataFrame:
-    """The merge-path pieces of `docs` (doc_id, text), stored; at least one for each row."""
+    """The merge-path pieces of `docs` (doc_id, text), at least one for each row, packed by chunk
+    and stored."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"
     )
-    return stored(rows.mapInArrow(_encoder(a_path, b_path, work, chunk), PIECES), "pieces")
+    return stored(rows.mapInArrow(_encoder(a_path, b_path, work, chunk), CHUNKS), "chunks")
 
 
 # ---- counts of pairs -----------------------------------------------------------------------
@@ -280,27 +346,18 @@ def _counter(a_path: str, b_path: str):
                     schema=schema,
                 )
 
-        now, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                if held and row["chunk"] != now:
-                    yield from counted(now, held)
-                    held = []
-                now = row["chunk"]
-                held.append(codes(overlaps(_unpacked(row), both)))
-        if held:
-            yield from counted(now, held)
+            for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload")):
+                found = (overlaps(_piece(row, both), both) for row in _unpacked(payload.as_py()))
+                yield from counted(chunk, [codes(f) for f in found])
 
     return run
 
 
-def pair_counts(pieces: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, DataFrame]:
+def pair_counts(packed: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, DataFrame]:
     """(chunk, a, b, links) of the pairs of each chunk, and (a, b, links, best) over the corpus:
     how many links hold a pair of ids, and whether no other A id has more with this B id."""
-    fields = ["chunk", "n_a", "n_b", "a_begin", "b_begin", "a_next", "b_next", "tokens"]
-    counted = pieces.select(*fields).mapInArrow(
-        _counter(a_path, b_path), "chunk bigint, a int, b int, links bigint"
-    )
+    counted = packed.mapInArrow(_counter(a_path, b_path), "chunk bigint, a int, b int, links bigint")
     chunks = stored(counted, "pairs")
     totals = stored(chunks.groupBy("a", "b").agg(F.sum("links").alias("links")), "totals")
     most = totals.groupBy("b").agg(F.max("links").alias("most"))
@@ -360,7 +417,7 @@ SCORED = (
 
 
 def _scorer(a_path: str, b_path: str):
-    """Of a chunk's pieces and the counts of its pairs, a row for each piece."""
+    """Of a chunk and the counts of its pairs, a row for each piece."""
     schema = _arrow(SCORED)
 
     def run(pieces: pa.Table, counts: pa.Table) -> pa.Table:
@@ -371,8 +428,8 @@ def _scorer(a_path: str, b_path: str):
         links = counts.column("links").to_numpy()[order]
         best = counts.column("best").to_numpy(zero_copy_only=False)[order].astype(np.int64)
         rows = []
-        for row in pieces.to_pylist():
-            piece = _unpacked(row)
+        for row in (row for payload in pieces.column("payload") for row in _unpacked(payload.as_py())):
+            piece = _piece(row, both)
             found = overlaps(piece, both)
             at = np.searchsorted(code, codes(found))
             sha, tokens = None, row["tokens"]
@@ -407,7 +464,7 @@ def _stitched(a_path: str, b_path: str):
             for row in batch.to_pylist():
                 if row["row"] != now:
                     now, sums, stitch = row["row"], dict.fromkeys(SUMS, 0), Stitcher()
-                piece = _unpacked(row)
+                piece = _piece(row, both)
                 stitch.add(piece, overlaps(piece, both))
                 sums = {n: sums[n] + row[n] for n in SUMS}
                 if row["piece"] + 1 == row["pieces"]:
@@ -428,11 +485,11 @@ def aligned(
     zeros and an empty digest. Repeated rows count each time; a NULL doc_id is a row like others.
     """
     n = tasks(docs.sparkSession)
-    pieces = tokenized(docs, a_path, b_path, work, chunk)
-    chunks, counts = pair_counts(pieces, a_path, b_path)
+    packed = tokenized(docs, a_path, b_path, work, chunk)
+    chunks, counts = pair_counts(packed, a_path, b_path)
     needed = chunks.select("chunk", "a", "b").join(counts, ["a", "b"])
     scored = stored(
-        pieces.groupBy("chunk").cogroup(needed.groupBy("chunk")).applyInArrow(_scorer(a_path, b_path), SCORED), "scored"
+        packed.groupBy("chunk").cogroup(needed.groupBy("chunk")).applyInArrow(_scorer(a_path, b_path), SCORED), "scored"
     )
     short = scored.where("pieces = 1").select("row", "doc_id", *SUMS, "groups_sha256")
     long = scored.where("pieces > 1").repartition(n, "row").sortWithinPartitions("row", "piece")

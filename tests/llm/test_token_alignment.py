@@ -86,3 +86,20 @@ def test_vocabularies_are_whole():
     both = A.tokenizers(*PATHS)
     assert len(both.a_bytes) == 50_257 and len(both.b_bytes) == 32_000
     assert {t for t in both.a_bytes if len(t) == 1} == {bytes([i]) for i in range(256)}
+
+
+def test_word_by_word_is_the_same():
+    """Ids of words met before are those of the whole text, for text of known characters and others."""
+    both = A.tokenizers(*PATHS)
+    assert both.words is not None
+    rng = random.Random(11)
+    letters = [*map(chr, range(0x20, 0x7F)), *map(chr, range(0xA0, 0x250)), *"\t\n\r   \n", *"''sdtmrvel", *"0123", *"²½"]
+    for i in range(20_000):
+        text = " " + "".join(rng.choices(letters, k=rng.randrange(40)))
+        assert not A.UNSURE.search(text)
+        assert both.a_ids(text) == both.a.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in SAMPLES[1:]:
+        assert both.a_ids(" " + text) == both.a.encode(" " + text, add_special_tokens=False).ids
+    # Another kind of tokenizer is left to its library.
+    other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert A.Words.of(other) is None
