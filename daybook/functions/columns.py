@@ -72,11 +72,17 @@ def writer_count(rows: Column) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(10), F.floor(rows / 1000))).cast("int")
 
 
-def store_record(rows: DataFrame) -> DataFrame:
+def floating(rows: DataFrame) -> list[str]:
+    """Names of the columns of floating numbers."""
+    return [f.name for f in rows.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+
+
+def store_record(rows: DataFrame, numbers: bool = True) -> DataFrame:
     """Rows as a keyed store takes them: numbers as decimals, dates and times as ISO text.
 
-    No digit is cut: decimals stay as they are, and floating numbers keep the digits they are
-    written with (18 after the point, 20 before it; a greater number is NULL).
+    Decimals stay as they are. Floating numbers keep the digits they are written with, as far as
+    Spark's decimals go: 18 after the point, 20 before it, a greater number is NULL. With `numbers`
+    off they are the text they are written as, whatever their size, which `put` makes numbers of.
     """
 
     def convert(field: T.StructField) -> Column:
@@ -86,7 +92,8 @@ def store_record(rows: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.IntegralType):
             return c.cast("decimal(28,0)").alias(field.name)
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-            return c.cast("string").try_cast("decimal(38,18)").alias(field.name)
+            text = c.cast("string")
+            return (text.try_cast("decimal(38,18)") if numbers else text).alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.date_format(c, "yyyy-MM-dd").alias(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):

@@ -7,6 +7,7 @@ import sys
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -40,11 +41,17 @@ def put_frames(
     keys: Sequence[str],
     batch_size: int,
     pauses: Sequence[float],
+    numbers: Sequence[str] = (),
 ) -> tuple[dict[str, int], str | None]:
-    """Delivers the rows of a task in batches; gives the counts and why the first batch failed that did."""
+    """Delivers the rows of a task in batches; gives the counts and why the first batch failed that
+    did. The columns `numbers` come as text and go as exact decimals, what is no number as None."""
     count, why = dict.fromkeys(OUTCOME, 0), None
     for frame in frames:
         keyed = [r for r in frame.to_pylist() if all(r[k] is not None for k in keys)]
+        for row in keyed:
+            for name in numbers:
+                value = None if row[name] is None else Decimal(row[name])
+                row[name] = value if value is None or value.is_finite() else None
         count["skipped"] += frame.num_rows - len(keyed)
         for batch in (keyed[at : at + batch_size] for at in range(0, len(keyed), batch_size)):
             latest = {tuple(r[k] for k in keys): r for r in batch}
@@ -75,12 +82,14 @@ def put_rows(
     puts happen when the result is read.
     """
 
+    numbers = C.floating(rows)
+
     def put_partition(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            count, _ = put_frames(iter([frame]), deliver, keys, batch_size, pauses)
+            count, _ = put_frames(iter([frame]), deliver, keys, batch_size, pauses, numbers)
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()) for n in count.values()], names=list(count))
 
-    records = C.store_record(rows)
+    records = C.store_record(rows, numbers=False)
     if writers is not None:
         records = records.repartition(writers)
     return records.mapInArrow(put_partition, ", ".join(f"{n} bigint" for n in OUTCOME)).agg(
@@ -104,7 +113,8 @@ def keyed_store(
     name: str = "keyed_put",
 ) -> type[DataSource]:
     """A data source that writes into the store behind `deliver`; register it, and write through
-    `rows.write.format(name).option("outcome", path)`.
+    `rows.write.format(name).option("outcome", path)`. The option `numbers` lists, as JSON, columns that
+    come as text and go as decimals.
 
     The outcome is written as JSON when all tasks have finished: counts as of `put_rows`, and each
     task's first reason for a failed batch. Only the attempt of a task that Spark commits counts,
@@ -112,11 +122,11 @@ def keyed_store(
     """
 
     class Writer(DataSourceArrowWriter):
-        def __init__(self, outcome: str):
-            self.outcome = outcome
+        def __init__(self, outcome: str, numbers: list[str]):
+            self.outcome, self.numbers = outcome, numbers
 
         def write(self, iterator: Iterator[pa.RecordBatch]) -> Delivered:
-            return Delivered(*put_frames(iterator, deliver, keys, batch_size, pauses))
+            return Delivered(*put_frames(iterator, deliver, keys, batch_size, pauses, self.numbers))
 
         def _note(self, what: dict) -> None:
             system, path = opener()(self.outcome)
@@ -137,7 +147,7 @@ def keyed_store(
             return name
 
         def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-            return Writer(self.options["outcome"])
+            return Writer(self.options["outcome"], json.loads(self.options.get("numbers", "[]")))
 
     return KeyedStore
 
@@ -148,9 +158,10 @@ def put_through(rows: DataFrame, source: type[DataSource], outcome: str, writers
     Pass rows that are stored already, so that a retry does not compute them anew."""
     spark = rows.sparkSession
     spark.dataSource.register(source)
-    records = C.store_record(rows)
+    records = C.store_record(rows, numbers=False)
     if writers is not None:
         records = records.repartition(writers)
     path = storage.qualified(spark, outcome)
-    records.write.format(source.name()).mode("append").option("outcome", path).save()
+    numbers = json.dumps(C.floating(rows))
+    records.write.format(source.name()).mode("append").option("outcome", path).option("numbers", numbers).save()
     return json.loads(storage.read_text(spark, path))

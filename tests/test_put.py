@@ -147,3 +147,17 @@ def test_a_task_run_twice_counts_once(tmp_path):
     # The lost attempt delivered, too; the store replaces by key.
     assert {r["id"] for b in batches(tmp_path / "store") for r in b} == set(range(60))
     assert sum(len(b) for b in batches(tmp_path / "store")) > 60
+
+
+def test_every_digit_of_a_number_is_kept(spark, tmp_path):
+    values = [1e20, 1e21, 1.5e-19, 0.1, -2.5e300, float("nan"), float("inf"), None]
+    rows = spark.createDataFrame(list(enumerate(values)), "id bigint, v double")
+    for way in ("rows", "through"):
+        store = tmp_path / way
+        store.mkdir()
+        if way == "rows":
+            put.put_rows(rows, recorder(store), ["id"]).first()
+        else:
+            put.put_through(rows, put.keyed_store(recorder(store), ["id"]), f"{tmp_path}/outcome.json")
+        got = {int(r["id"]): r["v"] for b in batches(store) for r in b}
+        assert got == {i: Decimal(repr(v)) for i, v in enumerate(values[:5])} | {5: None, 6: None, 7: None}
