@@ -341,6 +341,9 @@ from d_items i join d_orders o on i.order_id = o.order_id join d_products p on i
     "revenue_by_day": _days("select order_date, total_revenue from days"),
     "distinct_orders_by_day": _days("select order_date, total_orders from days"),
     "distinct_customers_by_day": _days("select order_date, unique_customers from days"),
+    "stream_archive": """select 'orders' as dataset, count(*) as rows from orders
+        union all select 'order_items', count(*) from lineitem""",
+    "stream_batch_replayed": _days(),
     "sketched_customers_by_day": _days("select order_date, unique_customers, true as near from days"),
     "sketched_customers_by_month": """select strftime(o_orderdate, '%Y-%m') as order_month,
         count(distinct o_custkey) as unique_customers, true as near

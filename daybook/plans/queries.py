@@ -545,9 +545,9 @@ def daily_run_category(spark, sf_dir):
     return upsert.read(spark, f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
 
 
-def _drain(spark, root, run_settings, files_per_batch):
-    writer = arrivals.run_on_arrival(spark, f"{root}/in", f"{root}/out", run_settings, files_per_batch)
-    stream = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+def _drain(spark, root, run_settings, files_per_batch, archive=None, checkpoint="checkpoint"):
+    writer = arrivals.run_on_arrival(spark, f"{root}/in", f"{root}/out", run_settings, files_per_batch, archive)
+    stream = writer.option("checkpointLocation", f"{root}/{checkpoint}").trigger(availableNow=True).start()
     stream.awaitTermination()
 
 
@@ -575,3 +575,27 @@ def stream_gate(spark, sf_dir):
     drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
     _drain(spark, root, gated, 1_000_000)
     return upsert.read(spark, f"{root}/out/{CATEGORY_TABLE}").drop(upsert.MONTH)
+
+
+@query
+def stream_archive(spark, sf_dir):
+    """Rows of the files that the stream has moved to the archive: all but those of its last batch."""
+    root = storage.scratch(spark, "stream_archive")
+    drops.write_plain_drop(spark, sf_dir, f"{root}/in", "order_items", "orders")
+    _drain(spark, root, LATE, 1_000_000, f"{root}/archive")
+    drops.write_plain_drop(spark, sf_dir, f"{root}/in", "products")
+    _drain(spark, root, LATE, 1_000_000, f"{root}/archive")
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{root}/archive")
+    dataset = F.regexp_extract("_metadata.file_path", "/in/([^/]+)/", 1).alias("dataset")
+    header = F.col("value").rlike("^(id|order_id),")
+    return lines.groupBy(dataset).agg(F.count_if(~header).alias("rows"))
+
+
+@query
+def stream_batch_replayed(spark, sf_dir):
+    """All files come as a micro-batch once more, under another checkpoint, and count once."""
+    root = storage.scratch(spark, "stream_batch_replayed")
+    drops.write_plain_drop(spark, sf_dir, f"{root}/in")
+    for checkpoint in ("first", "second"):
+        _drain(spark, root, LATE, 1_000_000, checkpoint=checkpoint)
+    return upsert.read(spark, f"{root}/out/{ORDER_TABLE}").drop(upsert.MONTH)

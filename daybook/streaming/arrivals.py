@@ -17,18 +17,23 @@ from daybook.sources import files as arrived
 _BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def file_stream(spark: SparkSession, base: str, files_per_batch: int = 1000) -> DataFrame:
+def file_stream(
+    spark: SparkSession, base: str, files_per_batch: int = 1000, archive: str | None = None
+) -> DataFrame:
     """New CSV files below `base` as (dataset, key, path, length, modification_time).
 
-    File contents are never read: the plan drops their column. Empty files do not show up.
+    File contents are never read: the plan drops their column. Empty files do not show up. With
+    `archive`, a folder outside of `base`, Spark moves the files of a micro-batch there, under their
+    whole path, when the next one begins.
     """
     root = storage.qualified(spark, base)
     path = arrived.one_slash(F.col("path"))
     key = arrived.key_of(path, root)
+    reader = spark.readStream.format("binaryFile").schema(_BINARY)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", storage.qualified(spark, archive))
     return (
-        spark.readStream.format("binaryFile")
-        .schema(_BINARY)
-        .option("recursiveFileLookup", True)
+        reader.option("recursiveFileLookup", True)
         .option("pathGlobFilter", arrived.CSV_GLOB)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(root)
@@ -53,6 +58,7 @@ def run_on_arrival(
     tables_root: str,
     settings: daily_run.Settings = daily_run.Settings(mode="recompute"),
     files_per_batch: int = 1000,
+    archive: str | None = None,
 ) -> DataStreamWriter:
     """A stream writer that runs whenever files arrive; add a checkpoint, a trigger, and start.
 
@@ -60,7 +66,13 @@ def run_on_arrival(
     noted by the batch before. The run takes these. With `require_all` that is the completeness
     gate: files wait until every dataset has some. Without it, whatever came is worked in at once.
     A micro-batch played again notes the same files, finds them consumed, and does nothing.
+
+    With `archive` (see `file_stream`) files leave `base` once they are worked in. As no file may
+    wait then, `require_all` must be off, and a run that fails stops the stream: its files stay, and
+    come again when the stream is started anew.
     """
+    if archive is not None and settings.require_all:
+        raise ValueError("files that wait for others cannot be archived; set require_all=False")
 
     def on_batch(files: DataFrame, batch_id: int) -> None:
         session = files.sparkSession
@@ -77,6 +89,7 @@ def run_on_arrival(
             daily_run.run_files(session, base, waiting, tables, f"batch-{batch_id}", settings)
         except daily_run.RunFailed:
             # The report row tells why; good files wait for the next arrivals.
-            pass
+            if archive is not None:
+                raise
 
-    return file_stream(spark, base, files_per_batch).writeStream.foreachBatch(on_batch)
+    return file_stream(spark, base, files_per_batch, archive).writeStream.foreachBatch(on_batch)

@@ -60,3 +60,26 @@ def test_stream_reads_no_content(spark, drop):
     query.awaitTermination()
     text = query._jsq.explainInternal(False)
     assert "content" not in text.split("ReadSchema")[-1]
+
+
+def test_files_are_archived_when_worked_in(spark, drop, tmp_path):
+    import os
+
+    import pytest
+
+    late = Settings(mode="recompute", require_all=False)
+    archive = f"{tmp_path}/archive"
+
+    def drained():
+        writer = arrivals.run_on_arrival(spark, drop.base, f"{tmp_path}/out", late, archive=archive)
+        writer.option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        return sorted(name for _, _, names in os.walk(archive) for name in names if name.endswith(".csv"))
+
+    drop.good()
+    drained()
+    drop.put("order_items/late.csv", ITEM_HEAD + "5,1,100,0.25,x\n")
+    assert drained() == ["i.csv", "o.csv", "p.csv"]
+    assert not os.path.exists(f"{drop.base}/orders/o.csv") and os.path.exists(f"{drop.base}/order_items/late.csv")
+    assert revenue(spark, tmp_path) == {1: (1, 15.0), 2: (1, 20.0)}
+    with pytest.raises(ValueError, match="require_all"):
+        arrivals.run_on_arrival(spark, drop.base, f"{tmp_path}/out", archive=archive)
