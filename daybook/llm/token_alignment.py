@@ -45,45 +45,32 @@ def byte_letters() -> dict[str, int]:
 
 # Fixed value: how public byte-level BPE parts a text before it merges.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Beyond these characters, libraries may differ in what is a letter, a number or a space.
-UNSURE = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f]")
-REMEMBERED = 1 << 18  # words
-LONG = 64  # characters of a word that is not remembered
-
-
-class Words:
-    """Ids of the words that a byte-level tokenizer parts a text into. It merges each alone, so
-    those met before need not be merged again."""
-
-    def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
-        self.parts = regex.compile(PARTS).findall
-
-    @classmethod
-    def of(cls, tokenizer) -> Words | None:
-        """None unless the tokenizer's file says that it parts and merges like this."""
-        held = json.loads(tokenizer.to_str())
-        cut, model = held["pre_tokenizer"] or {}, held["model"]
-        plain = held["normalizer"] is None and held["post_processor"] is None and held["truncation"] is None
-        byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
-        merged = model.get("type") == "BPE" and not any(
-            model.get(n) for n in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
-        )
-        special = all(t["special"] for t in held["added_tokens"])
-        return cls(tokenizer) if plain and byte_level and merged and special else None
-
-    def ids(self, text: str) -> list[int]:
-        known, found = self.known, []
-        for word in self.parts(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                if len(word) <= LONG:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
-            found += ids
-        return found
+# Beyond these characters, libraries may differ in what is a letter, a number or a space; and runs
+# without or of spaces that are this long are slow in one of them.
+UNSURE = regex.compile(r"[^\t\n\r\x20-\x7e\xa0-\u024f]|\S{400}|\s{400}")
+
+
+def ranked(tokenizer, token_bytes: list[bytes]):
+    """The tokenizer as ranks of its tokens, which the `tiktoken` library merges several times as
+    fast to the same ids. None unless the tokenizer's file says that it parts texts like `PARTS`,
+    and its ids follow the order of its merges."""
+    held = json.loads(tokenizer.to_str())
+    cut, model = held["pre_tokenizer"] or {}, held["model"]
+    plain = held["normalizer"] is None and held["post_processor"] is None and held["truncation"] is None
+    byte_level = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    merged = model.get("type") == "BPE" and not any(
+        model.get(n) for n in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
+    )
+    if not (plain and byte_level and merged and all(t["special"] for t in held["added_tokens"])):
+        return None
+    ids = [model["vocab"]["".join(pair)] for pair in model["merges"]]
+    special = {t["id"] for t in held["added_tokens"]}
+    ranks = {token: i for i, token in enumerate(token_bytes) if i not in special}
+    if ids != sorted(set(ids)) or len(ranks) != len(token_bytes) - len(special):
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding("ranked", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
 
 class Tokenizers(NamedTuple):
@@ -95,12 +82,12 @@ class Tokenizers(NamedTuple):
     b_bytes: list[bytes]
     a_sizes: np.ndarray
     b_sizes: np.ndarray
-    words: Words | None
+    ranks: object | None
 
     def a_ids(self, text: str) -> list[int]:
-        """A's ids of a text, word by word where that is known to give the same."""
-        if self.words is not None and not UNSURE.search(text):
-            return self.words.ids(text)
+        """A's ids of a text, by its ranks where that is known to give the same."""
+        if self.ranks is not None and not UNSURE.search(text):
+            return self.ranks.encode_ordinary(text)
         return self.a.encode(text, add_special_tokens=False).ids
 
     def spells(self, ids: np.ndarray, whole: np.ndarray, first: bool) -> bool:
@@ -147,7 +134,7 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
         for i, piece in ((i, b.id_to_piece(i)) for i in range(b.vocab_size()))
     ]
     a_sizes, b_sizes = (np.array([len(t) for t in tokens], np.int64) for tokens in (a_bytes, b_bytes))
-    return Tokenizers(a, b, a_bytes, b_bytes, a_sizes, b_sizes, Words.of(a))
+    return Tokenizers(a, b, a_bytes, b_bytes, a_sizes, b_sizes, ranked(a, a_bytes))
 
 
 def encoded(text: str | None, both: Tokenizers) -> tuple[np.ndarray, np.ndarray]:

@@ -88,18 +88,23 @@ def test_vocabularies_are_whole():
     assert {t for t in both.a_bytes if len(t) == 1} == {bytes([i]) for i in range(256)}
 
 
-def test_word_by_word_is_the_same():
-    """Ids of words met before are those of the whole text, for text of known characters and others."""
+def test_ranks_give_the_same_ids(table_docs):
+    """For all texts of known characters, and, by the library itself, for others."""
     both = A.tokenizers(*PATHS)
-    assert both.words is not None
+    assert both.ranks is not None
+    plain = lambda text: both.a.encode(text, add_special_tokens=False).ids
     rng = random.Random(11)
     letters = [*map(chr, range(0x20, 0x7F)), *map(chr, range(0xA0, 0x250)), *"\t\n\r   \n", *"''sdtmrvel", *"0123", *"²½"]
-    for i in range(20_000):
+    for _ in range(20_000):
         text = " " + "".join(rng.choices(letters, k=rng.randrange(40)))
         assert not A.UNSURE.search(text)
-        assert both.a_ids(text) == both.a.encode(text, add_special_tokens=False).ids, repr(text)
-    for text in SAMPLES[1:]:
-        assert both.a_ids(" " + text) == both.a.encode(" " + text, add_special_tokens=False).ids
+        assert both.a_ids(text) == plain(text), repr(text)
+    # Letters as in words, where merges compete.
+    for _ in range(20_000):
+        text = " " + "".join(rng.choices("etaoinshrdlucmfwypvbgkéèüß' ", k=rng.randrange(60)))
+        assert both.a_ids(text) == plain(text), repr(text)
+    for text in [*SAMPLES[1:], *filter(None, table_docs.values()), "x" * 5000, " " * 5000]:
+        assert both.a_ids(" " + text) == plain(" " + text)
     # Another kind of tokenizer is left to its library.
     other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    assert A.Words.of(other) is None
+    assert A.ranked(other, []) is None
