@@ -26,6 +26,7 @@ GRAM = 16  # bytes
 PIECE = 2 << 20  # bytes of text a task works on at once
 SHARD = 1 << 19  # bytes sorted at once
 MERGE = 1 << 20  # bytes of shards merged at once, or one minimiser's
+AT_ONCE = 1 << 23  # bytes of strings taken out of their packets at once, or one minimiser's
 STOP = 255  # ends a text in a shard; no byte of UTF-8
 STEP = 8  # symbols a round
 
@@ -207,18 +208,8 @@ def _may_share(where: Where, places: list[int]) -> set[bytes]:
     return {text for texts in sides.values() if len(texts) > 1 for text in texts}
 
 
-def _meet(packets, source, place, groups, spans: S.Spans) -> None:
-    several: list[tuple[int, Where]] = []
-    for group in groups:
-        where: Where = {}
-        for i in group:
-            packet, p = packets[source[i]], place[i]
-            where.setdefault(packet.text(p), []).append((int(packet.doc[p]), int(packet.at[p])))
-        if len(where) == 1:
-            ((text, stands),) = where.items()
-            _first_gone(spans, text, stands)
-        else:
-            several.append((int(packet.gram[p]), where))
+def _share(several: list[tuple[int, Where]], spans: S.Spans) -> None:
+    """Works out what strings of a minimiser share, some minimisers at once."""
     texts = [text for _, where in several for text in where]
     places = iter(_minimisers(texts, [gram for gram, where in several for _ in where]) if texts else [])
     held: list[Where] = []
@@ -238,6 +229,26 @@ def _meet(packets, source, place, groups, spans: S.Spans) -> None:
         _merge_groups(held, spans)
 
 
+def _meet(packets, source, place, groups, spans: S.Spans) -> None:
+    several: list[tuple[int, Where]] = []
+    size = 0
+    for group in groups:
+        where: Where = {}
+        for i in group:
+            packet, p = packets[source[i]], place[i]
+            where.setdefault(packet.text(p), []).append((int(packet.doc[p]), int(packet.at[p])))
+        if len(where) == 1:
+            ((text, stands),) = where.items()
+            _first_gone(spans, text, stands)
+            continue
+        several.append((int(packet.gram[p]), where))
+        size += sum(map(len, where))
+        if size >= AT_ONCE:
+            _share(several, spans)
+            several, size = [], 0
+    _share(several, spans)
+
+
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", PIECE):
         rows = []
