@@ -4,14 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
-from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,9 +18,6 @@ from daybook.plans import history
 from daybook.sources import csvdata, files as arrived
 
 
-T = TypeVar("T")
-
-
 class RunFailed(RuntimeError):
     """The run stopped for a reason that lies in the files; its report row says which."""
 
@@ -353,14 +346,6 @@ def quarantined(spark: SparkSession, checked: DataFrame, target: str) -> DataFra
     return validation.file_verdicts(checked.join(done, "path", "left"), outcome).drop("_aside")
 
 
-def together(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
-    """Runs independent steps at the same time, so that one's last tasks leave no core idle."""
-    session = SparkSession.active()
-    with ThreadPoolExecutor(len(steps)) as pool:
-        started = {name: pool.submit(inheritable_thread_target(session)(step)) for name, step in steps.items()}
-    return {name: step.result() for name, step in started.items()}
-
-
 def _figures(
     spark: SparkSession, verdicts: DataFrame, tables: Tables, seq: int, settings: Settings
 ) -> dict[str, int]:
@@ -380,7 +365,7 @@ def _figures(
         "order_items": sales.name_items(load("order_items")),
         "products": sales.prepare_products(load("products")),
     }
-    landed = together(
+    landed = session.together(
         {name: lambda n=name, rows=rows: history.land(rows, root, n, seq) for name, rows in typed.items()}
     )
     # Counted from the footers of the landed files.
@@ -396,7 +381,7 @@ def _figures(
         days, figures = _recompute(landed, root, seq, settings)
 
     names = {CATEGORY_TABLE: "categoryMetrics", ORDER_TABLE: "orderMetrics"}
-    done = together(
+    done = session.together(
         {
             names[table]: lambda t=table, rows=rows: upsert.upsert(
                 rows, tables.path(t), TABLE_KEYS[t], seq, f"{tables.path('work', seq)}/{t}", days

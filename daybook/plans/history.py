@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from daybook import storage
 from daybook.operators import kpis, sales
+from daybook.settings import together
 
 BUCKETS = 16
 COMPACT = 32  # runs
@@ -202,18 +203,15 @@ def _changed(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money:
         own = sales.priced(rows["order_items"].where("order_id is not null"), money)
         items = own if items is None else items.unionByName(own)
     came = items.groupBy("order_id", "product_id").agg(*added(money), F.count("*").alias("lines"))
-    state.write("sums", came, seq)
-    came = _written(state, "sums", seq)
     orders = _new_versions([(n, rows["orders"]) for n, rows in runs], "order_id")
-    state.write("orders", orders, seq)
-    orders = _written(state, "orders", seq)
-
     new = _new_versions([(n, rows["products"]) for n, rows in runs], "product_id")
     old_products = state.now("products", new.select("product_id")).withColumn("_known", F.lit(True))
     was = old_products.withColumnRenamed("category", "_was")
     joined = new.join(was, "product_id", "left")
-    state.write("products", joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was"))), seq)
-    products = _written(state, "products", seq)
+    products = joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was")))
+    fresh = {"sums": came, "orders": orders, "products": products}
+    together({name: lambda n=name, rows=rows: state.write(n, rows, seq) for name, rows in fresh.items()})
+    came, orders, products = (_written(state, name, seq) for name in fresh)
     resold = state.rows("sold").join(products.select("product_id"), "product_id", "left_semi")
 
     touched = came.select("order_id").unionByName(orders.select("order_id")).unionByName(resold.select("order_id")).distinct()
@@ -291,44 +289,50 @@ def _moved(state: State, changed: DataFrame, seq: int) -> None:
     sides = [f"{side}_{c}" for side in ("old", "new") for c in (*ADDED, "lines")]
     heads = [f"{side}_{c}" for side in ("old", "new") for c in ("order", "user", "date")]
 
-    # Day and buyer: one row per order, where it is not as it was.
+    # One row per order, where it is not as it was.
     orders = changed.groupBy("order_id", *heads).agg(*_sums(*sides))
     same = F.col("old_order").eqNullSafe(F.col("new_order"))
     for c in ("user", "date", *ADDED, "lines"):
         same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
     head = {"order_id": "order_id", "order_date": "{}_date", "user_id": "{}_user"}
     moved = land(_sides(orders.where(~same), head, "{0}_order and {0}_lines > 0"), state.root, "moved", seq)
-    buyers = (
-        moved.where("order_date is not null and user_id is not null")
-        .groupBy("order_date", "user_id").agg(F.sum("orders").alias("orders")).where("orders <> 0")
-    )
-    state.write("buyers", buyers, seq)
-    buyers = _written(state, "buyers", seq)
-    had = state.now("buyers", buyers.select("order_date", "user_id")).withColumnRenamed("orders", "_had")
-    had_any = F.coalesce("_had", F.lit(0))
-    turn = ((had_any + F.col("orders") > 0).cast("bigint") - (had_any > 0).cast("bigint")).alias("buyers")
-    turned = buyers.join(had, ["order_date", "user_id"], "left").select("order_date", turn)
-    none = [F.lit(0).cast(state.schema("days")[c].dataType).alias(c) for c in ("orders", *ADDED)]
-    days = moved.select("order_date", "orders", *ADDED, F.lit(0).cast("bigint").alias("buyers")).unionByName(
-        turned.select("order_date", *none, "buyers")
-    )
-    state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
-
-    # Category and day: an order counts once in each category that it has lines of.
-    place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
-    lines = _sides(changed, place, "{0}_order and {0}_product and {0}_lines > 0")
-    held = lines.groupBy("order_id", "category", "order_date").agg(
-        *_sums(*ADDED),
-        (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
-    )
-    still = F.col("orders") == 0
-    for c in ADDED:
-        still = still & (F.col(c) == 0)
-    by_day = held.where(~still).groupBy("category", "order_date").agg(*_sums("orders", *ADDED))
-    state.write("categories", by_day, seq)
-    # Pairs of product and order that are new.
-    sold = changed.where("first and product_id is not null").select("product_id", "order_id", F.lit(1).alias("pairs"))
-    state.write("sold", sold, seq)
+    def by_day() -> None:
+        buyers = (
+            moved.where("order_date is not null and user_id is not null")
+            .groupBy("order_date", "user_id").agg(F.sum("orders").alias("orders")).where("orders <> 0")
+        )
+        state.write("buyers", buyers, seq)
+        buyers = _written(state, "buyers", seq)
+        had = state.now("buyers", buyers.select("order_date", "user_id")).withColumnRenamed("orders", "_had")
+        had_any = F.coalesce("_had", F.lit(0))
+        turn = ((had_any + F.col("orders") > 0).cast("bigint") - (had_any > 0).cast("bigint")).alias("buyers")
+        turned = buyers.join(had, ["order_date", "user_id"], "left").select("order_date", turn)
+        none = [F.lit(0).cast(state.schema("days")[c].dataType).alias(c) for c in ("orders", *ADDED)]
+        days = moved.select("order_date", "orders", *ADDED, F.lit(0).cast("bigint").alias("buyers")).unionByName(
+            turned.select("order_date", *none, "buyers")
+        )
+        state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
+
+    def by_category() -> None:
+        # An order counts once in each category that it has lines of.
+        place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
+        lines = _sides(changed, place, "{0}_order and {0}_product and {0}_lines > 0")
+        held = lines.groupBy("order_id", "category", "order_date").agg(
+            *_sums(*ADDED),
+            (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
+        )
+        still = F.col("orders") == 0
+        for c in ADDED:
+            still = still & (F.col(c) == 0)
+        totals = held.where(~still).groupBy("category", "order_date").agg(*_sums("orders", *ADDED))
+        state.write("categories", totals, seq)
+
+    def pairs() -> None:
+        # Of product and order, that are new.
+        new = changed.where("first and product_id is not null")
+        state.write("sold", new.select("product_id", "order_id", F.lit(1).alias("pairs")), seq)
+
+    together({"days": by_day, "categories": by_category, "sold": pairs})
 
 
 def _figures(state: State, money: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:

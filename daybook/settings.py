@@ -1,12 +1,17 @@
-"""Session settings the plans rely on."""
+"""Session settings the plans rely on, and steps run side by side."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Hot keys: Spark splits a shuffle partition that is far larger than the others. The last
 # setting lets it do so also where the join's partitioning is used again, at the price of one
 # more shuffle, and only when it finds such a partition.
@@ -34,3 +39,11 @@ def during(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def together(steps: dict[str, Callable[[], T]]) -> dict[str, T]:
+    """Runs independent steps at the same time, so that one's last tasks leave no core idle."""
+    session = SparkSession.active()
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(session)(step)) for name, step in steps.items()}
+    return {name: step.result() for name, step in started.items()}
