@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from daybook.llm.frames import pieces, stored, tasks, text_of
 
-BUCKETS = 1  # per task
+BUCKETS = 2  # per task, which holds one at a time
 LEVEL = 6  # of compression
 SPANS = "doc_id bigint, mark bigint, begins array<bigint>, ends array<bigint>"
 PACKETS = "bucket int, payload binary, " + SPANS
