@@ -267,7 +267,7 @@ def _finish_as_set(
                 "issues": F.when(F.col("gone"), F.array(F.lit("The file has gone"))).otherwise(F.col("issues")),
             }
         )
-    verdicts = quarantined(spark, checked, tables.path("quarantine", seq))
+    verdicts = quarantined(spark, checked, tables.path("quarantine", seq), settings.ranged)
     try:
         facts = _figures(spark, verdicts, tables, seq, settings)
     except (RunFailed, counts.EmptyDataset, csvdata.MissingColumns) as error:
@@ -311,13 +311,14 @@ def _readable(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def quarantined(spark: SparkSession, checked: DataFrame, target: str) -> DataFrame:
+def quarantined(spark: SparkSession, checked: DataFrame, target: str, ranged: bool = True) -> DataFrame:
     """Copies the lines of bad files to `target`, by dataset, and gives the verdict on each file.
 
     The lines are kept as text with their file and place, as the columns of such a file are in
-    doubt. If not all files can be read, each is tried alone, so that one leaves the others as
+    doubt. If not all files can be read, tasks try each alone, so that one leaves the others as
     they are: a file that was copied is `quarantined`, one that was not has `failed`. The files
-    themselves stay where they are.
+    themselves stay where they are. Where only Spark can read the store (not `ranged`), the driver
+    tries them one after the other.
     """
     named = checked.where(~F.col("is_valid") & ~F.col("gone")).select("dataset", "path", "length")
     bad = named.collect()
@@ -338,7 +339,11 @@ def quarantined(spark: SparkSession, checked: DataFrame, target: str) -> DataFra
     try:
         copy(filled)
     except (PySparkException, Py4JJavaError):
-        filled = [p for p in filled if _readable(spark, p)]
+        if ranged:
+            some = named.where("length > 0")
+            filled = [r.path for r in arrived.readable(some, len(filled)).collect()]
+        else:
+            filled = [p for p in filled if _readable(spark, p)]
         copy(filled)
     aside = [(p,) for p in filled] + [(r.path,) for r in bad if not r.length]
     done = spark.createDataFrame(aside, "path string").withColumn("_aside", F.lit(True))

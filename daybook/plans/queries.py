@@ -43,8 +43,8 @@ def _lines(spark, sf_dir):
 # --- sources ---------------------------------------------------------------------------------
 
 
-def _mixed(spark, sf_dir, name):
-    base = drops.write_mixed_drop(spark, sf_dir, storage.scratch(spark, name))
+def _mixed(spark, sf_dir, name, *also):
+    base = drops.write_mixed_drop(spark, sf_dir, storage.scratch(spark, name), *also)
     return files.inventory(spark, base)
 
 
@@ -62,7 +62,7 @@ def csv_scan(spark, sf_dir):
 
 @query
 def csv_union_by_name(spark, sf_dir):
-    inventory = _mixed(spark, sf_dir, "csv_union_by_name").where("dataset = 'orders'")
+    inventory = _mixed(spark, sf_dir, "csv_union_by_name")
     checked = validation.check_headers(files.headers(spark, inventory)).where("is_valid")
     return sales.prepare_orders(csvdata.read_by_name(spark, checked, "orders"))
 
@@ -78,7 +78,7 @@ def _rows_per_file(spark, inventory):
 @query
 def file_inventory(spark, sf_dir):
     return (
-        _rows_per_file(spark, _mixed(spark, sf_dir, "file_inventory").where(C.is_csv(F.col("key"))))
+        _rows_per_file(spark, _mixed(spark, sf_dir, "file_inventory", "order_items", "products").where(C.is_csv(F.col("key"))))
         .groupBy("dataset", _folder(F.col("key")).alias("folder"))
         .agg((F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes"), F.sum("rows").alias("rows"))
     )
@@ -110,7 +110,7 @@ def non_empty_guard(spark, sf_dir):
 
 def _heads(spark, sf_dir, name, ranged):
     """Header lines, each with the rows of all files that have it."""
-    heads = _rows_per_file(spark, files.headers(spark, _mixed(spark, sf_dir, name), ranged))
+    heads = _rows_per_file(spark, files.headers(spark, _mixed(spark, sf_dir, name, "order_items", "products"), ranged))
     return heads.groupBy("dataset", _folder(F.col("key")).alias("folder"), "header_line").agg(F.sum("rows").alias("rows"))
 
 
@@ -171,7 +171,7 @@ def validation_status(spark, sf_dir):
 def quarantine_split(spark, sf_dir):
     """Order keys of good files and of files set aside, from the written quarantine."""
     target = storage.scratch(spark, "quarantine")
-    inventory = _mixed(spark, sf_dir, "quarantine_split")
+    inventory = _mixed(spark, sf_dir, "quarantine_split", "order_items", "products")
     checked = validation.check_headers(files.headers(spark, inventory))
     daily_run.quarantined(spark, checked.withColumn("gone", F.lit(False)), target)
     good = csvdata.read_by_name(spark, checked.where("is_valid and dataset = 'orders'"), "orders")
@@ -185,7 +185,7 @@ def quarantine_split(spark, sf_dir):
 @query
 def quarantine_verdicts(spark, sf_dir):
     """Verdicts from a real quarantine write, with the rows of the files they are on."""
-    inventory = _mixed(spark, sf_dir, "quarantine_verdicts")
+    inventory = _mixed(spark, sf_dir, "quarantine_verdicts", "order_items", "products")
     checked = validation.check_headers(files.headers(spark, inventory)).withColumn("gone", F.lit(False))
     verdicts = daily_run.quarantined(spark, checked, storage.scratch(spark, "quarantine"))
     rows = _rows_per_file(spark, inventory).select("path", "rows")

@@ -140,8 +140,8 @@ MIXED_ORDERS = {
 }
 
 
-def write_mixed_drop(spark: SparkSession, sf_dir: str, base: str) -> str:
-    """Orders in five folders under five kinds of header; items and products in one each."""
+def write_mixed_drop(spark: SparkSession, sf_dir: str, base: str, *datasets: str) -> str:
+    """Orders in five folders under five kinds of header, and the given `datasets` in one each."""
     rows = testdata.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -155,9 +155,7 @@ def write_mixed_drop(spark: SparkSession, sf_dir: str, base: str) -> str:
         part.write.mode("append").option("header", True).option("quoteAll", folder == "low").csv(
             f"{base}/orders/{folder}"
         )
-    write_drop(testdata.order_items(spark, sf_dir), f"{base}/order_items/all")
-    write_drop(testdata.products(spark, sf_dir), f"{base}/products/all")
-    return base
+    return write_plain_drop(spark, sf_dir, base, *datasets) if datasets else base
 
 
 def write_plain_drop(spark: SparkSession, sf_dir: str, base: str, *datasets: str) -> str:

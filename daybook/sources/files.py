@@ -18,6 +18,7 @@ from daybook.functions import columns as C
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CSV_GLOB = "*.[cC][sS][vV]"
+LONGEST = 64 << 20  # bytes of a header line
 FILE_SCHEMA = "dataset string, key string, path string, length bigint, modification_time timestamp"
 
 
@@ -118,7 +119,7 @@ def _as_inventory(found: DataFrame, root: str) -> DataFrame:
     )
 
 
-def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _header_reader(longest: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """The task side of the ranged read."""
     opened = opener()
 
@@ -129,12 +130,15 @@ def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame
     def first_line(path: str) -> str | None:
         """Text up to the first line feed; None where there is none that reads as UTF-8. A file
         that has gone has no header either; other errors of the store fail the task."""
-        blocks = []
+        blocks, held = [], 0
         try:
             with open_stream(path) as stream:
                 while block := stream.read(4096):
                     line, feed, _ = block.partition(b"\n")
                     blocks.append(line)
+                    held += len(line)
+                    if held > longest:
+                        return None
                     if feed:
                         break
             return b"".join(blocks).decode("utf-8").strip() or None
@@ -154,8 +158,10 @@ def headers(
     ranged: bool = True,
     number: int | None = None,
     files_per_task: int = 200,
+    longest: int = LONGEST,
 ) -> DataFrame:
-    """`files` with the first line of each.
+    """`files` with the first line of each; a line of more than `longest` bytes is no header, and a
+    task reads no further in it.
 
     `ranged` opens each file in a task and stops at the first line feed, a few KB per file: no
     Spark source can leave a file early. It goes through `pyarrow` (local, S3, GCS, HDFS and
@@ -166,7 +172,7 @@ def headers(
     if ranged:
         tasks = -(-(files.count() if number is None else number) // files_per_task)
         return files.repartition(max(1, tasks)).mapInPandas(
-            _header_reader(), FILE_SCHEMA + ", header_line string"
+            _header_reader(longest), FILE_SCHEMA + ", header_line string"
         )
     paths = [r.path for r in files.select("path").collect()]
     if not paths:
@@ -185,10 +191,38 @@ def headers(
         .agg(F.min_by("value", "position").alias("value"))
     )
     trimmed = F.regexp_replace("value", r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
-    lines = lines.select("path", F.when(F.is_valid_utf8("value"), F.nullif(trimmed, F.lit(""))).alias("header_line"))
+    sound = F.is_valid_utf8("value") & (F.octet_length("value") <= longest)
+    lines = lines.select("path", F.when(sound, F.nullif(trimmed, F.lit(""))).alias("header_line"))
     return files.join(lines, "path", "left").select(*files.columns, "header_line")
 
 
+def _reading_test() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    opened = opener()
+
+    def is_readable(path: str) -> bool:
+        system, inner = opened(path)
+        try:
+            with system.open_input_stream(inner) as stream:
+                while stream.read(1 << 20):
+                    pass
+            return True
+        except OSError:
+            return False
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[batch["path"].map(is_readable)]
+
+    return run
+
+
+def readable(files: DataFrame, number: int, files_per_task: int = 8) -> DataFrame:
+    """Paths of the `number` `files` (path) that can be read to their end. Tasks read them, side by
+    side, in blocks."""
+    tasks = max(1, -(-number // files_per_task))
+    return files.select("path").repartition(tasks).mapInPandas(_reading_test(), "path string")
+
+
 def literal_path(path: str) -> str:
     """The path with its glob characters escaped, for readers that expand globs."""
     return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)

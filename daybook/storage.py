@@ -57,6 +57,11 @@ def listed(spark: SparkSession, folders: list[str]) -> list[tuple[str, bool, int
     return found
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Makes a folder; one that is there stays."""
+    _filesystem(spark, path).mkdirs(_path(spark, path))
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Writes a small file unless it is there already; says whether it did."""
     if exists(spark, path):

@@ -112,6 +112,25 @@ def test_long_first_lines_are_read_in_linear_time(spark, drop):
     assert time.time() - began < 10
 
 
+def test_lines_too_long_for_a_header(spark, drop):
+    drop.put("orders/one.csv", "a,b\n" + "x" * 9000)
+    drop.put("orders/two.csv", "x" * 9000 + "\n1\n")
+    drop.put("orders/three.csv", "x" * 9000)
+    inventory = files.inventory(spark, drop.base)
+    for ranged in (True, False):
+        got = {r.key: r.header_line for r in files.headers(spark, inventory, ranged, longest=8000).collect()}
+        assert got == {"orders/one.csv": "a,b", "orders/two.csv": None, "orders/three.csv": None}
+
+
+def test_files_that_can_be_read(spark, drop):
+    drop.put("orders/one.csv", "a,b\n")
+    drop.put("orders/two%41 x.csv", "")
+    found = files.inventory(spark, drop.base)
+    gone = found.withColumn("path", F.concat("path", F.lit(".gone")))
+    got = files.readable(found.unionByName(gone), 4).collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in got) == ["one.csv", "two%41 x.csv"]
+
+
 def test_errors_of_the_store_are_no_verdict(spark, drop):
     import pytest
 

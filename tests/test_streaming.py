@@ -44,6 +44,52 @@ def test_gate_holds_files_back(spark, drop, tmp_path):
     assert (category.category, category.order_date) == ("Toys", dt.date(2025, 1, 1))
 
 
+def test_what_a_run_leaves_waits_for_the_next_arrivals(spark, drop, tmp_path):
+    drop.good().put("products/p.csv", "id,sku\n100,A\n")  # the only products file lacks columns
+    gated = Settings(mode="recompute")
+    drain(spark, drop, tmp_path, gated)
+    reports = lambda: spark.read.parquet(f"{tmp_path}/out/run_report").count()
+    assert reports() == 1 and not (tmp_path / "out" / "order_metrics_table").exists()
+    # What came back starts no run by itself, however often the stream is drained.
+    drain(spark, drop, tmp_path, gated)
+    drain(spark, drop, tmp_path, gated)
+    assert reports() == 1
+    drop.put("products/new.csv", "id,sku,cost,category,retail_price\n100,A,1,Toys,1\n101,B,1,Books,1\n")
+    drain(spark, drop, tmp_path, gated)
+    assert reports() == 2 and revenue(spark, tmp_path) == {1: (1, 14.75), 2: (1, 20.0)}
+    status = {r.key: r.status for r in spark.read.parquet(f"{tmp_path}/out/manifest").where("moved").collect()}
+    assert status == {
+        "orders/o.csv": "passed",
+        "order_items/i.csv": "passed",
+        "products/p.csv": "quarantined",
+        "products/new.csv": "passed",
+    }
+
+
+def test_bases_wait_for_themselves(spark, tmp_path):
+    """Names as a stream, a base folder for each shop; the stream is stopped and started between."""
+    schema = "base string, dataset string, key string, path string, length bigint, modification_time timestamp, returned boolean"
+    time = dt.datetime(2025, 1, 1)
+
+    def step(*files):
+        rows = [(b, d, d, f"{b}/{d}/{n}", 1, time, returned) for b, d, n, returned in files]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/names")
+        sets = arrivals.complete_sets(spark.readStream.schema(schema).parquet(f"{tmp_path}/names"))
+        writer = sets.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        writer.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.path for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    a = [("a", "orders", 1, False), ("a", "order_items", 1, False)]
+    assert step(*a, ("b", "products", 1, False), ("b", "products", 1, False)) == []
+    first = ["a/order_items/1", "a/orders/1", "a/products/1"]
+    assert step(("a", "products", 1, False)) == first
+    # Given back, whole: nothing comes out until something new does.
+    assert step(*[(b, d, n, True) for b, d, n, _ in [*a, ("a", "products", 1, False)]]) == first
+    second = step(("a", "orders", 2, False), ("b", "orders", 1, False))
+    assert second == sorted([*first, *first, "a/orders/2"])
+    assert step(("b", "order_items", 1, False)) == sorted([*second, "b/order_items/1", "b/orders/1", "b/products/1"])
+
+
 def test_a_batch_played_again_does_nothing(spark, drop, tmp_path):
     """The checkpoint is lost after the run: the same files come as a batch once more."""
     drain(spark, drop.good(), tmp_path, Settings(mode="recompute"))
