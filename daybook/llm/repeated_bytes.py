@@ -110,13 +110,15 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return S.mixed(words[:-8] * np.uint64(0x9E3779B97F4A7C15) ^ S.mixed(words[8:]))
 
 
-def _cut(texts: list[bytes]) -> tuple[S.Runs, int]:
+def _cut(texts: list[bytes], avoid: np.ndarray | None = None, whole: bool = True) -> tuple[S.Runs, int] | np.ndarray:
     held = b"".join(texts)
     data = np.frombuffer(held, np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     group = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     grams = _grams(data)
-    firsts, n, least = S.runs_of(grams, group, WINDOW, GRAM)
+    firsts, n, least = S.runs_of(grams, group, WINDOW, GRAM, avoid)
+    if not whole:
+        return least
     cut = [held[a:b] for a, b in zip(firsts.tolist(), (firsts + n + WINDOW - 1).tolist())]
     doc = group[firsts]
     begins = np.cumsum(sizes) - sizes

@@ -24,7 +24,9 @@ _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
 
 
 def _cutter(window: int, gram: int):
-    def cut(texts: list[bytes]) -> tuple[S.Runs, int]:
+    def cut(
+        texts: list[bytes], avoid: np.ndarray | None = None, whole: bool = True
+    ) -> tuple[S.Runs, int] | np.ndarray:
         # One buffer: words apart by one space, documents by one line end.
         raw = np.frombuffer(b"\n".join(t.translate(_SPACES) for t in texts) + b"\n", np.uint8)
         gap = raw <= 32
@@ -47,7 +49,9 @@ def _cutter(window: int, gram: int):
         hashes = np.zeros(max(0, len(words) - gram + 1), np.uint64)
         for i in range(gram):
             hashes = hashes * base + words[i : i + len(hashes)]
-        firsts, n, least = S.runs_of(S.mixed(hashes), group, window, gram)
+        firsts, n, least = S.runs_of(S.mixed(hashes), group, window, gram, avoid)
+        if not whole:
+            return least
 
         held = data.tobytes()
         texts_of = [

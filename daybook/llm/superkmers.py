@@ -7,6 +7,11 @@ with the minimiser in one place form a run; a run travels as one string, with wh
 Runs of equal strings are merged in the task first: only those that could come first anywhere
 travel, the others are known to repeat. A passage in a third of all documents is thus one row
 per piece of text, not one per document.
+
+A minimiser that makes up much of a bucket is hot: counted over all texts first, it is told to all
+tasks, and the runs of its windows are cut again by the next smallest gram of another hash. The
+two grams again depend on the window alone, and the pair names the bucket, so a hot minimiser
+is spread over all tasks. Which minimisers are hot decides where windows meet, never whether.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.llm.frames import pieces, stored, tasks, text_of
 
 BUCKETS = 2  # per task, which holds one at a time
+HOT = 4  # a minimiser is hot from this part (one over it) of a bucket's share of all runs
 LEVEL = 6  # of compression
 SPANS = "doc_id bigint, mark bigint, begins array<bigint>, ends array<bigint>"
 PACKETS = "bucket int, payload binary, " + SPANS
@@ -46,14 +52,20 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def runs_of(grams: np.ndarray, group: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(
+    grams: np.ndarray, group: np.ndarray, window: int, gram: int, avoid: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, windows, hash) of each run; `grams` are hashes of the grams at each unit,
-    `group` numbers the document of each unit, and a window lies within one document."""
+    `group` numbers the document of each unit, and a window lies within one document. With `avoid`
+    grams of the hash it has for their document count only where a window has no others."""
     units = len(group)
     none = np.zeros(0, np.int64)
     if units < window:
         return none, none, none.astype(np.uint32)
-    high = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    high = grams & np.uint64(0xFFFFFFFF00000000)
+    if avoid is not None:
+        high[(high >> np.uint64(32)) == avoid[group[: len(high)]]] = 0xFFFFFFFF00000000
+    high |= np.arange(len(grams), dtype=np.uint64)
     least = sliding_least(high, window - gram + 1)[: units - window + 1]
     inside = group[: units - window + 1] == group[window - 1 :]
     change = np.ones(len(least), bool)
@@ -61,7 +73,10 @@ def runs_of(grams: np.ndarray, group: np.ndarray, window: int, gram: int) -> tup
     firsts = np.flatnonzero(change & inside)
     # A run ends where the next begins, or where windows would leave the document.
     ends = np.flatnonzero(np.concatenate([change[1:] | ~inside[1:], [True]]) & inside) + 1
-    return firsts, ends - firsts, (least[firsts] >> np.uint64(32)).astype(np.uint32)
+    found = (least[firsts] >> np.uint64(32)).astype(np.uint32)
+    if avoid is not None:
+        found = np.where(found == 0xFFFFFFFF, avoid[group[firsts]], found)
+    return firsts, ends - firsts, found
 
 
 class Documents:
@@ -87,6 +102,14 @@ class Runs:
     windows: np.ndarray
     texts: list[bytes]
 
+    def taken(self, places: np.ndarray) -> Runs:
+        parts = [getattr(self, name)[places] for name in ("gram", "doc", "at", "windows")]
+        return Runs(*parts, [self.texts[i] for i in places.tolist()])
+
+    def and_these(self, others: Runs) -> Runs:
+        parts = [np.concatenate([getattr(r, name) for r in (self, others)]) for name in ("gram", "doc", "at", "windows")]
+        return Runs(*parts, self.texts + others.texts)
+
     def pack(self, order: np.ndarray, docs: Documents) -> bytes:
         texts = [self.texts[i] for i in order]
         doc = docs.ids[self.doc[order]]
@@ -171,11 +194,53 @@ class Spans:
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-Cut = Callable[[list[bytes]], tuple[Runs, int]]
+Cut = Callable[..., tuple[Runs, int]]
 Meet = Callable[[list[Packet], np.ndarray, np.ndarray, np.ndarray, Spans], None]
 
 
-def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
+def _counter(cut: Cut, piece: int, fraction: int) -> Callable:
+    """Runs by minimiser in each piece, and of all (gram -1); those below a `fraction` are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text", piece):
+            found = cut([(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()], whole=False)
+            grams, n = np.unique(found, return_counts=True)
+            many = n * fraction > len(found)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(grams[many].astype(np.int64), -1), pa.int64()),
+                    pa.array(np.append(n[many], len(found)), pa.int64()),
+                ],
+                names=["gram", "runs"],
+            )
+
+    return run
+
+
+def hot_grams(texts: DataFrame, cut: Cut, piece: int, buckets: int) -> np.ndarray:
+    """Hashes of the minimisers that hold more than a `HOT`-th of a bucket's share of all runs: at
+    most `HOT` times the buckets."""
+    part = HOT * buckets
+    counted = texts.mapInArrow(_counter(cut, piece, 4 * part), "gram bigint, runs bigint").groupBy("gram")
+    sums = stored(counted.agg(F.sum("runs").alias("runs")), "minimisers")
+    total = sums.where("gram = -1").select(F.col("runs").alias("__all"))
+    hot = sums.where("gram >= 0").join(F.broadcast(total)).where(F.col("runs") * part > F.col("__all"))
+    return np.array(sorted(r.gram for r in hot.select("gram").collect()), np.uint32)
+
+
+def _mapper(cut: Cut, piece: int, buckets: int, within: bool, hot: np.ndarray) -> Callable:
+    def sent(runs: Runs) -> tuple[Runs, np.ndarray]:
+        """The runs, those of hot minimisers cut again, and the bucket of each."""
+        is_hot = np.isin(runs.gram, hot)
+        key = runs.gram.astype(np.uint64)
+        if is_hot.any():
+            again, plain = runs.taken(np.flatnonzero(is_hot)), np.flatnonzero(~is_hot)
+            finer, _ = cut(again.texts, again.gram)
+            pair = (again.gram[finer.doc].astype(np.uint64) << np.uint64(32)) | finer.gram.astype(np.uint64)
+            finer.at, finer.doc = finer.at + again.at[finer.doc], again.doc[finer.doc]
+            runs, key = runs.taken(plain).and_these(finer), np.concatenate([key[plain], pair])
+        return runs, (mixed(key) % np.uint64(buckets)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", piece):
             batch = batch.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
@@ -201,12 +266,11 @@ def _mapper(cut: Cut, piece: int, buckets: int, within: bool) -> Callable:
                 elif not within and (doc, at) not in seen:
                     seen.add((doc, at))
                     kept.append(i)
-            chosen = np.array(kept, np.int64)
-            bucket = (mixed(runs.gram[chosen].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            runs, bucket = sent(runs.taken(np.array(kept, np.int64)))
             order = np.argsort(bucket, kind="stable")
             bounds = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
             packets = [
-                (int(bucket[order[a]]), runs.pack(chosen[order[a:b]], docs)) for a, b in zip(bounds, bounds[1:])
+                (int(bucket[order[a]]), runs.pack(order[a:b], docs)) for a, b in zip(bounds, bounds[1:])
             ]
             yield spans.batch(packets)
 
@@ -267,12 +331,13 @@ def marked(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, cut: Cut, meet: Meet, piece: int, within: bool) -> DataFrame:
     """(doc_id, mark, spans): the ranges of repeated windows of `docs` (see `marked`), by document.
 
-    `cut` makes the runs of a piece of text; `meet` works out which windows of a bucket repeat.
-    With `within`, a window may repeat inside its own document.
+    `cut` makes the runs of a piece of text, with grams to avoid where they are given, or only their
+    minimisers; `meet` works out which windows of a bucket repeat. With `within`, a window may repeat inside its own document.
     """
     n = tasks(docs.sparkSession)
     rows = docs.where(F.col("doc_id").isNotNull())
-    packets = rows.mapInArrow(_mapper(cut, piece, n * BUCKETS, within), PACKETS)
+    hot = hot_grams(rows.select("text"), cut, piece, n * BUCKETS)
+    packets = rows.mapInArrow(_mapper(cut, piece, n * BUCKETS, within, hot), PACKETS)
     met = packets.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_reducer(meet, within), SPANS)
     spans = F.flatten(F.collect_list(F.arrays_zip("begins", "ends"))).alias("spans")
     return met.groupBy("doc_id", "mark").agg(spans)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from daybook.llm import repeated_bytes, substring_dedup
+from daybook.llm import repeated_bytes, substring_dedup, superkmers
 from daybook.llm.queries import QUERIES
 
 
@@ -64,6 +64,41 @@ def test_small_pieces_meet_like_large_ones(docs_of, monkeypatch):
     assert by_id(repeated_bytes.deduplicated(frame), *BYTES) == brute.repeated_bytes(docs)
 
 
+@pytest.mark.parametrize("seed", [1, 4])
+def test_hot_minimisers_are_cut_again(docs_of, monkeypatch, seed):
+    """With every minimiser hot all runs are cut by a second gram, to the same result."""
+    monkeypatch.setattr(superkmers, "HOT", 1 << 30)
+    monkeypatch.setattr(substring_dedup, "PIECE", 900)
+    monkeypatch.setattr(repeated_bytes, "PIECE", 900)
+    docs = made_documents(seed)
+    frame = docs_of(list(docs.items()), parts=4)
+    assert by_id(substring_dedup.deduplicated(frame), *WORDS) == brute.passages(docs)
+    assert by_id(repeated_bytes.deduplicated(frame), *BYTES) == brute.repeated_bytes(docs)
+
+
+def test_a_hot_minimiser_is_spread(docs_of, spark):
+    """A phrase of five words and least hash in every document, in surroundings that differ."""
+    rng = random.Random(7)
+    some = lambda n: " ".join(str(rng.randrange(10**9)) for _ in range(n))
+    phrases = [some(5) for _ in range(3000)]
+    grams = substring_dedup._cutter(5, 5)([p.encode() for p in phrases], whole=False)
+    phrase = phrases[int(np.argmin(grams))]
+    rows = [(i, f"{some(45)} {phrase} {some(45)}") for i in range(300)]
+    cut = substring_dedup._cutter(50, 5)
+    hot = superkmers.hot_grams(docs_of(rows).select("text"), cut, 4 << 20, 16)
+    assert grams.min() in hot and len(hot) <= superkmers.HOT * 16
+    shares = []
+    for grams in (hot, hot[:0]):
+        packets = superkmers.marked(docs_of(rows)).mapInArrow(
+            superkmers._mapper(cut, 4 << 20, 16, False, grams), superkmers.PACKETS
+        )
+        held = {}
+        for r in packets.where("payload is not null").select("bucket", "payload").collect():
+            held[r.bucket] = held.get(r.bucket, 0) + len(superkmers.Packet(bytes(r.payload)).gram)
+        shares.append(max(held.values()) / sum(held.values()))
+    assert shares[0] < 0.12 < 0.5 < shares[1]
+
+
 def test_empty_table_null_ids_and_repeated_rows(docs_of):
     base = " ".join(f"w{i}" for i in range(60))
     for operator in (substring_dedup, repeated_bytes):
