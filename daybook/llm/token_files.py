@@ -9,6 +9,7 @@ what it writes.
 from __future__ import annotations
 
 import array
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,6 +26,31 @@ PIECE = 3 << 20  # bytes of text encoded at once
 KNOWN = 800_000  # units whose ids a worker remembers
 TOGETHER = 1000  # units encoded as one text
 
+# How a tokenizer file must describe itself for `units` to give the ids of the whole.
+UNIT_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+UNIT_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>"}
+
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _SPACE = np.zeros(256, bool)
@@ -106,14 +132,29 @@ def numbered(
     return codes, firsts
 
 
+def parts_at_units(file: str) -> bool:
+    """True if a tokenizer file normalises and parts texts as `units` supposes."""
+    with open(file, encoding="utf-8") as held:
+        rules = json.load(held)
+    return (
+        all(rules.get(name) == wanted for name, wanted in UNIT_RULES.items())
+        and all(rules["model"].get(name) == wanted for name, wanted in UNIT_MODEL.items())
+        # Words with a < are left whole, so that these are found in them.
+        and all(t["content"].startswith("<") and not t["normalized"] for t in rules["added_tokens"])
+        and not any(t["lstrip"] or t["rstrip"] or len(t["content"].split()) > 1 for t in rules["added_tokens"])
+    )
+
+
 class Encoder:
-    """Ids of texts by way of their units, each of which is encoded once."""
+    """Ids of texts by way of their units, each of which is encoded once; whole texts are encoded
+    for a tokenizer that parts them in another way."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_units = parts_at_units(path)
         self.known: dict[bytes, bytes] = {}
         self.powers = Powers()
         vocabulary = self.tokenizer.get_vocab()
@@ -140,6 +181,11 @@ class Encoder:
 
     def __call__(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; where each text begins, and the total)."""
+        if not self.by_units:
+            made = self.ids([t or "" for t in texts])
+            last = np.array([end], np.int32)
+            bounds = np.cumsum([0, *(len(i) + 1 for i in made)])
+            return np.concatenate([np.zeros(0, np.int32), *(a for i in made for a in (i, last))]), bounds
         raw = [(t or "").encode() for t in texts]
         bytes_before = np.cumsum([len(r) + 1 for r in raw])
         data, starts, ends = units(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8))

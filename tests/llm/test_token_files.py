@@ -36,6 +36,18 @@ def test_units_give_the_ids_of_the_whole(tokenizer):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == whole, repr(text)
 
 
+def test_a_tokenizer_that_parts_texts_otherwise_encodes_them_whole():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.parts_at_units(PATH) and not token_files.parts_at_units(other)
+    texts = [None, "", "  two  spaces", "It's\n\nÉcole <|endoftext|> 漢字 12", "x" * 300]
+    ids, bounds = token_files.Encoder(other)(texts, 7)
+    library = Tokenizer.from_file(other)
+    want = [library.encode(t or "", add_special_tokens=False).ids + [7] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+    none, edges = token_files.Encoder(other)([], 7)
+    assert len(none) == 0 and edges.tolist() == [0]
+
+
 def test_colliding_hashes_are_told_apart(monkeypatch, tokenizer):
     monkeypatch.setattr(token_files.Powers, "BASE", 1)  # the hash of a unit is then the sum of its bytes
     texts = ["ab ba abc bca cab", "ad bc"]
