@@ -338,7 +338,9 @@ def repeated_spans(docs: DataFrame, cut: Cut, meet: Meet, piece: int, within: bo
     rows = docs.where(F.col("doc_id").isNotNull())
     hot = hot_grams(rows.select("text"), cut, piece, n * BUCKETS)
     packets = rows.mapInArrow(_mapper(cut, piece, n * BUCKETS, within, hot), PACKETS)
-    met = packets.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_reducer(meet, within), SPANS)
+    # By number, so that each task has as many buckets as any other.
+    dealt = packets.repartitionById(n, F.pmod("bucket", F.lit(n)))
+    met = dealt.sortWithinPartitions("bucket").mapInArrow(_reducer(meet, within), SPANS)
     spans = F.flatten(F.collect_list(F.arrays_zip("begins", "ends"))).alias("spans")
     return met.groupBy("doc_id", "mark").agg(spans)
 
