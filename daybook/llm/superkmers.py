@@ -223,8 +223,8 @@ def hot_grams(texts: DataFrame, cut: Cut, piece: int, buckets: int) -> np.ndarra
     part = HOT * buckets
     counted = texts.mapInArrow(_counter(cut, piece, 4 * part), "gram bigint, runs bigint").groupBy("gram")
     sums = stored(counted.agg(F.sum("runs").alias("runs")), "minimisers")
-    total = sums.where("gram = -1").select(F.col("runs").alias("__all"))
-    hot = sums.where("gram >= 0").join(F.broadcast(total)).where(F.col("runs") * part > F.col("__all"))
+    total = sums.where("gram = -1").first()
+    hot = sums.where("gram >= 0").where(F.col("runs") * part > (total.runs if total else 0))
     return np.array(sorted(r.gram for r in hot.select("gram").collect()), np.uint32)
 
 
