@@ -152,6 +152,23 @@ def _header_reader(longest: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[
     return read
 
 
+def _opening_lines() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows that differ from the row before in the first column, in a task. It holds one batch."""
+    import pyarrow.compute as pc
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            paths = batch.column(0)
+            begins = pc.not_equal(paths.slice(1), paths.slice(0, len(paths) - 1)).to_pylist()
+            yield batch.filter(pa.array([paths[0].as_py() != last, *begins]))
+            last = paths[-1].as_py()
+
+    return run
+
+
 def headers(
     spark: SparkSession,
     files: DataFrame,
@@ -177,22 +194,21 @@ def headers(
     paths = [r.path for r in files.select("path").collect()]
     if not paths:
         return files.withColumn("header_line", F.lit(None).cast("string"))
+    # The lines of a file's first block follow each other in one task, so no line but the first of
+    # each is kept, sorted or shuffled. Bytes, as a line may be no UTF-8.
     lines = (
         spark.read.option("lineSep", "\n")
         .text([literal_path(p) for p in paths])
+        .where(F.col("_metadata.file_block_start") == 0)
         .select(
-            plain_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("position"),
-            "value",
+            F.col("_metadata.file_path").alias("uri"),
+            F.when(F.octet_length("value") <= longest, F.col("value").cast("binary")).alias("line"),
         )
-        .where("block = 0")
-        .groupBy("path")
-        .agg(F.min_by("value", "position").alias("value"))
+        .mapInArrow(_opening_lines(), "uri string, line binary")
+        .select(plain_path(F.col("uri")).alias("path"), F.col("line").cast("string").alias("value"))
     )
     trimmed = F.regexp_replace("value", r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
-    sound = F.is_valid_utf8("value") & (F.octet_length("value") <= longest)
-    lines = lines.select("path", F.when(sound, F.nullif(trimmed, F.lit(""))).alias("header_line"))
+    lines = lines.select("path", F.when(F.is_valid_utf8("value"), F.nullif(trimmed, F.lit(""))).alias("header_line"))
     return files.join(lines, "path", "left").select(*files.columns, "header_line")
 
 

@@ -141,3 +141,18 @@ def test_errors_of_the_store_are_no_verdict(spark, drop):
         files.headers(spark, folder).collect()
     gone = inventory.withColumn("path", F.concat("path", F.lit(".gone")))
     assert files.headers(spark, gone).first().header_line is None
+
+
+def test_lines_behind_the_first_are_not_sorted(spark, drop):
+    """Without ranged reads too a task holds a batch of lines, not all of a file's; several files
+    of one task, empty lines and equal first lines are told apart."""
+    for n in range(20):
+        drop.put(f"orders/o{n:02}.csv", "a,b\n" + "x\n\n" * n)
+    drop.put("orders/p.csv", "\na,b\n")
+    found = files.inventory(spark, drop.base)
+    lines = files.headers(spark, found, ranged=False)
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "MapInArrow" in text
+    got = {r.key: r.header_line for r in lines.collect()}
+    assert got == {**{f"orders/o{n:02}.csv": "a,b" for n in range(20)}, "orders/p.csv": None}
+    assert got == {r.key: r.header_line for r in files.headers(spark, found).collect()}
