@@ -24,8 +24,11 @@ SKEW_SAFE = {
 # Orders lie in buckets of their key alone; with it, joins and sums by order and product use them.
 BUCKETED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 
+# What a task sorts or adds up grows with the shuffled bytes it takes: fewer for each, more tasks.
+SMALL_TASKS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
 # A time with a zone offset falls on its day in UTC, whatever the session's zone.
-RUN = {**SKEW_SAFE, **BUCKETED, "spark.sql.session.timeZone": "UTC"}
+RUN = {**SKEW_SAFE, **BUCKETED, **SMALL_TASKS, "spark.sql.session.timeZone": "UTC"}
 
 
 @contextmanager

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 from decimal import Decimal
 
@@ -252,3 +253,23 @@ def test_hot_repeated_order_is_split(spark):
         # 10,000 copies of order 0 and 20,000 further orders, one item each.
         assert sum(r.daily_revenue for r in df.collect()) == 30000.0
         assert "skew=true" in plan(df)
+
+
+@pytest.mark.parametrize("name", ["category_kpis_of_lines", "category_daily_kpis"])
+def test_category_sums_of_an_order_meet_in_a_stage_of_their_own(spark, sf_dir, name):
+    """The stage of the join holds one table of sums, not the sums before a shuffle and after it."""
+    from daybook.plans import queries
+
+    with configured(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(queries.QUERIES[name](spark, sf_dir))
+    # A struct of order and day is named by Spark.
+    assert len(re.findall(r"Exchange hashpartitioning\((_groupingexpression|order)#", text)) == 1
+
+
+def test_shuffled_bytes_of_a_task_in_a_run(spark):
+    """A run's tasks take a quarter of what Spark gives them, however large the tables are."""
+    from daybook import settings
+
+    with settings.during(spark, settings.RUN):
+        size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert size in ("16m", str(16 << 20))
