@@ -5,7 +5,7 @@ own rows, and those of runs that did not. It reads no old lines, but sums that e
 
 * `orders`: versions of orders,
 * `sums`: items added up by order and product, also of orders that have not come yet,
-* `products` and `sold`: versions of products, and the orders that a product is in,
+* `products`: versions of products,
 * `buyers`: orders by day and buyer,
 * `days` and `categories`: the totals behind the two tables.
 
@@ -46,7 +46,6 @@ KEYS = {
     "sums": ["order_id", "product_id"],
     "buyers": ["order_date", "user_id"],
     "products": ["product_id"],
-    "sold": ["product_id", "order_id"],
     "days": ["order_date"],
     "categories": ["category", "order_date"],
 }
@@ -113,7 +112,6 @@ class State:
             "sums": f"order_id {key}, product_id {key}, {sums}, lines bigint",
             "buyers": f"order_date date, user_id {key}, orders bigint",
             "products": f"product_id {key}, category string",
-            "sold": f"product_id {key}, order_id {key}, pairs bigint",
             "days": f"order_date date, orders bigint, {sums}, buyers bigint",
             "categories": f"category string, order_date date, orders bigint, {sums}",
         }
@@ -138,14 +136,14 @@ class State:
     def schema(self, name: str) -> T.StructType:
         return T.StructType.fromDDL(self.columns[name])
 
-    def rows(self, name: str) -> DataFrame:
-        """All rows that count, with their run."""
-        schema = storage.with_partitions(self.schema(name), seq=T.IntegerType())
-        if not self.live:
+    def rows(self, name: str, *also: int) -> DataFrame:
+        """All rows that count, with their run, and those of the runs `also`."""
+        schema, runs = storage.with_partitions(self.schema(name), seq=T.IntegerType()), [*self.live, *also]
+        if not runs:
             return self.spark.createDataFrame([], schema)
         if name in BUCKETED:
-            return self.spark.table(self.names[name]).where(F.col("seq").isin(self.live))
-        paths = [_part(self.root, f"{name}_state", seq) for seq in self.live]
+            return self.spark.table(self.names[name]).where(F.col("seq").isin(runs))
+        paths = [_part(self.root, f"{name}_state", seq) for seq in runs]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}_state").parquet(*paths)
 
     def now(self, name: str, among: DataFrame | None = None) -> DataFrame:
@@ -194,10 +192,8 @@ def _new_versions(frames: list[tuple[int, DataFrame]], key: str) -> DataFrame:
     return sales.one_per_key(rows, key).drop("_seq")
 
 
-def _changed(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money: str, seq: int) -> DataFrame:
-    """Every order and product whose figures the runs may change, with sums, order and category
-    as they were (`old_`) and as they are now (`new_`). Also adds what came to the state."""
-    spark = state.spark
+def _came(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money: str, seq: int) -> None:
+    """Adds to the state, as rows of run `seq`, the items, orders and products that came."""
     items = None
     for _, rows in runs:
         own = sales.priced(rows["order_items"].where("order_id is not null"), money)
@@ -205,58 +201,12 @@ def _changed(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money:
     came = items.groupBy("order_id", "product_id").agg(*added(money), F.count("*").alias("lines"))
     orders = _new_versions([(n, rows["orders"]) for n, rows in runs], "order_id")
     new = _new_versions([(n, rows["products"]) for n, rows in runs], "product_id")
-    old_products = state.now("products", new.select("product_id")).withColumn("_known", F.lit(True))
-    was = old_products.withColumnRenamed("category", "_was")
-    joined = new.join(was, "product_id", "left")
-    products = joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was")))
-    fresh = {"sums": came, "orders": orders, "products": products}
+    if state.live:
+        old_products = state.now("products", new.select("product_id")).withColumn("_known", F.lit(True))
+        joined = new.join(old_products.withColumnRenamed("category", "_was"), "product_id", "left")
+        new = joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was")))
+    fresh = {"sums": came, "orders": orders, "products": new}
     together({name: lambda n=name, rows=rows: state.write(n, rows, seq) for name, rows in fresh.items()})
-    came, orders, products = (_written(state, name, seq) for name in fresh)
-    resold = state.rows("sold").join(products.select("product_id"), "product_id", "left_semi")
-
-    touched = came.select("order_id").unionByName(orders.select("order_id")).unionByName(resold.select("order_id")).distinct()
-    before = state.now("sums", touched)
-    values = (*ADDED, "lines")
-    # Keys are renamed on one side, so that NULL products meet, too.
-    came = came.select(F.col("order_id").alias("_order"), F.col("product_id").alias("_product"), *[F.col(c).alias(f"_{c}") for c in values])
-    same = (F.col("order_id") == F.col("_order")) & F.col("product_id").eqNullSafe(F.col("_product"))
-    zero = {c: F.coalesce(c, F.lit(0).cast(before.schema[c].dataType)) for c in values}
-    more = {c: F.coalesce(f"_{c}", F.lit(0).cast(before.schema[c].dataType)) for c in values}
-    fresh = F.col("order_id").isNull()
-    sums = before.join(came, same, "full_outer").select(
-        F.coalesce("order_id", "_order").alias("order_id"),
-        F.when(fresh, F.col("_product")).otherwise(F.col("product_id")).alias("product_id"),
-        fresh.alias("first"),
-        *[zero[c].alias(f"old_{c}") for c in values],
-        *[(zero[c] + more[c]).alias(f"new_{c}") for c in values],
-    )
-
-    def header(frame: DataFrame, side: str) -> DataFrame:
-        return frame.select(
-            "order_id", F.lit(True).alias(f"{side}_order"),
-            F.col("user_id").alias(f"{side}_user"), F.col("order_date").alias(f"{side}_date"),
-        )
-
-    known = sums.join(header(state.now("orders", touched), "old"), "order_id", "left")
-    known = known.join(header(orders, "_new"), "order_id", "left")
-    latest = F.col("_new_order").isNotNull()
-    known = known.withColumns(
-        {f"new_{c}": F.when(latest, F.col(f"_new_{c}")).otherwise(F.col(f"old_{c}")) for c in ("order", "user", "date")}
-    ).drop("_new_order", "_new_user", "_new_date")
-    here = known.select("product_id").distinct()
-
-    def category(frame: DataFrame, side: str) -> DataFrame:
-        return frame.select(
-            "product_id", F.lit(True).alias(f"{side}_product"), F.col("category").alias(f"{side}_category")
-        )
-
-    known = known.join(category(state.now("products", here), "old"), "product_id", "left")
-    known = known.join(category(products, "_new"), "product_id", "left")
-    latest = F.col("_new_product").isNotNull()
-    known = known.withColumns(
-        {f"new_{c}": F.when(latest, F.col(f"_new_{c}")).otherwise(F.col(f"old_{c}")) for c in ("product", "category")}
-    ).drop("_new_product", "_new_category")
-    return land(known, state.root, "changed", seq)
 
 
 def _written(state: State, name: str, seq: int) -> DataFrame:
@@ -266,73 +216,110 @@ def _written(state: State, name: str, seq: int) -> DataFrame:
     return state.spark.read.schema(state.schema(name)).parquet(_part(state.root, f"{name}_state", seq))
 
 
-def _sides(rows: DataFrame, columns: dict[str, str], counted: str) -> DataFrame:
+def _touched(state: State, seq: int) -> DataFrame:
+    """Orders that run `seq` brought, or items of them."""
+    return _written(state, "sums", seq).select("order_id").unionByName(_written(state, "orders", seq).select("order_id"))
+
+
+def _resold(state: State, seq: int) -> DataFrame:
+    """Orders with lines of a product that run `seq` brought under a new category."""
+    products = _written(state, "products", seq).select("product_id")
+    return state.rows("sums").join(products, "product_id", "left_semi").select("order_id")
+
+
+def _lines(state: State, touched: DataFrame, seq: int) -> tuple[DataFrame, DataFrame]:
+    """Of the touched orders (of all, where none was known before): the sums by product, with `came`
+    for those of run `seq`; and each order as it was (`old_`) and as it is now (`new_`). Both lie in
+    buckets of the order, which are only read."""
+    sums, orders = state.rows("sums", seq), state.rows("orders", seq)
+    if state.live:
+        touched = touched.distinct()
+        sums, orders = (rows.join(touched, "order_id", "left_semi") for rows in (sums, orders))
+    before = F.when(F.col("seq") != seq, F.col("seq"))
+    heads = orders.groupBy("order_id").agg(
+        F.max(before).isNotNull().alias("old_order"),
+        *[F.max_by(c, before).alias(f"old_{side}") for c, side in (("user_id", "user"), ("order_date", "date"))],
+        *[F.max_by(c, "seq").alias(f"new_{side}") for c, side in (("user_id", "user"), ("order_date", "date"))],
+    )
+    return sums.withColumn("came", F.col("seq") == seq).drop("seq"), heads
+
+
+def _sides(rows: DataFrame, columns: dict[str, str], counted: dict[str, Column]) -> DataFrame:
     """Rows of before, to take out, and of now, to put in: `columns` renamed, sums signed, and
-    `orders` -1 or 1. `counted`, with `{0}` for the side, says which rows of a side there are."""
+    `orders` -1 or 1. `counted` says which rows of a side there are."""
 
-    def side(name: str, signed: Callable[[Column], Column]) -> DataFrame:
-        return rows.where(counted.format(name)).select(
+    def side(name: str, signed: Callable[[Column], Column]) -> Column:
+        return F.struct(
             *[F.col(c.format(name)).alias(new) for new, c in columns.items()],
             *[signed(F.col(f"{name}_{c}")).alias(c) for c in ADDED],
             signed(F.lit(1).cast("bigint")).alias("orders"),
         )
 
-    return side("old", F.negative).unionByName(side("new", lambda c: c))
+    signs = {"old": F.negative, "new": lambda c: c}
+    both = [F.when(test, side(name, signs[name])) for name, test in counted.items()]
+    return rows.select(F.inline(F.array_compact(F.array(*both))))
 
 
 def _sums(*names: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in names]
 
 
-def _moved(state: State, changed: DataFrame, seq: int) -> None:
-    """Adds to the counts by day, buyer and category what the changed orders move."""
-    sides = [f"{side}_{c}" for side in ("old", "new") for c in (*ADDED, "lines")]
-    heads = [f"{side}_{c}" for side in ("old", "new") for c in ("order", "user", "date")]
-
+def _by_day(state: State, seq: int) -> None:
+    """Adds to the counts by day and buyer what the orders move that run `seq` touched."""
+    lines, heads = _lines(state, _touched(state, seq), seq)
+    none = {c: F.lit(0).cast(lines.schema[c].dataType) for c in (*ADDED, "lines")}
+    both = lines.groupBy("order_id").agg(
+        *[F.sum(F.when(F.col("came"), zero).otherwise(F.col(c))).alias(f"old_{c}") for c, zero in none.items()],
+        *[F.sum(c).alias(f"new_{c}") for c in none],
+    )
     # One row per order, where it is not as it was.
-    orders = changed.groupBy("order_id", *heads).agg(*_sums(*sides))
-    same = F.col("old_order").eqNullSafe(F.col("new_order"))
+    same = F.col("old_order")
     for c in ("user", "date", *ADDED, "lines"):
         same = same & F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
-    head = {"order_id": "order_id", "order_date": "{}_date", "user_id": "{}_user"}
-    moved = land(_sides(orders.where(~same), head, "{0}_order and {0}_lines > 0"), state.root, "moved", seq)
-    def by_day() -> None:
-        buyers = (
-            moved.where("order_date is not null and user_id is not null")
-            .groupBy("order_date", "user_id").agg(F.sum("orders").alias("orders")).where("orders <> 0")
-        )
-        state.write("buyers", buyers, seq)
-        buyers = _written(state, "buyers", seq)
-        had = state.now("buyers", buyers.select("order_date", "user_id")).withColumnRenamed("orders", "_had")
-        had_any = F.coalesce("_had", F.lit(0))
-        turn = ((had_any + F.col("orders") > 0).cast("bigint") - (had_any > 0).cast("bigint")).alias("buyers")
-        turned = buyers.join(had, ["order_date", "user_id"], "left").select("order_date", turn)
-        none = [F.lit(0).cast(state.schema("days")[c].dataType).alias(c) for c in ("orders", *ADDED)]
-        days = moved.select("order_date", "orders", *ADDED, F.lit(0).cast("bigint").alias("buyers")).unionByName(
-            turned.select("order_date", *none, "buyers")
-        )
-        state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
-
-    def by_category() -> None:
-        # An order counts once in each category that it has lines of.
-        place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
-        lines = _sides(changed, place, "{0}_order and {0}_product and {0}_lines > 0")
-        held = lines.groupBy("order_id", "category", "order_date").agg(
-            *_sums(*ADDED),
-            (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
-        )
-        still = F.col("orders") == 0
-        for c in ADDED:
-            still = still & (F.col(c) == 0)
-        totals = held.where(~still).groupBy("category", "order_date").agg(*_sums("orders", *ADDED))
-        state.write("categories", totals, seq)
-
-    def pairs() -> None:
-        # Of product and order, that are new.
-        new = changed.where("first and product_id is not null")
-        state.write("sold", new.select("product_id", "order_id", F.lit(1).alias("pairs")), seq)
-
-    together({"days": by_day, "categories": by_category, "sold": pairs})
+    head = {"order_date": "{}_date", "user_id": "{}_user"}
+    counted = {"old": F.col("old_order") & (F.col("old_lines") > 0), "new": F.col("new_lines") > 0}
+    sides = _sides(both.join(heads, "order_id").where(~same), head, counted)
+    moved = sides.groupBy("order_date", "user_id").agg(*_sums(*ADDED, "orders"))
+    moved = land(moved, state.root, "moved", seq)
+    buyers = moved.where("order_date is not null and user_id is not null and orders <> 0")
+    state.write("buyers", buyers, seq)
+    rows = state.rows("buyers", seq)
+    if state.live:
+        rows = rows.join(_written(state, "buyers", seq).select("order_date", "user_id"), ["order_date", "user_id"], "left_semi")
+    had = F.sum(F.when(F.col("seq") != seq, F.col("orders")).otherwise(F.lit(0)))
+    turn = (F.sum("orders") > 0).cast("bigint") - (had > 0).cast("bigint")
+    turned = rows.groupBy("order_date", "user_id").agg(turn.alias("buyers"))
+    zeros = [F.lit(0).cast(state.schema("days")[c].dataType).alias(c) for c in ("orders", *ADDED)]
+    days = moved.select("order_date", "orders", *ADDED, F.lit(0).cast("bigint").alias("buyers")).unionByName(
+        turned.select("order_date", *zeros, "buyers")
+    )
+    state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
+
+
+def _by_category(state: State, seq: int) -> None:
+    """Adds to the counts by category what the orders and products move that run `seq` touched. An
+    order counts once in each category that it has lines of."""
+    touched = _touched(state, seq)
+    lines, heads = _lines(state, touched.unionByName(_resold(state, seq)) if state.live else touched, seq)
+    before = F.when(F.col("seq") != seq, F.col("seq"))
+    products = state.rows("products", seq).groupBy("product_id").agg(
+        F.max(before).isNotNull().alias("old_product"),
+        F.max_by("category", before).alias("old_category"),
+        F.max_by("category", "seq").alias("new_category"),
+    )
+    known = lines.join(heads.select("order_id", "old_order", "old_date", "new_date"), "order_id").join(products, "product_id")
+    known = known.withColumns({f"{side}_{c}": F.col(c) for side in ("old", "new") for c in ADDED})
+    place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
+    counted = {"old": ~F.col("came") & F.col("old_order") & F.col("old_product"), "new": F.lit(True)}
+    held = _sides(known, place, counted).groupBy("order_id", "category", "order_date").agg(
+        *_sums(*ADDED),
+        (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
+    )
+    still = F.col("orders") == 0
+    for c in ADDED:
+        still = still & (F.col(c) == 0)
+    totals = held.where(~still).groupBy("category", "order_date").agg(*_sums("orders", *ADDED))
+    state.write("categories", totals, seq)
 
 
 def _figures(state: State, money: str, seq: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -364,9 +351,9 @@ def recomputed(
         earlier = range(state.done + 1, seq)
         behind = [n for n in earlier if storage.has_data(spark, _part(root, "products", n))]
         runs = [*((n, landed(spark, root, n)) for n in behind), (seq, rows)]
-        changed = _changed(state, runs, money, seq)
-        _moved(state, changed, seq)
+        _came(state, runs, money, seq)
+        together({"days": lambda: _by_day(state, seq), "categories": lambda: _by_category(state, seq)})
         state.commit([*state.live, seq], seq)
-        for name, old in (("changed", seq), ("moved", seq), ("touched", earlier.start - 1)):
+        for name, old in (("moved", seq), ("touched", earlier.start - 1)):
             storage.delete(spark, _part(state.root, name, old))
     return _figures(state, money, seq)

@@ -184,3 +184,16 @@ def test_store_calls_do_not_grow_with_runs(spark, tmp_path, monkeypatch):
             work(spark, root, seq, run, "float32", tables)
             counts.append(len(calls))
     assert counts[1] == counts[-1]
+
+
+def test_pairs_of_order_and_product_are_kept_once(spark, tmp_path):
+    """Orders of a product are found in the sums; a changed category moves no day."""
+    root, tables = f"{tmp_path}/history", [[], []]
+    day = dt.date(2025, 1, 1)
+    runs = [([(1, 1, day)], [(1, 1, 5, "2.00", 0)], [(5, "Toys")]), ([], [], [(5, "Books")])]
+    with configured(spark, settings.RUN):
+        for seq, run in enumerate(runs):
+            work(spark, root, seq, run, "float32", tables)
+        assert tables == anew(spark, runs, "float32")
+    assert not storage.exists(spark, f"{root}/sold_state") and storage.exists(spark, f"{root}/sums_state")
+    assert spark.read.parquet(f"{root}/days_state/seq=1").isEmpty()
