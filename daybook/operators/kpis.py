@@ -3,8 +3,8 @@
 Items are shuffled by order once. The day table sums them per order before the join: sums pass
 through it unchanged (a repeated order row repeats the sums just as it would repeat the items),
 and a hot order reaches the shuffle as one row per map task. The category table joins first and
-then sums per order where the rows already lie, so that nothing as long as the items is shuffled
-again; Spark splits the part of a hot order.
+then sums per order where the rows already lie; these sums, not the items, are shuffled once more.
+Spark splits the part of a hot order.
 """
 
 from __future__ import annotations
