@@ -16,6 +16,7 @@ from daybook.functions import columns as C
 
 MONTH = "order_month"
 POINTER = "_pointer.json"
+FEW = 1 << 20  # rows that need no splitting of large months
 
 
 def last_by_key(rows: DataFrame, keys: list[str], order_by: str) -> DataFrame:
@@ -71,8 +72,14 @@ def _months(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n.removeprefix(f"{MONTH}=") for n in names if n.startswith(f"{MONTH}="))
 
 
-def _by_month(rows: DataFrame, path: str) -> None:
-    rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)  # splits large months
+def _by_month(rows: DataFrame, path: str, number: int, months: int) -> None:
+    """Writes about `number` rows of so many months. Where they are few, what takes time is the files,
+    one a month, and tasks write them side by side."""
+    if number <= FEW:
+        dealt = rows.repartition(min(months, rows.sparkSession.sparkContext.defaultParallelism), MONTH)
+    else:
+        dealt = rows.hint("rebalance", MONTH)  # splits large months
+    dealt.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
 def _gathered(seen: Observation) -> dict[str, int]:
@@ -91,7 +98,7 @@ def _staged(new: DataFrame, keys: list[str], work: str) -> dict[str, int]:
     if not storage.exists(spark, counts):
         seen = Observation()
         observed = new.observe(seen, *outcome_counts(keys)).where(C.has_keys(*keys))
-        _by_month(observed.withColumn(MONTH, C.order_month(F.col("order_date"))), f"{work}/new")
+        observed.withColumn(MONTH, C.order_month(F.col("order_date"))).write.mode("overwrite").parquet(f"{work}/new")
         storage.replace_text(spark, counts, json.dumps(_gathered(seen)))
     return json.loads(storage.read_text(spark, counts))
 
@@ -115,21 +122,23 @@ def upsert(
     held = pointer(spark, table)
     if held.get("run", -1) >= run:
         return outcome
-    touched = set(_months(spark, f"{work}/new"))
     schema = storage.with_partitions(new.schema, **{MONTH: T.StringType()})
     fresh = spark.read.schema(schema).parquet(f"{work}/new")
+    some = fresh.select(MONTH)
     if days is not None:
         days = days.where("order_date is not null").select("order_date").distinct()
-        touched |= set(days.agg(F.collect_set(C.order_month(F.col("order_date")))).first()[0])
+        some = some.unionByName(days.select(C.order_month(F.col("order_date")).alias(MONTH)))
+    touched = {r[0] for r in some.distinct().collect()}
     before = held.get("months", {})
-    rows = fresh
+    rows, number = fresh, outcome["written"]
     if touched & set(before):
         old = read(spark, table, touched)
+        number += old.count()  # from the footers
         if days is not None:
             old = old.join(days, "order_date", "left_anti").select(*rows.columns)
         rows = merge_rows(old, fresh, keys)
     if touched:
-        _by_month(rows, f"{table}/run={run}")
+        _by_month(rows, f"{table}/run={run}", number, len(touched))
     left = _months(spark, f"{table}/run={run}") if touched else []
     months = {m: r for m, r in before.items() if m not in touched} | dict.fromkeys(left, run)
     replaced = [f"run={r}/{MONTH}={m}" for m, r in before.items() if m in touched]

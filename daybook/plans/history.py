@@ -33,6 +33,7 @@ from daybook.settings import together
 
 BUCKETS = 16
 COMPACT = 32  # runs
+HASHED = 1 << 20  # a run's keys in a bucket that a task holds, to look stored rows up in; more are sorted
 LANDED = ("orders", "order_items", "products")
 STATE = "state.json"
 
@@ -119,6 +120,8 @@ class State:
         known = json.loads(storage.read_text(spark, held)) if storage.exists(spark, held) else {}
         self.live: list[int] = known.get("live", [])
         self.done: int = known.get("done", -1)
+        # Tables that hold rows; a state written before this was noted may hold any.
+        self.held: set[str] = set(known.get("held", self.columns if self.live else ()))
         mark = hashlib.sha256(self.root.encode()).hexdigest()[:16]
         self.names = {name: f"daybook_{mark}_{name}" for name in self.columns}
         for name in BUCKETED:
@@ -157,6 +160,11 @@ class State:
             return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values])
         return rows.groupBy(*keys).agg(*[F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in values])
 
+    def dealt(self, name: str, rows: DataFrame) -> DataFrame:
+        """The rows in the partitions that the buckets of a table are, so that a join with it moves
+        these rows alone, also where the session has more shuffle partitions than there are buckets."""
+        return rows.repartition(self.buckets, *BUCKETED[name])
+
     def write(self, name: str, rows: DataFrame, seq: int) -> None:
         """Adds rows as those of run `seq`, in the place of any it wrote before."""
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema(name)]
@@ -165,11 +173,18 @@ class State:
             rows.write.mode("overwrite").parquet(_part(self.root, f"{name}_state", seq))
             return
         storage.delete(self.spark, _part(self.root, f"{name}_state", seq))
-        dealt = rows.withColumn("seq", F.lit(seq)).repartition(self.buckets, *BUCKETED[name])
-        dealt.write.mode("append").insertInto(self.names[name])
+        self.dealt(name, rows.withColumn("seq", F.lit(seq))).write.mode("append").insertInto(self.names[name])
+
+    def write_none(self, name: str, seq: int) -> None:
+        """Run `seq` adds no rows, in the place of any it wrote before."""
+        if name in BUCKETED:
+            storage.delete(self.spark, _part(self.root, f"{name}_state", seq))
+        else:
+            self.write(name, self.spark.createDataFrame([], self.schema(name)), seq)
 
     def commit(self, live: list[int], done: int) -> None:
-        storage.replace_text(self.spark, f"{self.root}/{STATE}", json.dumps({"live": live, "done": done}))
+        text = json.dumps({"live": live, "done": done, "held": sorted(self.held)})
+        storage.replace_text(self.spark, f"{self.root}/{STATE}", text)
         self.live, self.done = live, done
 
     def compact(self) -> None:
@@ -207,6 +222,7 @@ def _came(state: State, runs: list[tuple[int, dict[str, DataFrame]]], money: str
         new = joined.where(F.col("_known").isNull() | ~F.col("category").eqNullSafe(F.col("_was")))
     fresh = {"sums": came, "orders": orders, "products": new}
     together({name: lambda n=name, rows=rows: state.write(n, rows, seq) for name, rows in fresh.items()})
+    state.held |= {name for name in fresh if not _written(state, name, seq).isEmpty()}
 
 
 def _written(state: State, name: str, seq: int) -> DataFrame:
@@ -227,21 +243,27 @@ def _resold(state: State, seq: int) -> DataFrame:
     return state.rows("sums").join(products, "product_id", "left_semi").select("order_id")
 
 
-def _lines(state: State, touched: DataFrame, seq: int) -> tuple[DataFrame, DataFrame]:
-    """Of the touched orders (of all, where none was known before): the sums by product, with `came`
-    for those of run `seq`; and each order as it was (`old_`) and as it is now (`new_`). Both lie in
-    buckets of the order, which are only read."""
-    sums, orders = state.rows("sums", seq), state.rows("orders", seq)
-    if state.live:
-        touched = touched.distinct()
-        sums, orders = (rows.join(touched, "order_id", "left_semi") for rows in (sums, orders))
+def _lines(state: State, touched: DataFrame | None, seq: int) -> tuple[DataFrame, DataFrame]:
+    """Of the touched orders (of all, where None): the sums by product, with `came` for those of run
+    `seq`; and each order as it was (`old_`) and as it is now (`new_`). Both lie in buckets of the
+    order, which are only read, and sorted by it there: what lies before the first touched order or
+    behind the last is skipped."""
+    sums, orders, few = state.rows("sums", seq), state.rows("orders", seq), False
+    if touched is not None:
+        first, last, number = touched.agg(F.min("order_id"), F.max("order_id"), F.count("*")).first()
+        touched = state.dealt("orders", touched).distinct()
+        few = number <= HASHED * state.buckets
+        if few:
+            touched = touched.hint("shuffle_hash")
+        near = F.col("order_id").between(first, last)
+        sums, orders = (rows.where(near).join(touched, "order_id", "left_semi") for rows in (sums, orders))
     before = F.when(F.col("seq") != seq, F.col("seq"))
     heads = orders.groupBy("order_id").agg(
         F.max(before).isNotNull().alias("old_order"),
         *[F.max_by(c, before).alias(f"old_{side}") for c, side in (("user_id", "user"), ("order_date", "date"))],
         *[F.max_by(c, "seq").alias(f"new_{side}") for c, side in (("user_id", "user"), ("order_date", "date"))],
     )
-    return sums.withColumn("came", F.col("seq") == seq).drop("seq"), heads
+    return sums.withColumn("came", F.col("seq") == seq).drop("seq"), heads.hint("shuffle_hash") if few else heads
 
 
 def _sides(rows: DataFrame, columns: dict[str, str], counted: dict[str, Column]) -> DataFrame:
@@ -257,7 +279,10 @@ def _sides(rows: DataFrame, columns: dict[str, str], counted: dict[str, Column])
 
     signs = {"old": F.negative, "new": lambda c: c}
     both = [F.when(test, side(name, signs[name])) for name, test in counted.items()]
-    return rows.select(F.inline(F.array_compact(F.array(*both))))
+    if len(both) == 1:
+        return rows.select(both[0].alias("_side")).where("_side is not null").select("_side.*")
+    # A side that does not count is a row of NULLs.
+    return rows.select(F.inline(F.array(*both))).where("orders is not null")
 
 
 def _sums(*names: str) -> list[Column]:
@@ -266,7 +291,12 @@ def _sums(*names: str) -> list[Column]:
 
 def _by_day(state: State, seq: int) -> None:
     """Adds to the counts by day and buyer what the orders move that run `seq` touched."""
-    lines, heads = _lines(state, _touched(state, seq), seq)
+    if not {"sums", "orders"} <= state.held:
+        # No order has both a day and lines.
+        for name in ("buyers", "days"):
+            state.write_none(name, seq)
+        return
+    lines, heads = _lines(state, _touched(state, seq) if state.live else None, seq)
     none = {c: F.lit(0).cast(lines.schema[c].dataType) for c in (*ADDED, "lines")}
     both = lines.groupBy("order_id").agg(
         *[F.sum(F.when(F.col("came"), zero).otherwise(F.col(c))).alias(f"old_{c}") for c, zero in none.items()],
@@ -285,7 +315,10 @@ def _by_day(state: State, seq: int) -> None:
     state.write("buyers", buyers, seq)
     rows = state.rows("buyers", seq)
     if state.live:
-        rows = rows.join(_written(state, "buyers", seq).select("order_date", "user_id"), ["order_date", "user_id"], "left_semi")
+        own = state.dealt("buyers", _written(state, "buyers", seq).select("order_date", "user_id"))
+        if moved.count() <= HASHED * state.buckets:
+            own = own.hint("shuffle_hash")
+        rows = rows.join(own, ["order_date", "user_id"], "left_semi")
     had = F.sum(F.when(F.col("seq") != seq, F.col("orders")).otherwise(F.lit(0)))
     turn = (F.sum("orders") > 0).cast("bigint") - (had > 0).cast("bigint")
     turned = rows.groupBy("order_date", "user_id").agg(turn.alias("buyers"))
@@ -296,11 +329,17 @@ def _by_day(state: State, seq: int) -> None:
     state.write("days", days.groupBy("order_date").agg(*_sums("orders", *ADDED, "buyers")), seq)
 
 
-def _by_category(state: State, seq: int) -> None:
+def _by_category(state: State, seq: int, had: set[str]) -> None:
     """Adds to the counts by category what the orders and products move that run `seq` touched. An
-    order counts once in each category that it has lines of."""
-    touched = _touched(state, seq)
-    lines, heads = _lines(state, touched.unionByName(_resold(state, seq)) if state.live else touched, seq)
+    order counts once in each category that it has lines of. `had`: the tables that held rows
+    before the run; with its first products every order's lines get their category."""
+    if not {"sums", "orders", "products"} <= state.held:
+        state.write_none("categories", seq)
+        return
+    touched = None
+    if "products" in had:
+        touched = _touched(state, seq).unionByName(_resold(state, seq))
+    lines, heads = _lines(state, touched, seq)
     before = F.when(F.col("seq") != seq, F.col("seq"))
     products = state.rows("products", seq).groupBy("product_id").agg(
         F.max(before).isNotNull().alias("old_product"),
@@ -311,6 +350,8 @@ def _by_category(state: State, seq: int) -> None:
     known = known.withColumns({f"{side}_{c}": F.col(c) for side in ("old", "new") for c in ADDED})
     place = {"order_id": "order_id", "category": "{}_category", "order_date": "{}_date"}
     counted = {"old": ~F.col("came") & F.col("old_order") & F.col("old_product"), "new": F.lit(True)}
+    if "products" not in had:
+        del counted["old"]
     held = _sides(known, place, counted).groupBy("order_id", "category", "order_date").agg(
         *_sums(*ADDED),
         (F.max((F.col("orders") > 0).cast("int")) - F.max((F.col("orders") < 0).cast("int"))).alias("orders"),
@@ -351,8 +392,9 @@ def recomputed(
         earlier = range(state.done + 1, seq)
         behind = [n for n in earlier if storage.has_data(spark, _part(root, "products", n))]
         runs = [*((n, landed(spark, root, n)) for n in behind), (seq, rows)]
+        had = set(state.held)
         _came(state, runs, money, seq)
-        together({"days": lambda: _by_day(state, seq), "categories": lambda: _by_category(state, seq)})
+        together({"days": lambda: _by_day(state, seq), "categories": lambda: _by_category(state, seq, had)})
         state.commit([*state.live, seq], seq)
         for name, old in (("moved", seq), ("touched", earlier.start - 1)):
             storage.delete(spark, _part(state.root, name, old))

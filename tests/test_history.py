@@ -197,3 +197,49 @@ def test_pairs_of_order_and_product_are_kept_once(spark, tmp_path):
         assert tables == anew(spark, runs, "float32")
     assert not storage.exists(spark, f"{root}/sold_state") and storage.exists(spark, f"{root}/sums_state")
     assert spark.read.parquet(f"{root}/days_state/seq=1").isEmpty()
+
+
+def test_stored_rows_stay_where_they_are_with_many_shuffle_partitions(spark, tmp_path, monkeypatch):
+    """More shuffle partitions than buckets move no stored row; those outside of the touched keys are skipped."""
+    day, plans, whole = dt.date(2025, 1, 1), [], history.land
+
+    def watched(rows, root, name, seq, *rest):
+        if name == "moved":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return whole(rows, root, name, seq, *rest)
+
+    monkeypatch.setattr(history, "land", watched)
+    runs = [
+        ([(n, n, day) for n in range(1, 9)], [(n, n, 5, "2.00", 0) for n in range(1, 9)], [(5, "Toys")]),
+        ([], [(7, 9, 5, "1.00", 0)], []),
+    ]
+    tables, root = [[], []], f"{tmp_path}/history"
+    confs = {**settings.RUN, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    with configured(spark, confs):
+        for seq, run in enumerate(runs):
+            work(spark, root, seq, run, "float32", tables)
+        assert tables == anew(spark, runs, "float32")
+    found = list(nodes_above(plans[-1], "Bucketed: true"))
+    assert len(found) == 2  # sums and orders
+    for above in found:
+        joins = [i for i, node in enumerate(above) if "Join" in node]
+        assert joins and "Exchange" not in above[: joins[0]], above
+    scans = [x for x in plans[-1].splitlines() if "Bucketed: true" in x]
+    assert all("GreaterThanOrEqual(order_id,7), LessThanOrEqual(order_id,7)" in x for x in scans)
+
+
+@pytest.mark.parametrize("turns", [(0, 1, 2), (2, 1, 0)])
+def test_datasets_one_after_the_other(spark, tmp_path, monkeypatch, turns):
+    """Runs that cannot move a figure yet compute none, and the first products give old lines their category."""
+    moved, whole = [], history.land
+    monkeypatch.setattr(history, "land", lambda rows, root, name, seq: (moved.append((seq, name)), whole(rows, root, name, seq))[1])
+    one = next(made_runs(random.Random(11), 1))
+    one = (one[0] + [(1, 1, dt.date(2025, 1, 2))], one[1] + [(1, 1, 1, "2.00", 1)], one[2] + [(1, "Toys")])
+    runs = [tuple(rows if at == turn else [] for at, rows in enumerate(one)) for turn in turns]
+    runs += [([], [(1, 2, 1, "1.00", 0)], [(1, "Books")])]
+    tables, root = [[], []], f"{tmp_path}/history"
+    with configured(spark, settings.RUN):
+        for seq, run in enumerate(runs):
+            work(spark, root, seq, run, "float32", tables)
+            assert tables == anew(spark, runs[: seq + 1], "float32")
+    assert (0, "moved") not in moved and (3, "moved") in moved

@@ -104,6 +104,15 @@ def test_counts_come_with_the_write(spark, tmp_path):
     assert outcome == {"written": 1, "rejected": 1} and jobs <= 2
 
 
+def test_months_of_few_rows_are_written_side_by_side(spark, tmp_path):
+    rows = [("A", d(1, month), 1.0) for month in range(1, 13)]
+    put(spark, rows, str(tmp_path), 0)
+    files = list((tmp_path / "t" / "run=0").glob("order_month=*/part-*.parquet"))
+    assert len(files) == 12 and len({f.name.split("-")[1] for f in files}) > 1
+    put(spark, [("A", d(1, 2), 5.0)], str(tmp_path), 1)
+    assert content(spark, str(tmp_path)) == sorted([r for r in rows if r[1] != d(1, 2)] + [("A", d(1, 2), 5.0)])
+
+
 def test_last_by_key(spark):
     rows = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, None)], "k int, seq int, v string")
     got = U.last_by_key(rows, ["k"], "seq")
